@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .language_id import op7_language_id
+from .packing import PackConfig, pack_documents
+from .simhash import op9_simhash
 from .url_filter import RULES, BLOCK_GLOBS, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +23,20 @@ def q7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_language_id(table(spark, sf_dir, "documents"))
 
 
+def q5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_documents(table(spark, sf_dir, "documents"), PackConfig(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def q9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_simhash(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op5_packing": q5,
     "op7_language_id": q7,
+    "op9_simhash": q9,
     "op10_url_filter": q10,
 }
 
