@@ -10,6 +10,7 @@ from .common import table
 from .language_id import op7_language_id
 from .packing import PackConfig, pack_documents
 from .simhash import op9_simhash
+from .toxicity import op1_toxicity
 from .url_filter import RULES, BLOCK_GLOBS, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +34,12 @@ def q9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_simhash(table(spark, sf_dir, "documents"))
 
 
+def q1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": q1,
     "op5_packing": q5,
     "op7_language_id": q7,
     "op9_simhash": q9,
