@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .brown_lm import op2_brown_lm
 from .common import table
 from .language_id import op7_language_id
 from .packing import PackConfig, pack_documents
@@ -38,8 +39,13 @@ def q1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def q2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_brown_lm(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": q1,
+    "op2_brown_lm": q2,
     "op5_packing": q5,
     "op7_language_id": q7,
     "op9_simhash": q9,
