@@ -43,11 +43,12 @@ class WordEncoder:
     """Ids of texts, word by word, for tokenizers that never join across ASCII white space.
 
     Words are remembered, up to ``limit`` of them; then all are forgotten. New words made
-    of plain Latin letters and closing punctuation are encoded many at a time: each run of
+    of plain Latin letters between punctuation are encoded many at a time: each run of
     letters ends in exactly one id that closes a word.
     """
 
     LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+    MARKS = r"""[-.,!?;:*#%$&@"()\[\]{}/\\|+=~^_`]*"""  # no apostrophe, which takes letters with it
 
     def __init__(self, path: str, limit: int):
         import re
@@ -60,7 +61,7 @@ class WordEncoder:
             raise ValueError("ids must fit 16 bits")
         self.closes = np.zeros(65536, dtype=bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.plain = re.compile(f"([{self.LETTERS}]+)([.,!?;:]*)")
+        self.plain = re.compile(f"({self.MARKS})([{self.LETTERS}]+)({self.MARKS})")
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -85,11 +86,13 @@ class WordEncoder:
             self.pieces.clear()
             new = list(words)
         split = [(w, self.plain.fullmatch(w.decode())) for w in new]
-        fresh = {p for _, m in split if m for p in (m[1].lower(), m[2]) if p and p not in self.pieces}
-        self._learn_pieces(sorted(p for p in fresh if p[0].isalpha()))
-        self.pieces.update((p, self._ids(p)) for p in fresh if not p[0].isalpha())
+        letters = {p for _, m in split if m for p in (m[2].lower(),) if p not in self.pieces}
+        self._learn_pieces(sorted(letters))
+        marks = {x for _, m in split if m for x in (m[1], m[3]) if x not in self.pieces}
+        self.pieces.update((x, self._ids(x)) for x in marks)
+        pieces = self.pieces
         for w, m in split:
-            self.known[w] = self.pieces[m[1].lower()] + (self.pieces[m[2]] if m[2] else b"") if m else self._ids(w.decode())
+            self.known[w] = pieces[m[1]] + pieces[m[2].lower()] + pieces[m[3]] if m else self._ids(w.decode())
 
     def encode(self, texts: list[str], group: int = 256) -> Iterator[np.ndarray]:
         """Ids of each text, as unsigned 16-bit integers."""
