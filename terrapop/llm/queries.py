@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import op6_ann
 from .brown_lm import op2_brown_lm
 from .common import table
 from .language_id import op7_language_id
@@ -43,10 +44,15 @@ def q2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_brown_lm(table(spark, sf_dir, "documents"))
 
 
+def q6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_ann(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": q1,
     "op2_brown_lm": q2,
     "op5_packing": q5,
+    "op6_ann": q6,
     "op7_language_id": q7,
     "op9_simhash": q9,
     "op10_url_filter": q10,
