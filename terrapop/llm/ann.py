@@ -3,7 +3,7 @@
 Vectors and queries are dealt into bounded blocks, and every query block meets every
 vector block once. Within such a pair each random projection keeps its values in sorted
 order. A window centred at the query widens with the radius (virtual rehashing); a vector
-whose value falls into enough of the windows is verified by its true inner product.
+whose rank falls into enough of the windows is verified by its true inner product.
 """
 
 from __future__ import annotations
@@ -19,21 +19,25 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class AnnConfig:
-    """``share`` of the ``projections`` must collide before a vector is verified. At
-    radius R a window reaches R to either side; radii grow by ``growth``."""
+    """At radius R a window reaches ``reach`` R to either side, and ``share`` of the
+    ``projections`` must collide before a vector is verified: a vector at distance R does
+    so in 55 % of them. Radii start below the nearest of ``probe`` vectors and grow by
+    ``growth``."""
 
     k: int = 20
     projections: int = 128
-    share: float = 0.64
-    first_radius: float = 0.1
-    growth: float = 1.3
-    block_vectors: int = 8192
-    block_queries: int = 1024
+    reach: float = 0.75
+    share: float = 0.505
+    probe: int = 512
+    start: float = 0.85
+    growth: float = 1.12
+    block_vectors: int = 60_000
+    block_queries: int = 512
     seed: int = 11
 
 
 class CollisionIndex:
-    """Sorted projections of one block of vectors.
+    """Sorted projections of one block of vectors, and each vector's rank in them.
 
     Largest inner product becomes least distance by one more coordinate: vectors are
     scaled by the largest norm and filled up to length 1, queries have length 1 and 0
@@ -41,57 +45,59 @@ class CollisionIndex:
     """
 
     def __init__(self, vectors: np.ndarray, cfg: AnnConfig):
+        if len(vectors) > 65_535:
+            raise ValueError("ranks have 16 bits")
         self.vectors, self.cfg = vectors, cfg
         norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
         self.scale = norms.max()
         unit = np.column_stack([vectors / self.scale, np.sqrt(np.maximum(0.0, 1 - (norms / self.scale) ** 2))])
         self.axes = np.random.default_rng(cfg.seed).standard_normal((unit.shape[1], cfg.projections))
-        values = unit @ self.axes
-        self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32).copy()
-        self.sorted = np.sort(values, axis=0, kind="stable").T.copy()
+        values = (unit @ self.axes).T
+        self.sorted = np.sort(values, axis=1)
+        self.rank = np.stack([np.searchsorted(s, v) for s, v in zip(self.sorted, values, strict=True)]).astype(np.uint16)
+
+    def collisions(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """For each vector, the windows [lo, hi) of the sorted arrays that hold it."""
+        counts = np.zeros(len(self.vectors), np.uint8)
+        for rank, a, b in zip(self.rank, lo.astype(np.uint16), hi.astype(np.uint16), strict=True):
+            counts += (rank - a < b - a).view(np.uint8)
+        return counts
 
     def search(self, queries: np.ndarray) -> Iterator[np.ndarray]:
-        """For each query, the rows that were verified; none is left out for number."""
+        """For each query, the rows that were verified; none is left out for number.
+
+        The window widens until more than ``k`` verified vectors lie within the radius,
+        or all vectors are verified.
+        """
         cfg = self.cfg
         lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
         centres = (queries / lengths[:, None]) @ self.axes[:-1]
         need = int(np.ceil(cfg.share * cfg.projections))
-        n = len(self.vectors)
-        counts = np.zeros((len(queries), n), np.int16)
-        lo = np.stack([np.searchsorted(s, c) for s, c in zip(self.sorted, centres.T, strict=True)], axis=1)
-        hi = lo.copy()
-        found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
-        open_, radius = np.arange(len(queries)), cfg.first_radius
-        while len(open_):
-            last = radius > 2.0
-            reach = np.inf if last else radius
-            for j, s in enumerate(self.sorted):
-                c = centres[open_, j]
-                left, right = np.searchsorted(s, c - reach, "left"), np.searchsorted(s, c + reach, "right")
-                order = self.order[j]
-                for q, a, b in zip(open_, left, right, strict=True):
-                    row = counts[q]
-                    if a < lo[q, j]:
-                        row[order[a : lo[q, j]]] += 1
-                        lo[q, j] = a
-                    if b > hi[q, j]:
-                        row[order[hi[q, j] : b]] += 1
-                        hi[q, j] = b
+        step = max(1, len(self.vectors) // cfg.probe)
+        m = len(queries)
+        away = lambda i, rows: 2 - 2 * (self.vectors[rows] @ queries[i]) / (self.scale * lengths[i])  # noqa: E731  squared distances
+        radius = np.zeros(m)
+        for i in range(m):
+            squares = away(i, slice(0, None, step))
+            radius[i] = cfg.start * np.sqrt(squares[squares > 1e-5].min(initial=4.0))
+        seen, near = np.zeros((m, len(self.vectors)), bool), [np.zeros(0)] * m
+        going = np.arange(m)
+        while len(going):
+            reach = cfg.reach * radius[going]
+            lo = np.stack([np.searchsorted(s, c - reach, "left") for s, c in zip(self.sorted, centres[going].T, strict=True)], axis=1)
+            hi = np.stack([np.searchsorted(s, c + reach, "right") for s, c in zip(self.sorted, centres[going].T, strict=True)], axis=1)
             rest = []
-            for q in open_:
-                hit = np.flatnonzero(counts[q] >= need)
-                found[q] = hit
-                if last:
-                    continue
-                if len(hit) >= cfg.k + 1:
-                    # |x' - q'|^2 = 2 - 2 <x, q> / (scale |q|)
-                    inner = self.vectors[hit] @ queries[q] / (self.scale * lengths[q])
-                    if np.count_nonzero(2 - 2 * inner <= radius * radius) > cfg.k:
-                        continue
-                rest.append(q)
-            open_ = np.array(rest, dtype=np.int64)
+            for i, a, b in zip(going, lo, hi, strict=True):
+                wide = radius[i] > 2.0
+                hit = np.ones(len(self.vectors), bool) if wide else self.collisions(a, b) >= need
+                fresh = np.flatnonzero(hit & ~seen[i])
+                near[i] = np.concatenate([near[i], away(i, fresh)])
+                seen[i, fresh] = True
+                if not wide and np.count_nonzero(near[i] <= radius[i] ** 2) <= cfg.k:
+                    rest.append(i)
+            going = np.array(rest, dtype=np.int64)
             radius *= cfg.growth
-        yield from found
+        yield from map(np.flatnonzero, seen)
 
 
 def usable(df: DataFrame, vector: str = "embedding") -> DataFrame:
