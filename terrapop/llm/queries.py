@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .ann import op6_ann
 from .brown_lm import op2_brown_lm
 from .common import table
+from .decontam import find_contained
 from .language_id import op7_language_id
+from .line_dedup import op8_line_dedup
 from .packing import PackConfig, pack_documents
 from .simhash import op9_simhash
 from .toxicity import op1_toxicity
@@ -48,12 +50,22 @@ def q6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_ann(table(spark, sf_dir, "embeddings"))
 
 
+def q4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def q8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_line_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": q1,
     "op2_brown_lm": q2,
+    "op4_decontam": q4,
     "op5_packing": q5,
     "op6_ann": q6,
     "op7_language_id": q7,
+    "op8_line_dedup": q8,
     "op9_simhash": q9,
     "op10_url_filter": q10,
 }
