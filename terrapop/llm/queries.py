@@ -14,6 +14,7 @@ from .language_id import op7_language_id
 from .line_dedup import op8_line_dedup
 from .packing import PackConfig, pack_documents
 from .simhash import op9_simhash
+from .substrings import remove_repeats
 from .toxicity import op1_toxicity
 from .url_filter import RULES, BLOCK_GLOBS, judge_urls
 
@@ -58,9 +59,14 @@ def q8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_line_dedup(table(spark, sf_dir, "documents"))
 
 
+def q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": q1,
     "op2_brown_lm": q2,
+    "op3_suffix_dedup": q3,
     "op4_decontam": q4,
     "op5_packing": q5,
     "op6_ann": q6,
