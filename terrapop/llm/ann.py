@@ -29,8 +29,8 @@ class AnnConfig:
     reach: float = 0.75
     share: float = 0.505
     probe: int = 512
-    start: float = 0.85
-    growth: float = 1.12
+    start: float = 0.92
+    growth: float = 1.1
     block_vectors: int = 60_000
     block_queries: int = 512
     seed: int = 11
@@ -54,7 +54,8 @@ class CollisionIndex:
         self.axes = np.random.default_rng(cfg.seed).standard_normal((unit.shape[1], cfg.projections))
         values = (unit @ self.axes).T
         self.sorted = np.sort(values, axis=1)
-        self.rank = np.stack([np.searchsorted(s, v) for s, v in zip(self.sorted, values, strict=True)]).astype(np.uint16)
+        self.rank = np.empty(values.shape, np.uint16)
+        np.put_along_axis(self.rank, np.argsort(values, axis=1), np.arange(len(vectors), dtype=np.uint16)[None], axis=1)
 
     def collisions(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """For each vector, the windows [lo, hi) of the sorted arrays that hold it."""
