@@ -1,6 +1,6 @@
 """All registered queries of the library."""
 
-from . import basic, geometry  # noqa: F401
+from . import basic, geometry, indicators  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
