@@ -19,9 +19,11 @@ from .common import written
 @dataclass(frozen=True)
 class LineConfig:
     """Lines of fewer than ``fuzzy_words`` words are removed only as equal lines: one word
-    is too large a share of them to be an edit."""
+    is too large a share of them to be an edit. ``filter_bits`` is the size of the bit map
+    that spares moving the texts of other lines."""
 
     fuzzy_words: int = 8
+    filter_bits: int = 1 << 23
 
 
 def numbered_lines(docs: DataFrame) -> DataFrame:
@@ -36,19 +38,24 @@ def line_key(line: Column) -> Column:
 
 
 def words(line: Column) -> Column:
-    return F.split(F.trim(line), r"\s+")
+    """Words of a line are what single blanks part."""
+    return F.split(F.trim(line), " ")
 
 
-def half_keys(w: Column, n: Column) -> Column:
-    """Keys of a line's halves for its own length and for one word less, so that a line
-    and the same line with one more word meet: (which half, key)."""
+def word_count(line: Column) -> Column:
+    text = F.trim(line)
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
+
+
+def half_keys(line: Column, n: Column) -> Column:
+    """Keys of a line's halves for its own word count and for one less, so that a line and
+    the same line with one more word meet. Odd keys are of first halves."""
+    text = F.trim(line)
 
     def of(s: Column) -> list[Column]:
         half = F.floor(s / 2).cast("int")
-        return [
-            F.struct(F.lit(True).alias("left"), F.xxhash64(F.lit("l"), s, F.slice(w, F.lit(1), half)).alias("key")),
-            F.struct(F.lit(False).alias("left"), F.xxhash64(F.lit("r"), s, F.slice(w, n - (s - half) + 1, s - half)).alias("key")),
-        ]
+        first, last = F.call_function("substring_index", text, F.lit(" "), half), F.call_function("substring_index", text, F.lit(" "), half - s)
+        return [F.xxhash64(s, first).bitwiseOR(1), F.xxhash64(s, last).bitwiseAND(-2)]
 
     return F.array(*of(n), *of(n - 1))
 
@@ -57,40 +64,55 @@ def without(w: Column, n: Column, i: Column) -> Column:
     return F.concat(F.slice(w, F.lit(1), i - 1), F.slice(w, i + 1, F.greatest(n - i, F.lit(0))))
 
 
+def bit_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """One row with a bit map of ``bits`` bits (a fixed size) that has a bit for each key."""
+    at = F.pmod(F.col(key), F.lit(bits))
+    word = F.shiftright(at, 6).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(`{key}`, 64) as int))")
+    held = keys.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("held"))
+    every = keys.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("word")).join(held, "word", "left")
+    ordered = F.sort_array(F.collect_list(F.struct("word", F.coalesce("held", F.lit(0).cast("long")).alias("held"))))
+    return every.agg(F.transform(ordered, lambda x: x["held"]).alias("map"))
+
+
 def removed_lines(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
     """(doc_id, pos, h1) of the lines that an earlier line makes superfluous.
 
     Earlier is the smaller (doc_id, pos). A line goes if an earlier one is equal, or within
-    one word of it and both have ``fuzzy_words`` or more.
+    one word of it and both have ``fuzzy_words`` or more. Texts are moved only for lines
+    that share a half with another.
     """
-    key, n = line_key(F.col("line")), F.size("w")
-    seen = numbered_lines(docs).withColumns({"k": key, "at": F.struct("doc_id", "pos")})
-    first = seen.groupBy("k").agg(F.min("at").alias("first"), F.min_by(F.trim("line"), "at").alias("line"), F.count("*").alias("copies"))
-    first = written(first.select("k", "first", "copies", words(F.col("line")).alias("w")))
+    seen = numbered_lines(docs).withColumns({"k": line_key(F.col("line")), "at": F.struct("doc_id", "pos")})
+    counted = seen.withColumn("n", word_count(F.col("line")))
+    halves_of = F.when(F.col("n") >= cfg.fuzzy_words, half_keys(F.col("line"), F.col("n")))
+    first = written(counted.withColumn("halves", halves_of).groupBy("k.h1", "k.h2").agg(F.min("at").alias("first"), F.count("*").alias("copies"), F.any_value("halves").alias("halves")))
 
-    fuzzy = first.where(n >= cfg.fuzzy_words).select("first", "w", F.xxhash64("k.h1", "k.h2").alias("id"))
-    halves = fuzzy.select("id", F.explode(half_keys(F.col("w"), n)).alias("h")).select("id", "h.left", "h.key")
+    halves = first.where("halves is not null").select(F.col("h1").alias("id"), F.explode("halves").alias("key"))
     shared = halves.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
-    able = halves.join(shared, "key", "left_semi").groupBy("id").agg(F.bool_or("left").alias("from_left"), F.bool_or(~F.col("left")).alias("from_right"))
-    able = written(fuzzy.join(able, "id"))
+    left = F.col("key").bitwiseAND(1) == 1
+    sides = halves.join(shared, "key", "left_semi").groupBy("id").agg(F.bool_or(left).alias("from_left"), F.bool_or(~left).alias("from_right"))
+    able = written(first.withColumn("id", F.col("h1")).join(sides, "id").select("id", "first.doc_id", "first.pos", "from_left", "from_right"))
+
+    word = (F.shiftright(F.pmod("k.h1", F.lit(cfg.filter_bits)), 6) + 1).cast("int")
+    hit = F.getbit(F.element_at(bit_filter(able, "id", cfg.filter_bits).scalar(), word), F.pmod("k.h1", F.lit(64)).cast("int")) == 1
+    maybe = seen.where(hit).select("doc_id", "pos", F.trim("line").alias("line"))
+    able = written(maybe.join(able, ["doc_id", "pos"]).select(F.struct("doc_id", "pos").alias("at"), words(F.col("line")).alias("w"), "from_left", "from_right"))
 
+    n = F.size("w")
     low = F.when(F.col("from_right"), F.lit(1)).otherwise(F.floor((n - 1) / 2).cast("int") + 1)
     high = F.when(F.col("from_left"), n).otherwise(F.floor(n / 2).cast("int") + 1)
-    variants = able.select("first", "id", n.alias("n"), F.explode(F.transform(F.sequence(low, high), lambda i: F.struct(i.alias("i"), F.xxhash64(without(F.col("w"), n, i)).alias("v")))).alias("d"))
-    variants = variants.select("first", "id", "d.i", "d.v")
-    whole = able.select("first", "id", F.lit(0).alias("i"), F.xxhash64("w").alias("v"))
+    variants = able.select("at", F.explode(F.transform(F.sequence(low, high), lambda i: F.struct(i.alias("i"), F.xxhash64(without(F.col("w"), n, i)).alias("v")))).alias("d")).select("at", "d.i", "d.v")
 
     # One word changed: equal variants at one place. The earliest of them is within one
     # word of all the others.
-    changed = variants.groupBy("v", "i").agg(F.min_by("id", "first").alias("ref"), F.count("*").alias("c")).where("c > 1").drop("c")
-    pairs = variants.join(changed, ["v", "i"]).where("id <> ref").select("id", "ref", "i")
+    changed = variants.groupBy("v", "i").agg(F.min("at").alias("ref"), F.count("*").alias("c")).where("c > 1").drop("c")
+    pairs = variants.join(changed, ["v", "i"]).where("at > ref").select("at", "ref", "i")
     # One word more or less: a whole line equals a longer line's variant.
-    longer = variants.join(whole.select("v", F.col("id").alias("short"), F.col("first").alias("short_first")), "v").groupBy("id", "short", "short_first", "first").agg(F.min("i").alias("i"))
-    after = longer.where(F.col("first") > F.col("short_first")).select("id", F.col("short").alias("ref"), "i")
-    before = longer.where(F.col("first") < F.col("short_first")).groupBy("short").agg(F.min_by(F.struct("id", "i"), "first").alias("m")).select(F.col("short").alias("id"), F.col("m.id").alias("ref"), F.col("m.i").alias("i"))
+    longer = variants.join(able.select(F.xxhash64("w").alias("v"), F.col("at").alias("short")), "v")
+    after = longer.where("at > short").select("at", F.col("short").alias("ref"), "i")
+    before = longer.where("at < short").groupBy("short").agg(F.min(F.struct("at", "i")).alias("m")).select(F.col("short").alias("at"), F.col("m.at").alias("ref"), F.col("m.i").alias("i"))
 
-    line, ref = able.select("id", F.col("w").alias("w1")), able.select(F.col("id").alias("ref"), F.col("w").alias("w2"))
-    checked = pairs.unionByName(after).unionByName(before).join(line, "id").join(ref, "ref")
+    checked = pairs.unionByName(after).unionByName(before).join(able.select("at", F.col("w").alias("w1")), "at").join(able.select(F.col("at").alias("ref"), F.col("w").alias("w2")), "ref")
     n1, n2, w1, w2, i = F.size("w1"), F.size("w2"), F.col("w1"), F.col("w2"), F.col("i")
     within = (
         F.when(n1 == n2, without(w1, n1, i) == without(w2, n2, i))
@@ -98,13 +120,11 @@ def removed_lines(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
         .when(n2 == n1 + 1, without(w2, n2, i) == w1)
         .otherwise(False)
     )
-    near = checked.where(within).select("id").distinct()
-    near_first = near.join(able.select("id", "first"), "id").select("first.doc_id", "first.pos")
+    near = checked.where(within).select("at").distinct()
 
-    again = first.where("copies > 1").select("k", F.col("first").alias("kept_at"))
-    copies = seen.select("k", "at").join(again, "k").where("at > kept_at").select("at.doc_id", "at.pos", "k.h1")
-    hashed = first.select("first.doc_id", "first.pos", "k.h1")
-    return copies.unionByName(near_first.join(hashed, ["doc_id", "pos"])).distinct()
+    again = first.where("copies > 1").select("h1", "h2", F.col("first").alias("kept_at"))
+    copies = seen.select("k.h1", "k.h2", "at").join(again, ["h1", "h2"]).where("at > kept_at").select("at.doc_id", "at.pos", "h1")
+    return copies.unionByName(near.join(first.select(F.col("first").alias("at"), "h1"), "at").select("at.doc_id", "at.pos", "h1"))
 
 
 def dedup_lines(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
