@@ -21,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,20 +110,32 @@ def samples(raw: np.ndarray, cfg: SubstringConfig) -> Samples:
 
 def contexts(s: Samples, cfg: SubstringConfig, size: int) -> tuple[np.ndarray, np.ndarray]:
     """For each sample: a fingerprint of every byte that its strings touch and of where
-    they lie, and two 16-bit ones of the 35 bytes that end and start with it: a string
+    they lie, and two 8-bit ones of the 35 bytes that end and start with it: a string
     that holds the sample holds one of the two whole."""
     print_ = s.prints.of(s.low, s.high + cfg.length)
     whole = _mixed(print_ + (s.at - s.low).astype(U64) * U64(BASE[1]) + (s.high - s.low).astype(U64) * U64(BASE[0]))
     more = (cfg.length - cfg.gram) // 2
-    left = s.prints.of(np.maximum(s.at - more, 0), s.at + cfg.gram) & U64(0xFFFF)
-    right = s.prints.of(s.at, np.minimum(s.at + cfg.gram + more, size)) & U64(0xFFFF)
-    return whole, (left << U64(16) | right).astype(np.uint32)
+    left = s.prints.of(np.maximum(s.at - more, 0), s.at + cfg.gram) & U64(0xFF)
+    right = s.prints.of(s.at, np.minimum(s.at + cfg.gram + more, size)) & U64(0xFF)
+    return whole, (left << U64(8) | right).astype(np.uint16)
 
 
 PACKED = "bucket int, docs binary, rows binary, who binary, key binary, tie binary, side binary, pos binary, old binary"
 PACKED_TYPES = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("docs", "rows", "who", "key", "tie", "side", "pos", "old"))])
 
 
+def planes(x: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of each number, byte by byte: zeros and repeats compress."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1)[:, :width].T).tobytes()
+
+
+def from_planes(raw: bytes, width: int, kind: type) -> np.ndarray:
+    flat = np.frombuffer(raw, np.uint8).reshape(width, -1)
+    out = np.zeros((flat.shape[1], np.dtype(kind).itemsize), np.uint8)
+    out[:, :width] = flat.T
+    return out.view(kind).ravel()
+
+
 class Packer:
     """Gathers (document, key, tie, side, position) of many texts and gives them out as a
     few binary rows for each bucket; equal (key, tie) of a later document are only noted
@@ -158,7 +171,7 @@ class Packer:
             own, local = np.unique(who[i], return_inverse=True)
             new, gone = ~old[i], old[i]
             word = local.astype(np.uint32)
-            out.append((int(bucket[i[0]]), docs[own].tobytes(), rows[own].tobytes(), np.concatenate((word[new], word[gone])).tobytes(), (key[i[new]] >> U64(32)).astype(np.uint32).tobytes(), tie[i[new]].tobytes(), side[i[new]].tobytes(), np.concatenate((pos[i[new]], pos[i[gone]])).astype(np.uint32).tobytes(), np.uint32(new.sum()).tobytes()))
+            out.append((int(bucket[i[0]]), docs[own].tobytes(), rows[own].tobytes(), planes(np.concatenate((word[new], word[gone])), 4), (key[i[new]] >> U64(32)).astype(np.uint32).tobytes(), planes(tie[i[new]], 7), side[i[new]].tobytes(), planes(np.concatenate((pos[i[new]], pos[i[gone]])).astype(np.uint32), 4), np.uint32(new.sum()).tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), PACKED_TYPES.types, strict=True)], schema=PACKED_TYPES)
 
 
@@ -208,13 +221,13 @@ def sorted_buckets(packed: DataFrame, with_parts: bool) -> DataFrame:
         docs, ids, pos, key, tie, side, olddoc, oldrow, oldpos = ([] for _ in range(9))
         for r in rows:
             n = int(np.frombuffer(r["old"], np.uint32)[0])
-            who, p = np.frombuffer(r["who"], np.uint32), np.frombuffer(r["pos"], np.uint32)
+            who, p = from_planes(r["who"], 4, np.uint32), from_planes(r["pos"], 4, np.uint32)
             d, i = np.frombuffer(r["docs"], np.int64)[who], np.frombuffer(r["rows"], np.int64)[who]
             for to, x in ((docs, d[:n]), (ids, i[:n]), (pos, p[:n]), (olddoc, d[n:]), (oldrow, i[n:]), (oldpos, p[n:])):
                 to.append(x)
             key.append(np.frombuffer(r["key"], np.uint32))
-            tie.append(np.frombuffer(r["tie"], U64))
-            side.append(np.frombuffer(r["side"], np.uint32))
+            tie.append(from_planes(r["tie"], 7, U64))
+            side.append(np.frombuffer(r["side"], np.uint16))
         doc, row, at, k, t, s = map(np.concatenate, (docs, ids, pos, key, tie, side))
         order, later = earliest_first(k, t, doc)
         kind = np.where(later, 0, 2)
@@ -231,7 +244,7 @@ def sorted_buckets(packed: DataFrame, with_parts: bool) -> DataFrame:
         of another document and another context."""
         new = np.flatnonzero(~later)
         hit = np.zeros(len(new), bool)
-        for half in (side[new] >> np.uint32(16), side[new] & np.uint32(0xFFFF)):
+        for half in (side[new] >> np.uint16(8), side[new] & np.uint16(0xFF)):
             g = k[new].astype(U64) << U64(16) | half
             o = np.lexsort((doc[new], g))
             cut = runs(g[o])
@@ -243,7 +256,7 @@ def sorted_buckets(packed: DataFrame, with_parts: bool) -> DataFrame:
 
 
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-STEP = f"doc_id long, row long, text string, starts binary, {RESULT}, kind int, {PACKED}"
+STEP = f"doc_id long, row long, zip binary, starts binary, {RESULT}, kind int, {PACKED}"
 
 
 def removed(raw: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -271,7 +284,7 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
     A byte goes if a string of ``cfg.length`` bytes covers it that also starts in a
     document with a smaller doc_id. Null texts are empty; texts shorter than the length
     stay whole. Rows that share a doc_id never make each other's bytes go; rows without
-    doc_id neither lose bytes nor count. Strings are compared by fingerprints of 100 or
+    doc_id neither lose bytes nor count. Strings are compared by fingerprints of 94 or
     more bits. Repeated rows give a row each; an empty table gives none.
     """
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -296,7 +309,7 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
         for batch in batches:
             rows: list[dict] = []
             for r in batch.to_pylist():
-                raw = _bytes(r["text"])
+                raw = np.frombuffer(zstandard.decompress(r["zip"]), np.uint8)
                 starts = np.zeros(max(0, len(raw) - cfg.length + 1), bool)
                 whole, part = (np.frombuffer(b"".join(r[c] or []), np.uint32) for c in ("whole", "part"))
                 maybe = np.zeros(0, np.int64)
@@ -311,11 +324,11 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
                     maybe = np.concatenate([np.zeros(0, np.int64), *(np.arange(a, b + 1) for a, b in zip(s.low[i], s.high[i], strict=True))])
                     if len(maybe):
                         key, tie = s.prints.of(maybe, maybe + cfg.length), Prints(raw, 1).of(maybe, maybe + cfg.length)
-                        for out in packer.add(r["doc_id"], r["row"], key, tie, np.zeros(len(maybe), np.uint32), maybe):
+                        for out in packer.add(r["doc_id"], r["row"], key, tie, np.zeros(len(maybe), np.uint16), maybe):
                             yield _packed_step(out)
                 base = {"doc_id": r["doc_id"], "row": r["row"]}
                 if len(maybe):
-                    rows.append(base | {"text": r["text"], "starts": np.packbits(starts).tobytes(), "kind": 1})
+                    rows.append(base | {"zip": r["zip"], "starts": zstandard.compress(np.packbits(starts).tobytes()), "kind": 1})
                 else:
                     n, gone, spans, sha = digest(raw, removed(raw, starts, cfg.length))
                     rows.append(base | {"n_bytes": n, "n_removed": gone, "n_spans": spans, "kept_sha256": sha, "kind": 0})
@@ -323,18 +336,24 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
         for out in packer.out():
             yield _packed_step(out)
 
-    stepped = written(chosen.join(told, ["doc_id", "row"], "left").mapInArrow(step, STEP))
+    def squeeze(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            zipped = [zstandard.compress(t.encode()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(zipped, pa.binary())], ["doc_id", "row", "zip"])
+
+    squeezed = chosen.mapInArrow(squeeze, "doc_id long, row long, zip binary")
+    stepped = written(squeezed.join(told, ["doc_id", "row"], "left").mapInArrow(step, STEP))
     final = stepped.where("kind = 0").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     again = sorted_buckets(stepped.where("kind = 2").select(*PACKED_TYPES.names), False)
     again = again.groupBy("doc_id", "row").agg(F.collect_list("whole").alias("whole"))
-    pending = stepped.where("kind = 1").select("doc_id", "row", "text", "starts").join(again, ["doc_id", "row"], "left")
+    pending = stepped.where("kind = 1").select("doc_id", "row", "zip", "starts").join(again, ["doc_id", "row"], "left")
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                raw = _bytes(r["text"])
-                starts = np.unpackbits(np.frombuffer(r["starts"], np.uint8), count=len(raw) - cfg.length + 1).astype(bool)
+                raw = np.frombuffer(zstandard.decompress(r["zip"]), np.uint8)
+                starts = np.unpackbits(np.frombuffer(zstandard.decompress(r["starts"]), np.uint8), count=len(raw) - cfg.length + 1).astype(bool)
                 starts[np.frombuffer(b"".join(r["whole"] or []), np.uint32)] = True
                 rows.append((r["doc_id"], *digest(raw, removed(raw, starts, cfg.length))))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(),) * 4 + (pa.string(),), strict=False)] if rows else [pa.array([], t) for t in (pa.int64(),) * 4 + (pa.string(),)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
@@ -342,7 +361,7 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
     return final.unionByName(pending.mapInArrow(finish, f"doc_id long, {RESULT}"))
 
 
-STEP_TYPES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("text", pa.string()), ("starts", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kind", pa.int32()), *PACKED_TYPES])
+STEP_TYPES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("zip", pa.binary()), ("starts", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kind", pa.int32()), *PACKED_TYPES])
 
 
 def _packed_step(batch: pa.RecordBatch) -> pa.RecordBatch:
