@@ -101,7 +101,8 @@ def removed_lines(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
     n = F.size("w")
     low = F.when(F.col("from_right"), F.lit(1)).otherwise(F.floor((n - 1) / 2).cast("int") + 1)
     high = F.when(F.col("from_left"), n).otherwise(F.floor(n / 2).cast("int") + 1)
-    variants = able.select("at", F.explode(F.transform(F.sequence(low, high), lambda i: F.struct(i.alias("i"), F.xxhash64(without(F.col("w"), n, i)).alias("v")))).alias("d")).select("at", "d.i", "d.v")
+    variants = able.select("at", F.explode(F.transform(F.sequence(low, high), lambda i: F.struct(i.alias("i"), F.xxhash64(without(F.col("w"), n, i)).alias("v")))).alias("d"))
+    variants = written(variants.select("at", "d.i", "d.v"))
 
     # One word changed: equal variants at one place. The earliest of them is within one
     # word of all the others.
