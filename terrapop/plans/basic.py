@@ -633,7 +633,7 @@ def _(fx: Fixtures) -> DataFrame:
 @query("national_share", f"SELECT admin_id, CASE WHEN sum(t) OVER (PARTITION BY iso3) > 0 THEN round(t / CAST(sum(CAST(t AS DECIMAL(18,4))) OVER (PARTITION BY iso3) AS DOUBLE), 6) END AS share FROM ({UNIT_PCT})")
 def _(fx: Fixtures) -> DataFrame:
     u = flood_units(fx).join(F.broadcast(fx.admin_units.select("admin_id", "iso3")), "admin_id")
-    total = S.dsum(F.col("pop_total")) if False else F.sum(F.col("pop_total").cast("decimal(18,4)")).over(Window.partitionBy("iso3")).cast("double")
+    total = F.sum(F.col("pop_total").cast("decimal(18,4)")).over(Window.partitionBy("iso3")).cast("double")
     return u.select("admin_id", F.when(total > 0, F.round(F.col("pop_total") / total, 6)).alias("share"))
 
 
