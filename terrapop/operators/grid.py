@@ -87,13 +87,16 @@ def union_coverage(boxes: DataFrame, target: tuple[float, float, float, float])
     """Share of the target box covered by the union of boxes (w, s, e, n).
 
     Distinct edges cut the target into strips; in each strip boxes merge by a running
-    maximum, so there is no product of all x and all y edges.
+    maximum, so there is no product of all x and all y edges. Strips and boxes meet by an
+    equi join on vertical tiles.
     """
     w, s, e, n = target
     b = boxes.select(F.greatest("w", F.lit(w)).alias("w"), F.greatest("s", F.lit(s)).alias("s"), F.least("e", F.lit(e)).alias("e"), F.least("n", F.lit(n)).alias("n")).where("w < e and s < n").distinct()
     xs = b.select(F.col("w").alias("x")).union(b.select("e")).distinct()
     strip = xs.select("x", F.lead("x").over(Window.orderBy("x")).alias("x2")).where("x2 is not null")
-    met = strip.join(F.broadcast(b), (F.col("w") <= F.col("x")) & (F.col("e") >= F.col("x2")))
+    tile = lambda c: F.floor((F.col(c) - w) / ((e - w) / 64))
+    tiled = b.withColumn("tile", F.explode(F.sequence(tile("w"), tile("e"))))
+    met = strip.withColumn("tile", tile("x")).join(tiled, "tile").where("w <= x and e >= x2")
     run = Window.partitionBy("x").orderBy("s", "n").rowsBetween(Window.unboundedPreceding, -1)
     length = met.withColumn("top", F.max("n").over(run)).groupBy("x", "x2").agg(F.sum(F.greatest(F.lit(0.0), F.col("n") - F.greatest(F.coalesce("top", F.col("s")), F.col("s")))).alias("len"))
     return length.agg(F.round(100 * F.coalesce(F.sum(F.col("len") * (F.col("x2") - F.col("x"))), F.lit(0.0)) / ((e - w) * (n - s)), 6).alias("coverage_pct"))

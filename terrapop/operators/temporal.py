@@ -55,7 +55,8 @@ def consecutive_k(df: DataFrame, cell: str, t: str, condition: Column, k: int) -
 
 def consecutive_k_rolling(df: DataFrame, cell: str, t: str, condition: Column, k: int) -> DataFrame:
     """The same by a rolling sum over a dense cell by step table."""
-    dense = df.select(cell).distinct().crossJoin(F.broadcast(axis(df, t))).join(df.select(cell, t, F.coalesce(condition, F.lit(False)).cast("int").alias("x")), [cell, t], "left")
+    steps = axis(df, t).agg(F.sort_array(F.collect_list(F.struct("axis_idx", t)))).scalar()
+    dense = df.select(cell).distinct().select(cell, F.explode(steps).alias("s")).select(cell, "s.*").join(df.select(cell, t, F.coalesce(condition, F.lit(False)).cast("int").alias("x")), [cell, t], "left")
     w = Window.partitionBy(cell).orderBy("axis_idx").rowsBetween(1 - k, 0)
     return dense.withColumn("s", F.sum(F.coalesce("x", F.lit(0))).over(w)).where(F.col("s") == k).select(cell).distinct()
 

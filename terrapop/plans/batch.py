@@ -24,7 +24,7 @@ def tasks(fx: Fixtures) -> DataFrame:
     m = parsed_manifest(fx).withColumn("block", block)
     sizes = m.groupBy("block").agg(F.count("*").alias("n"))
     before = sizes.withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = m.join(F.broadcast(before.select("block", "offset")), "block").withColumn("task_id", F.col("offset") + F.row_number().over(Window.partitionBy("block").orderBy("file_order")))
+    numbered = m.join(before.select("block", "offset"), "block").withColumn("task_id", F.col("offset") + F.row_number().over(Window.partitionBy("block").orderBy("file_order")))
     return numbered.select("task_id", "file_order", "iso3", "as_of", "lookback", "level", "errors", (F.col("errors") == "").alias("is_valid"))
 
 
