@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Spark's own setting: shuffle files of an execution go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; only Spark's reader touches the path."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,10 +33,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` once as Parquet into the shared folder and read it
-    back. Lost executors cost nothing but a re-read of these files."""
+    back. Lost executors cost nothing but a re-read of these files. The shuffle files of
+    the write are deleted when it ends, so that stages don't add up on disk."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -110,14 +110,14 @@ def samples(raw: np.ndarray, cfg: SubstringConfig) -> Samples:
 
 def contexts(s: Samples, cfg: SubstringConfig, size: int) -> tuple[np.ndarray, np.ndarray]:
     """For each sample: a fingerprint of every byte that its strings touch and of where
-    they lie, and two 8-bit ones of the 35 bytes that end and start with it: a string
+    they lie, and two 16-bit ones of the 35 bytes that end and start with it: a string
     that holds the sample holds one of the two whole."""
     print_ = s.prints.of(s.low, s.high + cfg.length)
     whole = _mixed(print_ + (s.at - s.low).astype(U64) * U64(BASE[1]) + (s.high - s.low).astype(U64) * U64(BASE[0]))
     more = (cfg.length - cfg.gram) // 2
-    left = s.prints.of(np.maximum(s.at - more, 0), s.at + cfg.gram) & U64(0xFF)
-    right = s.prints.of(s.at, np.minimum(s.at + cfg.gram + more, size)) & U64(0xFF)
-    return whole, (left << U64(8) | right).astype(np.uint16)
+    left = s.prints.of(np.maximum(s.at - more, 0), s.at + cfg.gram) & U64(0xFFFF)
+    right = s.prints.of(s.at, np.minimum(s.at + cfg.gram + more, size)) & U64(0xFFFF)
+    return whole, (left << U64(16) | right).astype(np.uint32)
 
 
 PACKED = "bucket int, docs binary, rows binary, who binary, key binary, tie binary, side binary, pos binary, old binary"
@@ -191,9 +191,11 @@ NOTES_TYPES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("whole",
 
 def notes(doc: np.ndarray, row: np.ndarray, pos: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
     """One row for each document: positions of kind 0 (``whole``) and 1 (``part``)."""
+    if not len(doc):
+        return pa.RecordBatch.from_pylist([], schema=NOTES_TYPES)
     order = np.lexsort((pos, kind, row, doc))
     doc, row, pos, kind = doc[order], row[order], pos[order].astype(np.uint32), kind[order]
-    cut = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])))) if len(doc) else np.zeros(0, np.int64)
+    cut = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]))))
     stop = np.append(cut[1:], len(doc)).astype(np.int64)
     split = [a + int(np.searchsorted(kind[a:b], 1)) for a, b in zip(cut, stop, strict=True)]
     whole = [pos[a:m].tobytes() for a, m in zip(cut, split, strict=True)]
@@ -227,36 +229,38 @@ def sorted_buckets(packed: DataFrame, with_parts: bool) -> DataFrame:
                 to.append(x)
             key.append(np.frombuffer(r["key"], np.uint32))
             tie.append(from_planes(r["tie"], 7, U64))
-            side.append(np.frombuffer(r["side"], np.uint16))
-        doc, row, at, k, t, s = map(np.concatenate, (docs, ids, pos, key, tie, side))
+            side.append(np.frombuffer(r["side"], np.uint32))
+        doc, row, at, k, t, s = map(np.concatenate, (docs, ids, [p.astype(np.int64) for p in pos], key, tie, side))
         order, later = earliest_first(k, t, doc)
         kind = np.where(later, 0, 2)
         if with_parts:
-            kind[edges(k[order], doc[order], s[order], later)] = 1
+            places, sides = edges(k[order], doc[order], s[order], later)
+            kind[places] = 1
+            at[order[places]] = at[order[places]] << 2 | sides
         use = kind < 2
         o = order[use]
         return notes(
             np.concatenate([doc[o], *olddoc]), np.concatenate([row[o], *oldrow]), np.concatenate([at[o], *oldpos]), np.concatenate([kind[use], np.zeros(sum(map(len, oldpos)), kind.dtype)])
         )
 
-    def edges(k: np.ndarray, doc: np.ndarray, side: np.ndarray, later: np.ndarray) -> np.ndarray:
-        """Places, none of them whole repeats, that share gram and one side with a sample
-        of another document and another context."""
+    def edges(k: np.ndarray, doc: np.ndarray, side: np.ndarray, later: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places, none of them whole repeats, that share gram and a side with a sample of
+        another document, and which: 1 the left, 2 the right, 3 both."""
         new = np.flatnonzero(~later)
-        hit = np.zeros(len(new), bool)
-        for half in (side[new] >> np.uint16(8), side[new] & np.uint16(0xFF)):
+        hit = np.zeros(len(new), np.int64)
+        for bit, half in ((1, side[new] >> np.uint32(16)), (2, side[new] & np.uint32(0xFFFF))):
             g = k[new].astype(U64) << U64(16) | half
             o = np.lexsort((doc[new], g))
             cut = runs(g[o])
             many = doc[new][o[cut[:-1]]] != doc[new][o[cut[1:] - 1]] if len(new) else np.zeros(0, bool)
-            hit[o] |= np.repeat(many, np.diff(cut))
-        return new[hit]
+            hit[o] |= bit * np.repeat(many, np.diff(cut))
+        return new[hit > 0], hit[hit > 0]
 
     return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(sort, NOTES)
 
 
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-STEP = f"doc_id long, row long, zip binary, starts binary, {RESULT}, kind int, {PACKED}"
+STEP = f"doc_id long, row long, starts binary, {RESULT}, kind int, {PACKED}"
 
 
 def removed(raw: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -303,6 +307,7 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
 
     told = sorted_buckets(chosen.mapInArrow(sample, PACKED), True)
     told = told.groupBy("doc_id", "row").agg(F.collect_list("whole").alias("whole"), F.collect_list("part").alias("part"))
+    told = written(told)
 
     def step(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         packer = Packer(buckets, cfg.flush)
@@ -320,15 +325,19 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
                     np.add.at(mark, s.low[i], 1)
                     np.add.at(mark, s.high[i] + 1, -1)
                     starts = np.cumsum(mark[:-1]) > 0
-                    i = np.searchsorted(s.at, np.unique(part))
-                    maybe = np.concatenate([np.zeros(0, np.int64), *(np.arange(a, b + 1) for a, b in zip(s.low[i], s.high[i], strict=True))])
+                    part = np.unique(part)
+                    i, side = np.searchsorted(s.at, part >> 2), part & 3
+                    more = (cfg.length - cfg.gram) // 2
+                    first = np.where(side & 1, s.low[i], np.maximum(s.low[i], s.at[i] + cfg.gram + more - cfg.length))
+                    last = np.where(side & 2, s.high[i], np.minimum(s.high[i], s.at[i] - more))
+                    maybe = np.concatenate([np.zeros(0, np.int64), *(np.arange(a, b + 1) for a, b in zip(first, last, strict=True))])
                     if len(maybe):
                         key, tie = s.prints.of(maybe, maybe + cfg.length), Prints(raw, 1).of(maybe, maybe + cfg.length)
-                        for out in packer.add(r["doc_id"], r["row"], key, tie, np.zeros(len(maybe), np.uint16), maybe):
+                        for out in packer.add(r["doc_id"], r["row"], key, tie, np.zeros(len(maybe), np.uint32), maybe):
                             yield _packed_step(out)
                 base = {"doc_id": r["doc_id"], "row": r["row"]}
                 if len(maybe):
-                    rows.append(base | {"zip": r["zip"], "starts": zstandard.compress(np.packbits(starts).tobytes()), "kind": 1})
+                    rows.append(base | {"starts": zstandard.compress(np.packbits(starts).tobytes()), "kind": 1})
                 else:
                     n, gone, spans, sha = digest(raw, removed(raw, starts, cfg.length))
                     rows.append(base | {"n_bytes": n, "n_removed": gone, "n_spans": spans, "kept_sha256": sha, "kind": 0})
@@ -346,7 +355,8 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
     final = stepped.where("kind = 0").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     again = sorted_buckets(stepped.where("kind = 2").select(*PACKED_TYPES.names), False)
     again = again.groupBy("doc_id", "row").agg(F.collect_list("whole").alias("whole"))
-    pending = stepped.where("kind = 1").select("doc_id", "row", "zip", "starts").join(again, ["doc_id", "row"], "left")
+    pending = stepped.where("kind = 1").select("doc_id", "row", "starts").dropDuplicates(["doc_id", "row"]).join(again, ["doc_id", "row"], "left")
+    pending = squeezed.join(pending, ["doc_id", "row"]).select("doc_id", "row", "zip", "starts", "whole")
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -361,7 +371,7 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
     return final.unionByName(pending.mapInArrow(finish, f"doc_id long, {RESULT}"))
 
 
-STEP_TYPES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("zip", pa.binary()), ("starts", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kind", pa.int32()), *PACKED_TYPES])
+STEP_TYPES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("starts", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kind", pa.int32()), *PACKED_TYPES])
 
 
 def _packed_step(batch: pa.RecordBatch) -> pa.RecordBatch:
