@@ -18,6 +18,8 @@ from terrapop.llm.packing import PackConfig, pack_documents
 from terrapop.llm.simhash import drop_near_duplicates
 from terrapop.llm.toxicity import drop_toxic
 
+#: Words that a worker remembers: few, as the same workers serve all stages.
+CACHED_WORDS = 150_000
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -43,7 +45,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of what is left, each with its place in a sequence of 2048 tokens."""
-    return pack_documents(docs, PackConfig(public_tokenizers.path("word_bpe_49k.json")))
+    return pack_documents(docs, PackConfig(public_tokenizers.path("word_bpe_49k.json"), cached_words=CACHED_WORDS))
 
 
 STAGES: list[tuple[str, Stage]] = [
