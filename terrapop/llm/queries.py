@@ -16,7 +16,7 @@ from .packing import PackConfig, pack_documents
 from .simhash import op9_simhash
 from .substrings import remove_repeats
 from .toxicity import op1_toxicity
-from .url_filter import RULES, BLOCK_GLOBS, judge_urls
+from .url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,4 +76,16 @@ QUERIES: dict[str, Query] = {
     "op10_url_filter": q10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+URL_SQL = r"""
+WITH p AS (SELECT page_id, CASE WHEN position('://' IN coalesce(url, '')) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+ h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+ r AS (SELECT *, concat('.', host, path) AS u, CASE
+   WHEN ends_with(concat('.', host), '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+   WHEN ends_with(concat('.', host), '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+   WHEN ends_with(concat('.', host), '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+   WHEN ends_with(concat('.', host), '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+   WHEN ends_with(concat('.', host), '.com') AND starts_with(path, '/') THEN 'com/' END AS rule FROM h)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN u LIKE '%/wp-login.php%' OR u LIKE '%/cgi-bin/%' OR u LIKE '%/adserver/%' OR regexp_matches(u, '^[^/]*\.onion/') THEN 'block' ELSE 'allow' END AS verdict FROM r"""
+
+ORACLE_SQL: dict[str, str] = {"op10_url_filter": URL_SQL}
