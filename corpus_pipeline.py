@@ -15,7 +15,7 @@ from terrapop.llm.common import table, written
 from terrapop.llm.decontam import drop_contaminated
 from terrapop.llm.line_dedup import dedup_lines
 from terrapop.llm.packing import PackConfig, pack_documents
-from terrapop.llm.simhash import drop_near_duplicates
+from terrapop.llm.shingle_dedup import drop_similar
 from terrapop.llm.toxicity import drop_toxic
 
 #: Words that a worker remembers: few, as the same workers serve all stages.
@@ -34,8 +34,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return drop_near_duplicates(docs)
+    """One document of each group of near-duplicates (five-word shingles, 0.8) stays."""
+    return drop_similar(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

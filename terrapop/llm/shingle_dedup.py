@@ -1,0 +1,217 @@
+"""Near-duplicates by exact similarity of five-word shingles, for the pipeline.
+
+Two documents are linked if the Jaccard similarity of their shingle sets is 4/5 or more.
+Such sets share one of the least n/5 + 1 hashes of either, so candidates meet in the
+buckets of these hashes; a sketch of 32 nibbles (least hash of each bin) keeps apart
+what merely shares a passage. Candidates only form clusters; within a cluster links are
+decided by the whole sets. 64-bit hashes stand for shingles and for equal sets.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import runs, written
+from .graph import components
+
+SEED, WIDTH, BINS = 42, 5, 32
+#: Nibbles that may differ. At similarity 0.8 more differ in a few of a million pairs
+#: (binomial estimate).
+LOOSE = 19
+CHUNK = 500
+NIBBLES = np.uint64(0x1111111111111111)
+
+
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """Sorted hashes of the set of ``width``-word shingles, words split at ASCII white
+    space and A-Z lower-cased; a shorter text is one shingle, no words: none."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate(([0], ends[:-1])).tolist()
+    last = (ends - 1).tolist()[min(width, len(words)) - 1 :]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, last, strict=False)], np.uint64))
+
+
+def name_of(found: np.ndarray) -> int:
+    """One signed number for equal sets."""
+    return xxhash.xxh3_64_intdigest(found.tobytes(), SEED) - 2**63
+
+
+def sketch(found: np.ndarray) -> np.ndarray:
+    """Two words of 16 nibbles: the low bits of the least hash of each of 32 bins, empty: 0."""
+    at = np.searchsorted(found, np.arange(BINS, dtype=np.uint64) << np.uint64(59))
+    full = np.diff(np.append(at, len(found))) > 0
+    low = np.zeros(BINS, np.uint64)
+    low[full] = found[at[full]] & np.uint64(15)
+    return np.bitwise_or.reduce(low.reshape(2, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=1)
+
+
+def close(n: np.ndarray, s: np.ndarray, t: np.ndarray, to: tuple) -> np.ndarray:
+    """Which sets may be similar to the one with (size, sketch words) ``to``. A differing
+    nibble needs a shingle that only one has, and similar sets have (n + m) / 9 of these
+    at most."""
+    differ = np.zeros(len(n), np.int64)
+    for own, other in ((s, to[1]), (t, to[2])):
+        x = own ^ other
+        x |= x >> np.uint64(2)
+        differ += np.bitwise_count((x | x >> np.uint64(1)) & NIBBLES)
+    return (5 * np.minimum(n, to[0]) >= 4 * np.maximum(n, to[0])) & (differ <= np.minimum((n + to[0]) // 9, LOOSE))
+
+
+def marks(docs: DataFrame) -> DataFrame:
+    """doc_id, node (equal sets are one), n, sketch and the least n/5 + 1 hashes."""
+
+    def made(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            node, n, two, least = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                found = shingles(text)
+                node.append(name_of(found))
+                n.append(len(found))
+                two.append(sketch(found))
+                least.append(found[: len(found) // 5 + 1].tobytes())
+            s = np.array(two, np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(s[:, 0].copy()), pa.array(s[:, 1].copy()), pa.array(least, pa.binary())], ["doc_id", "node", "n", "s", "t", "least"])
+
+    return docs.select("doc_id", "text").mapInArrow(made, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n long, s long, t long, least binary")
+
+
+def forest(node: np.ndarray, n: np.ndarray, s: np.ndarray, t: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges of a spanning forest of the candidates of a bucket."""
+    node, first = np.unique(node, return_index=True)
+    n, s, t = n[first], s[first], t[first]
+    left = np.arange(len(node))
+    while len(left) > 1:
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            near = close(n[left], s[left], t[left], (n[x], s[x], t[x]))
+            if near.any():
+                found = left[near]
+                yield np.full(len(found), node[x]), node[found]
+                left = left[~near]
+                queue.extend(found)
+
+
+def candidates(marked: DataFrame) -> DataFrame:
+    """Edges (a, b) of nodes that connect all that may be similar: linear in a bucket's
+    size, never all pairs of it."""
+
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, CHUNK):
+                batch = whole.slice(at, CHUNK)
+                least = [np.frombuffer(x, np.int64) for x in batch.column("least").to_pylist()]
+                times = [len(x) for x in least]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(least)), *(pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), times)) for c in ("node", "n", "s", "t"))], ["h", "node", "n", "s", "t"])
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 5
+        for batch in _with_end(batches):
+            cols = held if batch is None else [np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False))) for h, c in zip(held, ("h", "node", "n", "s", "t"), strict=True)]
+            cuts = runs(cols[0])
+            heads = cuts if batch is None else cuts[:-1]
+            node, n, s, t = cols[1], cols[2], cols[3].view(np.uint64), cols[4].view(np.uint64)
+            long = np.diff(heads)
+            i = heads[:-1][long == 2]
+            i = i[(node[i] != node[i + 1]) & close(n[i], s[i], t[i], (n[i + 1], s[i + 1], t[i + 1]))]
+            pairs = [(node[i], node[i + 1])]
+            for j in np.flatnonzero(long > 2):
+                a, b = heads[j], heads[j + 1]
+                pairs += forest(node[a:b], n[a:b], s[a:b], t[a:b])
+            if sum(len(x) for x, _ in pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*pairs, strict=True)], ["a", "b"])
+            held = [c[heads[-1] :] for c in cols]
+
+    keys = marked.where("n > 0").select("node", "n", "s", "t", "least").mapInArrow(keyed, "h long, node long, n long, s long, t long")
+    return keys.repartition("h").sortWithinPartitions("h").mapInArrow(scan, "a long, b long")
+
+
+def _with_end(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch
+    yield None
+
+
+def exact_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Edges that connect all sets of similarity 0.8 or more: each found set is compared
+    only with those not yet reached."""
+    size = np.array([len(x) for x in sets])
+    ids, each = np.unique(np.concatenate(sets), return_inverse=True)
+    owner, own = np.repeat(np.arange(len(sets)), size), np.split(each, np.cumsum(size)[:-1])
+    flag, reached = np.zeros(len(ids), bool), np.zeros(len(sets), bool)
+    edges = []
+    for first in range(len(sets)):
+        if reached[first]:
+            continue
+        reached[first], queue = True, [first]
+        while queue and len(owner):
+            left = ~reached[owner]
+            owner, each = owner[left], each[left]
+            x = queue.pop()
+            flag[own[x]] = True
+            shared = np.bincount(owner[flag[each]], minlength=len(sets))
+            flag[own[x]] = False
+            found = np.flatnonzero((9 * shared >= 4 * (size + size[x])) & ~reached).tolist()
+            edges += [(x, y) for y in found]
+            reached[found] = True
+            queue += found
+    return edges
+
+
+def links(texts: DataFrame) -> DataFrame:
+    """Edges (a, b) between nodes of a cluster (columns root, node, text) by whole sets."""
+
+    def decided(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        root, held = None, {}
+        for batch in _with_end(batches):
+            edges: list[tuple[int, int]] = []
+            rows = [(None, None, None)] if batch is None else zip(*(batch.column(c).to_pylist() for c in ("root", "node", "text")), strict=True)
+            for r, node, text in rows:
+                if r != root:
+                    if len(held) > 1:
+                        names = list(held)
+                        edges += [(names[x], names[y]) for x, y in exact_forest(list(held.values()))]
+                    root, held = r, {}
+                if node is not None and node not in held and name_of(found := shingles(text)) == node:
+                    held[node] = found
+            if edges:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], ["a", "b"])
+
+    return texts.select("root", "node", "text").repartition("root").sortWithinPartitions("root").mapInArrow(decided, "a long, b long")
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """doc_id and ``component_id``: the smallest doc_id that links reach. Wordless texts
+    are equal."""
+    marked = written(marks(docs))
+    nodes = marked.groupBy("node").agg(F.min("doc_id").alias("first"))
+    clusters = written(components(candidates(marked))).withColumnRenamed("root", "cluster")
+    members = nodes.join(clusters, "node").select("node", F.col("cluster").alias("root"), F.col("first").alias("doc_id"))
+    # a doc_id may be repeated with another text, so a node is known by its own rows
+    texts = docs.select("doc_id", "text").join(members, "doc_id")
+    roots = written(components(links(texts)))
+    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return marked.select("doc_id", "node").join(rooted.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+
+
+def drop_similar(docs: DataFrame) -> DataFrame:
+    """One document of each group stays: the one with the smallest doc_id. Columns and
+    texts are as given; of repeated rows of that doc_id one stays. Rows without doc_id
+    pass."""
+    names, named = docs.columns, docs.where("doc_id is not null")
+    group = similar_components(named).where("doc_id = component_id").select("doc_id").distinct()
+    kept = named.join(group, "doc_id", "left_semi").select(*names)
+    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
