@@ -21,7 +21,7 @@ from .common import runs, written
 from .graph import components
 
 SEED, WIDTH, BINS = 42, 5, 32
-#: Nibbles that may differ. At similarity 0.8 more differ in a few of a million pairs
+#: Nibbles that may differ. At similarity 0.8 more differ in one of ten million pairs
 #: (binomial estimate).
 LOOSE = 19
 CHUNK = 500

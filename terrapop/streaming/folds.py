@@ -19,10 +19,12 @@ def work_dir(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def source(spark: SparkSession, sf_dir: str, table: str, files: int = 1) -> DataFrame:
-    """A stream of the table's files; the schema is the table's own."""
+def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A stream of the table's files; the schema is the table's own. All files that are
+    there come in one trigger: they are in no order of time, and a watermark that moved
+    between them would drop the rows of later ones."""
     path = f"{sf_dir}/{table}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(f"{path[:-1]}[t]")  # a pattern, as the table may be one file
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]")  # a pattern, as the table may be one file
 
 
 def drain(stream: DataFrame, mode: str) -> DataFrame:
