@@ -102,15 +102,19 @@ def union_coverage(boxes: DataFrame, target: tuple[float, float, float, float])
     return length.agg(F.round(100 * F.coalesce(F.sum(F.col("len") * (F.col("x2") - F.col("x"))), F.lit(0.0)) / ((e - w) * (n - s)), 6).alias("coverage_pct"))
 
 
-def disc_cells(points: DataFrame, x0: float, y0: float, step: float, radius_km: Column, rows: int, cols: int, touched_rule: bool = True) -> DataFrame:
+def disc_cells(points: DataFrame, x0: float, y0: float, step: float, radius_km: Column, rows: int | None, cols: int, touched_rule: bool = True) -> DataFrame:
     """(point_id, row_no, col_no) of cells within ``radius_km`` of a point (point_id, lon,
     lat): of the cell's nearest place (touched), else of its centre. Only cells in the
-    disc's box are looked at."""
+    disc's box are looked at. ``rows`` None: the grid has no last row."""
     km_lat = 111.19492664455873
     dlat, dlon = radius_km / km_lat, radius_km / (km_lat * F.cos(F.radians("lat")))
     r0, r1 = F.floor((y0 - F.col("lat") - dlat) / step), F.floor((y0 - F.col("lat") + dlat) / step)
     c0, c1 = F.floor((F.col("lon") - dlon - x0) / step), F.floor((F.col("lon") + dlon - x0) / step)
-    box = points.withColumn("_r", radius_km).where(F.col("_r").isNotNull()).withColumn("row_no", F.explode(F.sequence(F.greatest(r0, F.lit(0)), F.greatest(F.lit(0), F.least(r1, F.lit(rows - 1)))))).withColumn("col_no", F.explode(F.sequence(F.greatest(c0, F.lit(0)), F.greatest(F.lit(0), F.least(c1, F.lit(cols - 1))))))
+    r0, c0, c1 = F.greatest(r0, F.lit(0)), F.greatest(c0, F.lit(0)), F.least(c1, F.lit(cols - 1))
+    r1 = r1 if rows is None else F.least(r1, F.lit(rows - 1))
+    none = F.array().cast("array<bigint>")
+    span = lambda lo, hi: F.explode(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(none))
+    box = points.withColumn("_r", radius_km).where(F.col("_r").isNotNull()).withColumn("row_no", span(r0, r1)).withColumn("col_no", span(c0, c1))
     left, top = x0 + F.col("col_no") * step, y0 - F.col("row_no") * step
     if touched_rule:
         near_lon, near_lat = F.least(F.greatest(F.col("lon"), left), left + step), F.greatest(F.least(F.col("lat"), top), top - step)

@@ -158,7 +158,7 @@ def swath_cells(fx: Fixtures) -> DataFrame:
     steps = tracks.interpolated(tracks.next_observation(fx.track_points))
     reach = F.greatest(*[F.col(q) for q in tracks.QUADRANTS]) * S.NM_TO_KM
     points = steps.withColumn("point_id", F.struct("sid", "event_id", "step", *tracks.QUADRANTS, F.col("lon").alias("plon"), F.col("lat").alias("plat")))
-    near = grid.disc_cells(points, 30.0, 20.0, 0.1, reach, 30, 50, touched_rule=False).select("point_id.*", "row_no", "col_no")
+    near = grid.disc_cells(points, 30.0, 20.0, 0.1, reach, None, 50, touched_rule=False).select("point_id.*", "row_no", "col_no")
     inside = tracks.in_quadrant_swath(30 + (F.col("col_no") + 0.5) * 0.1, 20 - (F.col("row_no") + 0.5) * 0.1, F.col("plon"), F.col("plat"))
     return near.where(inside).select("sid", "row_no", "col_no").distinct()
 
