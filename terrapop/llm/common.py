@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 #: Spark's own setting: shuffle files of an execution go when it ends.
@@ -21,11 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary folder is
-    made and set.
+    Where the session names none, a session on one machine (master ``local``) gets a
+    temporary folder; on a cluster executors would each write to their own disk, so that
+    is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = f"file://{tempfile.mkdtemp(prefix='terrapop-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -43,7 +48,34 @@ def written(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``written`` returned and nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(df.written_path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def column(name: str) -> Column:
+    """A column by its plain name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def schema_of(df: DataFrame, keep: tuple[str, ...], added: str) -> StructType:
+    """The fields ``keep`` of ``df`` and those of the DDL text ``added``."""
+    kept = [StructField(c, df.schema[c].dataType, True) for c in keep]
+    return StructType(kept + StructType.fromDDL(added).fields)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name_1``, ``name_2`` ... that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    return next(x for x in (name, *(f"{name}_{k}" for k in range(1, len(taken) + 2))) if x.lower() not in taken)
 
 
 def crc_mod(column: str, modulus: int) -> Column:

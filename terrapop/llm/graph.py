@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import release, written
 
 
 def _mins(pairs: DataFrame) -> DataFrame:
@@ -35,7 +35,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if state == seen or state[0] == 0:
             break
         seen = state
-        now = written(_small_star(_large_star(now)))
+        before, now = now, written(_small_star(_large_star(now)))
+        release(before)
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
