@@ -1,9 +1,10 @@
 """Operator 8: line deduplication by a deletion-neighbourhood join, in native Spark only.
 
-Lines are compared by words. Equal lines share a hash. Lines within one word of each other
-(one changed, left out or put in) share a deletion variant: the line without its i-th
-word. Lines that can have such a partner at all agree on their first or last half, which
-a count of half-line keys tells before any variant is made.
+Lines are compared by words. Equal lines share a hash. The edit bound follows the length:
+one word for each ``words_per_edit`` words of the longer line, up to ``edits`` = 1. Lines
+within one word of each other (one changed, left out or put in) share a deletion variant:
+the line without its i-th word. Lines that can have such a partner at all agree on their
+first or last half, which a count of half-line keys tells before any variant is made.
 """
 
 from __future__ import annotations
@@ -13,16 +14,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import column, fresh, release, written
 
 
 @dataclass(frozen=True)
 class LineConfig:
-    """Lines of fewer than ``fuzzy_words`` words are removed only as equal lines: one word
-    is too large a share of them to be an edit. ``filter_bits`` is the size of the bit map
-    that spares moving the texts of other lines."""
+    """Two lines are near if they differ by at most one word in ``words_per_edit`` of the
+    longer one (a similarity of 0.8 or more at 5), and by one word in all. ``filter_bits``
+    is the size of the bit map that spares moving the texts of other lines."""
 
-    fuzzy_words: int = 8
+    words_per_edit: int = 5
     filter_bits: int = 1 << 23
 
 
@@ -78,26 +79,28 @@ def bit_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
 def removed_lines(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
     """(doc_id, pos, h1) of the lines that an earlier line makes superfluous.
 
-    Earlier is the smaller (doc_id, pos). A line goes if an earlier one is equal, or within
-    one word of it and both have ``fuzzy_words`` or more. Texts are moved only for lines
-    that share a half with another.
+    Earlier is the smaller (doc_id, pos). A line goes if an earlier one is equal or lies
+    within the edit bound of the longer of the two. Texts are moved only for lines that
+    share a half with another.
     """
     seen = numbered_lines(docs).withColumns({"k": line_key(F.col("line")), "at": F.struct("doc_id", "pos")})
     counted = seen.withColumn("n", word_count(F.col("line")))
-    halves_of = F.when(F.col("n") >= cfg.fuzzy_words, half_keys(F.col("line"), F.col("n")))
+    # a line one word short of the bound can still meet a longer one
+    halves_of = F.when(F.col("n") >= cfg.words_per_edit - 1, half_keys(F.col("line"), F.col("n")))
     first = written(counted.withColumn("halves", halves_of).groupBy("k.h1", "k.h2").agg(F.min("at").alias("first"), F.count("*").alias("copies"), F.any_value("halves").alias("halves")))
 
     halves = first.where("halves is not null").select(F.col("h1").alias("id"), F.explode("halves").alias("key"))
     shared = halves.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
     left = F.col("key").bitwiseAND(1) == 1
     sides = halves.join(shared, "key", "left_semi").groupBy("id").agg(F.bool_or(left).alias("from_left"), F.bool_or(~left).alias("from_right"))
-    able = written(first.withColumn("id", F.col("h1")).join(sides, "id").select("id", "first.doc_id", "first.pos", "from_left", "from_right"))
+    sided = written(first.withColumn("id", F.col("h1")).join(sides, "id").select("id", "first.doc_id", "first.pos", "from_left", "from_right"))
 
     word = (F.shiftright(F.pmod("k.h1", F.lit(cfg.filter_bits)), 6) + 1).cast("int")
-    hit = F.getbit(F.element_at(bit_filter(able, "id", cfg.filter_bits).scalar(), word), F.pmod("k.h1", F.lit(64)).cast("int")) == 1
+    hit = F.getbit(F.element_at(bit_filter(sided, "id", cfg.filter_bits).scalar(), word), F.pmod("k.h1", F.lit(64)).cast("int")) == 1
     maybe = seen.where(hit).select("doc_id", "pos", F.trim("line").alias("line"))
-    able = written(maybe.join(able, ["doc_id", "pos"]).select(F.struct("doc_id", "pos").alias("at"), words(F.col("line")).alias("w"), "from_left", "from_right"))
+    able = written(maybe.join(sided, ["doc_id", "pos"]).select(F.struct("doc_id", "pos").alias("at"), words(F.col("line")).alias("w"), "from_left", "from_right"))
 
+    release(sided)
     n = F.size("w")
     low = F.when(F.col("from_right"), F.lit(1)).otherwise(F.floor((n - 1) / 2).cast("int") + 1)
     high = F.when(F.col("from_left"), n).otherwise(F.floor(n / 2).cast("int") + 1)
@@ -121,32 +124,37 @@ def removed_lines(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
         .when(n2 == n1 + 1, without(w2, n2, i) == w1)
         .otherwise(False)
     )
-    near = checked.where(within).select("at").distinct()
+    near = checked.where(within & (F.greatest(n1, n2) >= cfg.words_per_edit)).select("at").distinct()
 
     again = first.where("copies > 1").select("h1", "h2", F.col("first").alias("kept_at"))
     copies = seen.select("k.h1", "k.h2", "at").join(again, ["h1", "h2"]).where("at > kept_at").select("at.doc_id", "at.pos", "h1")
     return copies.unionByName(near.join(first.select(F.col("first").alias("at"), "h1"), "at").select("at.doc_id", "at.pos", "h1"))
 
 
-def dedup_lines(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
-    """``docs`` without superfluous lines, with the count of them as ``lines_removed``.
+def dedup_lines(docs: DataFrame, cfg: LineConfig = LineConfig(), count: str | None = "lines_removed") -> DataFrame:
+    """``docs`` without superfluous lines, with the number of them in a column ``count``
+    (none: no such column; one of that name in ``docs`` is replaced).
 
     Other columns stay as given, ``n_chars`` excepted, which follows the text. Blank lines
     stay. A text whose lines all go is empty, a null text null; rows without doc_id pass
     untouched. Rows that repeat a doc_id count as one document: lines at one place don't
-    make each other superfluous. A very long text is split and joined in its row.
+    make each other superfluous. A very long text is split and joined in its row, in time
+    proportional to its lines.
     """
-    gone = removed_lines(docs, cfg).groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h1")).alias("_gone"))
-    names = [c for c in docs.columns if c != "lines_removed"]
+    gone, places, left = fresh(docs, "gone_lines"), fresh(docs, "gone_places"), fresh(docs, "left_over")
+    found = removed_lines(docs, cfg).groupBy("doc_id").agg(F.collect_list(F.struct("pos", "h1")).alias(gone))
     lines = F.split("text", "\n")
-    stays = lambda x, i: ~F.array_contains("_gone", F.struct(i.alias("pos"), F.xxhash64(F.trim(x)).alias("h1")))
-    kept = F.filter(lines, stays)
-    joined = docs.join(gone, "doc_id", "left")
-    hit = F.col("_gone").isNotNull() & F.col("text").isNotNull()
-    text = F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    out = joined.withColumn("_text", text).withColumn("lines_removed", F.when(hit, F.size(lines) - F.size(kept)).otherwise(0))
-    swap = {"text": F.col("_text").alias("text"), "n_chars": F.length("_text").cast("long").alias("n_chars")}
-    return out.select(*[swap.get(c, F.col(f"`{c}`")) for c in names], "lines_removed")
+    # The split is bound to a name once: an array of one array. A place counts only if the
+    # line there is the one meant, as rows may repeat a doc_id with other texts.
+    own = F.flatten(F.transform(F.array(lines), lambda x: F.transform(F.filter(gone, lambda g: F.xxhash64(F.trim(F.get(x, g["pos"]))) == g["h1"]), lambda g: g["pos"])))
+    hit = F.col(gone).isNotNull() & F.col("text").isNotNull()
+    joined = docs.join(found, "doc_id", "left").withColumn(places, F.when(hit, F.array_distinct(own)))
+    every = F.sequence(F.lit(0), F.size(lines) - 1)
+    kept = F.flatten(F.transform(F.array(lines), lambda x: F.transform(F.array_except(every, places), lambda i: F.get(x, i))))
+    out = joined.withColumn(left, F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text")))
+    swap = {"text": F.col(left).alias("text"), "n_chars": F.length(left).cast("long").alias("n_chars")}
+    removed = [] if count is None else [F.when(F.col(places).isNull(), F.lit(0)).otherwise(F.size(places)).alias(count)]
+    return out.select(*[swap.get(c, column(c)) for c in docs.columns if c != count], *removed)
 
 
 def op8_line_dedup(docs: DataFrame) -> DataFrame:
