@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import column, crc_mod, schema_of
 
 LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that count as text: ASCII letters and all of multi-byte characters.
@@ -28,10 +28,13 @@ _FOLD = np.where(_KEEP, np.arange(256), 32).astype(np.uint32)
 
 @dataclass(frozen=True)
 class LanguageConfig:
-    """``sample_rows`` bounds the labelled rows that the classifier is fitted on."""
+    """``sample_rows`` bounds the labelled rows that the classifier is fitted on, shared
+    out evenly among the languages; each language has ``least_rows`` of them at least (all
+    its rows, if fewer), however many languages there are."""
 
     dims: int = 4096
     sample_rows: int = 4000
+    least_rows: int = 20
     clusters: int = 4
     rounds: int = 8
     reject_quantile: float = 0.002
@@ -99,12 +102,14 @@ def clustered(rows: np.ndarray, k: int, rounds: int) -> np.ndarray:
 def training_sample(docs: DataFrame, train: Column, cfg: LanguageConfig) -> pd.DataFrame:
     """A bounded random sample of training rows, about the same for each language."""
     fit = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in fit.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(cfg.sample_rows // 20).collect()}
-    if not sizes:
+    sizes = fit.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = sizes.count()
+    if not languages:
         return pd.DataFrame({"lang": [], "counts": []})
-    each = cfg.sample_rows // len(sizes)
-    share = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(1.0, each / n))) for lang, n in sizes.items()], F.lit(0.0))
-    picked = fit.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language")), F.lit(1 << 20)) < share * (1 << 20))
+    each = max(cfg.least_rows, cfg.sample_rows // languages)
+    shares = sizes.select(F.col("lang").alias("of"), F.least(F.lit(1.0), F.lit(float(each)) / F.col("n")).alias("share"))
+    at = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language")), F.lit(1 << 20))
+    picked = fit.select("lang", "text", at.alias("at")).join(shares, F.col("lang") == F.col("of")).where(F.col("at") < F.col("share") * (1 << 20))
 
     def featurise(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -114,7 +119,7 @@ def training_sample(docs: DataFrame, train: Column, cfg: LanguageConfig) -> pd.D
             out = pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(counts, pa.binary())], ["lang", "counts"])
             yield out.filter(pa.array(lettered, pa.bool_()))
 
-    rows = picked.select("lang", "text").mapInArrow(featurise, "lang string, counts binary").limit(2 * cfg.sample_rows)
+    rows = picked.select("lang", "text").mapInArrow(featurise, "lang string, counts binary")
     return rows.toArrow().to_pandas()
 
 
@@ -171,9 +176,8 @@ def identify_language(docs: DataFrame, train: Column, cfg: LanguageConfig = Lang
             kept = [batch.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays([*kept, *added.values()], [*keep, *added])
 
-    chosen = docs.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name in keep)
-    return chosen.mapInArrow(predict, f"{schema}, lang_pred string, score double, similarity double, rejected boolean")
+    chosen = docs.select(*map(column, keep), "text")
+    return chosen.mapInArrow(predict, schema_of(chosen, keep, "lang_pred string, score double, similarity double, rejected boolean"))
 
 
 def op7_language_id(docs: DataFrame) -> DataFrame:
