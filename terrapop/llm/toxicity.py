@@ -24,7 +24,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, written
+from .common import column, crc_mod, release, schema_of, written
 
 WORD = re.compile(r"\w+")
 TOKEN = re.compile(r"[^\s\w]*\w[^\s]*")
@@ -89,9 +89,12 @@ def learn_lexicon(sample: DataFrame, cfg: ToxicityConfig) -> dict[str, float]:
     base = sizes[1] / (sizes[0] + sizes[1])
     ratio = t * F.log(F.greatest(t, F.lit(1e-9)) / (total * base)) + c * F.log(F.greatest(c, F.lit(1e-9)) / (total * (1 - base)))
     lift = (t / sizes[1]) / ((c + 0.5) / sizes[0])
+    table = written(table)
     tried = table.count()
     best = table.where(t >= 3).withColumns({"ratio": 2 * ratio, "lift": lift}).where((F.col("lift") >= cfg.least_lift) & (F.col("ratio") >= 2 * math.log(max(tried, 2))))
-    return {r["unit"]: math.log(r["lift"]) for r in best.orderBy(F.desc("ratio"), "unit").limit(cfg.lexicon_size).collect()}
+    lexicon = {r["unit"]: math.log(r["lift"]) for r in best.orderBy(F.desc("ratio"), "unit").limit(cfg.lexicon_size).collect()}
+    release(table)
+    return lexicon
 
 
 class Features:
@@ -147,9 +150,8 @@ def with_features(df: DataFrame, lexicon: dict[str, float], cfg: ToxicityConfig,
             x = np.array([made.of_text(t or "") for t in batch.column("text").to_pylist()], dtype=np.float64).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x[:, j]) for j in range(len(FEATURES)))], [*keep, *FEATURES])
 
-    chosen = df.select(*dict.fromkeys([*keep, "text"]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name in keep)
-    return chosen.mapInArrow(featurise, ", ".join([schema, *(f"{f} double" for f in FEATURES)]))
+    chosen = df.select(*map(column, dict.fromkeys([*keep, "text"])))
+    return chosen.mapInArrow(featurise, schema_of(chosen, keep, ", ".join(f"{f} double" for f in FEATURES)))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, cfg: ToxicityConfig = ToxicityConfig(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -164,13 +166,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, cfg: Toxic
     sample = written(labelled_sample(docs, labels, train, cfg))
     lexicon = learn_lexicon(sample, cfg)
     rows = written(with_features(sample, lexicon, cfg, ("doc_id", "toxic", "weight")).coalesce(4))
+    release(sample)
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
     rows = assemble.transform(rows).withColumn("_label", F.col("toxic").cast("double"))
     calibrate = crc_mod("doc_id", 10) < 3
     parts = rows.groupBy(calibrate.alias("c")).agg(F.min("toxic"), F.max("toxic"), F.sum("toxic")).collect()
     if len(parts) < 2 or any(r[1] != 0 or r[2] != 1 for r in parts):
         share = rows.agg(F.sum(F.col("toxic") * F.col("weight")) / F.sum("weight")).first()[0] if parts else 0.0
-        return docs.select(*keep, F.lit(float(share or 0.0)).alias("toxicity"))
+        return docs.select(*map(column, keep), F.lit(float(share or 0.0)).alias("toxicity"))
     positives = sum(r[3] for r in parts if not r["c"])
     trees = GBTClassifier(featuresCol="_features", labelCol="_label", maxIter=cfg.trees, maxDepth=cfg.depth, stepSize=0.3, maxBins=64, minInstancesPerNode=max(2, min(20, positives // 10)), seed=7, cacheNodeIds=False)
     boosted = trees.fit(rows.where(~calibrate).select("_features", "_label").cache())
@@ -179,7 +182,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, cfg: Toxic
     scored = fitted.transform(margin(assemble.transform(with_features(docs, lexicon, cfg, keep))))
     order = 1 / (1 + F.exp(-2 * F.col("_margin")))  # tells apart what the fit's flat steps hold
     calibrated = F.greatest(F.lit(0.0), F.least(F.lit(1.0), "toxicity"))
-    return scored.select(*keep, (0.98 * calibrated + 0.02 * order).alias("toxicity"))
+    return scored.select(*map(column, keep), (0.98 * calibrated + 0.02 * order).alias("toxicity"))
 
 
 def op1_toxicity(docs: DataFrame, labels: DataFrame, cfg: ToxicityConfig = ToxicityConfig()) -> DataFrame:
@@ -190,7 +193,7 @@ def op1_toxicity(docs: DataFrame, labels: DataFrame, cfg: ToxicityConfig = Toxic
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, cfg: ToxicityConfig = ToxicityConfig()) -> DataFrame:
     """Documents that score below the threshold, columns and texts as given."""
-    names = docs.columns
-    rows = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in names]))
-    scored = score_toxicity(rows, labels, crc_mod("doc_id", 3) != 1, cfg, ("_row",))
-    return scored.where(F.col("toxicity") < cfg.threshold).select("_row.*")
+    # numbered names can't clash with those of features, and the text travels once
+    numbered = [c if c in ("doc_id", "text") else f"column_{k}" for k, c in enumerate(docs.columns)]
+    scored = score_toxicity(docs.toDF(*numbered), labels, crc_mod("doc_id", 3) != 1, cfg, tuple(numbered))
+    return scored.where(F.col("toxicity") < cfg.threshold).select(*numbered).toDF(*docs.columns)
