@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import column, schema_of, written
 
 
 @dataclass(frozen=True)
@@ -57,9 +57,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        if max(vocabulary.values()) > 0xFFFF:
-            raise ValueError("ids must fit 16 bits")
-        self.closes = np.zeros(65536, dtype=bool)
+        most = max(vocabulary.values())
+        self.kind = np.uint16 if most <= 0xFFFF else np.uint32
+        self.closes = np.zeros(most + 1, dtype=bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.plain = re.compile(f"({self.MARKS})([{self.LETTERS}]+)({self.MARKS})")
         self.limit = limit
@@ -67,12 +67,12 @@ class WordEncoder:
         self.pieces: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint16).tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def _learn_pieces(self, pieces: list[str]) -> None:
         for lo in range(0, len(pieces), 500):
             some = pieces[lo : lo + 500]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype=np.uint16)
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype=self.kind)
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(some) and len(ids) == ends[-1]:
                 self.pieces.update(zip(some, (a.tobytes() for a in np.split(ids, ends[:-1])), strict=True))
@@ -95,12 +95,12 @@ class WordEncoder:
             self.known[w] = pieces[m[1]] + pieces[m[2].lower()] + pieces[m[3]] if m else self._ids(w.decode())
 
     def encode(self, texts: list[str], group: int = 256) -> Iterator[np.ndarray]:
-        """Ids of each text, as unsigned 16-bit integers."""
+        """Ids of each text, as unsigned integers of 16 bits, or 32 for large vocabularies."""
         for lo in range(0, len(texts), group):
             split = [t.encode().split() for t in texts[lo : lo + group]]
             self.learn(set().union(*split))
             for words in split:
-                yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=np.uint16)
+                yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=self.kind)
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
@@ -163,7 +163,7 @@ def token_pieces(docs: DataFrame, cfg: PackConfig, keep: tuple[str, ...], with_i
             texts = [t or "" for t in batch.column("text").to_pylist()]
             row, start, length, crc, total, ids = [], [], [], [], [], []
             for r, found in enumerate(words.encode(texts)):
-                own = np.append(found, np.uint16(cfg.end_id)).astype("<u4")
+                own = np.append(found, found.dtype.type(cfg.end_id)).astype("<u4")
                 whole = len(own) // cfg.capacity * cfg.capacity
                 bounds = [*range(0, whole, cfg.capacity), *range(whole, len(own), cfg.cut), len(own)]
                 for a, b in zip(bounds, bounds[1:], strict=False):
@@ -180,9 +180,8 @@ def token_pieces(docs: DataFrame, cfg: PackConfig, keep: tuple[str, ...], with_i
             key += len(row)
             yield pa.RecordBatch.from_arrays([*kept, *made, *[pa.array(ids, pa.list_(pa.int32()))] * with_ids], names)
 
-    chosen = docs.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name in keep)
-    return chosen.mapInArrow(cut, f"{schema}, {PIECE}" + ", ids array<int>" * with_ids)
+    chosen = docs.select(*map(column, keep), "text")
+    return chosen.mapInArrow(cut, schema_of(chosen, keep, PIECE + ", ids array<int>" * with_ids))
 
 
 def pack_documents(docs: DataFrame, cfg: PackConfig, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
@@ -211,7 +210,6 @@ def pack_documents(docs: DataFrame, cfg: PackConfig, keep: tuple[str, ...] = ("d
         return block.assign(sequence_id=sequence, offset=offset).drop(columns="block")
 
     dealt = pieces.where(rest).withColumn("block", F.pmod(F.xxhash64("piece_key"), F.lit(blocks)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    balanced = dealt.groupBy("block").applyInPandas(balance, f"{schema}, sequence_id long, offset long")
+    balanced = dealt.groupBy("block").applyInPandas(balance, schema_of(pieces, tuple(pieces.columns), "sequence_id long, offset long"))
     whole = pieces.where(~rest).withColumn("sequence_id", F.lit(1 << 62) + F.col("piece_key")).withColumn("offset", F.lit(0).cast("long"))
-    return balanced.select(*columns).unionByName(whole.select(*columns))
+    return balanced.select(*map(column, columns)).unionByName(whole.select(*map(column, columns)))

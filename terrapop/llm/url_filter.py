@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import column, schema_of
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -165,6 +167,5 @@ def judge_urls(
             added = {"rule": pa.array(names[which], pa.string()), "verdict": pa.array(verdict, pa.string())}
             yield pa.RecordBatch.from_arrays([*batch.columns, *added.values()], [*batch.schema.names, *added])
 
-    parsed = with_host_path(pages.select(*dict.fromkeys([*keep, url])), url).select(*keep, "host", "path")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parsed.schema)
-    return parsed.mapInArrow(judge, f"{schema}, rule string, verdict string")
+    parsed = with_host_path(pages.select(*map(column, dict.fromkeys([*keep, url]))), url).select(*map(column, keep), "host", "path")
+    return parsed.mapInArrow(judge, schema_of(parsed, (*keep, "host", "path"), "rule string, verdict string"))
