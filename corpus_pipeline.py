@@ -15,7 +15,7 @@ from terrapop.llm.common import table, written
 from terrapop.llm.decontam import drop_contaminated
 from terrapop.llm.line_dedup import dedup_lines
 from terrapop.llm.packing import PackConfig, pack_documents
-from terrapop.llm.shingle_dedup import drop_similar
+from terrapop.llm.simhash import drop_near_duplicates
 from terrapop.llm.toxicity import drop_toxic
 
 #: Words that a worker remembers: few, as the same workers serve all stages.
@@ -29,13 +29,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines equal to, or within one word of, an earlier line go; all documents stay."""
-    return dedup_lines(docs).drop("lines_removed")
+    """Lines equal to an earlier line, or within the edit bound of it, go; all documents
+    stay, and all their columns."""
+    return dedup_lines(docs, count=None)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, 0.8) stays."""
-    return drop_similar(docs)
+    return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,19 @@
 """Operator 9: SimHash near-duplicates by pigeonring filtering.
 
-Two 64-bit fingerprints at distance 3 or less, seen as a ring of eight 8-bit segments,
-have a start segment from which every chain of l consecutive segments differs in at most
-3 l / 8 bits. The chain of five then has its first two segments equal and at most one bit
-of difference among the other three. Fingerprints that agree on four of the five
-segments of some chain are candidates; the chain's budget and the whole distance follow.
+Two fingerprints at a distance of T bits or less, seen as a ring of m segments, have a
+start segment from which every chain of l consecutive segments differs in at most l T / m
+bits. Chains that break this budget prune a pair before its whole distance is counted.
+
+Two uses. ``links`` joins all 64-bit fingerprints at 3 or fewer differing bits: of eight
+8-bit segments the chain of five then has its first two equal and at most one bit of
+difference among the other three, so fingerprints that agree on four of the five segments
+of some chain are candidates. ``drop_near_duplicates`` links documents whose sets of
+five-word shingles have a Jaccard similarity of 0.8 or more. At that similarity about 15 %
+of a SimHash's bits differ, so its fingerprints have 256 bits in a ring of sixteen
+segments, 80 may differ, and segments alone can't be keys: with 5 bits of 16 free nearly
+all pairs share one. Candidates meet by a shared shingle of the n/5 + 1 least-hashed ones
+of either, which no pair of that similarity lacks; chains and distance prune them, and
+the whole sets decide.
 """
 
 from __future__ import annotations
@@ -17,26 +26,44 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs, written
+from .common import column, release, runs, schema_of, written
 from .graph import components
 
 SEED, BITS, SEGMENTS = 42, 64, 8
+#: Of the fingerprints of documents: words of 64 bits, segments of 16 bits, and the bits
+#: that may differ in all. At similarity 0.8 more differ in fewer than one pair of a
+#: million (binomial estimate: 5 standard deviations, for the shortest texts too).
+WIDE, RING, LOOSE = 4, 16, 80
+WIDTH, CHUNK = 5, 500
 
 
-def fingerprint(text: str | None, width: int = 3) -> int:
-    """SimHash of the ``width``-word shingles of a whole text, words split at ASCII white
-    space and A-Z lower-cased; no words: 0. Unsigned."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """XXH64 of each ``width``-word shingle of a whole text in turn, words split at ASCII
+    white space and A-Z lower-cased; a shorter text is one shingle, no words: none."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-1])).tolist()
     last = (ends - 1).tolist()[min(width, len(words)) - 1 :]
-    digest = xxhash.xxh64_digest
-    hashes = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, last, strict=False)])
-    bits = np.unpackbits(np.frombuffer(hashes, dtype=np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * bits > len(last)).tobytes(), "big")
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, last, strict=False)], np.uint64)
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes (a row each, of some words) have each bit, highest first."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(len(hashes), -1), axis=1)
+    whole = len(bits) // 255 * 255
+    # sums of 255 bits fit a byte
+    counts = bits[:whole].reshape(-1, 255, bits.shape[1]).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+    return counts + bits[whole:].sum(axis=0, dtype=np.uint8)
+
+
+def fingerprint(text: str | None, width: int = 3) -> int:
+    """SimHash of the ``width``-word shingles of a whole text; no words: 0. Unsigned."""
+    hashes = shingle_hashes(text, width)
+    return int.from_bytes(np.packbits(2 * bit_counts(hashes.reshape(-1, 1)) > len(hashes)).tobytes(), "big") if len(hashes) else 0
 
 
 def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: int = 3) -> DataFrame:
@@ -47,9 +74,8 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: in
             fps = np.array([fingerprint(t, width) for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(fps)], [*keep, "fp"])
 
-    chosen = docs.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name in keep)
-    return chosen.mapInArrow(hashed, f"{schema}, fp long")
+    chosen = docs.select(*map(column, keep), "text")
+    return chosen.mapInArrow(hashed, schema_of(chosen, keep, "fp long"))
 
 
 def chain_masks() -> list[tuple[np.uint64, np.uint64]]:
@@ -146,7 +172,7 @@ def near_duplicate_components(docs: DataFrame, keep: tuple[str, ...] = ("doc_id"
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select(*keep, "fp", "component_id")
+    return prints.join(labels, "fp").select(*map(column, keep), "fp", "component_id")
 
 
 def op9_simhash(docs: DataFrame) -> DataFrame:
@@ -154,11 +180,199 @@ def op9_simhash(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+# Documents by exact similarity
+
+
+def name_of(found: np.ndarray) -> int:
+    """One signed number for equal sets."""
+    return xxhash.xxh3_64_intdigest(found.tobytes(), SEED) - 2**63
+
+
+def wide_fingerprint(found: np.ndarray) -> np.ndarray:
+    """SimHash of a set of shingles, of ``WIDE`` words; no shingles: 0."""
+    if not len(found):
+        return np.zeros(WIDE, np.uint64)
+    mixed = found[:, None] * np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+    mixed[:, 1:] ^= mixed[:, 1:] >> np.uint64(32)
+    mixed[:, 1:] *= np.uint64(0xFF51AFD7ED558CCD)
+    mixed[:, 1:] ^= mixed[:, 1:] >> np.uint64(33)
+    return np.packbits(2 * bit_counts(mixed) > len(found)).view(">u8").astype(np.uint64)
+
+
+def in_budget(fps: np.ndarray, to: np.ndarray, chain: int = 3) -> np.ndarray:
+    """Which of the wide fingerprints keep the ring's budgets to ``to``: from some segment
+    all chains of up to ``chain`` segments stay within their share, and then the whole
+    distance within ``LOOSE``."""
+    x = fps ^ to
+    apart = np.bitwise_count(x.view(np.uint16)).astype(np.int16)  # a column for each of the RING segments
+    share, good, cumulative = LOOSE // RING, np.ones(apart.shape, bool), np.zeros(apart.shape, np.int16)
+    for step in range(chain):
+        cumulative += np.roll(apart, -step, axis=1)
+        good &= cumulative <= share * (step + 1)
+    near = good.any(axis=1)
+    near[near] = apart[near].sum(axis=1) <= LOOSE
+    return near
+
+
+def close(n: np.ndarray, fps: np.ndarray, size: int, to: np.ndarray) -> np.ndarray:
+    """Which sets of sizes ``n`` may be similar to the one of ``size``."""
+    near = 5 * np.minimum(n, size) >= 4 * np.maximum(n, size)
+    near[near] = in_budget(fps[near], to)
+    return near
+
+
+FINGERPRINT = ", ".join(f"f{k} long" for k in range(WIDE))
+
+
+def marks(docs: DataFrame) -> DataFrame:
+    """doc_id, node (equal sets are one), n, fingerprint and the least n/5 + 1 hashes."""
+
+    def made(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            node, n, fps, least = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                found = np.unique(shingle_hashes(text, WIDTH))
+                node.append(name_of(found))
+                n.append(len(found))
+                fps.append(wide_fingerprint(found))
+                least.append(found[: len(found) // 5 + 1].tobytes())
+            words = np.array(fps, np.uint64).reshape(-1, WIDE).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), *(pa.array(words[:, k].copy()) for k in range(WIDE)), pa.array(least, pa.binary())], ["doc_id", "node", "n", *(f"f{k}" for k in range(WIDE)), "least"])
+
+    chosen = docs.select("doc_id", "text")
+    return chosen.mapInArrow(made, schema_of(chosen, ("doc_id",), f"node long, n long, {FINGERPRINT}, least binary"))
+
+
+def similar_forest(node: np.ndarray, n: np.ndarray, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges of a spanning forest of the candidates of a bucket."""
+    node, first = np.unique(node, return_index=True)
+    n, fps = n[first], fps[first]
+    left = np.arange(len(node))
+    while len(left) > 1:
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            near = close(n[left], fps[left], n[x], fps[x])
+            if near.any():
+                found = left[near]
+                yield np.full(len(found), node[x]), node[found]
+                left = left[~near]
+                queue.extend(found)
+
+
+def candidates(marked: DataFrame) -> DataFrame:
+    """Edges (a, b) of nodes that connect all that may be similar: linear in a bucket's
+    size where its members are alike, never all pairs of it."""
+    names = ["h", "node", "n", *(f"f{k}" for k in range(WIDE))]
+
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, CHUNK):
+                batch = whole.slice(at, CHUNK)
+                least = [np.frombuffer(x, np.int64) for x in batch.column("least").to_pylist()]
+                times = [len(x) for x in least]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(least)), *(pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), times)) for c in names[1:])], names)
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * len(names)
+        for batch in _filled(batches):
+            cols = held if batch is None else [np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False))) for h, c in zip(held, names, strict=True)]
+            cuts = runs(cols[0])
+            heads = cuts if batch is None else cuts[:-1]
+            node, n, fps = cols[1], cols[2], np.stack(cols[3:], axis=1).view(np.uint64)
+            long = np.diff(heads)
+            i = heads[:-1][long == 2]
+            i = i[node[i] != node[i + 1]]
+            i = i[5 * np.minimum(n[i], n[i + 1]) >= 4 * np.maximum(n[i], n[i + 1])]
+            i = i[in_budget(fps[i], fps[i + 1])]
+            pairs = [(node[i], node[i + 1])]
+            for j in np.flatnonzero(long > 2):
+                a, b = heads[j], heads[j + 1]
+                pairs += similar_forest(node[a:b], n[a:b], fps[a:b])
+            if sum(len(x) for x, _ in pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*pairs, strict=True)], ["a", "b"])
+            held = [c[heads[-1] :] for c in cols]
+
+    keys = marked.where("n > 0").select(*names[1:], "least").mapInArrow(keyed, f"h long, node long, n long, {FINGERPRINT}")
+    return keys.repartition("h").sortWithinPartitions("h").mapInArrow(scan, "a long, b long")
+
+
+def _filled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch
+    yield None
+
+
+def exact_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Edges that connect all sets of similarity 0.8 or more: each found set is compared
+    only with those not yet reached."""
+    size = np.array([len(x) for x in sets])
+    ids, each = np.unique(np.concatenate(sets), return_inverse=True)
+    owner, own = np.repeat(np.arange(len(sets)), size), np.split(each, np.cumsum(size)[:-1])
+    flag, reached = np.zeros(len(ids), bool), np.zeros(len(sets), bool)
+    edges = []
+    for first in range(len(sets)):
+        if reached[first]:
+            continue
+        reached[first], queue = True, [first]
+        while queue and len(owner):
+            left = ~reached[owner]
+            owner, each = owner[left], each[left]
+            x = queue.pop()
+            flag[own[x]] = True
+            shared = np.bincount(owner[flag[each]], minlength=len(sets))
+            flag[own[x]] = False
+            found = np.flatnonzero((9 * shared >= 4 * (size + size[x])) & ~reached).tolist()
+            edges += [(x, y) for y in found]
+            reached[found] = True
+            queue += found
+    return edges
+
+
+def similar_links(texts: DataFrame) -> DataFrame:
+    """Edges (a, b) between nodes of a cluster (columns root, node, text) by whole sets."""
+
+    def decided(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        root, held = None, {}
+        for batch in _filled(batches):
+            edges: list[tuple[int, int]] = []
+            rows = [(None, None, None)] if batch is None else zip(*(batch.column(c).to_pylist() for c in ("root", "node", "text")), strict=True)
+            for r, node, text in rows:
+                if r != root:
+                    if len(held) > 1:
+                        names = list(held)
+                        edges += [(names[x], names[y]) for x, y in exact_forest(list(held.values()))]
+                    root, held = r, {}
+                if node is not None and node not in held and name_of(found := np.unique(shingle_hashes(text, WIDTH))) == node:
+                    held[node] = found
+            if edges:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], ["a", "b"])
+
+    return texts.select("root", "node", "text").repartition("root").sortWithinPartitions("root").mapInArrow(decided, "a long, b long")
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """doc_id and ``component_id``: the smallest doc_id that links of documents reach.
+    Wordless texts are equal."""
+    marked = written(marks(docs))
+    nodes = marked.groupBy("node").agg(F.min("doc_id").alias("first"))
+    clusters = written(components(candidates(marked))).withColumnRenamed("root", "cluster")
+    members = nodes.join(clusters, "node").select("node", F.col("cluster").alias("root"), F.col("first").alias("doc_id"))
+    # a doc_id may be repeated with another text, so a node is known by its own rows
+    texts = docs.select("doc_id", "text").join(members, "doc_id")
+    roots = written(components(similar_links(texts)))
+    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return marked.select("doc_id", "node").join(rooted.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id. Columns and
-    texts are as given; of repeated rows of that doc_id one stays. Rows without doc_id
-    pass."""
-    names = docs.columns
-    group = near_duplicate_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(group, "doc_id", "left_semi").select(*names)
+    """One document of each group of near-duplicates stays: the one with the smallest
+    doc_id. Columns and texts are as given; of repeated rows of that doc_id one stays.
+    Rows without doc_id pass; null, empty and wordless texts are one group; an empty
+    table gives no rows."""
+    named = docs.where("doc_id is not null")
+    group = similar_components(named).where("doc_id = component_id").select("doc_id").distinct()
+    kept = named.join(group, "doc_id", "left_semi").select(*map(column, docs.columns))
     return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))

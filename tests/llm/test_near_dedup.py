@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from terrapop.llm import shingle_dedup
+from terrapop.llm import simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -57,7 +57,7 @@ def test_near_dedup_stage_against_brute_force(spark):
     texts = some_texts()
     df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], DOCS)
     want = slow_roots(texts)
-    got = {r.doc_id: r.component_id for r in shingle_dedup.similar_components(df).collect()}
+    got = {r.doc_id: r.component_id for r in simhash.similar_components(df).collect()}
     assert got == dict(enumerate(want))
     more = df.union(df.limit(3)).union(spark.createDataFrame([(None, texts[0], "en", "s", 1)], DOCS))
     kept = corpus_pipeline.near_dedup(spark, more, "")
