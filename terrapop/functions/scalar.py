@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: Wind bands, km/h to knots, and external band labels to ours.
 KMH_TO_KNOTS = {63: 34, 93: 50, 119: 64}
 EXTERNAL_BANDS = {60: 63, 90: 93, 120: 119}
+#: Agencies whose wind radii are taken first, in this order.
+AGENCIES = ("usa", "wmo", "tokyo", "cma", "hko", "newdelhi", "reunion", "bom", "nadi")
 #: Event types served.
 EVENT_TYPES = ("Battles", "Explosions/Remote violence", "Violence against civilians", "Riots", "Protests")
 NM_TO_KM = 1.852

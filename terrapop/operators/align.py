@@ -21,16 +21,18 @@ def align_nearest(fine: DataFrame, coarse: DataFrame, rows_per: int, cols_per: i
     return fine.withColumn(key, hazard_cell(F.col("row_no"), F.col("col_no"), rows_per, cols_per, width)).join(coarse, key, "left")
 
 
-def align_bilinear(points: DataFrame, grid: DataFrame, value: str) -> DataFrame:
+def align_bilinear(points: DataFrame, grid: DataFrame, value: str, by: tuple[str, ...] = (), exact: bool = True) -> DataFrame:
     """``points`` (id, fx, fy: fractional centre coordinates) get the weighted mean of the
-    four neighbours in ``grid`` (gx, gy, value); missing ones drop out and the weights are
-    rescaled."""
+    four neighbours in ``grid`` (gx, gy, value, and the columns ``by`` that tell several
+    grids apart); missing ones drop out and the weights are rescaled. ``exact`` sums are
+    decimals, which don't depend on the order of the four."""
     x0, y0 = F.floor("fx").cast("long"), F.floor("fy").cast("long")
     ax, ay = F.col("fx") - x0, F.col("fy") - y0
     corners = F.array(*[F.struct((x0 + i).alias("gx"), (y0 + j).alias("gy"), ((ax if i else 1 - ax) * (ay if j else 1 - ay)).alias("w")) for i in (0, 1) for j in (0, 1)])
     spread = points.select("id", F.explode(corners).alias("c")).select("id", "c.gx", "c.gy", "c.w").where("w > 0")
     met = spread.join(grid.where(F.col(value).isNotNull()), ["gx", "gy"])
-    return met.groupBy("id").agg(F.round(F.sum((F.col("w") * F.col(value)).cast("decimal(28,12)")).cast("double") / F.sum(F.col("w").cast("decimal(28,12)")).cast("double"), 6).alias(value))
+    total = (lambda x: F.sum(x.cast("decimal(28,12)")).cast("double")) if exact else F.sum
+    return met.groupBy("id", *by).agg(F.round(total(F.col("w") * F.col(value)) / total(F.col("w")), 6).alias(value))
 
 
 def align_average(fine: DataFrame, value: str, rows_per: int, cols_per: int, width: int) -> DataFrame:

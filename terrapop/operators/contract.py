@@ -29,3 +29,12 @@ def standardize(units: DataFrame, hazard: str, start: str, end: str) -> DataFram
     rule = dict((h, r) for h, _, r in METHODS)[hazard]
     out = units.withColumns({"hazard": F.lit(hazard), "period_start": F.lit(start).cast("date"), "period_end": F.lit(end).cast("date"), "rule": F.lit(rule), "run_id": F.concat_ws("_", "iso3", F.lit(start), F.lit(end), F.lit(hazard))})
     return out.select(*CONTRACT, *[c for c in units.columns if c not in CONTRACT])
+
+
+def standardize_bands(units: DataFrame, start: str, end: str) -> DataFrame:
+    """The contract table of many hazards at once: ``units`` also has ``hazard`` and, kept
+    behind the canonical columns, ``threshold``."""
+    require_columns(units, ("hazard", "iso3", "admin_id", "pcode", "pop_total", "pop_affected", "pct_affected"), "summary")
+    rules = F.broadcast(methods(units.sparkSession).select("hazard", "rule"))
+    out = units.join(rules, "hazard").withColumns({"period_start": F.lit(start).cast("date"), "period_end": F.lit(end).cast("date"), "run_id": F.concat_ws("_", "iso3", F.lit(start), F.lit(end), F.col("hazard"))})
+    return out.select(*CONTRACT, *[c for c in units.columns if c not in CONTRACT])

@@ -83,25 +83,60 @@ def bbox_coverage(target: tuple[Column, ...], layer: tuple[Column, ...]) -> Colu
     return F.when(area > 0, 100 * shared / area)
 
 
-def union_coverage(boxes: DataFrame, target: tuple[float, float, float, float]) -> DataFrame:
+def union_coverage(boxes: DataFrame, target: tuple[float, float, float, float], per_tile: int = 32) -> DataFrame:
     """Share of the target box covered by the union of boxes (w, s, e, n).
 
-    Distinct edges cut the target into strips; in each strip boxes merge by a running
-    maximum, so there is no product of all x and all y edges. Strips and boxes meet by an
-    equi join on vertical tiles.
+    Vertical tiles, as many as keep about ``per_tile`` distinct boxes' edges in each, cut
+    boxes and target. Within a tile distinct edges make strips, and in each strip boxes
+    merge by a running maximum: no window spans the whole table, and no product of all x
+    and all y edges is made.
     """
     w, s, e, n = target
     b = boxes.select(F.greatest("w", F.lit(w)).alias("w"), F.greatest("s", F.lit(s)).alias("s"), F.least("e", F.lit(e)).alias("e"), F.least("n", F.lit(n)).alias("n")).where("w < e and s < n").distinct()
-    xs = b.select(F.col("w").alias("x")).union(b.select("e")).distinct()
-    strip = xs.select("x", F.lead("x").over(Window.orderBy("x")).alias("x2")).where("x2 is not null")
-    tile = lambda c: F.floor((F.col(c) - w) / ((e - w) / 64))
-    tiled = b.withColumn("tile", F.explode(F.sequence(tile("w"), tile("e"))))
-    met = strip.withColumn("tile", tile("x")).join(tiled, "tile").where("w <= x and e >= x2")
-    run = Window.partitionBy("x").orderBy("s", "n").rowsBetween(Window.unboundedPreceding, -1)
-    length = met.withColumn("top", F.max("n").over(run)).groupBy("x", "x2").agg(F.sum(F.greatest(F.lit(0.0), F.col("n") - F.greatest(F.coalesce("top", F.col("s")), F.col("s")))).alias("len"))
+    tiles = F.greatest(F.lit(1), F.ceil(F.lit(2.0) * b.agg(F.count("*")).scalar() / per_tile)).cast("long")
+    size = F.lit(e - w) / F.col("tiles")
+    tile = lambda c: F.least(F.floor((F.col(c) - w) / size), F.col("tiles") - 1)
+    cut = b.withColumn("tiles", tiles).withColumn("tile", F.explode(F.sequence(tile("w"), tile("e"))))
+    left, right = w + F.col("tile") * size, w + (F.col("tile") + 1) * size
+    cut = cut.withColumns({"w": F.greatest("w", left), "e": F.least("e", right)}).where("w < e").select("tile", "w", "s", "e", "n")
+    edge = cut.select("tile", F.explode(F.array("w", "e")).alias("x")).distinct()
+    strip = edge.withColumn("x2", F.lead("x").over(Window.partitionBy("tile").orderBy("x"))).where("x2 is not null")
+    met = strip.join(cut, "tile").where("w <= x and e >= x2")
+    run = Window.partitionBy("tile", "x").orderBy("s", "n").rowsBetween(Window.unboundedPreceding, -1)
+    length = met.withColumn("top", F.max("n").over(run)).groupBy("tile", "x", "x2").agg(F.sum(F.greatest(F.lit(0.0), F.col("n") - F.greatest(F.coalesce("top", F.col("s")), F.col("s")))).alias("len"))
     return length.agg(F.round(100 * F.coalesce(F.sum(F.col("len") * (F.col("x2") - F.col("x"))), F.lit(0.0)) / ((e - w) * (n - s)), 6).alias("coverage_pct"))
 
 
+def near_units(points: DataFrame, rings: DataFrame, km: float, tile: float = 0.5, unit: str = "admin_id") -> DataFrame:
+    """(point_id) of points (point_id, lon, lat) inside a ring or within ``km`` of its
+    boundary; rings are (unit, seq, x, y) in degrees.
+
+    Distances to edges are taken in a plane that touches the sphere at the point, good to
+    some metres in a hundred kilometres. Points meet only the edges of their tile, which
+    take in the padded box of an edge.
+    """
+    per = 111.19492664455873
+    lat_pad, lon_pad = km / per, F.lit(km / per) / F.cos(F.radians(F.least(F.lit(85.0), F.greatest(F.abs("y1"), F.abs("y2")) + km / per)))
+    at = lambda c: F.floor(c / tile)
+    e = edges(rings, unit)
+    tiled = e.withColumn("tx", F.explode(F.sequence(at(F.least("x1", "x2") - lon_pad), at(F.greatest("x1", "x2") + lon_pad)))).withColumn("ty", F.explode(F.sequence(at(F.least("y1", "y2") - lat_pad), at(F.greatest("y1", "y2") + lat_pad))))
+    met = points.withColumns({"tx": at(F.col("lon")), "ty": at(F.col("lat"))}).join(tiled, ["tx", "ty"])
+    close = met.where(F.round(segment_km(F.col("lon"), F.col("lat"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")), 6) <= km).select("point_id")
+    inside = points_in_units(points.select("point_id", F.col("lon").alias("px"), F.col("lat").alias("py")), rings, unit).select("point_id")
+    return close.unionByName(inside).distinct()
+
+
+def segment_km(lon: Column, lat: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Distance of a place to a segment, in the plane that touches the sphere at the place."""
+    per = F.lit(111.19492664455873)
+    k = F.cos(F.radians(lat)) * per
+    ax, ay, bx, by = (x1 - lon) * k, (y1 - lat) * per, (x2 - lon) * k, (y2 - lat) * per
+    dx, dy = bx - ax, by - ay
+    length = dx * dx + dy * dy
+    t = F.when(length > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(ax * dx + ay * dy) / length))).otherwise(0.0)
+    return F.sqrt(F.pow(ax + t * dx, 2) + F.pow(ay + t * dy, 2))
+
+
 def disc_cells(points: DataFrame, x0: float, y0: float, step: float, radius_km: Column, rows: int | None, cols: int, touched_rule: bool = True) -> DataFrame:
     """(point_id, row_no, col_no) of cells within ``radius_km`` of a point (point_id, lon,
     lat): of the cell's nearest place (touched), else of its centre. Only cells in the

@@ -53,6 +53,16 @@ def consecutive_k(df: DataFrame, cell: str, t: str, condition: Column, k: int) -
     return runs_of_exceedance(df, cell, t, condition).where(F.col("length") >= k).select(cell).distinct()
 
 
+def run_floor(df: DataFrame, cell: str, t: str, value: str, k: int) -> DataFrame:
+    """(cell, floor): the greatest value that is exceeded on ``k`` consecutive positions of
+    the shared axis, or just not. One pass serves all thresholds: a run of ``k`` above a
+    threshold is there if and only if the floor is above it."""
+    w = Window.partitionBy(cell).orderBy("axis_idx")
+    on_axis = df.where(F.col(value).isNotNull()).select(cell, t, value).join(axis(df, t), t)
+    last = on_axis.withColumns({"first_idx": F.lag("axis_idx", k - 1).over(w), "least": F.min(value).over(w.rowsBetween(1 - k, 0))})
+    return last.where(F.col("axis_idx") - F.col("first_idx") == k - 1).groupBy(cell).agg(F.max("least").alias("floor"))
+
+
 def consecutive_k_rolling(df: DataFrame, cell: str, t: str, condition: Column, k: int) -> DataFrame:
     """The same by a rolling sum over a dense cell by step table."""
     steps = axis(df, t).agg(F.sort_array(F.collect_list(F.struct("axis_idx", t)))).scalar()
@@ -62,7 +72,8 @@ def consecutive_k_rolling(df: DataFrame, cell: str, t: str, condition: Column, k
 
 
 def to_celsius_by_file(df: DataFrame, value: str, t: str, file: str) -> DataFrame:
-    """Subtracts 273.15 in files whose first time step has a mean above 100."""
-    by_file = Window.partitionBy(file)
-    first = F.avg(F.when(F.col(t) == F.col("_t0"), F.col(value))).over(by_file)
-    return df.withColumn("_t0", F.min(t).over(by_file)).withColumn("_kelvin", first > 100).withColumn(value, F.when(F.col("_kelvin"), F.col(value) - 273.15).otherwise(F.col(value))).drop("_t0", "_kelvin")
+    """Subtracts 273.15 in files whose first time step has a mean above 100. Means are taken
+    by file and step with partial sums; a file's rows never meet in one task."""
+    steps = df.groupBy(file, t).agg(F.avg(value).alias("mean"))
+    kelvin = steps.groupBy(file).agg((F.min_by("mean", t) > 100).alias("kelvin"))
+    return df.join(kelvin, file).withColumn(value, F.when(F.col("kelvin"), F.col(value) - 273.15).otherwise(F.col(value))).drop("kelvin")

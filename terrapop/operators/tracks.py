@@ -2,95 +2,174 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapop.functions.scalar import KMH_TO_KNOTS, NM_TO_KM, haversine_km
+from terrapop.functions.scalar import AGENCIES, EXTERNAL_BANDS, KMH_TO_KNOTS, NM_TO_KM, haversine_km
 
-QUADRANTS = ("r34_ne", "r34_se", "r34_sw", "r34_nw")
+QUADRANTS = ("ne", "se", "sw", "nw")
+RADIUS = re.compile(r"^(.+)_r(34|50|64)_(ne|se|sw|nw)$")
 
 
 def clean_tracks(raw: DataFrame) -> DataFrame:
-    """Trims and lower-cases column names, drops spur tracks and rows without time or
-    place, takes -999 and blanks as missing."""
+    """Trims and lower-cases column names, drops tracks whose type ends in ``spur`` and rows
+    without time or place, takes -999 and blanks as missing."""
     df = raw.toDF(*[c.strip().lower() for c in raw.columns])
     numeric = [c for c, t in df.dtypes if t in ("double", "float") and c not in ("lon", "lat")]
     df = df.withColumns({c: F.when(F.col(c) != -999, F.col(c)) for c in numeric})
-    return df.where(F.col("iso_time").isNotNull() & F.col("lon").isNotNull() & F.col("lat").isNotNull() & ~F.coalesce(F.lower("track_type").like("%spur%"), F.lit(False)))
+    return df.where(F.col("iso_time").isNotNull() & F.col("lon").isNotNull() & F.col("lat").isNotNull() & ~F.coalesce(F.lower("track_type").endswith("spur"), F.lit(False)))
+
+
+def radius_columns(df: DataFrame) -> dict[tuple[str, int], dict[str, str]]:
+    """Column names of wind radii, by (agency, knots) and quadrant, found by their form."""
+    found: dict[tuple[str, int], dict[str, str]] = {}
+    for c in df.columns:
+        if m := RADIUS.match(c):
+            found.setdefault((m[1], int(m[2])), {})[m[3]] = c
+    return found
+
+
+def wind_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.endswith("_wind")]
 
 
 def long_radii(tracks: DataFrame) -> DataFrame:
-    """One row for each point and quadrant that has a radius, found by column name."""
-    names = [c for c in tracks.columns if c.startswith("r34_")]
-    pairs = F.map_from_entries(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).alias("v")) for c in names]))
-    return tracks.select("event_id", "sid", F.explode(pairs).alias("quadrant", "radius_nm")).where("radius_nm is not null")
+    """One row for each point, agency, speed and quadrant that has a radius."""
+    some = [F.struct(F.lit(a).alias("agency"), F.lit(kt).alias("knots"), F.lit(q).alias("quadrant"), F.col(c).alias("radius_nm")) for (a, kt), by in radius_columns(tracks).items() for q, c in by.items()]
+    return tracks.select("event_id", "sid", F.explode(F.array(*some)).alias("r")).select("event_id", "sid", "r.*").where("radius_nm is not null")
+
 
+def radii_family(tracks: DataFrame, knots: int) -> Column:
+    """struct(agency, ne, se, sw, nw) in km of the first agency with four positive radii:
+    the preferred ones in order, with the reporting agency (``wmo_agency``) second if it is
+    none of them, then the others by name. Null if none has. A choice within the row."""
+    by = {a: names for (a, kt), names in radius_columns(tracks).items() if kt == knots and len(names) == 4}
 
-def complete_family(names: tuple[str, ...] = QUADRANTS) -> Column:
-    """All four quadrants known and positive."""
-    out = F.lit(True)
-    for n in names:
-        out = out & F.coalesce(F.col(n) > 0, F.lit(False))
-    return out
+    def family(agency: str) -> Column:
+        radii = [F.col(by[agency][q]) for q in QUADRANTS]
+        whole = F.lit(True)
+        for r in radii:
+            whole = whole & (r > 0)
+        return F.when(whole, F.struct(F.lit(agency).alias("agency"), *[(r * NM_TO_KM).alias(q) for q, r in zip(QUADRANTS, radii, strict=True)]))
+
+    first = [a for a in AGENCIES if a in by]
+    others = sorted(a for a in by if a not in AGENCIES)
+    reported = [F.when(F.lower(F.trim("wmo_agency")) == a, family(a)) for a in others]
+    at = [a for a in first if a == AGENCIES[0]]
+    chain = [*map(family, at), *reported, *(family(a) for a in first if a not in at), *map(family, others)]
+    return F.coalesce(*chain) if chain else F.lit(None).cast("struct<agency:string,ne:double,se:double,sw:double,nw:double>")
+
+
+def families(tracks: DataFrame) -> DataFrame:
+    """Each point by threshold (km/h) with its radii family, null where none is whole:
+    sid, event_id, iso_time, lon, lat, threshold, agency, ne, se, sw, nw (km)."""
+    each = F.array(*[F.struct(F.lit(kmh).alias("threshold"), radii_family(tracks, kt).alias("f")) for kmh, kt in KMH_TO_KNOTS.items()])
+    return tracks.select("sid", "event_id", "iso_time", "lon", "lat", F.explode(each).alias("b")).select("sid", "event_id", "iso_time", "lon", "lat", "b.threshold", "b.f.*")
 
 
 def completeness(tracks: DataFrame) -> DataFrame:
-    """By storm: share of complete points, points, greatest wind."""
-    return tracks.groupBy("sid").agg(F.round(F.avg(complete_family().cast("double")), 6).alias("completeness"), F.count("*").alias("points"), F.max("wind").alias("max_wind"))
+    """By storm and threshold: share of points with a whole family, and the greatest wind of
+    any agency; the agencies used."""
+    winds = wind_columns(tracks)
+    best = tracks.groupBy("sid").agg(F.max(F.greatest(*winds) if len(winds) > 1 else F.col(winds[0])).alias("max_wind"))
+    share = families(tracks).groupBy("sid", "threshold").agg(F.round(F.avg(F.col("agency").isNotNull().cast("double")), 6).alias("completeness"), F.array_join(F.array_sort(F.collect_set("agency")), ",").alias("agencies"))
+    return share.join(best, "sid")
 
 
 def bands(storms: DataFrame, minimum: float) -> DataFrame:
     """(sid, threshold, expected, adequate): a band is expected if the greatest wind is
-    unknown or reaches it, adequate if enough points are complete."""
-    dim = F.array(*[F.struct(F.lit(k).alias("threshold"), F.lit(kt).alias("knots")) for k, kt in KMH_TO_KNOTS.items()])
-    each = storms.withColumn("b", F.explode(dim))
-    expected = F.coalesce(F.col("max_wind") >= F.col("b.knots"), F.lit(True))
-    return each.select("sid", "completeness", "max_wind", F.col("b.threshold").alias("threshold"), expected.alias("expected"), (F.col("completeness") >= minimum).alias("adequate"))
+    unknown or reaches it, adequate if enough points have a whole family."""
+    knots = F.coalesce(*[F.when(F.col("threshold") == k, F.lit(v)) for k, v in KMH_TO_KNOTS.items()])
+    return storms.withColumns({"expected": F.coalesce(F.col("max_wind") >= knots, F.lit(True)), "adequate": F.col("completeness") >= minimum})
 
 
 def next_observation(tracks: DataFrame, hours: float = 12) -> DataFrame:
-    """Usable points with their next usable one and the gap in hours; ``linked`` if the
-    gap is no longer than ``hours``."""
-    w = Window.partitionBy("sid").orderBy("iso_time", "event_id")
-    usable = tracks.where(complete_family())
-    nxt = {f"next_{c}": F.lead(c).over(w) for c in ("iso_time", "lon", "lat", "event_id")}
+    """Usable points of each threshold with their next usable one and the gap in hours;
+    ``linked`` if the gap is no longer than ``hours``."""
+    w = Window.partitionBy("sid", "threshold").orderBy("iso_time", "event_id")
+    usable = families(tracks).where("agency is not null")
+    nxt = {f"next_{c}": F.lead(c).over(w) for c in ("iso_time", "lon", "lat", "event_id", *QUADRANTS)}
     gap = (F.unix_micros(F.col("next_iso_time").cast("timestamp")) - F.unix_micros(F.col("iso_time").cast("timestamp"))) / 3.6e9
     return usable.withColumns(nxt).withColumn("gap_hours", F.round(gap, 6)).withColumn("linked", F.coalesce(F.col("gap_hours") <= hours, F.lit(False)))
 
 
 def interpolated(linked: DataFrame, spacing_km: float = 25.0) -> DataFrame:
-    """Places between linked points at about ``spacing_km`` along the great circle, radii
-    in proportion; the points themselves included (step 0)."""
-    mean = sum((F.col(q) for q in QUADRANTS[1:]), F.col(QUADRANTS[0])) / 4 * NM_TO_KM
+    """Places from each point towards its linked next one along the great circle, the point
+    itself included (step 0). Steps are as long as the least radius of both ends, at least 1
+    and at most ``spacing_km`` km; radii change in proportion to the way."""
+    least = F.least(*QUADRANTS, *[f"next_{q}" for q in QUADRANTS])
+    spacing = F.greatest(F.lit(1.0), F.least(F.lit(spacing_km), least))
     dist = F.when(F.col("linked"), haversine_km(F.col("lon"), F.col("lat"), F.col("next_lon"), F.col("next_lat"))).otherwise(0.0)
-    steps = F.greatest(F.lit(1), F.ceil(F.round(dist / spacing_km, 9)).cast("int"))
-    each = linked.withColumns({"radius_km": mean, "_d": dist, "steps": steps}).withColumn("step", F.explode(F.sequence(F.lit(0), F.col("steps") - 1)))
+    each = linked.withColumn("way", dist).withColumn("steps", F.greatest(F.lit(1), F.ceil(F.round(F.col("way") / spacing, 9)).cast("int"))).withColumn("step", F.explode(F.sequence(F.lit(0), F.col("steps") - 1)))
     f = F.col("step") / F.col("steps")
-    d = F.col("_d") / 6371.0088
+    d = F.col("way") / 6371.0088
     a, b = F.sin((1 - f) * d) / F.sin(d), F.sin(f * d) / F.sin(d)
     la1, lo1, la2, lo2 = (F.radians(c) for c in ("lat", "lon", "next_lat", "next_lon"))
     x = a * F.cos(la1) * F.cos(lo1) + b * F.cos(la2) * F.cos(lo2)
     y = a * F.cos(la1) * F.sin(lo1) + b * F.cos(la2) * F.sin(lo2)
     z = a * F.sin(la1) + b * F.sin(la2)
-    lat = F.when((F.col("step") == 0) | (F.col("_d") == 0), F.col("lat")).otherwise(F.degrees(F.atan2(z, F.sqrt(x * x + y * y))))
-    lon = F.when((F.col("step") == 0) | (F.col("_d") == 0), F.col("lon")).otherwise(F.degrees(F.atan2(y, x)))
-    return each.select("sid", "event_id", "step", "steps", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"), "radius_km", *QUADRANTS)
+    here = F.col("step") == 0
+    lat = F.when(here, F.col("lat")).otherwise(F.degrees(F.atan2(z, F.sqrt(x * x + y * y))))
+    lon = F.when(here, F.col("lon")).otherwise(F.degrees(F.atan2(y, x)))
+    radii = [F.round(F.when(here, F.col(q)).otherwise(F.col(q) + f * (F.col(f"next_{q}") - F.col(q))), 9).alias(q) for q in QUADRANTS]
+    return each.select("sid", "threshold", "event_id", "step", "steps", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"), *radii)
 
 
 def in_quadrant_swath(px: Column, py: Column, lon: Column, lat: Column) -> Column:
-    """Whether a place is within the polygon of quadrant radii about a point, sampled
-    every 5 degrees: compares with the chord of its 5-degree segment. Radii in NM."""
+    """Whether a place lies within the polygon of quadrant radii (km) about a point, with a
+    corner every 5 degrees. The edge between two corners, which have unlike radii where
+    quadrants meet, is a straight line in distance and bearing."""
     dist = haversine_km(lon, lat, px, py)
     dl = F.radians(px - lon)
     y = F.sin(dl) * F.cos(F.radians(py))
     x = F.cos(F.radians(lat)) * F.sin(F.radians(py)) - F.sin(F.radians(lat)) * F.cos(F.radians(py)) * F.cos(dl)
     bearing = F.pmod(F.degrees(F.atan2(y, x)), F.lit(360.0))
-    quad = F.when(bearing < 90, F.col("r34_ne")).when(bearing < 180, F.col("r34_se")).when(bearing < 270, F.col("r34_sw")).otherwise(F.col("r34_nw"))
-    offset = F.radians(F.pmod(bearing, F.lit(5.0)) - 2.5)
-    return F.round(dist, 6) <= quad * NM_TO_KM * F.cos(F.radians(F.lit(2.5))) / F.cos(offset)
-
-
-def near_box(tracks: DataFrame, w: float, s: float, e: float, n: float, pad: float) -> DataFrame:
-    """All points of storms that have a point within the padded box."""
-    near = tracks.where(F.col("lon").between(w - pad, e + pad) & F.col("lat").between(s - pad, n + pad)).select("sid").distinct()
-    return tracks.join(near, "sid", "left_semi")
+    corner = F.floor(bearing / 5) * 5
+    radius = lambda at: F.when(at < 90, F.col("ne")).when(at < 180, F.col("se")).when(at < 270, F.col("sw")).otherwise(F.col("nw"))
+    r1, r2, turn = radius(corner), radius(corner + 5), F.radians(bearing - corner)
+    edge = r1 * r2 * F.sin(F.radians(F.lit(5.0))) / (r1 * F.sin(turn) + r2 * F.sin(F.radians(F.lit(5.0)) - turn))
+    return F.round(dist, 6) <= F.round(edge, 6)
+
+
+def swath_cells(steps: DataFrame, x0: float, y0: float, step: float, cols: int) -> DataFrame:
+    """(sid, threshold, row_no, col_no): cells whose centre is inside a storm's swath. Only
+    cells in the box of a place's largest radius are looked at; the grid has no last row."""
+    km_lat = 111.19492664455873
+    reach = F.greatest(*QUADRANTS)
+    dlat, dlon = reach / km_lat, reach / (km_lat * F.cos(F.radians("lat")))
+    r0, r1 = F.greatest(F.floor((y0 - F.col("lat") - dlat) / step), F.lit(0)), F.floor((y0 - F.col("lat") + dlat) / step)
+    c0, c1 = F.greatest(F.floor((F.col("lon") - dlon - x0) / step), F.lit(0)), F.least(F.floor((F.col("lon") + dlon - x0) / step), F.lit(cols - 1))
+    span = lambda lo, hi: F.explode(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>")))
+    places = steps.select("sid", "threshold", "lon", "lat", *QUADRANTS).distinct()
+    box = places.withColumn("row_no", span(r0, r1)).withColumn("col_no", span(c0, c1))
+    inside = in_quadrant_swath(x0 + (F.col("col_no") + 0.5) * step, y0 - (F.col("row_no") + 0.5) * step, F.col("lon"), F.col("lat"))
+    return box.where(inside).select("sid", "threshold", F.col("row_no").cast("long").alias("row_no"), F.col("col_no").cast("long").alias("col_no")).distinct()
+
+
+def buffer_cells(buffers: DataFrame) -> DataFrame:
+    """(ext_id, threshold, row_no, col_no) of external wind buffers: squares of ``reach``
+    cells about a centre; labels of 60, 90 and 120 become our bands, others are dropped."""
+    band = F.coalesce(*[F.when(F.col("label") == k, F.lit(v)) for k, v in EXTERNAL_BANDS.items()])
+    reach = F.col("reach").cast("long")
+    each = buffers.withColumn("threshold", band).where("threshold is not null").withColumn("r", F.explode(F.sequence(F.greatest(F.col("row_no") - reach, F.lit(0)), F.col("row_no") + reach))).withColumn("c", F.explode(F.sequence(F.greatest(F.col("col_no") - reach, F.lit(0)), F.col("col_no") + reach)))
+    return each.select("ext_id", "threshold", F.col("r").alias("row_no"), F.col("c").alias("col_no")).distinct()
+
+
+def matched_external(tracks: DataFrame, external: DataFrame, normalise, days: int = 3) -> DataFrame:  # noqa: ANN001
+    """(sid, ext_id): each storm's external event, of equal normalised name (the storm's is
+    its first in time) and overlapping dates padded by ``days``; the nearest start wins, then
+    the smaller id. External events of one name and dates are reduced to one beforehand."""
+    named = F.min_by(F.when(F.col("name").isNotNull(), F.col("name")), F.when(F.col("name").isNotNull(), F.struct("iso_time", "event_id")))
+    storms = tracks.groupBy("sid").agg(normalise(named).alias("nm"), F.to_date(F.min("iso_time")).alias("d0"), F.to_date(F.max("iso_time")).alias("d1"))
+    ext = external.select("ext_id", normalise(F.col("event_name")).alias("nm"), "from_date", "to_date").groupBy("nm", "from_date", "to_date").agg(F.min("ext_id").alias("ext_id"))
+    met = storms.join(ext, "nm").where((F.col("from_date") <= F.date_add("d1", days)) & (F.col("to_date") >= F.date_sub("d0", days)))
+    gap = F.abs(F.datediff("from_date", F.date_sub("d0", days)))
+    return storms.select("sid").join(met.groupBy("sid").agg(F.min_by("ext_id", F.struct(gap, F.col("ext_id"))).alias("ext_id")), "sid", "left")
+
+
+def storms_near(tracks: DataFrame, near_points: DataFrame) -> DataFrame:
+    """All points of storms that have a point among ``near_points`` (event_id)."""
+    sids = tracks.join(near_points, "event_id", "left_semi").select("sid").distinct()
+    return tracks.join(sids, "sid", "left_semi")

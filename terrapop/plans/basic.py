@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
 from terrapop.operators import align, temporal, tracks, zonal
+from terrapop.sources import files
 from terrapop.sources.fixtures import Fixtures
 
 from .registry import query
@@ -30,46 +31,33 @@ def window_events(fx: Fixtures) -> DataFrame:
 WINDOW_EVENTS = "SELECT * FROM conflict_events WHERE event_ts >= TIMESTAMP '2024-01-10' AND event_ts < TIMESTAMP '2024-01-12' AND event_type <> 'Protests'"
 
 
-@query("scan_events_clean", EV + " WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND event_date IS NOT NULL")
+@query("scan_events_clean", EV + " WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND event_date IS NOT NULL AND longitude >= 30.05")
 def _(fx: Fixtures) -> DataFrame:
-    text = fx.conflict_events.select(*[F.col(c).cast("string") for c in ("event_id", "event_date", "event_type", "fatalities", "latitude", "longitude")])
-    typed = text.select(F.expr("try_cast(event_id AS bigint)").alias("event_id"), F.try_to_timestamp("event_date").cast("date").alias("event_date"), "event_type", F.coalesce(F.expr("try_cast(fatalities AS bigint)"), F.lit(0).cast("long")).alias("fatalities"), F.expr("try_cast(latitude AS double)").alias("latitude"), F.expr("try_cast(longitude AS double)").alias("longitude"))
-    return typed.na.drop(subset=["event_date", "event_type", "latitude", "longitude"]).where(F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180))
+    """The events as CSV files, some of them with a date that is none, read and cleaned."""
+    date = F.when(F.col("longitude") < 30.05, "no date").otherwise(F.col("event_date").cast("string"))
+    text = fx.conflict_events.withColumn("event_date", date).select(*files.EVENT_FIELDS)
+    return files.read_events_csv(fx.spark, files.write_csv(text, "events"))
 
 
-@query("scan_tracks_clean", "SELECT event_id, sid, iso_time, lon, lat, wind FROM track_points WHERE lower(track_type) NOT LIKE '%spur%'")
+@query("scan_tracks_clean", "SELECT event_id, sid, iso_time, lon, lat, usa_wind, usa_r34_nw FROM track_points WHERE NOT coalesce(ends_with(lower(track_type), 'spur'), false) AND iso_time >= TIMESTAMP '2024-01-05' AND iso_time < TIMESTAMP '2024-01-26'")
 def _(fx: Fixtures) -> DataFrame:
-    return tracks.clean_tracks(fx.track_points.withColumnRenamed("wind", " WIND ")).select("event_id", "sid", "iso_time", "lon", "lat", "wind")
+    path = files.write_tracks_csv(fx.track_points)
+    return files.read_tracks_csv(fx.spark, path, "2024-01-05", "2024-01-25").select("event_id", "sid", "iso_time", "lon", "lat", "usa_wind", "usa_r34_nw")
 
 
-@query("tracks_dynamic_radii_map", "SELECT event_id, sid, quadrant, radius_nm FROM (SELECT event_id, sid, unnest(['r34_ne','r34_se','r34_sw','r34_nw']) AS quadrant, unnest([r34_ne, r34_se, r34_sw, r34_nw]) AS radius_nm FROM track_points) WHERE radius_nm IS NOT NULL")
+@query("scan_catalog_features", "SELECT event_id, title, magnitude, types, detail, CAST(event_id % 7 AS DOUBLE) AS depth FROM quake_catalog")
 def _(fx: Fixtures) -> DataFrame:
-    return tracks.long_radii(fx.track_points)
+    path = files.write_catalog_json(fx.quake_catalog.withColumn("depth", (F.col("event_id") % 7).cast("double")))
+    return files.read_catalog_json(fx.spark, path)
 
 
-@query("scan_catalog_features", "SELECT event_id, title, magnitude, CAST(event_id % 7 AS DOUBLE) AS depth FROM quake_catalog")
+@query("shake_grid_cells", "SELECT event_id, hcell_id, round(mmi, 6) AS mmi, round(30 + i * 0.5e0, 6) AS lon, 20e0 AS lat FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY hcell_id) - 1 AS i, max(mmi) OVER (PARTITION BY event_id) AS most FROM shake_cells) WHERE most >= 4")
 def _(fx: Fixtures) -> DataFrame:
-    feature = F.struct(F.col("event_id").alias("id"), F.struct(F.col("title"), F.col("magnitude").alias("mag")).alias("properties"), F.struct(F.array(F.lit(0.0), F.lit(0.0), (F.col("event_id") % 7).cast("double")).alias("coordinates")).alias("geometry"))
-    doc = fx.quake_catalog.groupBy((F.col("event_id") % 8).alias("file")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("json"))
-    schema = "features array<struct<id:bigint,properties:struct<title:string,mag:double>,geometry:struct<coordinates:array<double>>>>"
-    f = doc.select(F.explode(F.from_json("json", schema)["features"]).alias("f"))
-    return f.select(F.col("f.id").alias("event_id"), F.col("f.properties.title").alias("title"), F.col("f.properties.mag").alias("magnitude"), F.element_at("f.geometry.coordinates", 3).alias("depth"))
-
-
-@query("shake_grid_cells", "SELECT event_id, hcell_id, round(mmi, 6) AS mmi FROM shake_cells")
-def _(fx: Fixtures) -> DataFrame:
-    """Grid documents, one for each event, parsed and turned into cell rows."""
-    row = F.concat_ws(" ", F.col("hcell_id").cast("string"), F.col("mmi").cast("string"))
-    docs = fx.shake_cells.groupBy("event_id").agg(F.concat(F.lit('<shakemap><grid_field index="1" name="CELL"/><grid_field index="2" name="MMI"/><grid_data>'), F.array_join(F.sort_array(F.collect_list(row)), "\n"), F.lit("</grid_data></shakemap>")).alias("xml"))
-    schema = "grid_field array<struct<_index:int,_name:string>>, grid_data string"
-    parsed = docs.select("event_id", F.from_xml("xml", schema).alias("x"))
-    values = F.split(F.trim("x.grid_data"), r"\s+")
-    n = F.size("x.grid_field")
-    at = lambda name: F.element_at(F.filter("x.grid_field", lambda g: g["_name"] == name), 1)["_index"] - 1
-    long = parsed.select("event_id", n.alias("n"), at("CELL").alias("ci"), at("MMI").alias("mi"), F.posexplode(values).alias("i", "v"))
-    long = long.select("event_id", F.floor(F.col("i") / F.col("n")).alias("row"), (F.col("i") % F.col("n")).alias("f"), "ci", "mi", F.expr("try_cast(v AS double)").alias("v"))
-    wide = long.groupBy("event_id", "row").agg(F.max(F.when(F.col("f") == F.col("ci"), F.col("v"))).cast("long").alias("hcell_id"), F.max(F.when(F.col("f") == F.col("mi"), F.col("v"))).alias("mmi"))
-    return wide.select("event_id", "hcell_id", F.round("mmi", 6).alias("mmi"))
+    """Grid documents of one row of cells; weak events declare a second row that isn't there,
+    and are left out by the size check."""
+    size = fx.shake_cells.groupBy("event_id").agg(F.count("*").cast("int").alias("nlon"), F.when(F.max("mmi") >= 4, 1).otherwise(2).alias("nlat"))
+    path = files.write_grid_xml(fx.shake_cells.join(size, "event_id").withColumnRenamed("hcell_id", "cell"))
+    return files.read_grid_xml(fx.spark, path).select("event_id", F.col("cell").alias("hcell_id"), F.round("mmi", 6).alias("mmi"), F.round("lon", 6).alias("lon"), "lat")
 
 
 @query("scan_stac_items", "SELECT item_id, item_ts, west, south, east, north, href FROM stac_items WHERE href IS NOT NULL")
@@ -101,26 +89,41 @@ def _(fx: Fixtures) -> DataFrame:
 
 @query("sink_mask_bands", "SELECT hcell_id, max(CASE WHEN t = 5 THEN m END) AS m5, max(CASE WHEN t = 6 THEN m END) AS m6, max(CASE WHEN t = 7 THEN m END) AS m7 FROM (SELECT hcell_id, t, CAST(max(mmi) >= t AS INTEGER) AS m FROM shake_cells, (VALUES (5), (6), (7)) AS x(t) GROUP BY hcell_id, t) GROUP BY hcell_id")
 def _(fx: Fixtures) -> DataFrame:
+    """The long mask table as files by threshold; the wide form is a pivot of what is read."""
     m = temporal.max_over_events(fx.shake_cells, "hcell_id", "mmi")
-    long = m.withColumn("t", F.explode(F.array(*map(F.lit, (5, 6, 7))))).withColumn("m", (F.col("mmi") >= F.col("t")).cast("int"))
-    return long.groupBy("hcell_id").pivot("t", [5, 6, 7]).agg(F.max("m")).toDF("hcell_id", "m5", "m6", "m7")
+    long = m.withColumn("t", F.explode(F.array(*map(F.lit, (5, 6, 7))))).select("hcell_id", "t", (F.col("mmi") >= F.col("t")).cast("int").alias("m"))
+    masks = fx.spark.read.parquet(files.write_parquet(long, "masks", "t"))
+    return masks.groupBy("hcell_id").pivot("t", [5, 6, 7]).agg(F.max("m")).toDF("hcell_id", "m5", "m6", "m7")
 
 
-@query("split_bulk_by_country", "SELECT r_name AS iso3, e.event_id FROM conflict_events e JOIN region ON r_regionkey = e.event_id % 5 WHERE e.event_date >= DATE '2024-01-10'")
+@query("split_bulk_by_country", "SELECT r_name AS iso3, e.event_id, e.event_date FROM events x JOIN conflict_events e ON e.event_id = x.event_id JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE e.event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-28' AND r_regionkey <> 4")
 def _(fx: Fixtures) -> DataFrame:
-    tasks = fx.table("region").select(F.col("r_name").alias("iso3"), F.col("r_regionkey").cast("string").alias("code"))
-    bulk = fx.conflict_events.withColumn("code", (F.col("event_id") % 5).cast("string"))
-    match = F.expr("try_cast(e.code AS int) = try_cast(t.code AS int)") & (F.col("e.event_date") >= F.lit("2024-01-10").cast("date"))
-    return bulk.alias("e").join(F.broadcast(tasks.alias("t")), match).select("t.iso3", "e.event_id")
+    """One pass over the bulk file makes a folder for each country of the task list, events of
+    its window only; codes are compared as numbers, else as text."""
+    code = fx.table("customer").join(F.broadcast(fx.table("nation")), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("user_id"), F.lpad(F.col("n_regionkey").cast("string"), 3, "0").alias("code"))
+    bulk = fx.conflict_events.join(fx.table("events").select("event_id", "user_id"), "event_id").join(code, "user_id")
+    tasks = fx.table("region").where("r_regionkey <> 4").select(F.col("r_name").alias("iso3"), F.col("r_regionkey").cast("string").alias("task_code"), F.lit("2024-01-28").cast("date").alias("as_of"), F.lit(19).alias("days"))
+    same = F.coalesce(F.expr("try_cast(code AS int) = try_cast(task_code AS int)"), F.col("code") == F.col("task_code"))
+    window = F.col("event_date").between(F.date_sub("as_of", F.col("days") - 1), F.col("as_of"))
+    cut = bulk.join(F.broadcast(tasks), same & window).select("iso3", "event_id", "event_date")
+    return fx.spark.read.parquet(files.write_parquet(cut, "by_country", "iso3")).select("iso3", "event_id", "event_date")
 
 
 RUN_ROWS = "SELECT r_name AS iso3, CASE r_regionkey WHEN 4 THEN 0 ELSE 12 END AS months, DATE '2001-08-01' AS period_end FROM region"
 
 
-@query("run_metadata_table", f"SELECT iso3, months, concat(iso3, '_', CAST(CAST(period_end - INTERVAL (months) MONTH + INTERVAL 1 DAY AS DATE) AS VARCHAR), '_', CAST(period_end AS VARCHAR), '_m', CAST(months AS VARCHAR), '_flood') AS run_id, regexp_matches(iso3, '^[A-Z]{{3}}$') AS iso3_ok, months >= 1 AS months_ok FROM ({RUN_ROWS})")
+RUN_RULES = ("iso3_pattern", "as_of_required", "months_minimum", "level_enum", "run_id_pattern")
+
+
+@query("run_metadata_table", "SELECT file_order, rule FROM (SELECT file_order, unnest(['iso3_pattern', 'as_of_required', 'months_minimum', 'level_enum', 'run_id_pattern']) AS rule, unnest([coalesce(regexp_matches(upper(iso3_text), '^[A-Z]{3}$'), false), TRY_CAST(as_of_text AS DATE) IS NOT NULL, coalesce(TRY_CAST(lookback_text AS INTEGER) >= 1, false), coalesce(TRY_CAST(level_text AS INTEGER) IN (0, 1, 2, 3), false), regexp_matches(concat(upper(iso3_text), '_', as_of_text, '_m', lookback_text), '^[A-Z]{3}_[0-9]{4}-[0-9]{2}-[0-9]{2}_m[1-9][0-9]*$')]) AS ok FROM manifest) WHERE NOT ok")
 def _(fx: Fixtures) -> DataFrame:
-    r = runs(fx)
-    return r.select("iso3", "months", run_id(F.lit("flood")).alias("run_id"), F.col("iso3").rlike("^[A-Z]{3}$").alias("iso3_ok"), (F.col("months") >= 1).alias("months_ok"))
+    """Metadata of every run of the manifest against the rules: required keys, patterns,
+    enums, minimums. A row for each rule that a run breaks."""
+    months, level = F.expr("try_cast(lookback_text AS int)"), F.expr("try_cast(level_text AS int)")
+    code = F.upper("iso3_text")
+    checks = (code.rlike("^[A-Z]{3}$"), F.expr("try_to_date(as_of_text, 'yyyy-MM-dd')").isNotNull(), months >= 1, level.isin(0, 1, 2, 3), F.concat(code, F.lit("_"), "as_of_text", F.lit("_m"), "lookback_text").rlike("^[A-Z]{3}_[0-9]{4}-[0-9]{2}-[0-9]{2}_m[1-9][0-9]*$"))
+    rows = F.array(*[F.struct(F.lit(r).alias("rule"), F.coalesce(c, F.lit(False)).alias("ok")) for r, c in zip(RUN_RULES, checks, strict=True)])
+    return fx.manifest.select("file_order", F.explode(rows).alias("x")).where("not x.ok").select("file_order", "x.rule")
 
 
 def runs(fx: Fixtures) -> DataFrame:
@@ -132,10 +135,14 @@ def run_id(hazard):  # noqa: ANN001, ANN201
     return F.concat(F.col("iso3"), F.lit("_"), start.cast("string"), F.lit("_"), F.col("period_end").cast("string"), F.lit("_m"), F.col("months").cast("string"), F.lit("_"), hazard)
 
 
-@query("artifact_register", "SELECT r_name AS run, kind, concat('/runs/', r_name, '/', kind, '.parquet') AS path FROM region, (VALUES ('mask'), ('summary')) AS k(kind)")
+@query("artifact_register", "SELECT file_order AS run, kind, concat('/runs/', lower(iso3_text), '/', CAST(file_order AS VARCHAR), '/', kind, '.parquet') AS path FROM manifest, (VALUES ('mask'), ('summary'), ('metadata')) AS k(kind)")
 def _(fx: Fixtures) -> DataFrame:
-    wide = fx.table("region").select(F.col("r_name").alias("run"), F.concat(F.lit("/runs/"), "r_name", F.lit("/mask.parquet")).alias("mask"), F.concat(F.lit("/runs/"), "r_name", F.lit("/summary.parquet")).alias("summary"))
-    return wide.unpivot("run", ["mask", "summary"], "kind", "path")
+    """Runs append the paths of what they made; one form gives them as columns, one as rows."""
+    path = lambda kind: F.concat(F.lit("/runs/"), F.lower("iso3_text"), F.lit("/"), F.col("file_order").cast("string"), F.lit(f"/{kind}.parquet"))
+    wide = fx.manifest.select(F.col("file_order").alias("run"), path("mask").alias("mask"), path("summary").alias("summary")).unpivot("run", ["mask", "summary"], "kind", "path")
+    at = files.write_parquet(wide, "artifacts")
+    files.write_parquet(fx.manifest.select(F.col("file_order").alias("run"), F.lit("metadata").alias("kind"), path("metadata").alias("path")), "artifacts", path=at)
+    return fx.spark.read.parquet(at)
 
 
 @query("filter_admin_country", "SELECT admin_id, pcode FROM admin_units WHERE upper(iso3) = 'ASIA' AND admin_level = 1")
@@ -265,21 +272,6 @@ def _(fx: Fixtures) -> DataFrame:
     return fx.conflict_events.select("event_id", S.buffer_km(F.col("event_type"), F.col("fatalities")).alias("buffer_km"))
 
 
-@query("radii_family", "SELECT event_id, CASE WHEN least(r34_ne, r34_se, r34_sw, r34_nw) > 0 AND r34_nw IS NOT NULL THEN 'usa' ELSE 'none' END AS agency, CASE WHEN r34_nw IS NOT NULL THEN round(r34_ne * 1.852, 6) END AS ne_km, CASE WHEN r34_nw IS NOT NULL THEN round(r34_nw * 1.852, 6) END AS nw_km FROM track_points")
-def _(fx: Fixtures) -> DataFrame:
-    """Quadrants grouped by point and agency; four positive ones make a family."""
-    long = tracks.long_radii(fx.track_points).where("radius_nm > 0").withColumn("agency", F.lit("usa"))
-    q = lambda n: F.round(F.max(F.when(F.col("quadrant") == n, F.col("radius_nm"))) * S.NM_TO_KM, 6)
-    fam = long.groupBy("event_id", "agency").agg(F.count("*").alias("n"), q("r34_ne").alias("ne_km"), q("r34_nw").alias("nw_km")).where("n = 4")
-    return fx.track_points.select("event_id").join(fam.drop("n"), "event_id", "left").withColumn("agency", F.coalesce("agency", F.lit("none"))).select("event_id", "agency", "ne_km", "nw_km")
-
-
-@query("threshold_map", "SELECT kmh, knots FROM (VALUES (63, 34), (93, 50), (119, 64)) AS t(kmh, knots), (SELECT DISTINCT 1 FROM track_points)")
-def _(fx: Fixtures) -> DataFrame:
-    pairs = F.map_from_entries(F.array(*[F.struct(F.lit(a), F.lit(b)) for a, b in S.KMH_TO_KNOTS.items()]))
-    return fx.track_points.select(F.lit(1).alias("one")).distinct().select(F.explode(pairs).alias("kmh", "knots"))
-
-
 @query("admin_level_resolve", "SELECT admin_id, 1 AS level, 'admin1' AS label, 'adm1_pcode' AS pcode_label FROM admin_units")
 def _(fx: Fixtures) -> DataFrame:
     level = F.coalesce(F.lit(None).cast("int"), F.regexp_extract(F.concat(F.lit("layer_adm"), F.col("admin_level").cast("string")), r"(\d+)", 1).cast("int"))
@@ -308,12 +300,6 @@ def _(fx: Fixtures) -> DataFrame:
     return tok.select("file_order", F.trim(F.substring_index("tok", " ", 1)).alias("severity"), F.trim(F.substring_index("tok", " ", -1)).alias("field"))
 
 
-@query("provisional_flag", "SELECT sid, bool_or(track_type = 'PROVISIONAL') AS any_provisional, CASE WHEN bool_or(track_type = 'PROVISIONAL') THEN true WHEN bool_or(track_type = 'MAIN') THEN false ELSE max(iso_time) >= TIMESTAMP '2022-01-31' END AS provisional FROM track_points GROUP BY sid")
-def _(fx: Fixtures) -> DataFrame:
-    p, m = F.bool_or(F.col("track_type") == "PROVISIONAL"), F.bool_or(F.col("track_type") == "MAIN")
-    return fx.track_points.groupBy("sid").agg(p.alias("any_provisional"), F.when(p, True).when(m, False).otherwise(F.max("iso_time") >= F.lit("2022-01-31").cast("timestamp_ntz")).alias("provisional"))
-
-
 @query("close_enough", "SELECT l_orderkey, l_linenumber, abs(l_extendedprice - 900 * l_quantity) <= greatest(0.5e0 * greatest(abs(l_extendedprice), abs(900 * l_quantity)), 1e-6) AS close FROM lineitem")
 def _(fx: Fixtures) -> DataFrame:
     return fx.table("lineitem").select("l_orderkey", "l_linenumber", S.close_enough(F.col("l_extendedprice"), 900 * F.col("l_quantity"), 1e-6, 0.5).alias("close"))
@@ -360,6 +346,13 @@ def _(fx: Fixtures) -> DataFrame:
 DROUGHT_MASK = f"SELECT hcell_id, bool_or(value <= -1.5) AS affected FROM hazard_monthly WHERE month_start IN ({MONTHS}) GROUP BY hcell_id"
 
 
+def drought_floor(fx: Fixtures) -> DataFrame:
+    """(drought_id, spei): the least value of the window; any month is at or below a
+    threshold if and only if the least one is."""
+    h = fx.hazard_monthly.join(F.broadcast(months_of(fx, "2001-08-01", 12)), "month_start", "left_semi")
+    return h.groupBy(F.col("hcell_id").alias("drought_id")).agg(F.min(F.when(~F.isnan("value"), F.col("value"))).alias("spei"))
+
+
 def drought_mask(fx: Fixtures, t: float = -1.5) -> DataFrame:
     h = fx.hazard_monthly.join(F.broadcast(months_of(fx, "2001-08-01", 12)), "month_start", "left_semi")
     return temporal.any_over_time(h, "hcell_id", F.col("value") <= t)
@@ -390,11 +383,6 @@ def _(fx: Fixtures) -> DataFrame:
     return align.align_average(fx.population_cells, "pop", 2, 5, 10)
 
 
-@query("broadcast_semi_candidate_storms", "SELECT event_id, sid FROM track_points WHERE sid IN (SELECT sid FROM track_points WHERE lon BETWEEN 31 AND 33 AND lat BETWEEN 19 AND 21)")
-def _(fx: Fixtures) -> DataFrame:
-    return tracks.near_box(fx.track_points, 31.5, 19.5, 32.5, 20.5, 0.5).select("event_id", "sid")
-
-
 @query("range_bbox_overlap", "SELECT item_id, u.admin_id FROM stac_items s JOIN (SELECT admin_id, 30 + min(x) * 0.1e0 AS w, 30 + max(x) * 0.1e0 AS e, 20 - max(y) * 0.1e0 AS s, 20 - min(y) * 0.1e0 AS n FROM admin_points GROUP BY admin_id) u ON s.west < u.e AND s.east > u.w AND s.south < u.n AND s.north > u.s")
 def _(fx: Fixtures) -> DataFrame:
     """The theta join made equi by one-degree tiles; a pair counts in its first tile."""
@@ -405,44 +393,10 @@ def _(fx: Fixtures) -> DataFrame:
     return left.join(right, ["tx", "ty"]).where("west < e and east > w and south < n and north > s").where(first).select("item_id", "admin_id")
 
 
-STORMS = "SELECT sid, regexp_replace(regexp_replace(upper(trim(min(name))), '-[0-9]+$', ''), '[^A-Z0-9]', '', 'g') AS nm, CAST(min(iso_time) AS DATE) AS d0, CAST(max(iso_time) AS DATE) AS d1 FROM track_points GROUP BY sid"
-EXTERNAL = "SELECT event_id AS ext_id, regexp_replace(regexp_replace(upper(trim(name)), '-[0-9]+$', ''), '[^A-Z0-9]', '', 'g') AS nm, CAST(iso_time AS DATE) AS e0, CAST(CAST(iso_time AS DATE) + INTERVAL 2 DAY AS DATE) AS e1 FROM track_points WHERE event_id % 50 = 0"
-
-
-def matched_storms(fx: Fixtures) -> DataFrame:
-    """Each storm's external event: equal name, overlapping dates padded by 3 days, the
-    nearest padded start, then the smaller id."""
-    t = fx.track_points
-    storms = t.groupBy("sid").agg(S.norm_storm_name(F.min("name")).alias("nm"), F.to_date(F.min("iso_time")).alias("d0"), F.to_date(F.max("iso_time")).alias("d1"))
-    d = F.to_date("iso_time")
-    ext = t.where("event_id % 50 = 0").select(F.col("event_id").alias("ext_id"), S.norm_storm_name(F.col("name")).alias("nm"), d.alias("e0"), F.date_add(d, 2).alias("e1"))
-    met = storms.join(ext, "nm").where((F.col("e0") <= F.date_add("d1", 3)) & (F.col("e1") >= F.date_sub("d0", 3)))
-    gap = F.abs(F.datediff("e0", F.date_sub("d0", 3)))
-    return storms.select("sid").join(met.groupBy("sid").agg(F.min_by("ext_id", F.struct(gap, F.col("ext_id"))).alias("ext_id")), "sid", "left")
 
 
-@query("interval_match_events", f"SELECT s.sid, arg_min(ext_id, abs(date_diff('day', d0 - INTERVAL 3 DAY, e0)) * 1000000000 + ext_id) AS ext_id FROM ({STORMS}) s LEFT JOIN ({EXTERNAL}) e ON e.nm = s.nm AND e0 <= d1 + INTERVAL 3 DAY AND e1 >= d0 - INTERVAL 3 DAY GROUP BY s.sid")
-def _(fx: Fixtures) -> DataFrame:
-    return matched_storms(fx)
-
-
-NEXT_OBS = "SELECT event_id, lead(event_id) OVER w AS next_event_id, round((epoch_us(lead(iso_time) OVER w) - epoch_us(iso_time)) / 3.6e9, 6) AS gap_hours FROM track_points WHERE r34_nw > 0 AND r34_ne > 0 AND r34_se > 0 AND r34_sw > 0 WINDOW w AS (PARTITION BY sid ORDER BY iso_time, event_id)"
-
-
-@query("asof_next_observation", f"SELECT event_id, next_event_id, gap_hours FROM ({NEXT_OBS}) WHERE gap_hours <= 12")
-def _(fx: Fixtures) -> DataFrame:
-    return tracks.next_observation(fx.track_points).where("linked").select("event_id", "next_event_id", "gap_hours")
 
 
-BANDS = "SELECT sid, completeness, max_wind, threshold, coalesce(max_wind >= knots, true) AS expected, completeness >= 0.75 AS adequate FROM (SELECT sid, round(avg(CASE WHEN r34_nw > 0 AND r34_ne > 0 AND r34_se > 0 AND r34_sw > 0 THEN 1e0 ELSE 0e0 END), 6) AS completeness, max(wind) AS max_wind FROM track_points GROUP BY sid), (VALUES (63, 34), (93, 50), (119, 64)) AS b(threshold, knots)"
-
-
-@query("fallback_footprint_join", f"SELECT sid, threshold, CASE WHEN adequate THEN 'primary' WHEN expected AND sid % 2 = 0 THEN 'fallback' ELSE 'none' END AS method FROM ({BANDS})")
-def _(fx: Fixtures) -> DataFrame:
-    b = tracks.bands(tracks.completeness(fx.track_points), 0.75)
-    fallback = b.where("sid % 2 = 0").select("sid", "threshold", F.lit("fallback").alias("fb"))
-    method = F.when(F.col("adequate"), "primary").otherwise(F.coalesce(F.when(F.col("expected"), F.col("fb")), F.lit("none")))
-    return b.join(fallback, ["sid", "threshold"], "left").select("sid", "threshold", method.alias("method"))
 
 
 @query("readiness_preflight_join", "SELECT c_custkey AS task_id, CASE WHEN o_custkey IS NULL THEN 'MISSING' ELSE 'PASS' END AS preflight FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') ON c_custkey = o_custkey")
@@ -456,10 +410,9 @@ def _(fx: Fixtures) -> DataFrame:
     return zonal.labelled_sum(fx.population_cells.where("row_no < 2"), fx.admin_cells, fx.admin_units, {"total": F.col("pop")})
 
 
-@query("missing_months_anti", f"SELECT month_start FROM ({MONTHS}) WHERE month_start NOT IN (SELECT month_start FROM hazard_monthly WHERE hcell_id % 7 = 0 AND month(month_start) <> 3)")
+@query("missing_months_anti", "SELECT month_start FROM (SELECT CAST(unnest(range(DATE '2001-05-01', DATE '2002-04-02', INTERVAL 1 MONTH)) AS DATE) AS month_start) WHERE month_start NOT IN (SELECT month_start FROM hazard_monthly)")
 def _(fx: Fixtures) -> DataFrame:
-    have = fx.hazard_monthly.where("hcell_id % 7 = 0 and month(month_start) <> 3").select("month_start").distinct()
-    return months_of(fx, "2001-08-01", 12).join(have, "month_start", "left_anti")
+    return months_of(fx, "2002-04-01", 12).join(fx.hazard_monthly.select("month_start").distinct(), "month_start", "left_anti")
 
 
 @query("missing_parent_anti", "SELECT c_custkey AS task_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
@@ -558,16 +511,6 @@ def _(fx: Fixtures) -> DataFrame:
     return t.withColumn("fraction", F.round(F.col("assigned") / F.col("total"), 6)).withColumn("within", (F.col("assigned") / F.col("total")).between(0.98, 1.02))
 
 
-@query("radii_completeness", f"SELECT DISTINCT sid, completeness FROM ({BANDS})")
-def _(fx: Fixtures) -> DataFrame:
-    return tracks.completeness(fx.track_points).select("sid", "completeness")
-
-
-@query("max_wind", "SELECT sid, max(wind) AS max_wind FROM track_points GROUP BY sid")
-def _(fx: Fixtures) -> DataFrame:
-    return tracks.completeness(fx.track_points).select("sid", "max_wind")
-
-
 @query("first_text", "SELECT sid, arg_min(name, event_id) AS first_name FROM track_points WHERE name IS NOT NULL GROUP BY sid")
 def _(fx: Fixtures) -> DataFrame:
     return fx.track_points.where("name is not null").groupBy("sid").agg(F.min_by("name", F.struct("iso_time", "event_id")).alias("first_name"))
@@ -583,9 +526,20 @@ def _(fx: Fixtures) -> DataFrame:
     return fx.conflict_events.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query("baseline_percentiles", "SELECT round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM hazard_daily")
+LABELLED_DAYS = "SELECT iso3, value FROM hazard_daily JOIN (SELECT DISTINCT CAST(floor(row_no / 2) * 10 + floor(col_no / 5) AS BIGINT) AS hcell_id, iso3 FROM population_cells JOIN admin_cells USING (cell_id)) USING (hcell_id)"
+
+
+def baseline(fx: Fixtures, approximate: int | None = None) -> DataFrame:
+    """Percentiles of all cell-days of each country; ``approximate`` gives the accuracy of a
+    bounded sketch in place of exact ones, for countries whose days don't fit a task."""
+    cells = fx.population_cells.join(fx.admin_cells.select("cell_id", "iso3"), "cell_id").select(align.hazard_cell(F.col("row_no"), F.col("col_no"), 2, 5, 10).alias("hcell_id"), "iso3").distinct()
+    of = (lambda p: F.percentile("value", p)) if approximate is None else (lambda p: F.percentile_approx("value", p, approximate))
+    return fx.hazard_daily.join(cells, "hcell_id").groupBy("iso3").agg(*[F.round(of(p), 6).alias(n) for n, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))])
+
+
+@query("baseline_percentiles", f"SELECT iso3, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM ({LABELLED_DAYS}) GROUP BY iso3")
 def _(fx: Fixtures) -> DataFrame:
-    return fx.hazard_daily.agg(*[F.round(F.percentile("value", p), 6).alias(n) for n, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))])
+    return baseline(fx)
 
 
 @query("pct_distribution", f"SELECT round(min(p), 6) AS lo, round(quantile_cont(p, 0.25), 6) AS p25, round(quantile_cont(p, 0.5), 6) AS median, round(quantile_cont(p, 0.75), 6) AS p75, round(max(p), 6) AS hi FROM (SELECT CASE WHEN {dec('pop')} > 0 THEN round(100 * {dec('CASE WHEN flood_days > 20 THEN pop ELSE 0 END')} / {dec('pop')}, 6) END AS p FROM ({POP_FLOOD}) GROUP BY admin_id)")
@@ -593,9 +547,12 @@ def _(fx: Fixtures) -> DataFrame:
     return flood_units(fx).agg(F.round(F.min("pct_affected"), 6).alias("lo"), *[F.round(F.percentile("pct_affected", p), 6).alias(n) for n, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))], F.round(F.max("pct_affected"), 6).alias("hi"))
 
 
-@query("finite_by_month", "SELECT month_start, count(*) AS n, count(*) FILTER (WHERE value > 0) AS positive, round(median(value), 6) AS median FROM hazard_monthly GROUP BY month_start")
+@query("finite_by_month", "SELECT month_start, count(*) FILTER (WHERE isfinite(x)) AS finite, count(*) FILTER (WHERE NOT isfinite(x)) AS missing, round(min(x) FILTER (WHERE isfinite(x)), 6) AS least, round(median(x) FILTER (WHERE isfinite(x)), 6) AS median, round(max(x) FILTER (WHERE isfinite(x)), 6) AS most FROM (SELECT month_start, CASE WHEN value > 1.2 THEN CAST('NaN' AS DOUBLE) ELSE value END AS x FROM hazard_monthly) GROUP BY month_start")
 def _(fx: Fixtures) -> DataFrame:
-    return fx.hazard_monthly.groupBy("month_start").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 0).alias("positive"), F.round(F.percentile("value", 0.5), 6).alias("median"))
+    """Finite and missing values of each month; values out of range are held as NaN."""
+    x = F.when(F.col("value") > 1.2, F.lit(float("nan"))).otherwise(F.col("value"))
+    h = fx.hazard_monthly.select("month_start", F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x).alias("x"))
+    return h.groupBy("month_start").agg(F.count("x").alias("finite"), F.count_if(F.col("x").isNull()).alias("missing"), F.round(F.min("x"), 6).alias("least"), F.round(F.percentile("x", 0.5), 6).alias("median"), F.round(F.max("x"), 6).alias("most"))
 
 
 @query("total_bounds", "SELECT min(longitude) AS w, min(latitude) AS s, max(longitude) AS e, max(latitude) AS n FROM conflict_events")
@@ -637,11 +594,6 @@ def _(fx: Fixtures) -> DataFrame:
     return u.select("admin_id", F.when(total > 0, F.round(F.col("pop_total") / total, 6)).alias("share"))
 
 
-@query("agency_set", "SELECT sid, array_to_string(list_sort(list(DISTINCT track_type)), ',') AS agencies FROM track_points GROUP BY sid")
-def _(fx: Fixtures) -> DataFrame:
-    return fx.track_points.groupBy("sid").agg(F.array_join(F.array_sort(F.collect_set("track_type")), ",").alias("agencies"))
-
-
 # Windows
 
 ISLANDS = "SELECT DISTINCT hcell_id FROM (SELECT hcell_id, axis_idx - row_number() OVER (PARTITION BY hcell_id ORDER BY axis_idx) AS g FROM (SELECT hcell_id, day FROM hazard_daily WHERE value > {t}) JOIN (SELECT day, row_number() OVER (ORDER BY day) AS axis_idx FROM (SELECT DISTINCT day FROM hazard_daily)) USING (day)) GROUP BY hcell_id, g HAVING count(*) >= 3"
@@ -663,10 +615,12 @@ def _(fx: Fixtures) -> DataFrame:
     return temporal.first_per(e, ["user_id", "day"], [F.col("event_id")])
 
 
-@query("prefer_consolidated", "SELECT y, m, min(dataset_type) AS dataset_type FROM (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, CASE o_orderstatus WHEN 'F' THEN 'consolidated' ELSE 'intermediate' END AS dataset_type FROM orders WHERE o_custkey % 40 = 0) GROUP BY y, m")
+@query("prefer_consolidated", "SELECT y, m, min(dataset_type) AS dataset_type, arg_min(file, dataset_type || lpad(CAST(file AS VARCHAR), 20, '0')) AS file FROM (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, o_orderkey AS file, CASE WHEN o_orderstatus = 'F' AND o_totalprice > 495000 THEN 'consolidated' ELSE 'intermediate' END AS dataset_type FROM orders) GROUP BY y, m")
 def _(fx: Fixtures) -> DataFrame:
-    f = fx.table("orders").where("o_custkey % 40 = 0").select(F.year("o_orderdate").cast("long").alias("y"), F.month("o_orderdate").cast("long").alias("m"), F.when(F.col("o_orderstatus") == "F", "consolidated").otherwise("intermediate").alias("dataset_type"))
-    return temporal.first_per(f, ["y", "m"], [F.col("dataset_type")])
+    """The best file of each month: consolidated before intermediate, then the first. A
+    minimum, so that partial results are merged and no month is one task's sort."""
+    f = fx.table("orders").select(F.year("o_orderdate").cast("long").alias("y"), F.month("o_orderdate").cast("long").alias("m"), F.struct(F.when((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 495000), "consolidated").otherwise("intermediate").alias("dataset_type"), F.col("o_orderkey").alias("file")).alias("best"))
+    return f.groupBy("y", "m").agg(F.min("best").alias("best")).select("y", "m", "best.*")
 
 
 @query("latest_product", "SELECT l_orderkey, arg_max(l_linenumber, l_quantity * 1000 + l_linenumber) AS line FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_orderkey")
@@ -677,12 +631,12 @@ def _(fx: Fixtures) -> DataFrame:
     return p.select("l_orderkey", best["updated"].alias("line")).where("line is not null")
 
 
-@query("grid_content_preference", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'a/grid.xml' WHEN event_id % 5 = 0 THEN 'b/grid.xml.zip' END AS content FROM quake_catalog")
+@query("grid_content_preference", "SELECT event_id, arg_min(content, CASE WHEN ends_with(content, 'grid.xml') THEN 1 WHEN ends_with(content, 'grid.xml.zip') THEN 2 ELSE 3 END) AS content FROM quake_products GROUP BY event_id")
 def _(fx: Fixtures) -> DataFrame:
-    none = F.create_map().cast("map<string,string>")
-    contents = F.map_concat(F.when(F.col("event_id") % 3 == 0, F.create_map(F.lit("a/grid.xml"), F.lit("u"))).otherwise(none), F.when(F.col("event_id") % 5 == 0, F.create_map(F.lit("b/grid.xml.zip"), F.lit("u"))).otherwise(none))
-    first = lambda suffix: F.element_at(F.map_keys(F.map_filter(contents, lambda k, _: k.endswith(suffix))), 1)
-    return fx.quake_catalog.select("event_id", F.coalesce(F.try_element_at(F.map_keys(F.map_filter(contents, lambda k, _: k.endswith("grid.xml"))), F.lit(1)), F.try_element_at(F.map_keys(F.map_filter(contents, lambda k, _: k.endswith("grid.xml.zip"))), F.lit(1))).alias("content"))
+    """Of all contents of an event's products the first by preference of suffix."""
+    c = F.col("content")
+    rank = F.when(F.lower(c).endswith("download/grid.xml"), 1).when(F.lower(c).endswith("download/grid.xml.zip"), 2).when(F.lower(c).endswith("download/shape.zip"), 3)
+    return fx.quake_products.where(rank.isNotNull()).groupBy("event_id").agg(F.min_by("content", rank).alias("content"))
 
 
 @query("latest_step_status", "SELECT o_custkey AS task_id, o_orderpriority AS step, arg_max(o_orderstatus, o_orderkey) AS status, arg_max(o_orderstatus, o_orderkey) IN ('F', 'P') AS done FROM orders GROUP BY o_custkey, o_orderpriority")

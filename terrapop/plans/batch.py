@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
-from terrapop.operators import temporal
+from terrapop.operators import grid, temporal
 from terrapop.sources.fixtures import Fixtures
 
 from .basic import ERRORS, PARSED, UNIT_PCT, dec, flood_units, parsed_manifest
+from .geometry import INSIDE, event_xy
 from .registry import query
 
 TASKS = f"SELECT row_number() OVER (ORDER BY file_order) AS task_id, file_order, iso3, as_of, lookback, level, errors, errors = '' AS is_valid FROM (SELECT *, {ERRORS} AS errors FROM ({PARSED}))"
@@ -33,18 +34,30 @@ def _(fx: Fixtures) -> DataFrame:
     return tasks(fx)
 
 
-READY = f"""SELECT task_id, iso3, is_valid, is_valid AND pop IS NOT NULL AS can_flood, is_valid AND ev IS NOT NULL AS can_violence,
- concat_ws('; ', CASE WHEN NOT is_valid THEN 'invalid_manifest:' || errors END, CASE WHEN pop IS NULL THEN 'missing_population' END, CASE WHEN ev IS NULL THEN 'missing_events' END) AS issues
- FROM ({TASKS}) t LEFT JOIN (SELECT DISTINCT c_custkey AS file_order, 1 AS pop FROM customer WHERE c_acctbal > 0) p USING (file_order) LEFT JOIN (SELECT DISTINCT o_custkey AS file_order, 1 AS ev FROM orders) e USING (file_order)"""
+PIPELINES = ("spei", "utci", "flood", "violence", "earthquake", "cyclone")
+#: What a pipeline needs beside the common gates, by name of the inventory column.
+NEEDS = {"violence": "ev", "earthquake": "cat", "cyclone": "trk"}
+READY = f"""SELECT task_id, file_order, iso3, is_valid, {', '.join(f"coalesce(is_valid AND pop IS NOT NULL AND features IS NOT NULL{f' AND {NEEDS[p]} IS NOT NULL' if p in NEEDS else ''}, false) AS can_{p}" for p in PIPELINES)},
+ CASE WHEN NOT is_valid THEN 'invalid_manifest:' || errors ELSE concat_ws('; ', CASE WHEN pop IS NULL THEN 'missing_population' END, CASE WHEN NOT has_layer THEN 'missing_admin_layer:' || CAST(level AS VARCHAR) WHEN features IS NULL THEN 'iso3_not_found:' || iso3 END, CASE WHEN ev IS NULL THEN 'missing_events' END, CASE WHEN cat IS NULL THEN 'missing_catalog' END, CASE WHEN trk IS NULL THEN 'missing_tracks' END) END AS issues
+ FROM (SELECT t.*, p.pop, e.ev, c.cat, k.trk, l.features, t.level IN (SELECT x.level FROM admin_layers x) AS has_layer FROM ({TASKS}) t LEFT JOIN (SELECT DISTINCT c_custkey AS file_order, 1 AS pop FROM customer WHERE c_acctbal > 0) p USING (file_order) LEFT JOIN (SELECT DISTINCT o_custkey AS file_order, 1 AS ev FROM orders) e USING (file_order)
+ LEFT JOIN (SELECT DISTINCT event_id AS file_order, 1 AS cat FROM quake_catalog WHERE event_type = 'earthquake') c USING (file_order) LEFT JOIN (SELECT DISTINCT sid AS file_order, 1 AS trk FROM track_points) k USING (file_order) LEFT JOIN admin_layers l ON l.iso3 = t.iso3 AND l.level = t.level)"""
 
 
 def readiness(fx: Fixtures) -> DataFrame:
-    t = tasks(fx)
-    pop = fx.table("customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("file_order"), F.lit(1).alias("pop")).distinct()
-    ev = fx.table("orders").select(F.col("o_custkey").alias("file_order"), F.lit(1).alias("ev")).distinct()
-    j = t.join(pop, "file_order", "left").join(ev, "file_order", "left")
-    issues = F.concat_ws("; ", F.when(~F.col("is_valid"), F.concat(F.lit("invalid_manifest:"), "errors")), F.when(F.col("pop").isNull(), "missing_population"), F.when(F.col("ev").isNull(), "missing_events"))
-    return j.select("task_id", "iso3", "is_valid", (F.col("is_valid") & F.col("pop").isNotNull()).alias("can_flood"), (F.col("is_valid") & F.col("ev").isNotNull()).alias("can_violence"), issues.alias("issues"))
+    """Each task's gates for the six pipelines and its issues. Common gates: a valid manifest
+    row, a population file, an administrative layer of the level with features of the
+    country; some pipelines need an inventory of their own."""
+    have = lambda df, c, name: df.select(F.col(c).alias("file_order"), F.lit(1).alias(name)).distinct()
+    layers = fx.admin_layers
+    j = tasks(fx).join(have(fx.table("customer").where("c_acctbal > 0"), "c_custkey", "pop"), "file_order", "left").join(have(fx.table("orders"), "o_custkey", "ev"), "file_order", "left")
+    j = j.join(have(fx.quake_catalog.where("event_type = 'earthquake'"), "event_id", "cat"), "file_order", "left").join(have(fx.track_points, "sid", "trk"), "file_order", "left")
+    j = j.join(F.broadcast(layers.select("level").distinct().withColumn("has_layer", F.lit(True))), "level", "left").join(F.broadcast(layers), ["level", "iso3"], "left")
+    common = F.col("is_valid") & F.col("pop").isNotNull() & F.col("features").isNotNull()
+    gates = [(common & F.col(NEEDS[p]).isNotNull() if p in NEEDS else common).alias(f"can_{p}") for p in PIPELINES]
+    layer = F.when(F.col("has_layer").isNull(), F.concat(F.lit("missing_admin_layer:"), F.col("level").cast("string"))).when(F.col("features").isNull(), F.concat(F.lit("iso3_not_found:"), "iso3"))
+    found = F.concat_ws("; ", F.when(F.col("pop").isNull(), "missing_population"), layer, *[F.when(F.col(c).isNull(), t) for c, t in (("ev", "missing_events"), ("cat", "missing_catalog"), ("trk", "missing_tracks"))])
+    issues = F.when(~F.col("is_valid"), F.concat(F.lit("invalid_manifest:"), "errors")).otherwise(found)
+    return j.select("task_id", "file_order", "iso3", "is_valid", *gates, issues.alias("issues"))
 
 
 @query("evaluate_readiness", READY)
@@ -52,13 +65,34 @@ def _(fx: Fixtures) -> DataFrame:
     return readiness(fx)
 
 
-PREFLIGHT = f"SELECT task_id, pipeline, CASE WHEN NOT can THEN 'SKIP' WHEN cov >= 90 THEN 'PASS' WHEN cov >= 50 THEN 'WARN' ELSE 'FAIL' END AS status FROM (SELECT task_id, 'flood' AS pipeline, can_flood AS can, (task_id * 37) % 101 AS cov FROM ({READY}) UNION ALL SELECT task_id, 'violence', can_violence, (task_id * 53) % 101 FROM ({READY}))"
+#: Box of each task's unit, and what share of it the task's layer covers (G5); events and
+#: storms inside the unit (J6).
+UNIT_BOX = "SELECT admin_id, 30 + min(x) * 0.1e0 AS w, 30 + max(x) * 0.1e0 AS e, 20 - max(y) * 0.1e0 AS s, 20 - min(y) * 0.1e0 AS n FROM admin_points GROUP BY admin_id"
+TASK_LAYER = "SELECT o_custkey AS file_order, min(west) AS lw, min(south) AS ls, max(east) AS le, max(north) AS ln FROM stac_items JOIN orders ON o_orderkey = item_id WHERE href IS NOT NULL GROUP BY o_custkey"
+SEEN_UNITS = f"SELECT u.admin_id, coalesce(events, 0) AS events, coalesce(quakes, 0) AS quakes FROM admin_units u LEFT JOIN (SELECT admin_id, count(*) AS events FROM ({INSIDE}) GROUP BY admin_id) i USING (admin_id) LEFT JOIN (SELECT c_nationkey + 1 AS admin_id, count(*) AS quakes FROM shake_cells JOIN customer ON c_custkey = hcell_id WHERE mmi >= 6 GROUP BY c_nationkey) q USING (admin_id)"
+PREFLIGHT = f"""SELECT task_id, pipeline, CASE WHEN NOT can THEN 'SKIP' WHEN pipeline IN ('spei', 'utci', 'flood') THEN CASE WHEN cov IS NULL THEN 'FAIL' WHEN cov >= 99.999 THEN 'PASS' ELSE 'WARN' END WHEN n > 0 THEN 'PASS' ELSE 'WARN' END AS status
+ FROM (SELECT task_id, unnest(['spei', 'utci', 'flood', 'violence', 'earthquake', 'cyclone']) AS pipeline, unnest([can_spei, can_utci, can_flood, can_violence, can_earthquake, can_cyclone]) AS can, round(100 * greatest(0, least(le, e) - greatest(lw, w)) * greatest(0, least(ln, n) - greatest(ls, s)) / ((e - w) * (n - s)), 6) AS cov, unnest([0, 0, 0, events, quakes, points]) AS n
+ FROM ({READY}) r JOIN customer ON c_custkey = file_order JOIN ({UNIT_BOX}) b ON b.admin_id = c_nationkey + 1 JOIN ({SEEN_UNITS}) v ON v.admin_id = b.admin_id LEFT JOIN ({TASK_LAYER}) l USING (file_order) LEFT JOIN (SELECT sid AS file_order, count(*) AS points FROM track_points WHERE usa_wind >= 34 GROUP BY sid) p USING (file_order))"""
 
 
 def preflight(fx: Fixtures) -> DataFrame:
-    r = readiness(fx).select("task_id", F.explode(F.array(F.struct(F.lit("flood").alias("pipeline"), F.col("can_flood").alias("can"), ((F.col("task_id") * 37) % 101).alias("cov")), F.struct(F.lit("violence").alias("pipeline"), F.col("can_violence").alias("can"), ((F.col("task_id") * 53) % 101).alias("cov")))).alias("p"))
-    cov = F.col("p.cov")
-    return r.select("task_id", "p.pipeline", F.when(~F.col("p.can"), "SKIP").when(cov >= 90, "PASS").when(cov >= 50, "WARN").otherwise("FAIL").alias("status"))
+    """PASS, WARN, FAIL or SKIP of each task and pipeline: for gridded layers by how much of
+    the unit's box the task's layer covers, for the others by what lies in the unit."""
+    box = fx.admin_points.groupBy("admin_id").agg((30 + F.min("x") * 0.1).alias("w"), (30 + F.max("x") * 0.1).alias("e"), (20 - F.max("y") * 0.1).alias("s"), (20 - F.min("y") * 0.1).alias("n"))
+    events = grid.points_in_units(event_xy(fx), fx.admin_points).groupBy("admin_id").agg(F.count("*").alias("events"))
+    unit = fx.table("customer").select(F.col("c_custkey").alias("file_order"), (F.col("c_nationkey") + 1).cast("long").alias("admin_id"))
+    quakes = fx.shake_cells.where("mmi >= 6").join(unit.withColumnRenamed("file_order", "hcell_id"), "hcell_id").groupBy("admin_id").agg(F.count("*").alias("quakes"))
+    units = F.broadcast(box.join(events, "admin_id", "left").join(quakes, "admin_id", "left"))
+    items = fx.stac_items.where("href is not null").join(fx.table("orders").select(F.col("o_orderkey").alias("item_id"), F.col("o_custkey").alias("file_order")), "item_id")
+    layers = items.groupBy("file_order").agg(F.min("west").alias("lw"), F.min("south").alias("ls"), F.max("east").alias("le"), F.max("north").alias("ln"))
+    storms = fx.track_points.where("usa_wind >= 34").groupBy(F.col("sid").alias("file_order")).agg(F.count("*").alias("points"))
+    r = readiness(fx).join(unit, "file_order").join(units, "admin_id").join(layers, "file_order", "left").join(storms, "file_order", "left")
+    cov = F.round(grid.bbox_coverage(tuple(F.col(c) for c in ("w", "s", "e", "n")), tuple(F.col(c) for c in ("lw", "ls", "le", "ln"))), 6)
+    covered = F.when(F.col("lw").isNull(), "FAIL").when(cov >= 99.999, "PASS").otherwise("WARN")
+    counted = lambda c: F.when(F.coalesce(c, F.lit(0)) > 0, "PASS").otherwise("WARN")
+    status = {"violence": counted("events"), "earthquake": counted("quakes"), "cyclone": counted("points")}
+    each = F.array(*[F.struct(F.lit(p).alias("pipeline"), F.when(~F.col(f"can_{p}"), "SKIP").otherwise(status.get(p, covered)).alias("status")) for p in PIPELINES])
+    return r.select("task_id", F.explode(each).alias("p")).select("task_id", "p.*")
 
 
 @query("preflight_status", PREFLIGHT)
@@ -82,11 +116,11 @@ def _(fx: Fixtures) -> DataFrame:
     return issue_rows(fx).orderBy("severity", "task_id", "code")
 
 
-STEPS = f"SELECT task_id, 'flood' AS pipeline, can_flood AS eligible, CASE WHEN NOT is_valid THEN 'invalid_manifest' WHEN NOT can_flood THEN 'not_ready' END AS reason FROM ({READY}) UNION ALL SELECT task_id, 'violence', can_violence, CASE WHEN NOT is_valid THEN 'invalid_manifest' WHEN NOT can_violence THEN 'not_ready' END FROM ({READY})"
+STEPS = " UNION ALL ".join(f"SELECT task_id, '{p}' AS pipeline, can_{p} AS eligible, CASE WHEN NOT is_valid THEN 'invalid_manifest' WHEN NOT can_{p} THEN 'not_ready' END AS reason FROM ({READY})" for p in PIPELINES)
 
 
 def steps(fx: Fixtures) -> DataFrame:
-    r = readiness(fx).unpivot(["task_id", "is_valid"], ["can_flood", "can_violence"], "gate", "eligible")
+    r = readiness(fx).unpivot(["task_id", "is_valid"], [f"can_{p}" for p in PIPELINES], "gate", "eligible")
     return r.select("task_id", F.regexp_replace("gate", "^can_", "").alias("pipeline"), "eligible", F.when(~F.col("is_valid"), "invalid_manifest").when(~F.col("eligible"), "not_ready").alias("reason"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
-from terrapop.operators import align, grid, tracks
+from terrapop.operators import align, grid
 from terrapop.sources.fixtures import Fixtures
 
 from .basic import BUFFER, WINDOW_EVENTS, dec, window_events
@@ -72,9 +72,9 @@ UNION = """WITH b AS (SELECT DISTINCT greatest(west, 30e0) AS w, greatest(south,
  SELECT round(100 * coalesce(sum((x2 - x) * (y2 - y)), 0) / 8, 6) AS coverage_pct FROM xs, ys WHERE x2 IS NOT NULL AND y2 IS NOT NULL AND EXISTS (SELECT 1 FROM b WHERE w <= x AND e >= x2 AND s <= y AND n >= y2)"""
 
 
-@query("union_bbox_coverage", UNION.format(where="href IS NOT NULL AND item_id % 97 = 0"))
+@query("union_bbox_coverage", UNION.format(where="href IS NOT NULL"))
 def _(fx: Fixtures) -> DataFrame:
-    boxes = fx.stac_items.where("href is not null and item_id % 97 = 0").select(F.col("west").alias("w"), F.col("south").alias("s"), F.col("east").alias("e"), F.col("north").alias("n"))
+    boxes = fx.stac_items.where("href is not null").select(F.col("west").alias("w"), F.col("south").alias("s"), F.col("east").alias("e"), F.col("north").alias("n"))
     return grid.union_coverage(boxes, (30.0, 18.0, 34.0, 20.0))
 
 
@@ -91,7 +91,15 @@ def _(fx: Fixtures) -> DataFrame:
 
 HAV = "2 * 6371.0088e0 * asin(sqrt(least(1.0, pow(sin(radians({la2} - {la1}) / 2), 2) + cos(radians({la1})) * cos(radians({la2})) * pow(sin(radians({lo2} - {lo1}) / 2), 2))))"
 NEAREST = HAV.format(la1="latitude", lo1="longitude", la2="greatest(least(latitude, 20 - row_no * 0.1e0), 20 - row_no * 0.1e0 - 0.1e0)", lo2="least(greatest(longitude, 30 + col_no * 0.1e0), 30 + col_no * 0.1e0 + 0.1e0)")
-DISCS = f"SELECT event_id AS point_id, row_no, col_no FROM (SELECT event_id, longitude, latitude, {BUFFER} AS r FROM ({WINDOW_EVENTS})) e JOIN (SELECT row_no, col_no FROM (SELECT unnest(range(0, 30)) AS row_no), (SELECT unnest(range(0, 50)) AS col_no)) c ON abs(20 - (row_no + 0.5e0) * 0.1e0 - latitude) < 0.2 AND abs(30 + (col_no + 0.5e0) * 0.1e0 - longitude) < 0.2 WHERE round({NEAREST}, 6) <= r"
+
+
+def discs_sql(events: str) -> str:
+    """(point_id, event_ts, row_no, col_no) of the cells that events' buffers touch."""
+    return f"SELECT event_id AS point_id, event_ts, row_no, col_no FROM (SELECT event_id, event_ts, longitude, latitude, {BUFFER} AS r FROM ({events})) e JOIN (SELECT row_no, col_no FROM (SELECT unnest(range(0, 30)) AS row_no), (SELECT unnest(range(0, 50)) AS col_no)) c ON abs(20 - (row_no + 0.5e0) * 0.1e0 - latitude) < 0.2 AND abs(30 + (col_no + 0.5e0) * 0.1e0 - longitude) < 0.2 WHERE round({NEAREST}, 6) <= r"
+
+
+DISCS = f"SELECT point_id, row_no, col_no FROM ({discs_sql(WINDOW_EVENTS)})"
+ALL_DISCS = discs_sql("SELECT * FROM conflict_events WHERE event_type <> 'Protests'")
 
 
 def event_discs(fx: Fixtures) -> DataFrame:
@@ -114,12 +122,6 @@ def _(fx: Fixtures) -> DataFrame:
     return event_discs(fx).select("row_no", "col_no").distinct()
 
 
-@query("near_country", f"SELECT DISTINCT event_id FROM (SELECT event_id, lon, lat, round({HAV.format(la1='lat', lo1='lon', la2='greatest(17e0, least(20e0, lat))', lo2='greatest(30e0, least(33e0, lon))')}, 6) AS d FROM track_points) WHERE d <= 100")
-def _(fx: Fixtures) -> DataFrame:
-    near = S.haversine_km(F.col("lon"), F.col("lat"), F.greatest(F.lit(30.0), F.least(F.lit(33.0), F.col("lon"))), F.greatest(F.lit(17.0), F.least(F.lit(20.0), F.col("lat"))))
-    return fx.track_points.where(F.round(near, 6) <= 100).select("event_id").distinct()
-
-
 @query("bbox_area_km2", "SELECT item_id, round(6371.0088e0 * 6371.0088e0 * radians(east - west) * (sin(radians(north)) - sin(radians(south))), 4) AS km2 FROM stac_items")
 def _(fx: Fixtures) -> DataFrame:
     return fx.stac_items.select("item_id", F.round(S.bbox_area_km2(F.col("west"), F.col("south"), F.col("east"), F.col("north")), 4).alias("km2"))
@@ -147,42 +149,6 @@ def _(fx: Fixtures) -> DataFrame:
     return grid.fill(fx.admin_points).join(fx.population_cells, ["row_no", "col_no"]).groupBy("admin_id").agg(S.dsum(F.col("pop")).alias("pop"))
 
 
-@query("great_circle_interpolate")
-def _(fx: Fixtures) -> DataFrame:
-    linked = tracks.next_observation(fx.track_points)
-    return tracks.interpolated(linked).select("sid", "event_id", "step", "steps", "lon", "lat")
-
-
-def swath_cells(fx: Fixtures) -> DataFrame:
-    """(sid, wind, row_no, col_no): cell centres inside a storm's interpolated swath."""
-    steps = tracks.interpolated(tracks.next_observation(fx.track_points))
-    reach = F.greatest(*[F.col(q) for q in tracks.QUADRANTS]) * S.NM_TO_KM
-    points = steps.withColumn("point_id", F.struct("sid", "event_id", "step", *tracks.QUADRANTS, F.col("lon").alias("plon"), F.col("lat").alias("plat")))
-    near = grid.disc_cells(points, 30.0, 20.0, 0.1, reach, None, 50, touched_rule=False).select("point_id.*", "row_no", "col_no")
-    inside = tracks.in_quadrant_swath(30 + (F.col("col_no") + 0.5) * 0.1, 20 - (F.col("row_no") + 0.5) * 0.1, F.col("plon"), F.col("plat"))
-    return near.where(inside).select("sid", "row_no", "col_no").distinct()
-
-
-@query("quadrant_swath_cells")
-def _(fx: Fixtures) -> DataFrame:
-    return swath_cells(fx)
-
-
-def unit_of_cells(fx: Fixtures) -> DataFrame:
-    return grid.fill(fx.admin_points)
-
-
-@query("footprint_admin_intersects")
-def _(fx: Fixtures) -> DataFrame:
-    return swath_cells(fx).join(grid.touched(fx.admin_points), ["row_no", "col_no"]).groupBy("admin_id").agg(F.count_distinct("sid").alias("storms"))
-
-
-@query("storm_count", "SELECT admin_id, count(DISTINCT sid) AS storms FROM (SELECT sid, CAST(floor((20 - lat) / 0.1e0) AS BIGINT) AS row_no, CAST(floor((lon - 30) / 0.1e0) AS BIGINT) AS col_no FROM track_points) JOIN (" + FILL + ") USING (row_no, col_no) GROUP BY admin_id")
-def _(fx: Fixtures) -> DataFrame:
-    r, c = align.grid_index(F.col("lon"), F.col("lat"), 30.0, 20.0, 0.1, 0.1)
-    return fx.track_points.select("sid", r.alias("row_no"), c.alias("col_no")).join(grid.fill(fx.admin_points), ["row_no", "col_no"]).groupBy("admin_id").agg(F.count_distinct("sid").alias("storms"))
-
-
 @query("severity_max_band", "SELECT hcell_id, coalesce(max(CASE WHEN mmi >= t THEN t END), 0) AS severity FROM (SELECT hcell_id, max(mmi) AS mmi FROM shake_cells GROUP BY hcell_id), (VALUES (5), (6), (7)) AS x(t) GROUP BY hcell_id")
 def _(fx: Fixtures) -> DataFrame:
     m = fx.shake_cells.groupBy("hcell_id").agg(F.max("mmi").alias("mmi")).withColumn("t", F.explode(F.array(*map(F.lit, (5, 6, 7)))))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
-from terrapop.operators import align, contract, grid, temporal, tracks, zonal
+from terrapop.operators import align, contract, grid, temporal, zonal
+from terrapop.sources import files
 from terrapop.sources.fixtures import Fixtures
 
-from .basic import BANDS, DROUGHT_MASK, EXTERNAL, FLOOD_DAYS, ISLANDS, STORMS, UNIT_PCT, dec, drought_mask, flood_units, matched_storms
-from .geometry import DISCS, FILL, event_discs, swath_cells
+from .basic import FLOOD_DAYS, ISLANDS, LABELLED_DAYS, MONTHS, PARSED, UNIT_PCT, baseline, dec, drought_floor, flood_units, parsed_manifest
+from .cyclone import CELL_BANDS, CYCLONE, cell_bands, footprints
+from .geometry import DISCS, FILL, event_discs
 from .registry import query
 
 
@@ -21,87 +23,177 @@ def exposure_sql(mask: str, rows_per: int, condition: str) -> str:
         FROM population_cells JOIN admin_cells USING (cell_id) LEFT JOIN ({mask}) h ON h.hcell_id = floor(row_no / {rows_per}) * 10 + floor(col_no / 5) GROUP BY admin_id) x USING (admin_id)"""
 
 
-DROUGHT = exposure_sql(DROUGHT_MASK, 3, "h.affected")
-HEAT = exposure_sql("SELECT hcell_id, true AS affected FROM (" + ISLANDS.format(t=32) + ")", 2, "h.affected")
-FLOOD = exposure_sql(FLOOD_DAYS, 2, "h.flood_days > 20")
-QUALIFYING = "SELECT event_id FROM shake_cells JOIN quake_catalog USING (event_id) WHERE event_type = 'earthquake' AND NOT regexp_matches(lower(title), 'scenario|exercise|test event') GROUP BY event_id HAVING max(mmi) >= 6"
-MAX_MMI = f"SELECT hcell_id, max(mmi) AS mmi FROM shake_cells WHERE event_id IN ({QUALIFYING}) GROUP BY hcell_id"
-QUAKE = exposure_sql(MAX_MMI, 3, "h.mmi >= 6")
+def bands_sql(hazard: str, parts: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT admin_id, '{hazard}' AS hazard, '{t}' AS threshold, pop_total, pop_affected, pct_affected FROM ({q})" for t, q in parts.items())
 
 
-def drought_units(fx: Fixtures) -> DataFrame:
-    """The mask is made on the hazard's own grid and then aligned, never cell by month."""
-    cells = align.align_nearest(fx.population_cells, drought_mask(fx), 3, 5, 10)
-    return zonal.exposure(cells, fx.admin_cells, fx.admin_units, F.col("affected"))
+#: Reporting thresholds of each hazard; the canonical one first.
+DROUGHT_AT, HEAT_AT, FLOOD_AT, QUAKE_AT = (-1.5, -1.0, -2.0), (32, 38, 46), 0, (6, 5, 7)
+DROUGHT = bands_sql("drought", {str(t): exposure_sql(f"SELECT hcell_id, bool_or(value <= {t}) AS affected FROM hazard_monthly WHERE month_start IN ({MONTHS}) GROUP BY hcell_id", 3, "h.affected") for t in DROUGHT_AT})
+P95 = f"SELECT iso3, round(quantile_cont(value, 0.95), 6) AS p95 FROM ({LABELLED_DAYS}) GROUP BY iso3"
+RELATIVE = f"SELECT DISTINCT iso3, hcell_id FROM (SELECT iso3, hcell_id, axis_idx - row_number() OVER (PARTITION BY iso3, hcell_id ORDER BY axis_idx) AS g FROM (SELECT p.iso3, hcell_id, day FROM hazard_daily, ({P95}) p WHERE value > p95) JOIN (SELECT day, row_number() OVER (ORDER BY day) AS axis_idx FROM (SELECT DISTINCT day FROM hazard_daily)) USING (day)) GROUP BY iso3, hcell_id, g HAVING count(*) >= 3"
+HEAT_REL = f"""SELECT u.admin_id, coalesce(t, 0) AS pop_total, coalesce(a, 0) AS pop_affected, CASE WHEN t > 0 THEN round(100 * a / t, 6) END AS pct_affected FROM admin_units u LEFT JOIN (SELECT admin_id, {dec('pop')} AS t, {dec('CASE WHEN pop IS NOT NULL THEN CASE WHEN h.hcell_id IS NOT NULL THEN pop ELSE 0 END END')} AS a
+ FROM population_cells JOIN admin_cells c USING (cell_id) LEFT JOIN ({RELATIVE}) h ON h.hcell_id = floor(row_no / 2) * 10 + floor(col_no / 5) AND h.iso3 = c.iso3 GROUP BY admin_id) x USING (admin_id)"""
+HEAT = bands_sql("heat", {**{str(t): exposure_sql("SELECT hcell_id, true AS affected FROM (" + ISLANDS.format(t=t) + ")", 2, "h.affected") for t in HEAT_AT}, "p95": HEAT_REL})
+FLOOD_ANY = exposure_sql(FLOOD_DAYS, 2, f"h.flood_days > {FLOOD_AT}")
+FLOOD = exposure_sql(FLOOD_DAYS, 2, "h.flood_days > 20")
 
+# Earthquakes
 
-def heat_units(fx: Fixtures) -> DataFrame:
-    hot = temporal.consecutive_k(fx.hazard_daily, "hcell_id", "day", F.col("value") > 32, 3).withColumn("affected", F.lit(True))
-    cells = align.align_nearest(fx.population_cells, hot, 2, 5, 10)
-    return zonal.exposure(cells, fx.admin_cells, fx.admin_units, F.col("affected"))
+PRODUCT = "SELECT event_id, content, url, status, update_time FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY preferred_weight DESC, update_time DESC, content DESC, coalesce(url, '') DESC, status DESC) AS rn FROM quake_products WHERE status <> 'DELETE') WHERE rn = 1"
+CATALOG = f"SELECT c.event_id, p.content, p.url, p.status AS product_status, p.update_time, CASE WHEN event_type <> 'earthquake' THEN 'not_earthquake' WHEN regexp_matches(lower(title), 'scenario|exercise|test event') THEN 'scenario_or_test' WHEN NOT contains(lower(types), 'shakemap') THEN 'no_catalog_shakemap_reference' WHEN detail IS NULL THEN 'missing_event_detail_url' WHEN p.content IS NULL OR NOT ends_with(lower(p.content), 'grid.xml') THEN 'no_supported_grid_xml' WHEN p.url IS NULL THEN 'grid_missing_url' END AS gate FROM quake_catalog c LEFT JOIN ({PRODUCT}) p USING (event_id)"
+CORNERS = "SELECT cell_id, floor(fx) + i AS gx, floor(fy) + j AS gy, (CASE i WHEN 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) * (CASE j WHEN 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END) AS w FROM (SELECT cell_id, (col_no + 0.5e0) / 5 - 0.5e0 AS fx, (row_no + 0.5e0) / 3 - 0.5e0 AS fy FROM population_cells), (VALUES (0), (1)) AS a(i), (VALUES (0), (1)) AS b(j)"
+ALIGNED = f"SELECT event_id, cell_id, round(sum(w * mmi) / sum(w), 6) AS mmi FROM ({CORNERS}) k JOIN shake_cells s ON k.gx = s.hcell_id % 10 AND k.gy = floor(s.hcell_id / 10) WHERE w > 0 GROUP BY event_id, cell_id"
+SHAKEN = f"SELECT a.event_id, a.cell_id, a.mmi, u.iso3 FROM ({ALIGNED}) a JOIN admin_cells u USING (cell_id) JOIN (SELECT event_id FROM ({CATALOG}) WHERE gate IS NULL) g USING (event_id)"
+QUAKE_CELLS = f"SELECT cell_id, max(mmi) AS mmi FROM ({SHAKEN}) JOIN (SELECT event_id, iso3 FROM ({SHAKEN}) GROUP BY event_id, iso3 HAVING max(mmi) >= {QUAKE_AT[0]}) USING (event_id, iso3) GROUP BY cell_id"
 
 
-def qualifying_quakes(fx: Fixtures) -> DataFrame:
-    """Real events that reach the primary threshold; others don't count at any threshold."""
-    real = fx.quake_catalog.where(S.actual_event_reason(F.col("event_type"), F.col("title")).isNull())
-    return fx.shake_cells.join(real, "event_id", "left_semi").groupBy("event_id").agg(F.max("mmi").alias("m")).where("m >= 6").select("event_id")
+def quake_sql(t: int) -> str:
+    return f"""SELECT u.admin_id, coalesce(t, 0) AS pop_total, coalesce(a, 0) AS pop_affected, CASE WHEN t > 0 THEN round(100 * a / t, 6) END AS pct_affected FROM admin_units u LEFT JOIN (SELECT admin_id, {dec('pop')} AS t, {dec(f'CASE WHEN pop IS NOT NULL THEN CASE WHEN coalesce(mmi >= {t}, false) THEN pop ELSE 0 END END')} AS a
+ FROM population_cells JOIN admin_cells USING (cell_id) LEFT JOIN ({QUAKE_CELLS}) q USING (cell_id) GROUP BY admin_id) x USING (admin_id)"""
 
 
-def quake_mmi(fx: Fixtures) -> DataFrame:
-    return temporal.max_over_events(fx.shake_cells.join(qualifying_quakes(fx), "event_id", "left_semi"), "hcell_id", "mmi")
+QUAKE = bands_sql("earthquake", {str(t): quake_sql(t) for t in QUAKE_AT})
 
 
-def quake_units(fx: Fixtures) -> DataFrame:
-    cells = align.align_nearest(fx.population_cells, quake_mmi(fx), 3, 5, 10)
-    return zonal.exposure(cells, fx.admin_cells, fx.admin_units, F.col("mmi") >= 6)
+def chosen_products(fx: Fixtures) -> DataFrame:
+    """Of each event's products that aren't deleted the one of greatest weight, then latest."""
+    live = fx.quake_products.where("status <> 'DELETE'")
+    best = F.max_by(F.struct("content", "url", F.col("status").alias("product_status"), "update_time"), F.struct("preferred_weight", "update_time", "content", F.coalesce("url", F.lit("")), "status"))
+    return live.groupBy("event_id").agg(best.alias("p")).select("event_id", "p.*")
 
 
-def polygon_units(fx: Fixtures, affected_cells: DataFrame) -> DataFrame:
-    """Exposure by polygon for cells (row_no, col_no, weight); overlaps count twice."""
-    cells = grid.fill(fx.admin_points).join(fx.population_cells, ["row_no", "col_no"]).join(affected_cells, ["row_no", "col_no"], "left")
-    hit = F.when(F.col("pop").isNotNull(), F.when(F.col("weight").isNotNull(), F.col("pop")).otherwise(0.0))
-    out = cells.groupBy("admin_id").agg(S.dsum(F.col("pop")).alias("pop_total"), S.dsum(hit).alias("pop_affected"), S.dsum(F.col("pop") * F.coalesce("weight", F.lit(0))).alias("weighted"))
-    out = fx.admin_units.select("admin_id").join(out, "admin_id", "left").na.fill(0.0, ["pop_total", "pop_affected", "weighted"])
-    return out.withColumn("pct_affected", S.pct(F.col("pop_affected"), F.col("pop_total")))
+def gated_catalog(fx: Fixtures) -> DataFrame:
+    """Catalogue events with their chosen product and the first gate that they fail before
+    any grid is read (``gate``)."""
+    both = fx.quake_catalog.join(chosen_products(fx), "event_id", "left")
+    gates = (
+        S.actual_event_reason(F.col("event_type"), F.col("title")),
+        F.when(~F.contains(F.lower("types"), F.lit("shakemap")), "no_catalog_shakemap_reference"),
+        F.when(F.col("detail").isNull(), "missing_event_detail_url"),
+        F.when(F.col("content").isNull() | ~F.lower("content").endswith("grid.xml"), "no_supported_grid_xml"),
+        F.when(F.col("url").isNull(), "grid_missing_url"),
+    )
+    return both.withColumn("gate", F.coalesce(*gates))
+
+
+def shaken_cells(fx: Fixtures) -> DataFrame:
+    """(event_id, cell_id, mmi, iso3): each event's grid aligned to the labelled population
+    cells by bilinear weights; only events whose grids would be read."""
+    read = gated_catalog(fx).where("gate is null").select("event_id")
+    shake = fx.shake_cells.join(read, "event_id", "left_semi").select("event_id", (F.col("hcell_id") % 10).alias("gx"), F.floor(F.col("hcell_id") / 10).alias("gy"), "mmi")
+    points = fx.population_cells.join(fx.admin_cells.select("cell_id"), "cell_id", "left_semi").select(F.col("cell_id").alias("id"), ((F.col("col_no") + 0.5) / 5 - 0.5).alias("fx"), ((F.col("row_no") + 0.5) / 3 - 0.5).alias("fy"))
+    aligned = align.align_bilinear(points, shake, "mmi", by=("event_id",), exact=False).withColumnRenamed("id", "cell_id")
+    return aligned.join(fx.admin_cells.select("cell_id", "iso3"), "cell_id")
+
+
+def quake_cells(fx: Fixtures) -> DataFrame:
+    """(cell_id, mmi): the maximum over the events that reach the primary threshold in the
+    cell's country; others don't count at any threshold."""
+    shaken = shaken_cells(fx)
+    counts = shaken.groupBy("event_id", "iso3").agg(F.max("mmi").alias("most")).where(F.col("most") >= QUAKE_AT[0]).select("event_id", "iso3")
+    return temporal.max_over_events(shaken.join(counts, ["event_id", "iso3"], "left_semi"), "cell_id", "mmi")
+
+
+# All hazards over one population
+
+
+def label_bands(fx: Fixtures, hazards: tuple[str, ...]) -> DataFrame:
+    """admin_id, hazard, threshold, pop_total, pop_affected, pct_affected of the hazards that
+    labels of cells sum up: each hazard is reduced on its own grid to one number a cell, all
+    meet one aligned population, and one pass sums every band."""
+    cells = fx.population_cells
+    bands: dict[tuple[str, str], Column] = {}
+    if "drought" in hazards:
+        cells = align.align_nearest(cells, drought_floor(fx), 3, 5, 10, key="drought_id")
+        bands |= {("drought", str(t)): F.col("spei") <= t for t in DROUGHT_AT}
+    if "heat" in hazards:
+        floor = temporal.run_floor(fx.hazard_daily, "hcell_id", "day", "value", 3).select(F.col("hcell_id").alias("heat_id"), F.col("floor").alias("utci"))
+        limits = F.broadcast(baseline(fx).select("iso3", "p95"))
+        cells = align.align_nearest(cells, floor, 2, 5, 10, key="heat_id").join(fx.admin_cells.select("cell_id", "iso3"), "cell_id", "left").join(limits, "iso3", "left")
+        bands |= {("heat", str(t)): F.col("utci") > t for t in HEAT_AT} | {("heat", "p95"): F.col("utci") > F.col("p95")}
+    if "flood" in hazards:
+        days = temporal.flood_days(fx.flood_obs, "hcell_id", "acq_ts", "pix").withColumnRenamed("hcell_id", "flood_id")
+        cells = align.align_nearest(cells, days, 2, 5, 10, key="flood_id")
+        bands |= {("flood", str(FLOOD_AT)): F.col("flood_days") > FLOOD_AT}
+    if "earthquake" in hazards:
+        cells = cells.join(quake_cells(fx), "cell_id", "left")
+        bands |= {("earthquake", str(t)): F.col("mmi") >= t for t in QUAKE_AT}
+    return zonal.exposure_bands(cells, fx.admin_cells, fx.admin_units, bands)
+
+
+def polygon_bands(fx: Fixtures) -> DataFrame:
+    """The same for the hazards that polygons of units sum up; overlaps count twice."""
+    counts = event_discs(fx).groupBy("row_no", "col_no").agg(F.count("*").alias("events"))
+    cells = grid.fill(fx.admin_points).join(fx.population_cells, ["row_no", "col_no"]).join(cell_bands(footprints(fx)), ["row_no", "col_no"], "left").join(counts, ["row_no", "col_no"], "left")
+    bands = {**{("cyclone", str(t)): F.col(f"b{t}") for t in S.KMH_TO_KNOTS}, ("violence", "1"): F.col("events") >= 1}
+    labelled = cells.select(F.monotonically_increasing_id().alias("cell_id"), "admin_id", "pop", *[f"b{t}" for t in S.KMH_TO_KNOTS], "events")
+    return zonal.exposure_bands_of(labelled, fx.admin_units, bands)
 
 
 @query("drought_exposure", DROUGHT)
 def _(fx: Fixtures) -> DataFrame:
-    return drought_units(fx)
+    return label_bands(fx, ("drought",))
 
 
 @query("heat_exposure", HEAT)
 def _(fx: Fixtures) -> DataFrame:
-    return heat_units(fx)
+    return label_bands(fx, ("heat",))
 
 
-@query("flood_exposure", FLOOD)
+@query("flood_exposure", f"""SELECT e.*, round(mean_days, 6) AS mean_days, max_days, person_days, round(CASE WHEN pop_total > 0 THEN person_days / pop_total END, 6) AS popwtd_days FROM ({FLOOD_ANY}) e LEFT JOIN
+ (SELECT admin_id, avg(coalesce(CAST(flood_days AS DOUBLE), 0)) AS mean_days, max(coalesce(flood_days, 0)) AS max_days, coalesce({dec('pop * coalesce(flood_days, 0)')}, 0) AS person_days FROM population_cells JOIN admin_cells USING (cell_id) LEFT JOIN ({FLOOD_DAYS}) h ON h.hcell_id = floor(row_no / 2) * 10 + floor(col_no / 5) GROUP BY admin_id) d USING (admin_id)""")
 def _(fx: Fixtures) -> DataFrame:
-    return flood_units(fx)
+    """Flooded on more days than the default threshold, with mean, greatest and weighted days;
+    cells that were never seen have none."""
+    days = temporal.flood_days(fx.flood_obs, "hcell_id", "acq_ts", "pix")
+    cells = align.align_nearest(fx.population_cells, days, 2, 5, 10).join(fx.admin_cells.select("cell_id", "admin_id"), "cell_id")
+    d = F.coalesce("flood_days", F.lit(0))
+    hit = F.when(F.col("pop").isNotNull(), F.when(d > FLOOD_AT, F.col("pop")).otherwise(0.0))
+    sums = cells.groupBy("admin_id").agg(S.dsum(F.col("pop")).alias("t"), S.dsum(hit).alias("a"), F.round(F.avg(d), 6).alias("mean_days"), F.max(d).alias("max_days"), F.coalesce(S.dsum(F.col("pop") * d), F.lit(0.0)).alias("person_days"))
+    every = fx.admin_units.select("admin_id").join(sums, "admin_id", "left")
+    total = F.coalesce("t", F.lit(0.0))
+    return every.select("admin_id", total.alias("pop_total"), F.coalesce("a", F.lit(0.0)).alias("pop_affected"), S.pct(F.col("a"), F.col("t")).alias("pct_affected"), "mean_days", "max_days", "person_days", F.when(total > 0, F.round(F.col("person_days") / total, 6)).alias("popwtd_days"))
 
 
-@query("earthquake_exposure", QUAKE)
-def _(fx: Fixtures) -> DataFrame:
-    return quake_units(fx)
+DEPRIVED = f"SELECT e.*, national_pct, coalesce(pct_affected > national_pct, false) AS deprived FROM ({QUAKE}) e JOIN admin_units USING (admin_id) JOIN (SELECT iso3, threshold, CASE WHEN sum(pop_total) > 0 THEN round(100 * {dec('pop_affected')} / {dec('pop_total')}, 6) END AS national_pct FROM ({QUAKE}) JOIN admin_units USING (admin_id) GROUP BY iso3, threshold) n USING (iso3, threshold)"
 
 
-@query("violence_exposure", f"""SELECT u.admin_id, coalesce(t, 0) AS pop_total, coalesce(a, 0) AS pop_affected, coalesce(w, 0) AS weighted, CASE WHEN t > 0 THEN round(100 * a / t, 6) END AS pct_affected FROM admin_units u LEFT JOIN
- (SELECT admin_id, {dec('pop')} AS t, {dec('CASE WHEN pop IS NOT NULL THEN CASE WHEN n >= 1 THEN pop ELSE 0 END END')} AS a, {dec('pop * coalesce(n, 0)')} AS w FROM ({FILL}) f JOIN population_cells USING (row_no, col_no) LEFT JOIN (SELECT row_no, col_no, count(*) AS n FROM ({DISCS}) GROUP BY row_no, col_no) d USING (row_no, col_no) GROUP BY admin_id) x USING (admin_id)""")
+@query("earthquake_exposure", f"SELECT admin_id, hazard, threshold, pop_total, pop_affected, pct_affected, national_pct, deprived FROM ({DEPRIVED})")
 def _(fx: Fixtures) -> DataFrame:
-    counts = event_discs(fx).groupBy("row_no", "col_no").agg(F.count("*").alias("weight"))
-    return polygon_units(fx, counts.where("weight >= 1"))
+    named = label_bands(fx, ("earthquake",)).join(F.broadcast(fx.admin_units.select("admin_id", "iso3")), "admin_id")
+    return zonal.above_national(named, ("iso3", "threshold")).select("admin_id", "hazard", "threshold", "pop_total", "pop_affected", "pct_affected", "national_pct", "deprived")
+
 
+VIOLENCE = f"""SELECT u.admin_id, coalesce(t, 0) AS pop_total, coalesce(a, 0) AS pop_affected, coalesce(w, 0) AS weighted, CASE WHEN t > 0 THEN round(100 * a / t, 6) END AS pct_affected FROM admin_units u LEFT JOIN
+ (SELECT admin_id, {dec('pop')} AS t, {dec('CASE WHEN pop IS NOT NULL THEN CASE WHEN n >= 1 THEN pop ELSE 0 END END')} AS a, {dec('pop * coalesce(n, 0)')} AS w FROM ({FILL}) f JOIN population_cells USING (row_no, col_no) LEFT JOIN (SELECT row_no, col_no, count(*) AS n FROM ({DISCS}) GROUP BY row_no, col_no) d USING (row_no, col_no) GROUP BY admin_id) x USING (admin_id)"""
 
-@query("cyclone_exposure")
+
+@query("violence_exposure", VIOLENCE)
 def _(fx: Fixtures) -> DataFrame:
-    """Bands by a storm's greatest wind, swaths of adequate storms only."""
-    b = tracks.bands(tracks.completeness(fx.track_points), 0.75).where("adequate and expected")
-    best = swath_cells(fx).join(b, "sid").groupBy("row_no", "col_no").agg(F.max("threshold").alias("weight"), F.count_distinct("sid").alias("storms"))
-    return polygon_units(fx, best)
+    counts = event_discs(fx).groupBy("row_no", "col_no").agg(F.count("*").alias("weight"))
+    cells = grid.fill(fx.admin_points).join(fx.population_cells, ["row_no", "col_no"]).join(counts, ["row_no", "col_no"], "left")
+    hit = F.when(F.col("pop").isNotNull(), F.when(F.col("weight") >= 1, F.col("pop")).otherwise(0.0))
+    out = cells.groupBy("admin_id").agg(S.dsum(F.col("pop")).alias("pop_total"), S.dsum(hit).alias("pop_affected"), S.dsum(F.col("pop") * F.coalesce("weight", F.lit(0))).alias("weighted"))
+    out = fx.admin_units.select("admin_id").join(out, "admin_id", "left").na.fill(0.0, ["pop_total", "pop_affected", "weighted"])
+    return out.withColumn("pct_affected", S.pct(F.col("pop_affected"), F.col("pop_total")))
 
 
-SUMMARY = "SELECT concat_ws('_', iso3, '2000-08-02', '2001-08-01', '{h}') AS run_id, '{h}' AS hazard, iso3, DATE '2000-08-02' AS period_start, DATE '2001-08-01' AS period_end, admin_level, admin_id, pcode, pop_total, pop_affected, pct_affected, '{r}' AS rule FROM ({q}) JOIN admin_units USING (admin_id)"
+CYCLONE_BANDS = " UNION ALL ".join(f"SELECT admin_id, 'cyclone' AS hazard, '{t}' AS threshold, pop_total, coalesce({dec_free}, 0) AS pop_affected, pct_affected_{t} AS pct_affected FROM ({{q}})" for t, dec_free in ((t, f"a{t}") for t in S.KMH_TO_KNOTS))
+CYCLONE_SUMS = CYCLONE.replace("SELECT u.admin_id,", "SELECT u.admin_id, a63, a93, a119,", 1)
+ALL_BANDS = f"{DROUGHT} UNION ALL {HEAT} UNION ALL {bands_sql('flood', {str(FLOOD_AT): FLOOD_ANY})} UNION ALL {QUAKE} UNION ALL {CYCLONE_BANDS.format(q=CYCLONE_SUMS)} UNION ALL {bands_sql('violence', {'1': VIOLENCE})}"
 RULES = {h: r for h, _, r in contract.METHODS}
+RULE_CASE = "CASE hazard " + " ".join(f"WHEN '{h}' THEN '{r}'" for h, r in RULES.items()) + " END"
+CONTRACT_SQL = "SELECT concat_ws('_', iso3, '2000-08-02', '2001-08-01', hazard) AS run_id, hazard, iso3, DATE '2000-08-02' AS period_start, DATE '2001-08-01' AS period_end, admin_level, admin_id, pcode, pop_total, pop_affected, pct_affected, {rule} AS rule{more} FROM ({q}) JOIN admin_units USING (admin_id)"
+ALL_SQL = CONTRACT_SQL.format(rule=RULE_CASE, more=", threshold", q=ALL_BANDS)
+FLOOD_SUMMARY = CONTRACT_SQL.format(rule=RULE_CASE, more="", q=f"SELECT *, 'flood' AS hazard FROM ({FLOOD})")
+
+
+def all_hazards(fx: Fixtures) -> DataFrame:
+    """The contract table of six hazards and all their thresholds, from two passes: one over
+    labelled cells, one over cells in polygons."""
+    long = label_bands(fx, ("drought", "heat", "flood", "earthquake")).unionByName(polygon_bands(fx))
+    return contract.standardize_bands(long.join(F.broadcast(fx.admin_units), "admin_id"), "2000-08-02", "2001-08-01")
 
 
 def contract_units(fx: Fixtures, units: DataFrame, hazard: str) -> DataFrame:
@@ -109,18 +201,7 @@ def contract_units(fx: Fixtures, units: DataFrame, hazard: str) -> DataFrame:
     return contract.standardize(named.select("iso3", "admin_level", "admin_id", "pcode", "pop_total", "pop_affected", "pct_affected"), hazard, "2000-08-02", "2001-08-01")
 
 
-ALL_SQL = " UNION ALL ".join(SUMMARY.format(h=h, r=RULES[h], q=q) for h, q in (("drought", DROUGHT), ("heat", HEAT), ("flood", FLOOD), ("earthquake", QUAKE)))
-
-
-def all_hazards(fx: Fixtures) -> DataFrame:
-    parts = [contract_units(fx, u(fx), h) for h, u in (("drought", drought_units), ("heat", heat_units), ("flood", flood_units), ("earthquake", quake_units))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
-
-
-@query("adm_contract_projection", SUMMARY.format(h="flood", r=RULES["flood"], q=FLOOD))
+@query("adm_contract_projection", FLOOD_SUMMARY)
 def _(fx: Fixtures) -> DataFrame:
     return contract_units(fx, flood_units(fx), "flood")
 
@@ -130,69 +211,51 @@ def _(fx: Fixtures) -> DataFrame:
     return all_hazards(fx)
 
 
-@query("union_hazard_summaries", f"SELECT hazard, iso3, {dec('pop_total')} AS pop_total, {dec('pop_affected')} AS pop_affected FROM ({ALL_SQL}) GROUP BY hazard, iso3")
+@query("union_hazard_summaries", f"SELECT hazard, threshold, iso3, {dec('pop_total')} AS pop_total, {dec('pop_affected')} AS pop_affected FROM ({ALL_SQL}) GROUP BY hazard, threshold, iso3")
 def _(fx: Fixtures) -> DataFrame:
-    return all_hazards(fx).groupBy("hazard", "iso3").agg(S.dsum(F.col("pop_total")).alias("pop_total"), S.dsum(F.col("pop_affected")).alias("pop_affected"))
+    """The union of tables whose extra columns differ, summed by country."""
+    flood = contract_units(fx, flood_units(fx), "flood").where("false")
+    every = flood.unionByName(all_hazards(fx), allowMissingColumns=True)
+    return every.groupBy("hazard", "threshold", "iso3").agg(S.dsum(F.col("pop_total")).alias("pop_total"), S.dsum(F.col("pop_affected")).alias("pop_affected"))
 
 
-@query("hazard_method_registry", f"SELECT hazard, 'by-' || hazard AS tag, rule, count(*) AS units FROM ({ALL_SQL}) GROUP BY hazard, rule")
+@query("hazard_method_registry", f"SELECT hazard, CASE hazard " + " ".join(f"WHEN '{h}' THEN '{p}'" for h, p, _ in contract.METHODS) + f" END AS pipeline_id, rule, count(*) AS units FROM ({ALL_SQL}) GROUP BY hazard, rule")
 def _(fx: Fixtures) -> DataFrame:
     m = F.broadcast(contract.methods(fx.spark))
-    return all_hazards(fx).select("hazard").join(m, "hazard").groupBy("hazard", "rule").agg(F.count("*").alias("units")).select("hazard", F.concat(F.lit("by-"), "hazard").alias("tag"), "rule", "units")
+    return all_hazards(fx).select("hazard").join(m, "hazard").groupBy("hazard", "pipeline_id", "rule").agg(F.count("*").alias("units"))
 
 
-@query("sink_admin_summary")
+@query("sink_admin_summary", f"SELECT run_id, hazard, iso3, admin_id, pop_total, pop_affected, pct_affected FROM ({FLOOD_SUMMARY})")
 def _(fx: Fixtures) -> DataFrame:
-    """The contract table in the text form that files hold: six decimals."""
-    return contract_units(fx, flood_units(fx), "flood").withColumns({c: F.format_string("%.6f", c) for c in ("pop_total", "pop_affected", "pct_affected")})
-
+    """The contract table written as text files of six decimals, by hazard and country, and
+    read again."""
+    table = contract_units(fx, flood_units(fx), "flood")
+    return files.read_summary_csv(fx.spark, files.write_summary_csv(table)).select("run_id", "hazard", "iso3", "admin_id", "pop_total", "pop_affected", "pct_affected")
 
-AUDIT = f"SELECT sid, threshold, CASE WHEN adequate THEN 'primary' WHEN expected AND sid % 2 = 0 THEN 'fallback' WHEN expected THEN 'missing' ELSE 'not_expected' END AS status, completeness FROM ({BANDS})"
-
-
-@query("storm_audit", AUDIT)
-def _(fx: Fixtures) -> DataFrame:
-    b = tracks.bands(tracks.completeness(fx.track_points), 0.75)
-    status = F.when(F.col("adequate"), "primary").when(F.col("expected") & (F.col("sid") % 2 == 0), "fallback").when(F.col("expected"), "missing").otherwise("not_expected")
-    return b.select("sid", "threshold", status.alias("status"), "completeness")
 
-
-REASONS = "SELECT c.event_id, CASE WHEN event_type <> 'earthquake' THEN 'not_earthquake' WHEN regexp_matches(lower(title), 'scenario|exercise|test event') THEN 'scenario_or_test' WHEN magnitude < 1 THEN 'small_magnitude' WHEN m IS NULL THEN 'no_product' WHEN m < 6 THEN 'below_primary_threshold' END AS reason, m AS max_mmi FROM quake_catalog c LEFT JOIN (SELECT event_id, max(mmi) AS m FROM shake_cells GROUP BY event_id) s USING (event_id)"
+IN_COUNTRY = f"SELECT event_id, max(mmi) AS max_mmi FROM ({SHAKEN}) GROUP BY event_id"
+REASONS = f"SELECT c.*, max_mmi, coalesce(gate, CASE WHEN max_mmi IS NULL THEN 'shakemap_does_not_intersect_country' WHEN max_mmi < {QUAKE_AT[0]} THEN 'no_primary_threshold_shaking_in_country' END) AS reason FROM ({CATALOG}) c LEFT JOIN ({IN_COUNTRY}) m USING (event_id)"
 
 
 def exclusion_reasons(fx: Fixtures) -> DataFrame:
-    """The first failing gate, in order."""
-    shake = fx.shake_cells.groupBy("event_id").agg(F.max("mmi").alias("max_mmi"))
-    gates = (
-        S.actual_event_reason(F.col("event_type"), F.col("title")),
-        F.when(F.col("magnitude") < 1, "small_magnitude"),
-        F.when(F.col("max_mmi").isNull(), "no_product"),
-        F.when(F.col("max_mmi") < 6, "below_primary_threshold"),
-    )
-    return fx.quake_catalog.join(shake, "event_id", "left").select("event_id", F.coalesce(*gates).alias("reason"), "max_mmi")
+    """The first failing gate of each event, in order: eight of them."""
+    most = shaken_cells(fx).groupBy("event_id").agg(F.max("mmi").alias("max_mmi"))
+    late = F.when(F.col("max_mmi").isNull(), "shakemap_does_not_intersect_country").when(F.col("max_mmi") < QUAKE_AT[0], "no_primary_threshold_shaking_in_country")
+    return gated_catalog(fx).join(most, "event_id", "left").withColumn("reason", F.coalesce("gate", late))
 
 
-@query("event_exclusion_reason", REASONS)
+@query("event_exclusion_reason", f"SELECT event_id, reason, max_mmi FROM ({REASONS})")
 def _(fx: Fixtures) -> DataFrame:
-    return exclusion_reasons(fx)
+    return exclusion_reasons(fx).select("event_id", "reason", "max_mmi")
 
 
-@query("event_register", f"SELECT event_id, coalesce(reason, '') AS reason, CASE WHEN reason IS NULL THEN 'included' ELSE 'excluded' END AS status, round(max_mmi, 6) AS max_mmi FROM ({REASONS})")
+@query("event_register", f"SELECT event_id, reason, CASE WHEN reason IS NULL THEN 'included' ELSE 'excluded' END AS status, max_mmi, CASE WHEN reason IS NULL THEN content END AS product_content, CASE WHEN reason IS NULL THEN url END AS product_url, CASE WHEN reason IS NULL THEN product_status END AS product_status, CASE WHEN reason IS NULL THEN update_time END AS product_update_time FROM ({REASONS})")
 def _(fx: Fixtures) -> DataFrame:
+    """Every catalogue event with status and reason; product fields of included ones."""
+    kept = F.col("reason").isNull()
+    product = {"product_content": "content", "product_url": "url", "product_status": "product_status", "product_update_time": "update_time"}
     r = exclusion_reasons(fx)
-    return r.select("event_id", F.coalesce("reason", F.lit("")).alias("reason"), F.when(F.col("reason").isNull(), "included").otherwise("excluded").alias("status"), F.round("max_mmi", 6).alias("max_mmi"))
-
-
-@query("gdacs_match_audit", f"SELECT sid, CASE WHEN ext_id IS NULL THEN 'no_name_date_match' WHEN ext_id % 100 = 0 THEN 'matched_with_wind_buffers' ELSE 'matched_no_wind_buffers' END AS status FROM (SELECT s.sid, arg_min(ext_id, abs(date_diff('day', d0 - INTERVAL 3 DAY, e0)) * 1000000000 + ext_id) AS ext_id FROM ({STORMS}) s LEFT JOIN ({EXTERNAL}) e ON e.nm = s.nm AND e0 <= d1 + INTERVAL 3 DAY AND e1 >= d0 - INTERVAL 3 DAY GROUP BY s.sid)")
-def _(fx: Fixtures) -> DataFrame:
-    x = F.col("ext_id")
-    return matched_storms(fx).select("sid", F.when(x.isNull(), "no_name_date_match").when(x % 100 == 0, "matched_with_wind_buffers").otherwise("matched_no_wind_buffers").alias("status"))
-
-
-@query("fallback_storm_ids", f"SELECT sid FROM ({BANDS}) GROUP BY sid HAVING bool_or(expected AND NOT adequate)")
-def _(fx: Fixtures) -> DataFrame:
-    b = tracks.bands(tracks.completeness(fx.track_points), 0.75)
-    return b.groupBy("sid").agg(F.bool_or(F.col("expected") & ~F.col("adequate")).alias("needs")).where("needs").select("sid")
+    return r.select("event_id", "reason", F.when(kept, "included").otherwise("excluded").alias("status"), "max_mmi", *[F.when(kept, F.col(c)).alias(n) for n, c in product.items()])
 
 
 @query("quality_flags", f"SELECT iso3, bool_or(t = 0) AS zero_population, bool_or(p IS NULL) AS pct_missing, bool_or(a > 0) AS any_exposed, CASE WHEN bool_or(t = 0) THEN 'zero_population' WHEN NOT bool_or(a > 0) THEN 'no_exposure' ELSE 'ok' END AS flag FROM ({UNIT_PCT}) GROUP BY iso3")
@@ -269,9 +332,27 @@ def run_checks(fx: Fixtures) -> DataFrame:
     return wide.unpivot("iso3", ["non_negative", "pct_present", "exposed"], "name", "ok").withColumn("level", F.when(F.col("name") == "exposed", "WARN").otherwise("FAIL"))
 
 
-@query("check_run_id", f"SELECT iso3, name, ok, level FROM ({CHECKS})")
+RUNS = f"SELECT m.file_order, concat(p.iso3, '_', CAST(p.as_of AS VARCHAR), '_m', CAST(p.lookback AS VARCHAR), '_flood') AS run_id, concat(upper(m.iso3_text), '_', m.as_of_text, '_m', m.lookback_text, '_flood') AS run_dir FROM manifest m JOIN ({PARSED}) p USING (file_order) WHERE p.iso3 IS NOT NULL AND p.as_of IS NOT NULL AND p.lookback IS NOT NULL"
+RUN_LAYERS = "SELECT o_custkey AS file_order, 100 * max(greatest(0, least(east, 31.5e0) - greatest(west, 31e0)) * greatest(0, least(north, 19.5e0) - greatest(south, 19e0))) / 0.25e0 AS flood_pct FROM stac_items JOIN orders ON o_orderkey = item_id WHERE href IS NOT NULL GROUP BY o_custkey"
+RUN_FACTS = f"SELECT r.file_order, r.run_id, r.run_dir, 100 * valid / cells AS pop_pct, coalesce(flood_pct, 0) AS flood_pct, coalesce(missing, 3) AS missing FROM ({RUNS}) r JOIN (SELECT admin_id, CAST(count(pop) AS DOUBLE) AS valid, count(*) AS cells FROM population_cells JOIN admin_cells USING (cell_id) GROUP BY admin_id) w ON w.admin_id = (SELECT c_nationkey + 1 FROM customer WHERE c_custkey = r.file_order) LEFT JOIN ({RUN_LAYERS}) l ON l.file_order = r.file_order LEFT JOIN (SELECT o_custkey AS file_order, greatest(0, 3 - count(DISTINCT o_orderpriority)) AS missing FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) a ON a.file_order = r.file_order"
+
+
+@query("check_run_id", f"SELECT file_order, name, status FROM (SELECT file_order, unnest(['run_id_matches_dir', 'preflight_population_threshold', 'preflight_flood_threshold', 'metadata_artifacts_exist']) AS name, unnest([CASE WHEN run_id = run_dir THEN 'PASS' ELSE 'FAIL' END, CASE WHEN pop_pct >= 98 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN flood_pct >= 99.999 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN missing = 0 THEN 'PASS' ELSE 'WARN' END]) AS status FROM ({RUN_FACTS}))")
 def _(fx: Fixtures) -> DataFrame:
-    return run_checks(fx)
+    """Every run of the manifest: its id against its folder's name, population and layer
+    coverage against their thresholds, listed artifacts (three kinds) against the inventory."""
+    m = parsed_manifest(fx).where("iso3 is not null and as_of is not null and lookback is not null").join(fx.manifest.select("file_order", "iso3_text", "as_of_text", "lookback_text"), "file_order")
+    name = lambda iso, day, n: F.concat(iso, F.lit("_"), day.cast("string"), F.lit("_m"), n.cast("string"), F.lit("_flood"))
+    ids = m.select("file_order", name(F.col("iso3"), F.col("as_of"), F.col("lookback")).alias("run_id"), name(F.upper("iso3_text"), F.col("as_of_text"), F.col("lookback_text")).alias("run_dir"))
+    share = fx.population_cells.join(fx.admin_cells, "cell_id").groupBy("admin_id").agg((100 * F.count("pop") / F.count("*")).alias("pop_pct"))
+    unit = fx.table("customer").select(F.col("c_custkey").alias("file_order"), (F.col("c_nationkey") + 1).cast("long").alias("admin_id"))
+    items = fx.stac_items.where("href is not null").join(fx.table("orders").select(F.col("o_orderkey").alias("item_id"), F.col("o_custkey").alias("file_order")), "item_id")
+    layers = items.groupBy("file_order").agg(F.max(grid.bbox_coverage(tuple(map(F.lit, (31.0, 19.0, 31.5, 19.5))), tuple(F.col(c) for c in ("west", "south", "east", "north")))).alias("flood_pct"))
+    made = fx.table("orders").where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("file_order")).agg(F.count_distinct("o_orderpriority").alias("made"))
+    facts = ids.join(unit, "file_order").join(F.broadcast(share), "admin_id").join(layers, "file_order", "left").join(made, "file_order", "left")
+    verdict = lambda name, ok, bad: F.struct(F.lit(name).alias("name"), F.when(F.coalesce(ok, F.lit(False)), "PASS").otherwise(bad).alias("status"))
+    checks = F.array(verdict("run_id_matches_dir", F.col("run_id") == F.col("run_dir"), "FAIL"), verdict("preflight_population_threshold", F.col("pop_pct") >= 98, "FAIL"), verdict("preflight_flood_threshold", F.col("flood_pct") >= 99.999, "FAIL"), verdict("metadata_artifacts_exist", F.col("made") >= 3, "WARN"))
+    return facts.select("file_order", F.explode(checks).alias("c")).select("file_order", "c.*")
 
 
 @query("check_rollup_status", f"SELECT iso3, count(*) FILTER (WHERE NOT ok AND level = 'FAIL') AS failures, count(*) FILTER (WHERE NOT ok AND level = 'WARN') AS warnings, CASE WHEN count(*) FILTER (WHERE NOT ok AND level = 'FAIL') > 0 THEN 'FAIL' WHEN count(*) FILTER (WHERE NOT ok) > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM ({CHECKS}) GROUP BY iso3")
@@ -321,9 +402,19 @@ def _(fx: Fixtures) -> DataFrame:
     return layer_cover(fx).groupBy("segment").agg(F.count("*").alias("layers"), F.count("pct").alias("present"), F.count_if(F.col("pct") >= 99.999).alias("complete"), F.round(F.max("pct"), 6).alias("best"))
 
 
-@query("grid_match", "SELECT a.admin_id, abs(a.w - b.w) <= 1e-9 AND abs(a.n - b.n) <= 1e-9 AND a.cols = b.cols AND a.rows_ = b.rows_ AS same FROM (SELECT admin_id, min(x) AS w, min(y) AS n, max(x) - min(x) AS cols, max(y) - min(y) AS rows_ FROM admin_points GROUP BY admin_id) a JOIN (SELECT admin_id, min(col_no) AS w, min(row_no) AS n, max(col_no) - min(col_no) + 1 AS cols, max(row_no) - min(row_no) + 1 AS rows_ FROM (" + FILL + ") GROUP BY admin_id) b ON a.admin_id = b.admin_id")
+GRID_A = "SELECT admin_id, min(lon) - 0.05e0 AS w, max(lat) + 0.05e0 AS n, max(col_no) - min(col_no) + 1 AS cols, max(row_no) - min(row_no) + 1 AS rows_ FROM population_cells JOIN admin_cells USING (cell_id) GROUP BY admin_id"
+GRID_B = "SELECT admin_id, min(lon) - 0.05e0 AS w, max(lat) + 0.05e0 AS n, max(col_no) - min(col_no) + 1 AS cols, max(row_no) - min(row_no) + 1 AS rows_ FROM population_cells JOIN admin_cells USING (cell_id) WHERE CAST(floor(row_no / 2) * 10 + floor(col_no / 5) AS BIGINT) IN (SELECT hcell_id FROM flood_obs) GROUP BY admin_id"
+
+
+@query("grid_match", f"SELECT a.admin_id, coalesce(abs(a.w - b.w) <= 1e-9 AND abs(a.n - b.n) <= 1e-9, false) AS same_corner, coalesce(a.cols = b.cols AND a.rows_ = b.rows_, false) AS same_shape FROM ({GRID_A}) a LEFT JOIN ({GRID_B}) b ON a.admin_id = b.admin_id")
 def _(fx: Fixtures) -> DataFrame:
-    a = fx.admin_points.groupBy("admin_id").agg(F.min("x").alias("w"), F.min("y").alias("n"), (F.max("x") - F.min("x")).alias("c"), (F.max("y") - F.min("y")).alias("r"))
-    b = grid.fill(fx.admin_points).groupBy("admin_id").agg(F.min("col_no").alias("w2"), F.min("row_no").alias("n2"), (F.max("col_no") - F.min("col_no") + 1).alias("c2"), (F.max("row_no") - F.min("row_no") + 1).alias("r2"))
-    same = (F.abs(F.col("w") - F.col("w2")) <= 1e-9) & (F.abs(F.col("n") - F.col("n2")) <= 1e-9) & (F.col("c") == F.col("c2")) & (F.col("r") == F.col("r2"))
-    return a.join(b, "admin_id").select("admin_id", same.alias("same"))
+    """The grid of each unit's population against the grid of what the flood layer covers."""
+    cells = fx.population_cells.join(fx.admin_cells.select("cell_id", "admin_id"), "cell_id")
+
+    def definition(df: DataFrame, tail: str) -> DataFrame:
+        return df.groupBy("admin_id").agg((F.min("lon") - 0.05).alias("w" + tail), (F.max("lat") + 0.05).alias("n" + tail), (F.max("col_no") - F.min("col_no") + 1).alias("c" + tail), (F.max("row_no") - F.min("row_no") + 1).alias("r" + tail))
+
+    seen = cells.withColumn("hcell_id", align.hazard_cell(F.col("row_no"), F.col("col_no"), 2, 5, 10)).join(fx.flood_obs.select("hcell_id").distinct(), "hcell_id", "left_semi")
+    both = definition(cells, "").join(definition(seen, "2"), "admin_id", "left")
+    corner = (F.abs(F.col("w") - F.col("w2")) <= 1e-9) & (F.abs(F.col("n") - F.col("n2")) <= 1e-9)
+    return both.select("admin_id", F.coalesce(corner, F.lit(False)).alias("same_corner"), F.coalesce((F.col("c") == F.col("c2")) & (F.col("r") == F.col("r2")), F.lit(False)).alias("same_shape"))

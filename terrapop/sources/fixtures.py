@@ -10,6 +10,17 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+
+def _radii() -> str:
+    """Wind radii in nautical miles of three agencies, three speeds and four quadrants.
+    ``usa`` lacks some kinds of rows, ``bom`` and ``xyz`` have some of those."""
+    has = {("usa", 34): "event_type <> 'error'", ("usa", 50): "event_type NOT IN ('error', 'view')", ("usa", 64): "event_type IN ('click', 'purchase')", ("bom", 34): "event_type IN ('error', 'view')", ("bom", 50): "event_type = 'error'", ("bom", 64): "value > 60", ("xyz", 34): "value > 10", ("xyz", 50): "event_type = 'view' AND value > 90", ("xyz", 64): "event_type = 'purchase'"}
+    size = {34: "1", 50: "0.6e0", 64: "0.35e0"}
+    base = {"usa": 5, "bom": 4, "xyz": 6}
+    return ", ".join(f"CASE WHEN {has[a, kt]} THEN ({base[a] + k} + value / 20) * {size[kt]} END AS {a}_r{kt}_{q}" for a in base for kt in size for k, q in enumerate(("ne", "se", "sw", "nw")))
+
+
+RADII = _radii()
 ADAPTERS = {
     "population_cells": """
         SELECT c_custkey AS cell_id, CAST(floor(c_custkey / 50) AS BIGINT) AS row_no, c_custkey % 50 AS col_no,
@@ -42,21 +53,46 @@ ADAPTERS = {
                     WHEN 'error' THEN 'Violence against civilians' WHEN 'signup' THEN 'Riots' ELSE 'Protests' END AS event_type,
                CAST(floor(value / 100) AS BIGINT) AS fatalities, 30 + ((event_id * 7919) % 5000) / 1000e0 AS longitude, 20 - ((event_id * 104729) % 3000) / 1000e0 AS latitude
         FROM events""",
-    "track_points": """
+    "track_points": f"""
         SELECT event_id, user_id AS sid, ts AS iso_time, 30 + (user_id % 50) * 0.1e0 + day(ts) * 0.02e0 AS lon,
-               20 - floor(user_id / 50) * 0.1e0 - day(ts) * 0.01e0 AS lat, value / 3 AS wind,
-               5 + value / 20 AS r34_ne, 6 + value / 20 AS r34_se, 7 + value / 20 AS r34_sw,
-               CASE WHEN event_type = 'error' THEN NULL ELSE 8 + value / 20 END AS r34_nw,
-               CASE event_type WHEN 'signup' THEN 'PROVISIONAL' WHEN 'click' THEN 'spur-merge' ELSE 'MAIN' END AS track_type,
+               20 - floor(user_id / 50) * 0.1e0 - day(ts) * 0.01e0 AS lat,
+               CASE event_type WHEN 'purchase' THEN 'xyz' ELSE 'bom' END AS wmo_agency,
+               CASE WHEN event_type = 'view' AND value < 20 THEN 'tcvitals_a' ELSE 'archive' END AS usa_agency,
+               value / 3 AS usa_wind, value / 3.5e0 AS wmo_wind, CASE WHEN event_type = 'view' THEN value / 2.9e0 END AS bom_wind,
+               {RADII},
+               CASE floor(user_id / 10) % 3 WHEN 0 THEN CASE event_type WHEN 'signup' THEN 'PROVISIONAL' WHEN 'click' THEN 'spur-merge' ELSE 'MAIN' END
+                    WHEN 1 THEN CASE event_type WHEN 'click' THEN 'PROVISIONAL_spur' ELSE 'MAIN' END
+                    ELSE CASE event_type WHEN 'view' THEN 'x-spur' END END AS track_type,
                concat('storm-', CAST(user_id % 97 AS VARCHAR(10)), '-', CAST(day(ts) % 10 AS VARCHAR(10))) AS name
         FROM events""",
+    "external_events": """
+        SELECT o_orderkey AS ext_id, concat('Storm ', CAST(o_custkey % 97 AS VARCHAR(10)), '-24') AS event_name,
+               CAST(DATE '2023-12-01' + INTERVAL 1 DAY * CAST(floor(o_totalprice) % 60 AS INTEGER) AS DATE) AS from_date,
+               CAST(DATE '2023-12-03' + INTERVAL 1 DAY * CAST(floor(o_totalprice) % 60 AS INTEGER) AS DATE) AS to_date
+        FROM orders""",
+    "external_buffers": """
+        SELECT o_orderkey AS ext_id, label, CAST(floor(o_custkey / 50) AS BIGINT) AS row_no, o_custkey % 50 AS col_no, (150 - label) / 30 AS reach
+        FROM orders CROSS JOIN (SELECT 60 AS label UNION ALL SELECT 90 UNION ALL SELECT 120) AS labels
+        WHERE o_orderstatus = 'F' AND (label = 60 OR o_orderpriority = '1-URGENT' OR (label = 90 AND o_orderpriority = '2-HIGH'))""",
+    "quake_products": """
+        SELECT l_partkey AS event_id, l_orderkey * 10 + l_linenumber AS update_time, l_quantity AS preferred_weight,
+               CASE l_returnflag WHEN 'R' THEN 'DELETE' ELSE 'UPDATE' END AS status,
+               CASE WHEN l_tax < 0.02 THEN 'download/shape.zip' WHEN l_tax < 0.04 THEN 'download/grid.xml.zip' ELSE 'download/grid.xml' END AS content,
+               CASE WHEN l_discount > 0.005 THEN concat('https://host.invalid/', CAST(l_orderkey AS VARCHAR(20))) END AS url
+        FROM lineitem""",
+    "admin_layers": """
+        SELECT level, upper(substr(c_mktsegment, 1, 3)) AS iso3, count(*) AS features
+        FROM customer CROSS JOIN (SELECT 0 AS level UNION ALL SELECT 1 UNION ALL SELECT 2) AS levels
+        WHERE level < 2 OR c_mktsegment <> 'MACHINERY' GROUP BY level, upper(substr(c_mktsegment, 1, 3))""",
     "shake_cells": """
         SELECT l_partkey AS event_id, l_suppkey AS hcell_id, max(l_quantity * l_discount * 1.6e0) AS mmi
-        FROM lineitem WHERE l_partkey < 200 GROUP BY l_partkey, l_suppkey""",
+        FROM lineitem GROUP BY l_partkey, l_suppkey""",
     "quake_catalog": """
         SELECT p_partkey AS event_id, replace(p_name, 'widget', 'scenario') AS title, p_size / 10e0 AS magnitude,
-               CASE WHEN p_type = 'SMALL' THEN 'quarry blast' ELSE 'earthquake' END AS event_type
-        FROM part WHERE p_partkey < 200""",
+               CASE WHEN p_type = 'SMALL' THEN 'quarry blast' ELSE 'earthquake' END AS event_type,
+               CASE WHEN p_size > 45 THEN 'origin,phase-data' ELSE 'origin,shakemap' END AS types,
+               CASE WHEN p_size > 3 THEN concat('https://host.invalid/detail/', p_brand) END AS detail
+        FROM part""",
     "manifest": """
         SELECT c_custkey AS file_order, CASE WHEN c_custkey % 53 = 0 THEN 'X1' ELSE lower(substr(c_mktsegment, 1, 3)) END AS iso3_text,
                CASE WHEN c_custkey % 41 = 0 THEN 'not-a-date' ELSE '2001-08-01' END AS as_of_text,

@@ -6,17 +6,19 @@ leaves a table that grows on the next run; its checkpoint holds what was read.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrapop.sources.files import shared_dir
+
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder under the shared checkpoint folder; a local one where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='terrapop-stream-')}"
-    return f"{named.rstrip('/')}/{uuid.uuid4().hex}"
+    """A fresh folder under the shared checkpoint folder; a job that is to go on where it
+    stopped gives the folder of its earlier run instead."""
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
 
 
 def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,9 +29,10 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]")  # a pattern, as the table may be one file
 
 
-def drain(stream: DataFrame, mode: str) -> DataFrame:
+def drain(stream: DataFrame, mode: str, base: str | None = None) -> DataFrame:
     """Runs the stream over what is there into a Parquet table (append)."""
-    spark, base = stream.sparkSession, work_dir(stream.sparkSession)
+    spark = stream.sparkSession
+    base = base or work_dir(spark)
     q = stream.writeStream.outputMode(mode).format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
@@ -43,31 +46,65 @@ def flood_days(obs: DataFrame, cell: str = "hcell_id", ts: str = "acq_ts", pix:
     return days.select(cell, F.to_date("window.start").alias("day"), "hit")
 
 
-def max_by_cell(stream: DataFrame, cell: str, value: str, table: str) -> DataFrame:
-    """Running maximum by ``foreachBatch``: each micro-batch's maxima join the table so
-    far, written as the next version; a replayed batch changes nothing."""
-    spark, base = stream.sparkSession, work_dir(stream.sparkSession)
-    state: dict[str, str] = {}
+def _versions(spark: SparkSession, base: str) -> dict[str, list[int]]:
+    """Epochs of the finished parts in a folder, by kind (``base`` and ``delta``)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, list[int]] = {"base": [], "delta": []}
+    for status in fs.listStatus(path) if fs.exists(path) else []:
+        kind, _, epoch = status.getPath().getName().partition("-")
+        if kind in found and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found[kind].append(int(epoch))
+    return found
+
+
+def state_of(spark: SparkSession, base: str, cell: str, value: str) -> DataFrame | None:
+    """The running maxima that a folder holds: its last base and the deltas after it."""
+    v = _versions(spark, base)
+    start = max(v["base"], default=-1)
+    paths = [f"{base}/base-{start}"] * (start >= 0) + [f"{base}/delta-{k}" for k in v["delta"] if k > start]
+    return spark.read.parquet(*paths).groupBy(cell).agg(F.max(value).alias(value)) if paths else None
+
+
+def max_by_cell(stream: DataFrame, cell: str, value: str, gate: Callable[[DataFrame], DataFrame] = lambda batch: batch, base: str | None = None, merge_every: int = 32) -> DataFrame:
+    """Running maximum by ``foreachBatch``. Each micro-batch, after its ``gate``, leaves the
+    maxima of its own cells as a delta named by its epoch: a replayed batch overwrites its
+    own delta, and a restart on the same ``base`` goes on from what is there. Every
+    ``merge_every`` epochs the deltas are merged, so that no batch rewrites all cells."""
+    spark = stream.sparkSession
+    base = base or work_dir(spark)
+    held = f"{base}/maxima"
 
     def fold(batch: DataFrame, epoch: int) -> None:
-        now = batch.groupBy(cell).agg(F.max(value).alias(value))
-        if "at" in state:
-            now = now.unionByName(spark.read.parquet(state["at"])).groupBy(cell).agg(F.max(value).alias(value))
-        path = f"{base}/{table}-{epoch}"
-        now.write.mode("overwrite").parquet(path)
-        state["at"] = path
+        gate(batch).groupBy(cell).agg(F.max(value).alias(value)).write.mode("overwrite").parquet(f"{held}/delta-{epoch}")
+        if epoch % merge_every == merge_every - 1:
+            state_of(spark, held, cell, value).write.mode("overwrite").parquet(f"{held}/base-{epoch}")
 
     stream.writeStream.foreachBatch(fold).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(state["at"]) if "at" in state else spark.createDataFrame([], f"{cell} long, {value} double")
+    found = state_of(spark, held, cell, value)
+    return found if found is not None else spark.createDataFrame([], stream.select(cell, value).schema)
+
+
+def daily_counts(cells: DataFrame, keys: tuple[str, ...], ts: str, late: str = "1 day") -> DataFrame:
+    """Counts by key and day, closed days only; look-backs of months are sums of these."""
+    days = cells.withWatermark(ts, late).groupBy(*keys, F.window(ts, "1 day")).agg(F.count("*").alias("n"))
+    return days.select(*keys, F.to_date("window.start").alias("day"), "n")
+
+
+def sliding_counts(cells: DataFrame, keys: tuple[str, ...], ts: str, length: str = "30 days", late: str = "1 day") -> DataFrame:
+    """Counts by key in every window of ``length`` that ends at a day's start, closed windows
+    only: keys, ``until`` (first day after the window), ``n``."""
+    windows = cells.withWatermark(ts, late).groupBy(*keys, F.window(ts, length, "1 day")).agg(F.count("*").alias("n"))
+    return windows.select(*keys, F.to_date("window.end").alias("until"), "n")
 
 
-def daily_counts(events: DataFrame, key: str, ts: str, late: str = "1 day") -> DataFrame:
-    """Counts by key and day, closed days only; look-backs are sums of these."""
-    days = events.withWatermark(ts, late).groupBy(key, F.window(ts, "1 day")).agg(F.count("*").alias("n"))
-    return days.select(key, F.to_date("window.start").alias("day"), "n")
+def look_back(daily: DataFrame, keys: tuple[str, ...], first: Column, last: Column) -> DataFrame:
+    """Sum of daily counts from ``first`` to ``last``, both included."""
+    return daily.where(F.col("day").between(first, last)).groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
 def heat_runs(hot_days: DataFrame, cell: str, day_ts: str, k: int = 3, late: str = "2 days") -> DataFrame:
-    """Runs of consecutive calendar days by a 36-hour session gap, of ``k`` or more."""
-    runs = hot_days.withWatermark(day_ts, late).groupBy(cell, F.session_window(day_ts, "36 hours")).agg(F.approx_count_distinct(day_ts, 0.01).alias("days"))
-    return runs.where(F.col("days") >= k).select(cell, F.to_date("session_window.start").alias("first_day"), "days")
+    """Runs of ``k`` or more consecutive calendar days by a 36-hour session gap. Times are
+    midnights, so a session holds every day from its first to its last."""
+    runs = hot_days.withWatermark(day_ts, late).groupBy(cell, F.session_window(day_ts, "36 hours")).agg(F.min(day_ts).alias("first"), F.max(day_ts).alias("last"))
+    return runs.select(cell, F.to_date("first").alias("first_day"), (F.datediff("last", "first") + 1).cast("long").alias("days")).where(F.col("days") >= k)

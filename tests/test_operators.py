@@ -104,12 +104,75 @@ def test_affected_never_exceeds_total(spark):
     assert loose[5].pct_affected is None
 
 
+QUADS = [f"usa_r34_{q}" for q in tracks.QUADRANTS]
+TRACK = "event_id long, sid long, iso_time timestamp, lon double, lat double, wmo_agency string, usa_wind double, " + ", ".join(f"{c} double" for c in QUADS)
+
+
 def test_track_completeness_and_interpolation(spark):
     t = lambda h: dt.datetime(2025, 1, 1, h)
-    pts = [(1, 7, t(0), -0.55, 0.5, 40.0, 20.0, 20.0, 20.0, 20.0), (2, 7, t(6), -0.45, 0.5, 40.0, 20.0, 20.0, 20.0, 20.0), (3, 7, t(7), 2.0, 0.5, 40.0, 20.0, None, 20.0, 20.0), (4, 7, t(23), 3.0, 0.5, 40.0, 20.0, 20.0, 20.0, 20.0)]
-    df = spark.createDataFrame(pts, "event_id long, sid long, iso_time timestamp, lon double, lat double, wind double, r34_ne double, r34_se double, r34_sw double, r34_nw double")
-    assert tracks.completeness(df).first()["completeness"] == 0.75
+    pts = [(1, 7, t(0), -0.55, 0.5, "x", 40.0, 2.0, 2.0, 2.0, 2.0), (2, 7, t(6), -0.45, 0.5, "x", 40.0, 4.0, 4.0, 4.0, 4.0), (3, 7, t(7), 2.0, 0.5, "x", 40.0, 20.0, None, 20.0, 20.0), (4, 7, t(23), 3.0, 0.5, "x", 40.0, 20.0, 20.0, 20.0, 20.0)]
+    df = spark.createDataFrame(pts, TRACK)
+    done = {r.threshold: (r.completeness, r.agencies) for r in tracks.completeness(df).collect()}
+    assert done == {63: (0.75, "usa"), 93: (0.0, ""), 119: (0.0, "")}
     nxt = {r.event_id: (r.next_event_id, r.linked) for r in tracks.next_observation(df).collect()}
     assert nxt == {1: (2, True), 2: (4, False), 4: (None, False)}
-    steps = rows(tracks.interpolated(tracks.next_observation(df), 5.0).where("event_id = 1").select("step", "lon"))
-    assert steps[0] == (0, -0.55) and len(steps) == 3 and all(a[1] < b[1] for a, b in zip(steps, steps[1:]))
+    steps = rows(tracks.interpolated(tracks.next_observation(df)).where("event_id = 1").select("step", "lon", "ne"))
+    # 11.12 km at steps of the least radius, 3.704 km, and radii in proportion
+    assert steps[0] == (0, -0.55, 3.704) and len(steps) == 4 and all(a[1] < b[1] for a, b in zip(steps, steps[1:]))
+    assert [round(s[2], 6) for s in steps] == [3.704, 4.63, 5.556, 6.482]
+
+
+def test_radii_come_from_the_preferred_agency(spark):
+    names = [f"{a}_r34_{q}" for a in ("usa", "bom", "abc", "xyz") for q in tracks.QUADRANTS]
+    row = lambda i, wmo, *have: (i, 1, dt.datetime(2025, 1, 1), 0.0, 0.0, wmo, *[float(k + 1) if a in have else None for k, a in enumerate(("usa", "bom", "abc", "xyz")) for _ in range(4)])
+    data = [row(1, "xyz", "usa", "xyz"), row(2, " XYZ", "bom", "xyz"), row(3, "bom", "bom", "xyz"), row(4, "q", "abc", "xyz"), row(5, None)]
+    df = spark.createDataFrame(data, "event_id long, sid long, iso_time timestamp, lon double, lat double, wmo_agency string, " + ", ".join(f"{c} double" for c in names))
+    got = {r.event_id: r.agency for r in tracks.families(df).where("threshold = 63").collect()}
+    assert got == {1: "usa", 2: "xyz", 3: "bom", 4: "abc", 5: None}
+
+
+def test_swath_of_unlike_quadrants_has_straight_edges(spark):
+    """Against a polygon with a corner every five degrees, by crossing parity in a plane."""
+    import math
+
+    radii = (60.0, 20.0, 45.0, 30.0)
+    step = spark.createDataFrame([(1, 63, 32.5, 0.0, *radii)], "sid long, threshold int, lon double, lat double, ne double, se double, sw double, nw double")
+    got = {(r.row_no, r.col_no) for r in tracks.swath_cells(step, 30.0, 1.0, 0.1, 50).collect()}
+    km = 111.19492664455873
+    ring = [(radii[min(a // 90, 3)] * math.sin(math.radians(a)), radii[min(a // 90, 3)] * math.cos(math.radians(a))) for a in range(0, 361, 5)]
+    want = set()
+    for r in range(20):
+        for c in range(50):
+            x, y = (30 + (c + 0.5) * 0.1 - 32.5) * km, (1 - (r + 0.5) * 0.1) * km
+            odd = sum((y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1) for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1])) % 2
+            if odd:
+                want.add((r, c))
+    assert got == want
+
+
+def test_near_units(spark):
+    ring = spark.createDataFrame([(1, 0, 0.0, 0.0), (1, 1, 1.0, 0.0), (1, 2, 1.0, 1.0), (1, 3, 0.0, 1.0)], "admin_id long, seq int, x double, y double")
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.08, 0.5), (3, 1.1, 0.5), (4, -0.06, -0.06), (5, -0.07, -0.07), (6, 0.5, 40.0)], "point_id long, lon double, lat double")
+    assert rows(grid.near_units(points, ring, 10.0)) == [(1,), (2,), (4,)]
+
+
+def test_spur_tracks_by_ending(spark):
+    df = spark.createDataFrame([(1, "main"), (2, "Merge-SPUR"), (3, "spur-merge"), (4, None)], "event_id long, track_type string").selectExpr("event_id", "track_type", "timestamp '2025-01-01' as iso_time", "1d as lon", "1d as lat", "-999d as usa_wind")
+    got = tracks.clean_tracks(df).collect()
+    assert sorted(r.event_id for r in got) == [1, 3, 4] and all(r.usa_wind is None for r in got)
+
+
+def test_run_floor_gives_all_thresholds(spark):
+    rng = random.Random(8)
+    d = lambda n: dt.date(2025, 1, n)
+    data = [(c, d(day), float(rng.randrange(5))) for c in range(6) for day in range(1, 25) if rng.random() < 0.9]
+    df = spark.createDataFrame(data, "c long, day date, v double")
+    floor = {r.c: r.floor for r in temporal.run_floor(df, "c", "day", "v", 3).collect()}
+    for t in (-1, 0, 1, 2, 3):
+        assert {c for c, f in floor.items() if f > t} == {r.c for r in temporal.consecutive_k(df, "c", "day", F.col("v") > t, 3).collect()}
+
+
+def test_kelvin_by_file(spark):
+    d = lambda n: dt.date(2025, 1, n)
+    df = spark.createDataFrame([("a", d(1), 300.0), ("a", d(1), 280.0), ("a", d(2), 10.0), ("b", d(1), 20.0), ("b", d(2), 300.0)], "file string, day date, v double")
+    assert [round(r[2], 2) for r in rows(temporal.to_celsius_by_file(df, "v", "day", "file").select("file", "day", "v"))] == [6.85, 26.85, -263.15, 20.0, 300.0]

@@ -7,6 +7,8 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from terrapop.operators import grid
+from terrapop.streaming import folds
 
 
 def test_files_in_no_order_of_time(spark, tmp_path):
@@ -19,16 +21,24 @@ def test_files_in_no_order_of_time(spark, tmp_path):
     got = {n: {tuple(r) for r in entry.queries()[n](spark, str(tmp_path)).collect()} for n in ("stream_flood_days", "stream_event_count", "stream_heat_runs")}
 
     last = (max(r[1] for r in rows) - datetime.timedelta(days=1)).date()
-    flooded, counted, hot = defaultdict(set), defaultdict(int), defaultdict(set)
+    flooded, hot = defaultdict(set), defaultdict(set)
     for _, ts, user, kind, value in rows:
         if ts.date() < last:
-            counted[user] += 1
             if kind == "click":
                 flooded[user].add(ts.date())
         if value > 64:
             hot[user].add(ts.date())
     assert got["stream_flood_days"] == {(u, len(d)) for u, d in flooded.items()}
-    assert got["stream_event_count"] == set(counted.items())
+    radius = F.when(F.col("event_type") == "click", 5).otherwise(2)
+    placed = df.where("event_type <> 'view'").select(F.struct("event_id", "ts").alias("point_id"), (30 + F.col("event_id") * 7919 % 5000 / 1000).alias("lon"), (20 - F.col("event_id") * 104729 % 3000 / 1000).alias("lat"), radius.alias("radius"))
+    cells = grid.disc_cells(placed, 30.0, 20.0, 0.1, F.col("radius"), 30, 50).select("row_no", "col_no", F.col("point_id.ts").alias("ts")).collect()
+    sums = defaultdict(int)
+    for c in cells:
+        for k in range(1, 31):
+            until = c.ts.date() + datetime.timedelta(days=k)
+            if until <= last:
+                sums[c.row_no, c.col_no, until] += 1
+    assert got["stream_event_count"] == {(*k, n) for k, n in sums.items()}
     runs = set()
     for user, days in hot.items():
         for day in sorted(days):
@@ -40,3 +50,17 @@ def test_files_in_no_order_of_time(spark, tmp_path):
     # only runs that were open at the end, two days before the last hot day, may be absent
     closed = max(max(d) for d in hot.values()) - datetime.timedelta(days=4)
     assert {r for r in runs if r[1] + datetime.timedelta(days=r[2]) < closed} <= got["stream_heat_runs"]
+
+
+def test_maxima_survive_a_restart(spark, tmp_path):
+    """Files that come later, and a second start on the same folder, go on from the state."""
+    rows = [(1, 5.0), (2, 1.0)], [(1, 3.0), (3, 9.0)], [(2, 4.0)]
+    base = f"file://{tmp_path}/job"
+    want = {}
+    for k, part in enumerate(rows):
+        spark.createDataFrame(part, "cell long, v double").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in.parquet")
+        stream = spark.readStream.schema("cell long, v double").parquet(f"{tmp_path}/in.parquet")
+        found = folds.max_by_cell(stream, "cell", "v", base=base, merge_every=2)
+        for c, v in part:
+            want[c] = max(v, want.get(c, v))
+        assert {r.cell: r.v for r in found.collect()} == want, k
