@@ -35,6 +35,8 @@ SEED, BITS, SEGMENTS = 42, 64, 8
 #: million (binomial estimate: 5 standard deviations, for the shortest texts too).
 WIDE, RING, LOOSE = 4, 16, 80
 WIDTH, CHUNK = 5, 500
+#: Members of a cluster that one task compares: two blocks.
+BLOCK = 256
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -330,26 +332,39 @@ def exact_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return edges
 
 
+def in_blocks(members: DataFrame, size: int) -> DataFrame:
+    """Members (node, root) of clusters with the pairs of blocks (``lo``, ``hi``) that they
+    belong to: a cluster of more than ``size`` is cut into blocks, and each two of them
+    meet in a task of their own. A small cluster is one block."""
+    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: (b != F.col("own")) | (F.col("blocks") == 1))
+    dealt = members.join(sizes, "root").withColumn("own", own).withColumn("other", F.explode(others))
+    return dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("own", "other", "blocks")
+
+
 def similar_links(texts: DataFrame) -> DataFrame:
-    """Edges (a, b) between nodes of a cluster (columns root, node, text) by whole sets."""
+    """Edges (a, b) between nodes of a cluster (columns root, lo, hi, node, text) by whole
+    sets, for each pair of blocks."""
 
     def decided(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        root, held = None, {}
+        group, held = None, {}
         for batch in _filled(batches):
             edges: list[tuple[int, int]] = []
-            rows = [(None, None, None)] if batch is None else zip(*(batch.column(c).to_pylist() for c in ("root", "node", "text")), strict=True)
-            for r, node, text in rows:
-                if r != root:
+            rows = [(None,) * 5] if batch is None else zip(*(batch.column(c).to_pylist() for c in ("root", "lo", "hi", "node", "text")), strict=True)
+            for *of, node, text in rows:
+                if of != group:
                     if len(held) > 1:
                         names = list(held)
                         edges += [(names[x], names[y]) for x, y in exact_forest(list(held.values()))]
-                    root, held = r, {}
+                    group, held = of, {}
                 if node is not None and node not in held and name_of(found := np.unique(shingle_hashes(text, WIDTH))) == node:
                     held[node] = found
             if edges:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], ["a", "b"])
 
-    return texts.select("root", "node", "text").repartition("root").sortWithinPartitions("root").mapInArrow(decided, "a long, b long")
+    keys = ("root", "lo", "hi")
+    return texts.select(*keys, "node", "text").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(decided, "a long, b long")
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -358,7 +373,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     marked = written(marks(docs))
     nodes = marked.groupBy("node").agg(F.min("doc_id").alias("first"))
     clusters = written(components(candidates(marked))).withColumnRenamed("root", "cluster")
-    members = nodes.join(clusters, "node").select("node", F.col("cluster").alias("root"), F.col("first").alias("doc_id"))
+    members = in_blocks(nodes.join(clusters, "node").select("node", F.col("cluster").alias("root"), F.col("first").alias("doc_id")), BLOCK)
     # a doc_id may be repeated with another text, so a node is known by its own rows
     texts = docs.select("doc_id", "text").join(members, "doc_id")
     roots = written(components(similar_links(texts)))

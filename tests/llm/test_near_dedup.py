@@ -75,3 +75,11 @@ def test_similar_below_the_bound_stays(spark):
     # the last shares 85 of 100 with the second (25 of 30 changes in common), so the chain holds it
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == [0]
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df.where("doc_id <> 1"), "").collect()) == [0, 2]
+
+
+def test_large_clusters_are_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 7)
+    texts = some_texts()
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.component_id for r in simhash.similar_components(df).collect()}
+    assert got == dict(enumerate(slow_roots(texts)))
