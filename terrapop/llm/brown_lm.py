@@ -1,12 +1,15 @@
 """Operator 2: language-model scores by a class-based bigram model (Brown classes).
 
 Exchange clustering assigns units to classes so that the likelihood of class bigrams
-grows. A unit is one of the most frequent training words, or a bucket of rarer words that
-share an ending, or the end of a text; so every word has a class. A text's probability is
-the product of smoothed class transitions and smoothed word emissions.
-
-Counts of the frequent words, a bounded number, travel with the tasks. Counts of all
-others meet the texts in a join, so nothing that grows with the corpus is held whole.
+grows. Units are the most frequent training words, buckets of all others by their ending,
+and the end of a text. Then every word beyond the units gets a class of its own, by the
+classes that stand before and after it anywhere in the training texts. With all classes
+set, class transitions are counted anew over the whole corpus. A text's probability is the
+product of smoothed class transitions and smoothed word emissions.
+
+Counts and classes of the frequent words, a bounded number, travel with the tasks. Those
+of all others meet the texts in a join, so nothing that grows with the corpus is held
+whole. Texts are split into words once; later passes read their numbers.
 """
 
 from __future__ import annotations
@@ -18,17 +21,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, written
+from .common import column, crc_mod, release, runs, schema_of, written
+
+#: In a text's word numbers: its end.
+END = b"\xff\xff\xff\xff"
 
 
 @dataclass(frozen=True)
 class BrownConfig:
     """``head_words`` bounds the words whose counts travel with the tasks, ``unit_words``
-    (at most that) those that are exchanged one by one; rarer words are exchanged by
-    bucket of ending. ``alpha`` smooths emissions, ``kappa`` transitions."""
+    (at most that) those that are exchanged one by one; others are exchanged by bucket of
+    ending and get their own class afterwards. Exchange ends after ``passes``, or when one
+    gains less than ``settled`` of the likelihood. ``alpha`` smooths emissions, ``kappa``
+    transitions."""
 
     classes: int = 32
     head_words: int = 131_072
@@ -36,6 +45,7 @@ class BrownConfig:
     buckets: int = 512
     ending: int = 3
     passes: int = 6
+    settled: float = 2e-4
     alpha: float = 0.5
     kappa: float = 8.0
 
@@ -73,38 +83,50 @@ def _counted(seen: Counter[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
 
+def word_hash(word: bytes) -> int:
+    """The hash that Spark's xxhash64 gives."""
+    return xxhash.xxh64_intdigest(word, 42)
+
+
 class Units:
-    """Unit number of each word."""
+    """Numbers of words: ranks of frequent ones, and the unit that each word belongs to."""
 
     def __init__(self, head: list[bytes], cfg: BrownConfig):
         self.cfg = cfg
         self.rank = {w: i for i, w in enumerate(head)}
+        self.of_rank = np.array([i if i < cfg.unit_words else self.bucket(w) for i, w in enumerate(head)] or [0], np.uint16)
 
     def bucket(self, word: bytes) -> int:
         return self.cfg.unit_words + zlib.crc32(word[-self.cfg.ending :]) % self.cfg.buckets
 
-    def of(self, word: bytes) -> int:
-        r = self.rank.get(word, self.cfg.unit_words)
-        return r if r < self.cfg.unit_words else self.bucket(word)
-
-    def sequence(self, words: list[bytes]) -> np.ndarray:
-        """Units of a text's words and its end."""
-        get, most, bucket = self.rank.get, self.cfg.unit_words, self.bucket
-        ranks = [get(w, most) for w in words]
-        return np.array([r if r < most else bucket(w) for r, w in zip(ranks, words, strict=True)] + [self.cfg.end], dtype=np.uint16)
+    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Of a text: each word's rank, or ``head_words`` plus its place among the text's rare
+        words; the units, with the end's; the rare words."""
+        get, most = self.rank.get, self.cfg.head_words
+        found = np.array([get(w, -1) for w in words], np.int64)
+        deep = np.flatnonzero(found < 0)
+        rare: dict[bytes, int] = {}
+        found[deep] = [most + rare.setdefault(words[i], len(rare)) for i in deep.tolist()]
+        units = np.append(self.of_rank[np.minimum(found, len(self.of_rank) - 1)], np.uint16(self.cfg.end))
+        units[deep] = np.array([self.bucket(w) for w in rare], np.uint16)[found[deep] - most]
+        return found, units, list(rare)
 
 
-def encoded(docs: DataFrame, units: Units) -> DataFrame:
-    """One row for each batch: all its texts' units, each text closed by its end."""
+def encoded(docs: DataFrame, learn: Column, units: Units, keep: tuple[str, ...]) -> DataFrame:
+    """A row for each text: ``keep_0`` ..., ``learn``, word numbers and units as bytes, and
+    its rare words."""
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for lo in range(0, len(texts), 512):
-                joined = np.concatenate([units.sequence(words_of(t)) for t in texts[lo : lo + 512]])
-                yield pa.RecordBatch.from_arrays([pa.array([joined.tobytes()], pa.binary())], ["units"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 512):
+                batch = whole.slice(lo, 512)
+                numbered = [units.numbers(words_of(t)) for t in batch.column("text").to_pylist()]
+                made = [pa.array([n.astype("<u4").tobytes() for n, _, _ in numbered], pa.binary()), pa.array([u.tobytes() for _, u, _ in numbered], pa.binary()), pa.array([r for _, _, r in numbered], pa.list_(pa.binary()))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], [*kept, "words", "units", "rare"])
 
-    return docs.select("text").mapInArrow(encode, "units binary")
+    kept = (*(f"keep_{k}" for k in range(len(keep))), "learn")
+    chosen = docs.select(*(column(c).alias(k) for c, k in zip(keep, kept, strict=False)), learn.alias("learn"), "text")
+    return chosen.mapInArrow(encode, schema_of(chosen, kept, "words binary, units binary, rare array<binary>")).withColumn("row", F.monotonically_increasing_id())
 
 
 def neighbour_counts(rows: DataFrame, classes: np.ndarray, cfg: BrownConfig) -> tuple[np.ndarray, np.ndarray]:
@@ -116,15 +138,14 @@ def neighbour_counts(rows: DataFrame, classes: np.ndarray, cfg: BrownConfig) ->
     def count(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         before, after = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch in batches:
-            for raw in batch.column("units").to_pylist():
-                u = np.concatenate(([end], np.frombuffer(raw, dtype=np.uint16))).astype(np.int64)
-                c = classes[u]
-                before += np.bincount(u[1:] * cfg.classes + c[:-1], minlength=size)
-                after += np.bincount(u[:-1] * cfg.classes + c[1:], minlength=size)
+            u = np.concatenate(([end], np.frombuffer(b"".join(batch.column("units").to_pylist()), np.uint16))).astype(np.int64)
+            c = classes[u]
+            before += np.bincount(u[1:] * cfg.classes + c[:-1], minlength=size)
+            after += np.bincount(u[:-1] * cfg.classes + c[1:], minlength=size)
         at = np.flatnonzero(before + after)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(before[at]), pa.array(after[at])], ["at", "b", "a"])
 
-    found = rows.mapInArrow(count, "at long, b long, a long").groupBy("at").agg(F.sum("b").alias("b"), F.sum("a").alias("a")).toArrow()
+    found = rows.select("units").mapInArrow(count, "at long, b long, a long").groupBy("at").agg(F.sum("b").alias("b"), F.sum("a").alias("a")).toArrow()
     before, after = np.zeros(size, np.int64), np.zeros(size, np.int64)
     at = found.column("at").to_numpy()
     before[at], after[at] = found.column("b").to_numpy(), found.column("a").to_numpy()
@@ -172,132 +193,213 @@ def exchange(before: np.ndarray, after: np.ndarray, classes: np.ndarray, movable
     return classes
 
 
+def smoothed(transitions: np.ndarray, tokens: np.ndarray, cfg: BrownConfig) -> np.ndarray:
+    """log10 of transition probabilities, drawn to the classes' shares of all tokens."""
+    prior = (tokens + 1) / (tokens + 1).sum()
+    return np.log10((transitions + cfg.kappa * prior) / (transitions.sum(axis=1, keepdims=True) + cfg.kappa))
+
+
+def exchanged(rows: DataFrame, cfg: BrownConfig) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The units' classes, class transitions and tokens of each class."""
+    classes = (np.arange(cfg.units) % cfg.classes).astype(np.int64)
+    best, kept = -np.inf, None
+    for step in range(cfg.passes + 1):
+        before, after = neighbour_counts(rows, classes, cfg)
+        transitions, tokens = np.zeros((cfg.classes, cfg.classes)), np.zeros(cfg.classes)
+        np.add.at(transitions, classes, after.astype(float))
+        np.add.at(tokens, classes, before.sum(axis=1).astype(float))
+        now, gained = likelihood(transitions), kept is None or likelihood(transitions) - best > cfg.settled * abs(best)
+        if kept is None or now > best:
+            best, kept = now, (classes, transitions, tokens)
+        if step == cfg.passes or not gained:
+            break
+        busy = np.argsort(-(before.sum(axis=1) + after.sum(axis=1)), kind="stable")
+        classes = exchange(before, after, classes, busy if step == 0 else busy[step % 2 :: 2])
+    return kept
+
+
+def own_classes(rows: DataFrame, head: list[bytes], classes: np.ndarray, transitions: np.ndarray, tokens: np.ndarray, cfg: BrownConfig) -> DataFrame:
+    """(h, class): of every training word beyond the units, by hash, the class under which
+    its neighbours are likeliest. Pairs of classes around a word are counted over the whole
+    corpus, in each task first, so that a word is at most classes squared rows."""
+    k, none = cfg.classes, np.frombuffer(END, "<u4")[0]
+    of_head = np.array([word_hash(w) for w in head] or [0], np.uint64)
+
+    def around(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            c = classes[np.concatenate(([cfg.end], np.frombuffer(b"".join(batch.column("units").to_pylist()), np.uint16)))]
+            raw, rare = batch.column("words").to_pylist(), batch.column("rare").to_pylist()
+            number = np.frombuffer(b"".join([x for r in raw for x in (r, END)]), "<u4")
+            at = np.flatnonzero((number >= cfg.unit_words) & (number != none))
+            first = np.cumsum([0, *map(len, rare)])[:-1]
+            text = np.repeat(np.arange(len(raw)), [len(r) // 4 + 1 for r in raw])[at]
+            deep = number[at] >= cfg.head_words
+            of_rare = np.array([word_hash(w) for r in rare for w in r], np.uint64)
+            h = np.zeros(len(at), np.uint64)
+            h[~deep] = of_head[number[at][~deep]]
+            h[deep] = of_rare[first[text[deep]] + number[at][deep] - cfg.head_words]
+            code = c[at] * k + c[at + 2]
+            order = np.lexsort((code, h))
+            cut = np.unique(np.concatenate((runs(h[order]), runs(code[order]))))[:-1] if len(at) else at
+            n = np.diff(np.append(cut, len(at)))
+            yield pa.RecordBatch.from_arrays([pa.array(h[order][cut].view(np.int64)), pa.array(code[order][cut].astype(np.int32)), pa.array(n, pa.int64())], ["h", "code", "n"])
+
+    log = smoothed(transitions, tokens, cfg)
+    gain = (log[:, None, :] + log.T[None, :, :] - np.log10(tokens + 1)).reshape(k * k, k)  # [before, after] by class
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        held: tuple[int, np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, code, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "code", "n"))
+            cut = runs(h)
+            sums, names = np.add.reduceat(gain[code] * n[:, None], cut[:-1]), h[cut[:-1]]
+            if held is not None and held[0] == names[0]:
+                sums[0] += held[1]
+            elif held is not None:
+                names, sums = np.append(held[0], names), np.vstack([held[1], sums])
+            held = (names[-1], sums[-1])
+            if len(names) > 1:
+                yield pa.RecordBatch.from_arrays([pa.array(names[:-1]), pa.array(sums[:-1].argmax(axis=1).astype(np.int32))], ["h", "class"])
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([int(held[1].argmax())], pa.int32())], ["h", "class"])
+
+    counted = rows.select("units", "words", "rare").mapInArrow(around, "h long, code int, n long").groupBy("h", "code").agg(F.sum("n").alias("n"))
+    return counted.repartition("h").sortWithinPartitions("h", "code").mapInArrow(choose, "h long, class int")
+
+
 @dataclass(frozen=True)
-class BrownModel:
-    units: Units
-    head_counts: np.ndarray
+class Lexicon:
+    """Counts and classes of the frequent words and of the units."""
+
+    counts: np.ndarray
     classes: np.ndarray
-    log_transition: np.ndarray
-    emission_total: np.ndarray
+    of_units: np.ndarray
+    end_count: int
     train_tokens: int
     vocabulary: int
-    end_count: int
-    cfg: BrownConfig
 
 
-def class_totals(counts: DataFrame, units: Units, classes: np.ndarray, cfg: BrownConfig) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and distinct words of each class, over the whole vocabulary."""
+CLASSED = "n_tokens long, n_known long, base double, emitted double, classes binary"
+
+
+def classed(rows: DataFrame, rare: DataFrame, lexicon: Lexicon, kept: tuple[str, ...], cfg: BrownConfig) -> DataFrame:
+    """Each text with the class of every token and what doesn't depend on classes' totals.
+    ``rare`` (word, n, class) meets the texts' rare words in a join; one that was not learned
+    has count 0 and the class of its ending."""
+    log_base = np.log10(lexicon.train_tokens + 1.0 * (lexicon.vocabulary + 1))
+
+    def settle(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 512):
+                batch = whole.slice(lo, 512)
+                out: list[tuple] = []
+                for words, units, many, met in zip(*(batch.column(c).to_pylist() for c in ("words", "units", "many", "met")), strict=True):
+                    number = np.frombuffer(words, "<u4").astype(np.int64)
+                    c = lexicon.of_units[np.frombuffer(units, np.uint16)]
+                    n = np.zeros(len(number), np.int64)
+                    deep = number >= cfg.head_words
+                    n[~deep] = lexicon.counts[number[~deep]]
+                    c[:-1][~deep] = lexicon.classes[number[~deep]]
+                    if met:
+                        seen, own = np.zeros(many, np.int64), np.full(many, -1)
+                        at = [m["at"] for m in met]
+                        seen[at], own[at] = [m["n"] for m in met], [m["class"] for m in met]
+                        place = np.flatnonzero(deep)
+                        n[place] = seen[number[place] - cfg.head_words]
+                        place = place[n[place] > 0]
+                        c[place] = own[number[place] - cfg.head_words]
+                    known = int((n > 0).sum()) + (lexicon.end_count > 0)
+                    base = np.log10(n + 1.0).sum() + np.log10(lexicon.end_count + 1.0) - (len(n) + 1) * log_base
+                    emitted = np.log10(n + cfg.alpha).sum() + np.log10(lexicon.end_count + cfg.alpha)
+                    out.append((len(n) + 1, known, float(base), float(emitted), c.astype(np.uint8).tobytes()))
+                made = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], [*kept, "n_tokens", "n_known", "base", "emitted", "classes"])
+
+    pairs = rows.select("row", F.posexplode("rare").alias("at", "word")).join(rare, "word")
+    met = pairs.groupBy("row").agg(F.collect_list(F.struct("at", "n", "class")).alias("met"))
+    both = rows.withColumn("many", F.size("rare")).drop("rare").join(met, "row", "left")
+    return both.mapInArrow(settle, schema_of(both, kept, CLASSED))
+
+
+def class_counts(rows: DataFrame, first: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions between classes, each text starting from the end's, and tokens of each."""
 
-    def total(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        tokens, types = np.zeros(cfg.classes, np.int64), np.zeros(cfg.classes, np.int64)
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        sums = np.zeros(k * k, np.int64)
         for batch in batches:
-            c = classes[np.array([units.of(w) for w in batch.column("word").to_pylist()], dtype=np.int64)]
-            np.add.at(tokens, c, batch.column("n").to_numpy())
-            types += np.bincount(c, minlength=cfg.classes)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(cfg.classes)), pa.array(tokens), pa.array(types)], ["c", "tokens", "types"])
-
-    tokens, types = np.zeros(cfg.classes), np.zeros(cfg.classes)
-    for r in counts.mapInArrow(total, "c long, tokens long, types long").groupBy("c").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).collect():
-        tokens[r["c"]], types[r["c"]] = r["tokens"], r["types"]
-    return tokens, types
-
-
-def fit_brown(train: DataFrame, cfg: BrownConfig = BrownConfig()) -> tuple[BrownModel, DataFrame]:
-    """The model of the texts of ``train``, and its (word, n) table."""
-    counts = written(word_counts(train))
-    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    texts = train.count()
-    head_rows = counts.orderBy(F.desc("n"), "word").limit(cfg.head_words).toArrow()
-    order = np.lexsort((np.arange(len(head_rows)), -head_rows.column("n").to_numpy()))
-    head_rows = head_rows.take(pa.array(order))
-    head = head_rows.column("word").to_pylist()
-    units = Units(head, cfg)
-    rows = written(encoded(train, units))
-    classes = (np.arange(cfg.units) % cfg.classes).astype(np.int64)
-    best, kept = -np.inf, (classes, np.zeros((cfg.classes, cfg.classes)))
-    for step in range(cfg.passes + 1):
-        before, after = neighbour_counts(rows, classes, cfg)
-        transitions = np.zeros((cfg.classes, cfg.classes))
-        np.add.at(transitions, classes, after.astype(float))
-        if (now := likelihood(transitions)) > best:
-            best, kept = now, (classes, transitions)
-        if step < cfg.passes:
-            busy = np.argsort(-(before.sum(axis=1) + after.sum(axis=1)), kind="stable")
-            classes = exchange(before, after, classes, busy if step == 0 else busy[step % 2 :: 2])
-    classes, transitions = kept
-    tokens, types = class_totals(counts, units, classes, cfg)
-    tokens[classes[cfg.end]] += texts
-    types[classes[cfg.end]] += 1
-    prior = (tokens + 1) / (tokens + 1).sum()
-    smooth = (transitions + cfg.kappa * prior) / (transitions.sum(axis=1, keepdims=True) + cfg.kappa)
-    model = BrownModel(units, head_rows.column("n").to_numpy(), classes, np.log10(smooth), tokens + cfg.alpha * (types + 1), int(total) + texts, int(kinds) + (texts > 0), texts, cfg)
-    return model, counts
-
+            c = np.concatenate(([first], np.frombuffer(b"".join(batch.column("classes").to_pylist()), np.uint8))).astype(np.int64)
+            sums += np.bincount(c[:-1] * k + c[1:], minlength=k * k)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * k)), pa.array(sums)], ["code", "n"])
 
-LOCAL = "n_tokens long, known_head long, base_head double, score_head double, rare array<struct<word:binary,k:long>>"
+    transitions = np.zeros(k * k)
+    for r in rows.select("classes").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect():
+        transitions[r["code"]] = r["n"]
+    transitions = transitions.reshape(k, k)
+    return transitions, transitions.sum(axis=0)
 
 
-def score_texts(docs: DataFrame, model: BrownModel, counts: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score_corpus(docs: DataFrame, learn: Column, cfg: BrownConfig = BrownConfig(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
-    ``score`` (log10 of the text's probability) and ``perplexity`` of each text.
+    ``score`` (log10 of the text's probability) and ``perplexity`` of each text, by a model
+    of the texts of the rows where ``learn`` holds.
 
     The end of a text is a token and the class that every text starts from. A word that
     was not learned has count 0 in the class of its ending, whose unknown word it is. A
     null or empty text is its end alone. Repeated rows score alike; an empty table gives
     no rows; a model of no texts gives uniform scores.
     """
-    cfg, units = model.cfg, model.units
-    n, v, alpha = model.train_tokens, model.vocabulary, cfg.alpha
-    log_head = np.log10(model.head_counts + 1.0)
-    log_base = np.log10(n + 1.0 * (v + 1))
-    log_emit = np.log10(model.head_counts + alpha)
-    log_total = np.log10(model.emission_total)
+    k, train = cfg.classes, docs.where(learn)
+    counts = written(word_counts(train))
+    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    texts = train.count()
+    top = counts.orderBy(F.desc("n"), "word").limit(cfg.head_words).toArrow()
+    top = top.take(pa.array(np.lexsort((np.arange(len(top)), -top.column("n").to_numpy()))))
+    head = top.column("word").to_pylist()
+    kept = (*(f"keep_{j}" for j in range(len(keep))), "learn")
+    rows = written(encoded(docs, F.coalesce(learn, F.lit(False)), Units(head, cfg), keep))
+    of_units, transitions, tokens = exchanged(rows.where("learn"), cfg)
+    own = written(own_classes(rows.where("learn"), head, of_units, transitions, tokens, cfg))
+
+    of_head = of_units[Units(head, cfg).of_rank][: len(head)]
+    ranks = np.arange(min(cfg.unit_words, len(head)), len(head))
+    if len(ranks):
+        named = docs.sparkSession.createDataFrame(pa.table({"h": np.array([word_hash(head[r]) for r in ranks], np.uint64).view(np.int64), "rank": ranks}))
+        found = own.join(F.broadcast(named), "h").select("rank", "class").toArrow()
+        of_head[found.column("rank").to_numpy()] = found.column("class").to_numpy()
+    types = np.bincount(of_head[: cfg.unit_words], minlength=k).astype(float)
+    for r in own.groupBy("class").count().collect():
+        types[r["class"]] += r["count"]
+    types[of_units[cfg.end]] += texts > 0
+
+    lexicon = Lexicon(top.column("n").to_numpy(), of_head, of_units, texts, int(total) + texts, int(kinds) + (texts > 0))
+    rare = counts.withColumn("h", F.xxhash64("word")).join(own, "h").select("word", "n", "class")
+    final = written(classed(rows, rare, lexicon, kept, cfg))
+    release(counts, rows, own)
+    first = int(of_units[cfg.end])
+    transitions, tokens = class_counts(final.where("learn"), first, k)
+    log_transition, log_total = smoothed(transitions, tokens, cfg), np.log10(tokens + cfg.alpha * (types + 1))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        get = units.rank.get
         for batch in batches:
-            tokens, known, base, total, rare = [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                words = words_of(text)
-                ranks = np.array([get(w, -1) for w in words], dtype=np.int64)
-                u = np.where((ranks >= 0) & (ranks < cfg.unit_words), ranks, 0)
-                deep = np.flatnonzero((ranks < 0) | (ranks >= cfg.unit_words))
-                u[deep] = [units.bucket(words[i]) for i in deep]
-                c = model.classes[np.concatenate(([cfg.end], u, [cfg.end]))]
-                inside = ranks[ranks >= 0]
-                tokens.append(len(words) + 1)
-                known.append(len(inside) + (model.end_count > 0))
-                base.append(float(log_head[inside].sum() + np.log10(model.end_count + 1.0) - (len(words) + 1) * log_base))
-                total.append(float(model.log_transition[c[:-1], c[1:]].sum() - log_total[c[1:]].sum() + log_emit[inside].sum() + np.log10(model.end_count + alpha)))
-                rare.append([{"word": w, "k": k} for w, k in sorted(Counter(words[i] for i in np.flatnonzero(ranks < 0)).items())])
-            kept = [batch.column(x) for x in keep]
-            made = [pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(total), pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())])))]
-            yield pa.RecordBatch.from_arrays([*kept, *made], [*keep, "n_tokens", "known_head", "base_head", "score_head", "rare"])
-
-    chosen = docs.select(*keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name in keep)
-    local = written(chosen.mapInArrow(score, f"{schema}, {LOCAL}").withColumn("_row", F.monotonically_increasing_id()))
-    pairs = local.select("_row", F.explode("rare").alias("r")).select("_row", "r.word", "r.k")
-    c = F.coalesce("n", F.lit(0))
-    met = pairs.join(counts, "word", "left").groupBy("_row").agg(
-        F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("known_rare"),
-        F.sum(F.col("k") * F.log10(c + 1)).alias("base_rare"),
-        F.sum(F.col("k") * F.log10(c + alpha)).alias("score_rare"),
-    )
-    total = F.col("score_head") + F.coalesce("score_rare", F.lit(0.0))
-    return local.drop("rare").join(met, "_row", "left").select(
-        *keep,
-        "n_tokens",
-        (F.col("known_head") + F.coalesce("known_rare", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base_head") + F.coalesce("base_rare", F.lit(0.0))).alias("base_score"),
-        total.alias("score"),
-        F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
-    )
+            if not batch.num_rows:
+                continue
+            raw = batch.column("classes").to_pylist()
+            c = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
+            begin = np.cumsum([0, *map(len, raw)])[:-1]
+            before = np.concatenate(([first], c[:-1]))
+            before[begin] = first
+            sums = np.add.reduceat(log_transition[before, c] - log_total[c], begin)
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in outcome), pa.array(sums + batch.column("emitted").to_numpy(zero_copy_only=False))], [*outcome, "score"])
+
+    outcome = (*kept[:-1], "n_tokens", "n_known", "base")
+    scored = final.mapInArrow(score, schema_of(final, outcome, "score double"))
+    named = [F.col(k).alias(c) for k, c in zip(kept, keep, strict=False)]
+    return scored.select(*named, "n_tokens", "n_known", F.lit(lexicon.train_tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 
 def op2_brown_lm(docs: DataFrame, cfg: BrownConfig = BrownConfig()) -> DataFrame:
     held_out: Column = crc_mod("doc_id", 7) == 2
-    model, counts = fit_brown(docs.where(~held_out), cfg)
-    scored = score_texts(docs, model, counts)
+    scored = score_corpus(docs, ~held_out, cfg)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")

@@ -91,7 +91,7 @@ def test_toxicity_edges(spark):
 # Language model
 
 
-def test_brown_sums_to_one_and_base_is_exact(spark):
+def test_brown_base_is_exact(spark):
     import math
     import zlib
     from collections import Counter
@@ -110,19 +110,68 @@ def test_brown_sums_to_one_and_base_is_exact(spark):
         assert r.n_tokens == len(t) and r.n_known == sum(c[w] > 0 for w in t) and r.train_tokens == n
         assert abs(r.base_score - sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t)) < 1e-8
         assert r.score < 0
-    model, counts = brown_lm.fit_brown(df, cfg)
-    per_class = np.zeros(4)
-    for r in counts.collect():
-        k = model.classes[model.units.of(bytes(r.word))]
-        per_class[k] += (r.n + cfg.alpha) / model.emission_total[k]
-    k = model.classes[cfg.end]
-    per_class[k] += (model.end_count + cfg.alpha) / model.emission_total[k]
-    per_class += cfg.alpha / model.emission_total
-    assert np.allclose(per_class, 1) and np.allclose((10**model.log_transition).sum(axis=1), 1)
     empty = brown_lm.op2_brown_lm(df.limit(0), cfg)
     assert empty.count() == 0
 
 
+def test_brown_score_against_a_plain_loop(spark, monkeypatch):
+    """Own classes, transitions, totals and scores by loops over words, from the classes of
+    the units that the exchange gave."""
+    import math
+    import zlib
+    from collections import Counter
+
+    rng = random.Random(20)
+    a, b = [f"a{i}" for i in range(25)], [f"b{i}" for i in range(25)]
+    texts = [" ".join(rng.choice(a if k % 2 else b) for k in range(rng.randint(3, 40))) for _ in range(150)] + EDGE
+    df = docs(spark, texts)
+    cfg = brown_lm.BrownConfig(classes=4, head_words=20, unit_words=10, buckets=4, passes=3)
+    held = {}
+    exchanged = brown_lm.exchanged
+    monkeypatch.setattr(brown_lm, "exchanged", lambda *x: held.setdefault("units", exchanged(*x)))
+    got = {r.doc_id: r for r in brown_lm.op2_brown_lm(df, cfg).collect()}
+    of_units, transitions, tokens = held["units"]
+
+    tok = lambda t: (t or "").encode().lower().split()
+    train = {r.doc_id: tok(r.text) for r in df.collect() if zlib.crc32(str(r.doc_id).encode()) % 7 != 2}
+    count = Counter(w for t in train.values() for w in t)
+    head = sorted(count, key=lambda w: (-count[w], w))[:20]
+    unit = lambda w: head.index(w) if w in head[:10] else 10 + zlib.crc32(w[-3:]) % 4
+    log = brown_lm.smoothed(transitions, tokens, cfg)
+    end = of_units[cfg.end]
+    around = {}
+    for t in train.values():
+        c = [end, *(of_units[unit(w)] for w in t), end]
+        for i, w in enumerate(t):
+            around.setdefault(w, Counter())[c[i], c[i + 2]] += 1
+    own = {}
+    for w in count:
+        gain = [sum(n * (log[x, k] + log[k, y] - math.log10(tokens[k] + 1)) for (x, y), n in around[w].items()) for k in range(4)]
+        own[w] = of_units[head.index(w)] if w in head[:10] else int(np.argmax(gain))
+        assert w in head[:10] or max(gain) - gain[own[w]] < 1e-9
+    classes = lambda t: [end, *(own.get(w, of_units[unit(w)]) for w in t), end]
+    moves, mass = np.zeros((4, 4)), np.zeros(4)
+    for t in train.values():
+        c = classes(t)
+        for x, y in zip(c, c[1:]):
+            moves[x, y] += 1
+            mass[y] += 1
+    kinds = Counter(own.values())
+    kinds[end] += 1
+    prior = (mass + 1) / (mass + 1).sum()
+    for r in df.collect():
+        t, total = tok(r.text), 0.0
+        c = classes(t)
+        for x, y, n in zip(c, c[1:], [*(count[w] for w in t), len(train)]):
+            total += math.log10((moves[x, y] + 8 * prior[y]) / (moves[x].sum() + 8)) + math.log10((n + 0.5) / (mass[y] + 0.5 * (kinds[y] + 1)))
+        assert abs(got[r.doc_id].score - total) < 1e-6, r.doc_id
+    per_class = np.zeros(4)
+    for w, n in [*count.items(), (None, len(train))]:
+        k = end if w is None else own[w]
+        per_class[k] += (n + 0.5) / (mass[k] + 0.5 * (kinds[k] + 1))
+    assert np.allclose(per_class + 0.5 / (mass + 0.5 * (np.array([kinds[k] for k in range(4)]) + 1)), 1)
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(0)
     u = np.concatenate([[0], (np.arange(4000) % 2) * 10 + rng.integers(0, 10, 4000)])
