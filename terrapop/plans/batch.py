@@ -71,7 +71,7 @@ UNIT_BOX = "SELECT admin_id, 30 + min(x) * 0.1e0 AS w, 30 + max(x) * 0.1e0 AS e,
 TASK_LAYER = "SELECT o_custkey AS file_order, min(west) AS lw, min(south) AS ls, max(east) AS le, max(north) AS ln FROM stac_items JOIN orders ON o_orderkey = item_id WHERE href IS NOT NULL GROUP BY o_custkey"
 SEEN_UNITS = f"SELECT u.admin_id, coalesce(events, 0) AS events, coalesce(quakes, 0) AS quakes FROM admin_units u LEFT JOIN (SELECT admin_id, count(*) AS events FROM ({INSIDE}) GROUP BY admin_id) i USING (admin_id) LEFT JOIN (SELECT c_nationkey + 1 AS admin_id, count(*) AS quakes FROM shake_cells JOIN customer ON c_custkey = hcell_id WHERE mmi >= 6 GROUP BY c_nationkey) q USING (admin_id)"
 PREFLIGHT = f"""SELECT task_id, pipeline, CASE WHEN NOT can THEN 'SKIP' WHEN pipeline IN ('spei', 'utci', 'flood') THEN CASE WHEN cov IS NULL THEN 'FAIL' WHEN cov >= 99.999 THEN 'PASS' ELSE 'WARN' END WHEN n > 0 THEN 'PASS' ELSE 'WARN' END AS status
- FROM (SELECT task_id, unnest(['spei', 'utci', 'flood', 'violence', 'earthquake', 'cyclone']) AS pipeline, unnest([can_spei, can_utci, can_flood, can_violence, can_earthquake, can_cyclone]) AS can, round(100 * greatest(0, least(le, e) - greatest(lw, w)) * greatest(0, least(ln, n) - greatest(ls, s)) / ((e - w) * (n - s)), 6) AS cov, unnest([0, 0, 0, events, quakes, points]) AS n
+ FROM (SELECT task_id, unnest(['spei', 'utci', 'flood', 'violence', 'earthquake', 'cyclone']) AS pipeline, unnest([can_spei, can_utci, can_flood, can_violence, can_earthquake, can_cyclone]) AS can, CASE WHEN lw IS NOT NULL THEN round(100 * greatest(0, least(le, e) - greatest(lw, w)) * greatest(0, least(ln, n) - greatest(ls, s)) / ((e - w) * (n - s)), 6) END AS cov, unnest([0, 0, 0, events, quakes, points]) AS n
  FROM ({READY}) r JOIN customer ON c_custkey = file_order JOIN ({UNIT_BOX}) b ON b.admin_id = c_nationkey + 1 JOIN ({SEEN_UNITS}) v ON v.admin_id = b.admin_id LEFT JOIN ({TASK_LAYER}) l USING (file_order) LEFT JOIN (SELECT sid AS file_order, count(*) AS points FROM track_points WHERE usa_wind >= 34 GROUP BY sid) p USING (file_order))"""
 
 
