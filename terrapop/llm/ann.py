@@ -1,14 +1,16 @@
 """Operator 6: nearest neighbours by collision counting over sorted projections.
 
-Vectors and queries are dealt into bounded blocks, and every query block meets every
-vector block once. Within such a pair each random projection keeps its values in sorted
-order. A window centred at the query widens with the radius (virtual rehashing); a vector
-whose rank falls into enough of the windows is verified by its true inner product.
+Vectors are dealt into bounded blocks, each indexed once: every random projection keeps
+its values in sorted order. Only queries are copied, one to each block, and stream past its
+index a batch at a time. A window centred at the query widens with the radius (virtual
+rehashing); a vector whose rank falls into enough of the windows is verified by its true
+inner product. Windows hold some two fifths of all vectors of a block, so collisions are
+counted by comparing ranks in order of memory, not by walking the windows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import runs
+
 
 @dataclass(frozen=True)
 class AnnConfig:
@@ -31,7 +35,7 @@ class AnnConfig:
     probe: int = 512
     start: float = 0.92
     growth: float = 1.1
-    block_vectors: int = 60_000
+    block_vectors: int = 20_000
     block_queries: int = 512
     seed: int = 11
 
@@ -119,32 +123,45 @@ def nearest(vectors: DataFrame, queries: DataFrame, cfg: AnnConfig = AnnConfig()
     """
     pick = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")]
     base, asked = usable(vectors.where("vec_id is not null").select(*pick)), usable(queries.where("vec_id is not null").select(*pick))
-    n, nq = base.count(), asked.count()
-    groups, blocks = max(1, -(-n // cfg.block_vectors)), max(1, -(-nq // cfg.block_queries))
-    deal = lambda count: F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    rows = base.select(deal(groups).alias("g"), every(blocks).alias("b"), F.size("embedding").alias("dim"), F.lit(False).alias("asks"), "vec_id", "embedding")
-    asks = asked.select(every(groups).alias("g"), deal(blocks).alias("b"), F.size("embedding").alias("dim"), F.lit(True).alias("asks"), "vec_id", "embedding")
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-
-    def search(block: pa.Table) -> pa.Table:
-        asking = block.column("asks").to_numpy()
-        ids = block.column("vec_id").to_numpy()
-        x = block.column("embedding").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        q, v, q_ids, v_ids = x[asking], x[~asking], ids[asking], ids[~asking]
-        if not len(q) or not len(v):
-            return schema.empty_table()
+    groups = max(1, -(-base.count() // cfg.block_vectors))
+    dim = F.size("embedding")
+    rows = base.select(F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("g"), dim.alias("dim"), F.lit(False).alias("asks"), "vec_id", "embedding")
+    asks = asked.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), dim.alias("dim"), F.lit(True).alias("asks"), "vec_id", "embedding")
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        """Rows come by block and dimension, vectors before queries."""
+        block, ids, parts, index = None, [], [], None
+        for batch in batches:
+            g, d, asking = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("g", "dim", "asks"))
+            at = np.unique(np.concatenate([runs(g), runs(d), runs(asking), np.arange(0, len(g), cfg.block_queries)]))
+            for a, b in zip(at[:-1], at[1:], strict=True):
+                if (g[a], d[a]) != block:
+                    block, ids, parts, index = (g[a], d[a]), [], [], None
+                own = batch.slice(a, b - a)
+                x = own.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(b - a, -1)
+                names = own.column("vec_id").to_numpy(zero_copy_only=False)
+                if not asking[a]:
+                    ids.append(names)
+                    parts.append(x)
+                elif parts or index:
+                    if index is None:
+                        index, ids, parts = CollisionIndex(np.concatenate(parts), cfg), np.concatenate(ids), []
+                    yield from nearest_in(index, ids, x, names)
+
+    def nearest_in(index: CollisionIndex, v_ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray) -> Iterator[pa.RecordBatch]:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for row, hit in enumerate(CollisionIndex(v, cfg).search(q)):
+        for row, hit in enumerate(index.search(q)):
             hit = hit[v_ids[hit] != q_ids[row]]
-            score = np.einsum("ij,j->i", v[hit], q[row])
+            score = np.einsum("ij,j->i", index.vectors[hit], q[row])
             top = np.lexsort((v_ids[hit], -score))
             _, first = np.unique(v_ids[hit][top], return_index=True)
             top = top[np.sort(first)][: cfg.k]
             out.append((np.full(len(top), q_ids[row]), v_ids[hit][top], score[top]))
-        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
 
-    found = rows.unionByName(asks).groupBy("g", "b", "dim").applyInArrow(search, "query_id long, vec_id long, score double")
+    keys = ("g", "dim")
+    met = rows.unionByName(asks).repartition(groups, *keys).sortWithinPartitions(*keys, "asks")
+    found = met.mapInArrow(search, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= cfg.k).select("query_id", "rank", "vec_id", "score")

@@ -332,6 +332,12 @@ def test_ann(spark):
             assert [k for k, _, _ in found] == list(range(1, 21)) and all(abs(sc - s[v]) < 1e-9 for _, v, sc in found)
             assert all((-a[2], a[1]) < (-b[2], b[1]) for a, b in zip(found, found[1:]))
         assert hits >= 0.9 * 20 * len(got)
+    mixed = df.select("vec_id", "embedding").union(spark.createDataFrame([(1000, [1.0, 0.0]), (1001, [0.5, 0.5]), (1002, [2.0, 0.0]), (1020, [3.0])], "vec_id long, embedding array<float>"))
+    by = {}
+    for r in ann.op6_ann(mixed, ann.AnnConfig(block_vectors=100)).collect():
+        by.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert sorted(by[1000]) == [(1, 1002), (2, 1001)] and 1020 not in by and len(by[0]) == 20
+    assert ann.nearest(df.select("vec_id", "embedding"), df.select("vec_id", "embedding").limit(0)).count() == 0
     few = ann.op6_ann(df.where("vec_id < 5")).collect()
     assert len(few) == 4
     assert ann.op6_ann(df.limit(0)).count() == 0
