@@ -2,37 +2,48 @@
 
 A test item with n shingles that a document contains to ``threshold`` misses at most
 (1 - threshold) n of them. Items are partitioned by size; each partition's upper bound u
-fixes how many of an item's least-hashed shingles make its sketch: floor((1 - threshold)
-u) + 1. A document with none of the sketch can't contain the item, however long it is,
-so the sketch finds every candidate; exact shingle containment decides.
+fixes how many of an item's least-hashed shingles make its MinHash sketch:
+floor((1 - threshold) u) + 1. A document with none of the sketch can't contain the item,
+however long it is, so the sketch finds every candidate; the share of the sketch that a
+document holds estimates the containment, and exact shingle containment decides.
+
+Documents meet sketches by hash in a join. A bit map of the sketches' hashes, of a size that
+has a bound, travels with the tasks and keeps all other shingles out of the join.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import column, schema_of, written
 
 WORD = re.compile(r"\w+")
 Shingle = tuple[str, ...]
+BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class ContainmentConfig:
-    """``block_chars`` bounds the item text that one pass over the documents carries;
-    larger benchmarks take more passes."""
+    """``least_words``: shorter items are reported but drop no document, as a run of a few
+    words is found by chance. The bit map has ``bits_per_hash`` bits for each hash of a
+    sketch and ``most_bits`` at most; beyond that more shingles go to the join, none less.
+    ``group`` bounds the candidate items that are checked with a text at a time."""
 
     width: int = 5
     threshold: float = 0.8
-    block_chars: int = 8_000_000
+    least_words: int = 5
+    bits_per_hash: int = 64
+    most_bits: int = 1 << 26
+    group: int = 256
 
 
 def words_of(text: str | None) -> list[str]:
@@ -52,86 +63,145 @@ def sketch_size(n: int, threshold: float) -> int:
     return min(n, upper - math.ceil(threshold * upper - 1e-9) + 1)
 
 
-class Ensemble:
-    """Sketches of a bounded block of items, looked up by one word of each shingle."""
-
-    def __init__(self, items: list[tuple[int, str]], cfg: ContainmentConfig):
-        self.cfg = cfg
-        self.items: list[tuple[int, set[Shingle]]] = []
-        self.by_word: dict[str, list[tuple[int, Shingle, int]]] = {}
-        for item_id, text in items:
-            own = shingles(words_of(text), cfg.width)
-            if not own:
-                continue
-            ordered = sorted(own, key=lambda s: (xxhash.xxh64_intdigest(" ".join(s)), s))
-            for s in ordered[: sketch_size(len(own), cfg.threshold)]:
-                at = max(range(len(s)), key=lambda i: (len(s[i]), -i))  # the longest word is the rarest, mostly
-                self.by_word.setdefault(s[at], []).append((at, s, len(self.items)))
-            self.items.append((item_id, own))
-
-    def contained(self, text: str | None) -> Iterator[tuple[int, int, int]]:
-        """(item_id, its shingles, those found) of the items that a whole text contains."""
-        words = words_of(text)
-        meet = self.by_word.keys() & set(words)
-        if not meet:
-            return
-        candidates = set()
-        for i, w in enumerate(words):
-            if w in meet:
-                candidates.update(k for at, s, k in self.by_word[w] if k not in candidates and i >= at and tuple(words[i - at : i - at + len(s)]) == s)
-        if candidates:
-            own = shingles(words, self.cfg.width)
-            for k in sorted(candidates):
-                item_id, wanted = self.items[k]
-                found = len(wanted & own) if len(next(iter(wanted))) == self.cfg.width else int(_holds(words, next(iter(wanted))))
-                if found >= self.cfg.threshold * len(wanted) - 1e-9:
-                    yield item_id, len(wanted), found
+class WordHashes(dict):
+    """Hashes of words, remembered for a while."""
+
+    def __init__(self, limit: int = 200_000):
+        super().__init__()
+        self.limit = limit
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > self.limit:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+def run_hashes(words: list[str], width: int, memo: WordHashes) -> np.ndarray:
+    """Hashes of all runs of ``width`` words."""
+    if len(words) < width:
+        return np.zeros(0, np.uint64)
+    h = np.array([memo[w] for w in words], np.uint64)
+    out = np.zeros(len(h) - width + 1, np.uint64)
+    for j in range(width):
+        out = out * BASE + h[j : len(h) - width + 1 + j]
+    out ^= out >> np.uint64(29)
+    return out * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def item_sketches(items: DataFrame, cfg: ContainmentConfig) -> DataFrame:
+    """(key, words, width, size, h): the least hashes of each item's shingles, by the size of
+    its partition; ``width`` is that of its shingles, ``size`` the sketch's."""
+
+    def sketch(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        memo = WordHashes()
+        for batch in batches:
+            out: list[tuple[int, int, int, int, int]] = []
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words = words_of(text)
+                if not words:
+                    continue
+                width = min(len(words), cfg.width)
+                h = np.unique(run_hashes(words, width, memo))
+                h = h[: sketch_size(len(h), cfg.threshold)]
+                out += [(key, len(words), width, len(h), x) for x in h.view(np.int64).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(5)], ["key", "words", "width", "size", "h"])
+
+    return items.select("key", "text").mapInArrow(sketch, "key long, words long, width long, size long, h long")
+
+
+def bit_map(sketches: DataFrame, cfg: ContainmentConfig) -> np.ndarray:
+    """A bit for each hash of the sketches, by its high bits; of a power of two of bits."""
+    n = sketches.count()
+    bits = min(cfg.most_bits, 1 << max(16, (cfg.bits_per_hash * n - 1).bit_length()))
+    shift = 64 - bits.bit_length() + 1
+    at = F.shiftrightunsigned("h", shift)
+    words = sketches.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {shift}) & 63 as int))")).alias("held")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("held").to_numpy()
+    return out.view(np.uint64)
+
+
+def hit_documents(docs: DataFrame, keep: tuple[str, ...], widths: list[int], bits: np.ndarray) -> DataFrame:
+    """``keep_0`` ..., ``text`` and ``hashes`` of the documents that hold a run of words whose
+    hash is in the bit map, with those hashes."""
+    kept = tuple(f"keep_{k}" for k in range(len(keep)))
+    shift, held = np.uint64(64 - (64 * len(bits)).bit_length() + 1), docs.sparkSession.sparkContext.broadcast(bits)
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        memo, table = WordHashes(), held.value
+        for batch in batches:
+            row, found = [], []
+            for r, text in enumerate(batch.column("text").to_pylist()):
+                words = words_of(text)
+                h = np.concatenate([run_hashes(words, w, memo) for w in widths])
+                at = h >> shift
+                h = h[(table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
+                if len(h):
+                    row.append(r)
+                    found.append(np.unique(h).view(np.int64))
+            made = [*(batch.column(c).take(pa.array(row, pa.int64())) for c in (*kept, "text")), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(made, [*kept, "text", "hashes"])
+
+    chosen = docs.select(*(column(c).alias(k) for c, k in zip(keep, kept, strict=True)), "text")
+    return chosen.mapInArrow(search, schema_of(chosen, (*kept, "text"), "hashes array<long>"))
 
 
 def _holds(words: list[str], short: Shingle) -> bool:
     return any(tuple(words[i : i + len(short)]) == short for i in range(len(words) - len(short) + 1))
 
 
-def item_blocks(benchmark: DataFrame, cfg: ContainmentConfig) -> Iterator[list[tuple[int, str]]]:
-    """The items, by blocks of bounded text, read by the driver a block at a time."""
-    numbered = benchmark.select("item_id", "text").where("item_id is not null and text is not null").dropDuplicates()
-    chars = numbered.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-int(chars) // cfg.block_chars))
-    dealt = numbered.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
-    for part in range(parts):
-        yield sorted((r["item_id"], r["text"]) for r in dealt.where(F.col("part") == part).select("item_id", "text").collect())
+CANDIDATES = "array<struct<item_id:bigint,words:bigint,estimate:double,item:string>>"
+FOUND = "item_id long, item_words long, item_shingles long, found long, estimate double"
 
 
 def find_contained(docs: DataFrame, benchmark: DataFrame, cfg: ContainmentConfig = ContainmentConfig(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``item_id``, ``item_shingles``, ``found`` and ``containment`` for
-    each document and each benchmark item (item_id, text) whose shingles it holds to
-    ``threshold`` or more.
+    """``keep`` columns, ``item_id``, ``item_words``, ``item_shingles``, ``found``,
+    ``estimate`` (share of the item's sketch) and ``containment`` for each document and each
+    benchmark item (item_id, text) whose shingles it holds to ``threshold`` or more.
 
     Shingles are of ``width`` words (runs of letters, digits, underscores; lower-cased);
     an item of fewer words counts as one shingle, to be found as a run of words. Null,
     empty or wordless texts and items never match. Repeated documents are each reported;
     an item listed twice with one text counts once. Empty tables give no rows.
     """
-    chosen = docs.select(*dict.fromkeys([*keep, "text"]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name in keep)
-    out = None
-    for items in item_blocks(benchmark, cfg):
-        ensemble = Ensemble(items, cfg)
-
-        def search(batches: Iterable[pa.RecordBatch], ensemble: Ensemble = ensemble) -> Iterable[pa.RecordBatch]:
-            for batch in batches:
-                hits = [(r, *hit) for r, t in enumerate(batch.column("text").to_pylist()) for hit in ensemble.contained(t)]
-                row = pa.array([h[0] for h in hits], pa.int64())
-                made = [pa.array([h[j] for h in hits], pa.int64()) for j in (1, 2, 3)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in keep), *made], [*keep, "item_id", "item_shingles", "found"])
-
-        part = chosen.mapInArrow(search, f"{schema}, item_id long, item_shingles long, found long")
-        out = part if out is None else out.unionByName(part)
-    return out.withColumn("containment", F.col("found") / F.col("item_shingles"))
+    kept = tuple(f"keep_{k}" for k in range(len(keep)))
+    named = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").dropDuplicates()
+    items = written(named.withColumn("key", F.monotonically_increasing_id()))
+    sketches = written(item_sketches(items, cfg))
+    widths = sorted(r["width"] for r in sketches.select("width").distinct().collect())
+    if not widths:
+        return docs.select(*map(column, keep), "text").limit(0).select(*map(column, keep), *[F.lit(0).cast(t).alias(n) for n, t in (x.split() for x in FOUND.split(", "))], F.lit(0.0).alias("containment"))
+    hits = written(hit_documents(docs, keep, widths, bit_map(sketches, cfg)).withColumn("row", F.monotonically_increasing_id()))
+    met = hits.select("row", F.explode("hashes").alias("h")).join(sketches, "h").groupBy("row", "key").agg(F.max("words").alias("words"), (F.count("*") / F.max("size")).alias("estimate"))
+    many = met.groupBy("row").agg(F.ceil(F.count("*") / cfg.group).cast("int").alias("groups"))
+    dealt = met.join(many, "row").withColumn("part", F.pmod(F.xxhash64("key"), F.col("groups"))).join(items.select("key", "item_id", F.col("text").alias("item")), "key")
+    grouped = dealt.groupBy("row", "part").agg(F.collect_list(F.struct("item_id", "words", "estimate", "item")).cast(CANDIDATES).alias("candidates"))
+
+    def verify(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for r, (text, candidates) in enumerate(zip(batch.column("text").to_pylist(), batch.column("candidates").to_pylist(), strict=True)):
+                words = words_of(text)
+                own = shingles(words, cfg.width)
+                for c in candidates:
+                    wanted = shingles(words_of(c["item"]), cfg.width)
+                    found = len(wanted & own) if c["words"] >= cfg.width else int(_holds(words, next(iter(wanted))))
+                    if found >= cfg.threshold * len(wanted) - 1e-9:
+                        out.append((r, c["item_id"], c["words"], len(wanted), found, c["estimate"]))
+            row = pa.array([x[0] for x in out], pa.int64())
+            made = [pa.array([x[j] for x in out], pa.int64() if j < 5 else pa.float64()) for j in range(1, 6)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in kept), *made], [*kept, "item_id", "item_words", "item_shingles", "found", "estimate"])
+
+    both = hits.drop("hashes").join(grouped, "row")
+    checked = both.mapInArrow(verify, schema_of(both, kept, FOUND))
+    return checked.select(*(F.col(k).alias(c) for k, c in zip(kept, keep, strict=True)), "item_id", "item_words", "item_shingles", "found", "estimate", (F.col("found") / F.col("item_shingles")).alias("containment"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, cfg: ContainmentConfig = ContainmentConfig()) -> DataFrame:
-    """Documents that contain no benchmark item, columns and texts as given; rows without
-    doc_id pass."""
-    found = written(find_contained(docs, benchmark, cfg).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that contain no benchmark item of ``least_words`` words or more, columns and
+    texts as given; rows without doc_id pass. Shorter items are only reported, by
+    ``find_contained``."""
+    found = find_contained(docs, benchmark, cfg).where(F.col("item_words") >= cfg.least_words)
+    gone = written(found.select("doc_id").distinct())
+    return docs.join(gone, "doc_id", "left_anti").select(*map(column, docs.columns))

@@ -250,10 +250,12 @@ def test_decontamination_against_brute_force(spark):
             if s and len(s & own) >= 0.8 * len(s) - 1e-9:
                 want[r.doc_id, i] = len(s & own)
     assert got == want and want
-    blocks = decontam.ContainmentConfig(block_chars=300)
-    assert {(r.doc_id, r.item_id): r.found for r in decontam.find_contained(df, bench, blocks).collect()} == want
-    kept = decontam.drop_contaminated(df, bench)
-    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in df.collect()} - {d for d, _ in want}
+    few_bits = decontam.ContainmentConfig(most_bits=1 << 16, bits_per_hash=1, group=2)
+    assert {(r.doc_id, r.item_id): r.found for r in decontam.find_contained(df, bench, few_bits).collect()} == want
+    kept = decontam.drop_contaminated(df.withColumn("a.b", F.lit(1)), bench)
+    long = {d for d, i in want if len(decontam.words_of(items[i])) >= 5}
+    assert kept.columns == [*df.columns, "a.b"] and {r.doc_id for r in kept.collect()} == {r.doc_id for r in df.collect()} - long
+    assert long < {d for d, _ in want}
     assert decontam.find_contained(df, bench.limit(0)).count() == 0 and decontam.find_contained(df.limit(0), bench).count() == 0
 
 
