@@ -34,11 +34,13 @@ BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 @dataclass(frozen=True)
 class SubstringConfig:
     """``length`` bytes make a repeat; samples are ``gram`` bytes; ``flush`` samples are
-    held by a task at a time."""
+    held by a task at a time. ``cover`` is ``content`` (least-hashed grams) or ``position``
+    (the difference cover modulo 31, for strings of 50 bytes and grams of 20)."""
 
     length: int = 50
     gram: int = 20
     flush: int = 1_000_000
+    cover: str = "content"
 
     @property
     def window(self) -> int:
@@ -88,7 +90,7 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 @dataclass
 class Samples:
     """The cover of one text: sample ``at`` stands for the strings that start in
-    [``low``, ``high``]; together these are all starts, each once."""
+    [``low``, ``high``]; together these are all starts, in a cover by content each once."""
 
     at: np.ndarray
     low: np.ndarray
@@ -97,9 +99,22 @@ class Samples:
     prints: Prints
 
 
+#: A perfect difference set modulo 31. For any two places, some distance
+#: below 31 leads from both to a place of these residues.
+MODULUS, RESIDUES = 31, (1, 5, 11, 24, 25, 27)
+
+
 def samples(raw: np.ndarray, cfg: SubstringConfig) -> Samples:
     prints = Prints(raw, 0)
     h = prints.all_of(cfg.gram)
+    if cfg.cover == "position":
+        if cfg.length - cfg.gram + 1 < MODULUS:
+            raise ValueError("the cover needs strings of 30 bytes more than a gram")
+        at = (np.arange(0, len(h), MODULUS)[:, None] + np.array(RESIDUES)).ravel()
+        at = at[at < len(h)]
+        low, high = np.maximum(at - MODULUS + 1, 0), np.minimum(at, len(raw) - cfg.length)
+        some = low <= high
+        return Samples(at[some], low[some], high[some], h[at[some]], prints)
     bits = U64(max(28, int(len(h)).bit_length()))
     order = ((h >> bits) << bits) | np.arange(len(h), dtype=U64)
     least = _sliding_min(order, cfg.window) & ((U64(1) << bits) - U64(1))
@@ -331,6 +346,8 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
                     first = np.where(side & 1, s.low[i], np.maximum(s.low[i], s.at[i] + cfg.gram + more - cfg.length))
                     last = np.where(side & 2, s.high[i], np.minimum(s.high[i], s.at[i] - more))
                     maybe = np.concatenate([np.zeros(0, np.int64), *(np.arange(a, b + 1) for a, b in zip(first, last, strict=True))])
+                    if cfg.cover == "position":
+                        maybe = np.unique(maybe)
                     if len(maybe):
                         key, tie = s.prints.of(maybe, maybe + cfg.length), Prints(raw, 1).of(maybe, maybe + cfg.length)
                         for out in packer.add(r["doc_id"], r["row"], key, tie, np.zeros(len(maybe), np.uint32), maybe):

@@ -219,6 +219,7 @@ def test_substrings_against_brute_force(spark):
     assert got == brute_repeats([(r.doc_id, r.text) for r in df.collect()])
     small = {r.doc_id: tuple(r)[1:] for r in substrings.remove_repeats(df, substrings.SubstringConfig(flush=500)).collect()}
     assert small == got
+    assert {r.doc_id: tuple(r)[1:] for r in substrings.remove_repeats(df, substrings.SubstringConfig(cover="position")).collect()} == got
     again = docs(spark, [passage, passage], start=5).withColumn("doc_id", F.lit(5).cast("long"))
     assert {r.n_removed for r in substrings.remove_repeats(again).collect()} == {0}
     assert substrings.remove_repeats(df.limit(0)).count() == 0
