@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import column, crc_mod, release, runs, schema_of, written
 
-#: In a text's word numbers: its end.
-END = b"\xff\xff\xff\xff"
+#: In word numbers: the end of a text.
+NONE = 0xFFFFFFFF
 
 
 @dataclass(frozen=True)
@@ -88,6 +88,15 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, 42)
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Word numbers of a text byte by byte, as their high bytes are mostly zeros."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 class Units:
     """Numbers of words: ranks of frequent ones, and the unit that each word belongs to."""
 
@@ -99,34 +108,35 @@ class Units:
     def bucket(self, word: bytes) -> int:
         return self.cfg.unit_words + zlib.crc32(word[-self.cfg.ending :]) % self.cfg.buckets
 
-    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
         """Of a text: each word's rank, or ``head_words`` plus its place among the text's rare
-        words; the units, with the end's; the rare words."""
+        words; the units, with the end's; the rare words and their units."""
         get, most = self.rank.get, self.cfg.head_words
         found = np.array([get(w, -1) for w in words], np.int64)
         deep = np.flatnonzero(found < 0)
         rare: dict[bytes, int] = {}
         found[deep] = [most + rare.setdefault(words[i], len(rare)) for i in deep.tolist()]
         units = np.append(self.of_rank[np.minimum(found, len(self.of_rank) - 1)], np.uint16(self.cfg.end))
-        units[deep] = np.array([self.bucket(w) for w in rare], np.uint16)[found[deep] - most]
-        return found, units, list(rare)
+        endings = np.array([self.bucket(w) for w in rare], np.uint16)
+        units[deep] = endings[found[deep] - most]
+        return found, units, list(rare), endings
 
 
 def encoded(docs: DataFrame, learn: Column, units: Units, keep: tuple[str, ...]) -> DataFrame:
-    """A row for each text: ``keep_0`` ..., ``learn``, word numbers and units as bytes, and
-    its rare words."""
+    """A row for each text: ``keep_0`` ..., ``learn``, word numbers and units as bytes, its
+    rare words and their units."""
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 512):
                 batch = whole.slice(lo, 512)
                 numbered = [units.numbers(words_of(t)) for t in batch.column("text").to_pylist()]
-                made = [pa.array([n.astype("<u4").tobytes() for n, _, _ in numbered], pa.binary()), pa.array([u.tobytes() for _, u, _ in numbered], pa.binary()), pa.array([r for _, _, r in numbered], pa.list_(pa.binary()))]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], [*kept, "words", "units", "rare"])
+                made = [pa.array([packed(n) for n, *_ in numbered], pa.binary()), pa.array([x[1].tobytes() for x in numbered], pa.binary()), pa.array([x[2] for x in numbered], pa.list_(pa.binary())), pa.array([x[3].tobytes() for x in numbered], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], [*kept, "words", "units", "rare", "endings"])
 
     kept = (*(f"keep_{k}" for k in range(len(keep))), "learn")
     chosen = docs.select(*(column(c).alias(k) for c, k in zip(keep, kept, strict=False)), learn.alias("learn"), "text")
-    return chosen.mapInArrow(encode, schema_of(chosen, kept, "words binary, units binary, rare array<binary>")).withColumn("row", F.monotonically_increasing_id())
+    return chosen.mapInArrow(encode, schema_of(chosen, kept, "words binary, units binary, rare array<binary>, endings binary")).withColumn("row", F.monotonically_increasing_id())
 
 
 def neighbour_counts(rows: DataFrame, classes: np.ndarray, cfg: BrownConfig) -> tuple[np.ndarray, np.ndarray]:
@@ -221,16 +231,17 @@ def exchanged(rows: DataFrame, cfg: BrownConfig) -> tuple[np.ndarray, np.ndarray
 def own_classes(rows: DataFrame, head: list[bytes], classes: np.ndarray, transitions: np.ndarray, tokens: np.ndarray, cfg: BrownConfig) -> DataFrame:
     """(h, class): of every training word beyond the units, by hash, the class under which
     its neighbours are likeliest. Pairs of classes around a word are counted over the whole
-    corpus, in each task first, so that a word is at most classes squared rows."""
-    k, none = cfg.classes, np.frombuffer(END, "<u4")[0]
+    corpus, in each batch first. No word of them is a hot key: beyond ``unit_words`` more
+    frequent ones it has at most that part of all tokens."""
+    k, end = cfg.classes, np.array([NONE], np.uint32)
     of_head = np.array([word_hash(w) for w in head] or [0], np.uint64)
 
     def around(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             c = classes[np.concatenate(([cfg.end], np.frombuffer(b"".join(batch.column("units").to_pylist()), np.uint16)))]
             raw, rare = batch.column("words").to_pylist(), batch.column("rare").to_pylist()
-            number = np.frombuffer(b"".join([x for r in raw for x in (r, END)]), "<u4")
-            at = np.flatnonzero((number >= cfg.unit_words) & (number != none))
+            number = np.concatenate([x for r in raw for x in (unpacked(r), end)])
+            at = np.flatnonzero((number >= cfg.unit_words) & (number != NONE))
             first = np.cumsum([0, *map(len, rare)])[:-1]
             text = np.repeat(np.arange(len(raw)), [len(r) // 4 + 1 for r in raw])[at]
             deep = number[at] >= cfg.head_words
@@ -265,8 +276,8 @@ def own_classes(rows: DataFrame, head: list[bytes], classes: np.ndarray, transit
         if held is not None:
             yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([int(held[1].argmax())], pa.int32())], ["h", "class"])
 
-    counted = rows.select("units", "words", "rare").mapInArrow(around, "h long, code int, n long").groupBy("h", "code").agg(F.sum("n").alias("n"))
-    return counted.repartition("h").sortWithinPartitions("h", "code").mapInArrow(choose, "h long, class int")
+    counted = rows.select("units", "words", "rare").mapInArrow(around, "h long, code int, n long")
+    return counted.repartition("h").sortWithinPartitions("h").mapInArrow(choose, "h long, class int")
 
 
 @dataclass(frozen=True)
@@ -288,28 +299,27 @@ def classed(rows: DataFrame, rare: DataFrame, lexicon: Lexicon, kept: tuple[str,
     """Each text with the class of every token and what doesn't depend on classes' totals.
     ``rare`` (word, n, class) meets the texts' rare words in a join; one that was not learned
     has count 0 and the class of its ending."""
-    log_base = np.log10(lexicon.train_tokens + 1.0 * (lexicon.vocabulary + 1))
+    log_base, end_class = np.log10(lexicon.train_tokens + 1.0 * (lexicon.vocabulary + 1)), lexicon.of_units[cfg.end]
 
     def settle(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 512):
                 batch = whole.slice(lo, 512)
                 out: list[tuple] = []
-                for words, units, many, met in zip(*(batch.column(c).to_pylist() for c in ("words", "units", "many", "met")), strict=True):
-                    number = np.frombuffer(words, "<u4").astype(np.int64)
-                    c = lexicon.of_units[np.frombuffer(units, np.uint16)]
-                    n = np.zeros(len(number), np.int64)
+                for words, endings, met in zip(*(batch.column(c).to_pylist() for c in ("words", "endings", "met")), strict=True):
+                    number = unpacked(words)
+                    n, c = np.zeros(len(number), np.int64), np.full(len(number) + 1, end_class)
                     deep = number >= cfg.head_words
                     n[~deep] = lexicon.counts[number[~deep]]
                     c[:-1][~deep] = lexicon.classes[number[~deep]]
-                    if met:
-                        seen, own = np.zeros(many, np.int64), np.full(many, -1)
-                        at = [m["at"] for m in met]
-                        seen[at], own[at] = [m["n"] for m in met], [m["class"] for m in met]
-                        place = np.flatnonzero(deep)
-                        n[place] = seen[number[place] - cfg.head_words]
-                        place = place[n[place] > 0]
-                        c[place] = own[number[place] - cfg.head_words]
+                    if len(endings):
+                        own = lexicon.of_units[np.frombuffer(endings, np.uint16)]
+                        seen = np.zeros(len(own), np.int64)
+                        if met:
+                            at = [m["at"] for m in met]
+                            seen[at], own[at] = [m["n"] for m in met], [m["class"] for m in met]
+                        place = number[deep] - cfg.head_words
+                        n[deep], c[:-1][deep] = seen[place], own[place]
                     known = int((n > 0).sum()) + (lexicon.end_count > 0)
                     base = np.log10(n + 1.0).sum() + np.log10(lexicon.end_count + 1.0) - (len(n) + 1) * log_base
                     emitted = np.log10(n + cfg.alpha).sum() + np.log10(lexicon.end_count + cfg.alpha)
@@ -319,7 +329,7 @@ def classed(rows: DataFrame, rare: DataFrame, lexicon: Lexicon, kept: tuple[str,
 
     pairs = rows.select("row", F.posexplode("rare").alias("at", "word")).join(rare, "word")
     met = pairs.groupBy("row").agg(F.collect_list(F.struct("at", "n", "class")).alias("met"))
-    both = rows.withColumn("many", F.size("rare")).drop("rare").join(met, "row", "left")
+    both = rows.drop("rare", "units").join(met, "row", "left")
     return both.mapInArrow(settle, schema_of(both, kept, CLASSED))
 
 
@@ -358,7 +368,7 @@ def score_corpus(docs: DataFrame, learn: Column, cfg: BrownConfig = BrownConfig(
     top = top.take(pa.array(np.lexsort((np.arange(len(top)), -top.column("n").to_numpy()))))
     head = top.column("word").to_pylist()
     kept = (*(f"keep_{j}" for j in range(len(keep))), "learn")
-    rows = written(encoded(docs, F.coalesce(learn, F.lit(False)), Units(head, cfg), keep))
+    rows = written(encoded(docs, F.coalesce(learn, F.lit(False)), Units(head, cfg), keep), "zstd")
     of_units, transitions, tokens = exchanged(rows.where("learn"), cfg)
     own = written(own_classes(rows.where("learn"), head, of_units, transitions, tokens, cfg))
 
@@ -374,9 +384,11 @@ def score_corpus(docs: DataFrame, learn: Column, cfg: BrownConfig = BrownConfig(
     types[of_units[cfg.end]] += texts > 0
 
     lexicon = Lexicon(top.column("n").to_numpy(), of_head, of_units, texts, int(total) + texts, int(kinds) + (texts > 0))
-    rare = counts.withColumn("h", F.xxhash64("word")).join(own, "h").select("word", "n", "class")
+    least = int(lexicon.counts[-1]) if len(head) else 0
+    rare = written(counts.where(F.col("n") <= least).withColumn("h", F.xxhash64("word")).join(own, "h").select("word", "n", "class"))
+    release(counts, own)
     final = written(classed(rows, rare, lexicon, kept, cfg))
-    release(counts, rows, own)
+    release(rows, rare)
     first = int(of_units[cfg.end])
     transitions, tokens = class_counts(final.where("learn"), first, k)
     log_transition, log_total = smoothed(transitions, tokens, cfg), np.log10(tokens + cfg.alpha * (types + 1))

@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Cut the lineage: write ``df`` once as Parquet into the shared folder and read it
     back. Lost executors cost nothing but a re-read of these files. The shuffle files of
     the write are deleted when it ends, so that stages don't add up on disk."""
@@ -45,7 +45,7 @@ def written(df: DataFrame) -> DataFrame:
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
