@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,22 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def plain(keep: Iterable[str]) -> tuple[str, ...]:
+    """Names for kept columns inside of tasks, where names with dots aren't allowed."""
+    return tuple(f"keep_{k}" for k, _ in enumerate(keep))
+
+
+def renamed(df: DataFrame, keep: Iterable[str], *more: str | Column) -> DataFrame:
+    """The columns ``keep`` under their plain names, and ``more``."""
+    return df.select(*(column(c).alias(k) for c, k in zip(keep, plain(keep), strict=True)), *more)
+
+
+def given_names(df: DataFrame, keep: Iterable[str]) -> DataFrame:
+    """Plain names turned back; other columns as they are."""
+    back = dict(zip(plain(keep), keep, strict=True))
+    return df.select(*(F.col(c).alias(back[c]) if c in back else column(c) for c in df.columns))
+
+
 def schema_of(df: DataFrame, keep: tuple[str, ...], added: str) -> StructType:
     """The fields ``keep`` of ``df`` and those of the DDL text ``added``."""
     kept = [StructField(c, df.schema[c].dataType, True) for c in keep]

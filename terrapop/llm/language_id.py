@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, crc_mod, schema_of
+from .common import crc_mod, given_names, plain, renamed, schema_of
 
 LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that count as text: ASCII letters and all of multi-byte characters.
@@ -173,11 +173,10 @@ def identify_language(docs: DataFrame, train: Column, cfg: LanguageConfig = Lang
                     far[at] = 1 - similar.max(axis=1) > model.radius[similar.argmax(axis=1)]
                 pred[~lettered], score[~lettered], cosine[~lettered], far[~lettered] = "und", 0.0, 0.0, True
             added = {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score), "similarity": pa.array(cosine), "rejected": pa.array(far)}
-            kept = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*kept, *added.values()], [*keep, *added])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *added.values()], [*kept, *added])
 
-    chosen = docs.select(*map(column, keep), "text")
-    return chosen.mapInArrow(predict, schema_of(chosen, keep, "lang_pred string, score double, similarity double, rejected boolean"))
+    chosen, kept = renamed(docs, keep, "text"), plain(keep)
+    return given_names(chosen.mapInArrow(predict, schema_of(chosen, kept, "lang_pred string, score double, similarity double, rejected boolean")), keep)
 
 
 def op7_language_id(docs: DataFrame) -> DataFrame:

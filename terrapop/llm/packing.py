@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, schema_of, written
+from .common import given_names, plain, renamed, schema_of, written
 
 
 @dataclass(frozen=True)
@@ -154,7 +154,7 @@ PIECE = "start long, length long, ids_crc32 long, doc_tokens long, piece_key lon
 
 
 def token_pieces(docs: DataFrame, cfg: PackConfig, keep: tuple[str, ...], with_ids: bool) -> DataFrame:
-    """Pieces of each document: whole windows, then what remains cut at ``cfg.cut``."""
+    """``keep`` columns (plain names) and pieces of each document: whole windows, then what remains cut at ``cfg.cut``."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         words = encoder(cfg.tokenizer, cfg.cached_words)
@@ -180,7 +180,7 @@ def token_pieces(docs: DataFrame, cfg: PackConfig, keep: tuple[str, ...], with_i
             key += len(row)
             yield pa.RecordBatch.from_arrays([*kept, *made, *[pa.array(ids, pa.list_(pa.int32()))] * with_ids], names)
 
-    chosen = docs.select(*map(column, keep), "text")
+    chosen = docs.select(*keep, "text")
     return chosen.mapInArrow(cut, schema_of(chosen, keep, PIECE + ", ids array<int>" * with_ids))
 
 
@@ -193,11 +193,12 @@ def pack_documents(docs: DataFrame, cfg: PackConfig, keep: tuple[str, ...] = ("d
     once each. An empty table gives no rows. Blocks are dealt by a hash of the piece's
     own number, so no source or document is one task's load.
     """
-    pieces = written(token_pieces(docs, cfg, keep, with_ids))
+    kept = plain(keep)
+    pieces = written(token_pieces(renamed(docs, keep, "text"), cfg, kept, with_ids))
     rest = F.col("length") < cfg.capacity
     tokens = pieces.where(rest).agg(F.sum("length")).first()[0] or 0
     blocks = max(1, -(-tokens // (cfg.block_windows * cfg.capacity)))
-    columns = [*keep, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]
+    columns = [*kept, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]
 
     def balance(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["length", "piece_key"], ascending=[False, True], ignore_index=True)
@@ -212,4 +213,4 @@ def pack_documents(docs: DataFrame, cfg: PackConfig, keep: tuple[str, ...] = ("d
     dealt = pieces.where(rest).withColumn("block", F.pmod(F.xxhash64("piece_key"), F.lit(blocks)))
     balanced = dealt.groupBy("block").applyInPandas(balance, schema_of(pieces, tuple(pieces.columns), "sequence_id long, offset long"))
     whole = pieces.where(~rest).withColumn("sequence_id", F.lit(1 << 62) + F.col("piece_key")).withColumn("offset", F.lit(0).cast("long"))
-    return balanced.select(*map(column, columns)).unionByName(whole.select(*map(column, columns)))
+    return given_names(balanced.select(*columns).unionByName(whole.select(*columns)), keep)

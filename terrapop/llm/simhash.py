@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, release, runs, schema_of, written
+from .common import column, given_names, plain, renamed, runs, schema_of, written
 from .graph import components
 
 SEED, BITS, SEGMENTS = 42, 64, 8
@@ -74,10 +74,10 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: in
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, width) for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(fps)], [*keep, "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(fps)], [*kept, "fp"])
 
-    chosen = docs.select(*map(column, keep), "text")
-    return chosen.mapInArrow(hashed, schema_of(chosen, keep, "fp long"))
+    chosen, kept = renamed(docs, keep, "text"), plain(keep)
+    return given_names(chosen.mapInArrow(hashed, schema_of(chosen, kept, "fp long")), keep)
 
 
 def chain_masks() -> list[tuple[np.uint64, np.uint64]]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, schema_of
+from .common import column, given_names, plain, renamed, schema_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -167,5 +167,5 @@ def judge_urls(
             added = {"rule": pa.array(names[which], pa.string()), "verdict": pa.array(verdict, pa.string())}
             yield pa.RecordBatch.from_arrays([*batch.columns, *added.values()], [*batch.schema.names, *added])
 
-    parsed = with_host_path(pages.select(*map(column, dict.fromkeys([*keep, url]))), url).select(*map(column, keep), "host", "path")
-    return parsed.mapInArrow(judge, schema_of(parsed, (*keep, "host", "path"), "rule string, verdict string"))
+    parsed = with_host_path(renamed(pages, keep, column(url).alias("url"))).select(*plain(keep), "host", "path")
+    return given_names(parsed.mapInArrow(judge, schema_of(parsed, tuple(parsed.columns), "rule string, verdict string")), keep)
