@@ -30,11 +30,13 @@ _FOLD = np.where(_KEEP, np.arange(256), 32).astype(np.uint32)
 class LanguageConfig:
     """``sample_rows`` bounds the labelled rows that the classifier is fitted on, shared
     out evenly among the languages; each language has ``least_rows`` of them at least (all
-    its rows, if fewer), however many languages there are."""
+    its rows, if fewer), however many languages there are. Up to ``broadcast_languages``
+    of them, which is counted, their shares are broadcast; beyond that they are joined."""
 
     dims: int = 4096
     sample_rows: int = 4000
     least_rows: int = 20
+    broadcast_languages: int = 10_000
     clusters: int = 4
     rounds: int = 8
     reject_quantile: float = 0.002
@@ -108,6 +110,8 @@ def training_sample(docs: DataFrame, train: Column, cfg: LanguageConfig) -> pd.D
         return pd.DataFrame({"lang": [], "counts": []})
     each = max(cfg.least_rows, cfg.sample_rows // languages)
     shares = sizes.select(F.col("lang").alias("of"), F.least(F.lit(1.0), F.lit(float(each)) / F.col("n")).alias("share"))
+    if languages <= cfg.broadcast_languages:
+        shares = F.broadcast(shares)
     at = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language")), F.lit(1 << 20))
     picked = fit.select("lang", "text", at.alias("at")).join(shares, F.col("lang") == F.col("of")).where(F.col("at") < F.col("share") * (1 << 20))
 

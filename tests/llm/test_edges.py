@@ -68,6 +68,66 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in language_id.op7_language_id(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    """More languages than rows of one share: each of them is still predicted."""
+    rng = random.Random(23)
+    rows = []
+    for k in range(60):
+        alphabet = [chr(0x4E00 + 50 * k + j) for j in range(30)]
+        rows += [(len(rows) + j, " ".join("".join(rng.choice(alphabet) for _ in range(4)) for _ in range(20)), f"l{k:02d}") for j in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for cfg in (language_id.LanguageConfig(sample_rows=60, least_rows=4), language_id.LanguageConfig(sample_rows=60, least_rows=4, broadcast_languages=3)):
+        model = language_id.fit_language_model(df, F.col("doc_id") % 3 != 1, cfg)
+        assert model.languages == tuple(f"l{k:02d}" for k in range(60))
+        got = language_id.identify_language(df, F.col("doc_id") % 3 != 1, cfg, keep=("doc_id", "lang")).where("lang = lang_pred").count()
+        assert got >= 0.95 * len(rows)
+
+
+def test_language_against_a_plain_loop(spark):
+    """Counts of letter n-grams, weights, cosines and ties, by loops over bytes."""
+    import math
+
+    rng = random.Random(24)
+    texts = [" ".join(rng.choice(["the", "House", "été", "niño", "x9y", "que", "9", "und"]) for _ in range(rng.randint(1, 40))) for _ in range(80)]
+    df = spark.createDataFrame([(i, t, "en" if i % 2 else "es") for i, t in enumerate(texts)] + [(900 + i, t, None) for i, t in enumerate(EDGE)], "doc_id long, text string, lang string")
+    cfg = language_id.LanguageConfig()
+    model = language_id.fit_language_model(df, F.col("doc_id") >= 0, cfg)
+    got = {r.doc_id: r for r in language_id.identify_language(df, F.col("doc_id") >= 0, cfg).collect()}
+
+    def counts(text):
+        x = [32, *(b if chr(b).isalpha() or b > 127 else 32 for b in text.lower().encode()), 32, 32]
+        out = {}
+        m = 0xFFFFFFFF
+        for i, a in enumerate(x):
+            b, c = (x[i + 1 : i + 3] + [32, 32])[:2]
+            codes = []
+            if a != 32:
+                codes.append((a * 2654435761 & m) >> 20)
+            if a != 32 or b != 32:
+                codes.append(((a * 257 + b) * 2246822519 & m) >> 15)
+            if b != 32 and (a != 32 or c != 32):
+                codes.append((((a * 257 + b) * 257 + c) * 3266489917 & m) >> 13)
+            for k in codes:
+                out[k % cfg.dims] = out.get(k % cfg.dims, 0) + 1
+        return out
+
+    for r in df.collect():
+        if r.text is None or not any(ch.isalpha() for ch in r.text):
+            assert got[r.doc_id].lang_pred == "und" and got[r.doc_id].score == 0
+            continue
+        w = {k: math.log1p(n) * float(model.idf[k]) for k, n in counts(r.text).items()}
+        size = math.sqrt(sum(v * v for v in w.values()))
+        cosine = [sum(v * float(c[k]) for k, v in w.items()) / size for c in model.centroids]
+        best = [max(x for x, o in zip(cosine, model.owner) if o == j) for j in range(len(model.languages))]
+        assert abs(got[r.doc_id].similarity - max(cosine)) < 1e-4
+        score = 1 / sum(math.exp(cfg.sharpness * (b - max(best))) for b in best)
+        assert abs(got[r.doc_id].score - score) < 1e-3
+        if len(best) < 2 or abs(best[0] - best[1]) > 1e-4:
+            assert got[r.doc_id].lang_pred == model.languages[best.index(max(best))]
+    same = spark.createDataFrame([(i, "ab cd ef", "en" if i % 2 else "de") for i in range(60)], "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in language_id.identify_language(same, F.col("doc_id") >= 0).collect()} == {"de"}
+
+
 # Toxicity
 
 
@@ -88,6 +148,57 @@ def test_toxicity_edges(spark):
     assert toxicity.op1_toxicity(df.limit(0), labels).count() == 0
 
 
+def test_toxicity_features_against_a_plain_loop():
+    import math
+
+    lexicon = {"vile": 2.0, "5:awful": 1.5, "rude": 1.0}
+    made = toxicity.Features(lexicon, near=3)
+    rng = random.Random(25)
+    pool = ["vile", "Vile", "awfully", "awful", "rude", "r.u.d.e", "v1le", "$ome", "you", "du", "HOUSE", "ok!", "fine,", "été", "a", "wise-guy", "!!!", "RUDE"]
+    stem = lambda w: max([lexicon.get(w, 0.0), *(lexicon.get(f"{n}:{w[:n]}", 0.0) for n in (4, 5, 6) if len(w) > n)])
+    for text in ["", "   ", "?!", *(" ".join(rng.choice(pool) for _ in range(rng.randint(1, 30))) for _ in range(200))]:
+        words = __import__("re").findall(r"\w+", text.lower())
+        n, total = max(1, len(words)), [stem(w) for w in words]
+        exact = sum(w in lexicon for w in words)
+        hits = sum(x > 0 for x in total)
+        who = [i for i, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+        close = sum(x > 0 and any(abs(i - j) <= 3 for j in who) for i, x in enumerate(total))
+        ascii_ = [c for c in text if c.isascii() and c.isalpha()]
+        caps = sum(c.isupper() for c in ascii_)
+        letters = max(1, len(ascii_))
+        shout = sum(len(w) > 2 and w.isupper() for w in text.split()) if caps > 0.1 * letters else 0
+        marks = sum(33 <= b < 48 or 58 <= b < 65 for b in text.encode())
+        bad = 0
+        if any(c.isdigit() or c in "$@*" for c in text):
+            for token in toxicity.TOKEN.findall(text.lower()):
+                simple = token.translate(toxicity.LOOKALIKE).strip(",;:?\"'()")
+                bad += not token.isalpha() and simple != token and simple.isalpha() and simple in lexicon and __import__("re").search(r"\w+", token)[0] not in lexicon
+        want = [math.log1p(len(words)), math.log1p(exact), exact / n, math.log1p(hits), hits / n, sum(total) / n, max(total, default=0.0), math.log1p(sum(total)), close / n, len(who) / n, caps / letters, shout / n, marks / max(1, len(text)), text.count("!") / n, bad / n]
+        assert np.allclose(made.of_text(text), want), text
+
+
+def test_toxicity_lexicon_against_a_plain_loop(spark):
+    import math
+
+    rng = random.Random(26)
+    rows = [(" ".join([f"w{rng.randrange(40)}" for _ in range(12)] + (["nastiness"] if t and rng.random() < 0.8 else [])), t) for t in [0] * 150 + [1] * 60]
+    cfg = toxicity.ToxicityConfig()
+    got = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"), cfg)
+    seen = {0: {}, 1: {}}
+    for text, t in rows:
+        for u in {u for w in set(text.split()) for u in toxicity.units(w)}:
+            seen[t][u] = seen[t].get(u, 0) + 1
+    every = set(seen[0]) | set(seen[1])
+    want = {}
+    for u in every:
+        t, c = seen[1].get(u, 0), seen[0].get(u, 0)
+        lift, base = (t / 60) / ((c + 0.5) / 150), 60 / 210
+        ratio = 2 * sum(x * math.log(x / ((t + c) * p)) for x, p in ((t, base), (c, 1 - base)) if x)
+        if t >= 3 and lift >= cfg.least_lift and ratio >= 2 * math.log(len(every)):
+            want[u] = math.log(lift)
+    assert got.keys() == want.keys() and all(abs(got[u] - x) < 1e-9 for u, x in want.items()) and "nastiness" in got
+
+
 # Language model
 
 
