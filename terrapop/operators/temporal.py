@@ -22,9 +22,16 @@ def max_over_events(df: DataFrame, cell: str, value: str) -> DataFrame:
 
 
 def flood_days(obs: DataFrame, cell: str, ts: str, pix: str, nodata: int = 255) -> DataFrame:
-    """Days with at least one hit per cell; acquisitions of a day count once."""
+    """Days with at least one hit per cell; acquisitions of a day count once.
+
+    Days are bits: each 64 days of a cell are one number, joined bitwise before the shuffle,
+    so that what is shuffled is a few numbers a cell and not its days.
+    """
     hit = (F.col(pix) > 0) & (F.col(pix) != nodata)
-    return obs.groupBy(cell).agg(F.count_distinct(F.when(hit, F.to_date(ts))).alias("flood_days"))
+    day = F.unix_date(F.to_date(ts))
+    bit = F.when(hit, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(day, F.lit(64)).cast("int")))
+    words = obs.groupBy(cell, F.floor(day / 64).alias("days_word")).agg(F.bit_or(bit).alias("days"))
+    return words.groupBy(cell).agg(F.coalesce(F.sum(F.bit_count("days")), F.lit(0)).cast("long").alias("flood_days"))
 
 
 def flood_hits(obs: DataFrame, cell: str, pix: str, nodata: int = 255) -> DataFrame:
