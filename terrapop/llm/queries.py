@@ -52,7 +52,7 @@ def q6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("estimate")
 
 
 def q8(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,4 +88,38 @@ WITH p AS (SELECT page_id, CASE WHEN position('://' IN coalesce(url, '')) > 0 TH
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
   WHEN u LIKE '%/wp-login.php%' OR u LIKE '%/cgi-bin/%' OR u LIKE '%/adserver/%' OR regexp_matches(u, '^[^/]*\.onion/') THEN 'block' ELSE 'allow' END AS verdict FROM r"""
 
-ORACLE_SQL: dict[str, str] = {"op10_url_filter": URL_SQL}
+#: Every byte as two hex digits; starts of strings (by a 64-bit hash) that an earlier document
+#: holds; bytes within 49 places after such a start are gone.
+SUBSTRING_SQL = """
+WITH n AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(length(hex(encode(coalesce(text, '')))) / 2 AS BIGINT) AS n FROM documents),
+ c AS (SELECT doc_id, n, c, substr(h, 2 * c + 1, 2 * 549) AS h FROM (SELECT *, unnest(range(0, n, 500)) AS c FROM n)),
+ g AS (SELECT doc_id, i, hash(substr(h, 2 * (i - c) + 1, 100)) AS g FROM (SELECT *, unnest(range(c, greatest(c, least(c + 500, n - 49)))) AS i FROM c)),
+ r AS (SELECT doc_id, i FROM g JOIN (SELECT g, min(doc_id) AS f FROM g GROUP BY g HAVING count(*) > 1) e USING (g) WHERE f < doc_id),
+ b AS (SELECT k.doc_id, k, x, count(r.i) OVER (PARTITION BY k.doc_id ORDER BY k ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS gone
+   FROM (SELECT doc_id, k, substr(h, 2 * (k - c) + 1, 2) AS x FROM (SELECT *, unnest(range(c, least(c + 500, n))) AS k FROM c WHERE doc_id IN (SELECT doc_id FROM r))) k LEFT JOIN r ON r.doc_id = k.doc_id AND r.i = k),
+ s AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE gone AND NOT was) AS n_spans, string_agg(x, '' ORDER BY k) FILTER (WHERE NOT gone) AS kept
+   FROM (SELECT *, coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY k), false) AS was FROM b) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(CASE WHEN s.doc_id IS NULL THEN h ELSE coalesce(kept, '') END)) AS kept_sha256 FROM n LEFT JOIN s USING (doc_id)"""
+
+#: Runs of words of documents and items as text, met by equality.
+CONTAINED_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL),
+ b AS (SELECT item_id, text, w, len(w) AS words, least(len(w), 5) AS width FROM (SELECT DISTINCT item_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL) WHERE len(w) > 0),
+ s AS (SELECT DISTINCT item_id, text, words, width, array_to_string(w[i:i + width - 1], ' ') AS s FROM (SELECT *, unnest(range(1, words - width + 2)) AS i FROM b)),
+ r AS (SELECT DISTINCT doc_id, width, array_to_string(w[i:i + width - 1], ' ') AS s FROM (SELECT doc_id, w, width, unnest(range(1, CAST(len(w) AS BIGINT) - width + 2)) AS i FROM d, (SELECT DISTINCT width FROM b))),
+ m AS (SELECT doc_id, item_id, text, words, count(*) AS found FROM s JOIN r USING (width, s) GROUP BY ALL)
+SELECT doc_id, item_id, words AS item_words, n AS item_shingles, found, found / n AS containment FROM m JOIN (SELECT item_id, text, count(*) AS n FROM s GROUP BY ALL) t USING (item_id, text) WHERE found >= 0.8 * n - 1e-9"""
+
+#: Lines without one word each, met by equality and place.
+LINES_SQL = """
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(0, len(string_split(text, chr(10))))) AS p FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+ f AS (SELECT trim(raw, ' ') AS line, min(struct_pack(d := doc_id, p := p)) AS place FROM l WHERE trim(raw, ' ') <> '' GROUP BY 1),
+ w AS (SELECT line, place, string_split(line, ' ') AS w, len(string_split(line, ' ')) AS n FROM f),
+ v AS (SELECT line, place, n, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:n]), ' ') AS s FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM w WHERE n >= 5)),
+ near AS (SELECT a.line FROM v a JOIN (SELECT s, i, n, min(place) AS place FROM v GROUP BY s, i, n) b ON a.s = b.s AND a.i = b.i AND a.n = b.n AND b.place < a.place
+   UNION SELECT v.line FROM v JOIN w ON v.s = w.line AND v.n = w.n + 1 AND w.place < v.place UNION SELECT w.line FROM v JOIN w ON v.s = w.line AND v.n = w.n + 1 AND v.place < w.place),
+ k AS (SELECT doc_id, p, raw, f.line IS NOT NULL AND (struct_pack(d := doc_id, p := p) > f.place OR near.line IS NOT NULL) AS gone FROM l LEFT JOIN f ON f.line = trim(raw, ' ') LEFT JOIN near ON near.line = f.line),
+ t AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS lines_removed, coalesce(string_agg(raw, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '') AS text FROM k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(lines_removed, 0) AS lines_removed, CASE WHEN d.text IS NOT NULL THEN length(t.text) END AS n_chars, sha256(coalesce(t.text, '')) AS text_sha256 FROM documents d LEFT JOIN t USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": SUBSTRING_SQL, "op4_decontam": CONTAINED_SQL, "op8_line_dedup": LINES_SQL, "op10_url_filter": URL_SQL}
