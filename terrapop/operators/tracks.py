@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, Window
@@ -130,7 +131,10 @@ def in_quadrant_swath(px: Column, py: Column, lon: Column, lat: Column) -> Colum
     radius = lambda at: F.when(at < 90, F.col("ne")).when(at < 180, F.col("se")).when(at < 270, F.col("sw")).otherwise(F.col("nw"))
     r1, r2, turn = radius(corner), radius(corner + 5), F.radians(bearing - corner)
     edge = r1 * r2 * F.sin(F.radians(F.lit(5.0))) / (r1 * F.sin(turn) + r2 * F.sin(F.radians(F.lit(5.0)) - turn))
-    return F.round(dist, 6) <= F.round(edge, 6)
+    # No edge comes nearer than the least radius times the cosine of its turn, none reaches
+    # beyond the greatest: only places between the two need their bearing.
+    near, far = F.least(*QUADRANTS) * math.cos(math.radians(5)) - 1e-5, F.greatest(*QUADRANTS) + 1e-5
+    return F.when(dist <= near, True).when(dist > far, False).otherwise(F.round(dist, 6) <= F.round(edge, 6))
 
 
 def swath_cells(steps: DataFrame, x0: float, y0: float, step: float, cols: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
 from terrapop.operators import grid, tracks
+from terrapop.sources import files
 from terrapop.sources.fixtures import Fixtures
 
 from .basic import dec
@@ -149,7 +150,7 @@ def band_methods(fx: Fixtures) -> DataFrame:
 def footprints(fx: Fixtures) -> DataFrame:
     """(sid, threshold, row_no, col_no): swaths of adequate bands, else external buffers of
     expected ones."""
-    methods = band_methods(fx)
+    methods = files.stored(band_methods(fx))
     steps = tracks.interpolated(tracks.next_observation(fx.track_points)).join(methods.where("method = 'wind_radii'").select("sid", "threshold"), ["sid", "threshold"], "left_semi")
     own = tracks.swath_cells(steps, 30.0, 20.0, 0.1, 50)
     other = methods.where("method = 'external'").select("sid", "threshold").join(matched_storms(fx), "sid").join(tracks.buffer_cells(fx.external_buffers), ["ext_id", "threshold"])
@@ -219,7 +220,7 @@ CYCLONE = f"""SELECT u.admin_id, coalesce(t, 0) AS pop_total, coalesce(a63, 0) A
 def _(fx: Fixtures) -> DataFrame:
     """Population inside footprints of each band, the mean of the highest band over people,
     and the storms that meet the unit."""
-    found = footprints(fx)
+    found = files.stored(footprints(fx))
     cells = grid.fill(fx.admin_points).join(fx.population_cells, ["row_no", "col_no"]).join(cell_bands(found), ["row_no", "col_no"], "left")
     hit = lambda t: F.when(F.col("pop").isNotNull(), F.when(F.coalesce(f"b{t}", F.lit(False)), F.col("pop")).otherwise(0.0))
     sums = cells.groupBy("admin_id").agg(S.dsum(F.col("pop")).alias("pop_total"), S.dsum(F.col("pop") * F.coalesce("severity", F.lit(0))).alias("w"), *[S.dsum(hit(t)).alias(f"a{t}") for t in S.KMH_TO_KNOTS])

@@ -90,7 +90,7 @@ def shaken_cells(fx: Fixtures) -> DataFrame:
 def quake_cells(fx: Fixtures) -> DataFrame:
     """(cell_id, mmi): the maximum over the events that reach the primary threshold in the
     cell's country; others don't count at any threshold."""
-    shaken = shaken_cells(fx)
+    shaken = files.stored(shaken_cells(fx))
     counts = shaken.groupBy("event_id", "iso3").agg(F.max("mmi").alias("most")).where(F.col("most") >= QUAKE_AT[0]).select("event_id", "iso3")
     return temporal.max_over_events(shaken.join(counts, ["event_id", "iso3"], "left_semi"), "cell_id", "mmi")
 

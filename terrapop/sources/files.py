@@ -149,3 +149,8 @@ def write_parquet(df: DataFrame, kind: str, *by: str, path: str | None = None) -
     path = path or new_path(df.sparkSession, kind)
     df.write.mode("append").partitionBy(*by).parquet(path)
     return path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once and read back, where several parts of a plan use it."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_parquet(df, "stored"))
