@@ -8,7 +8,8 @@ however long it is, so the sketch finds every candidate; the share of the sketch
 document holds estimates the containment, and exact shingle containment decides.
 
 Documents meet sketches by hash in a join. A bit map of the sketches' hashes, of a size that
-has a bound, travels with the tasks and keeps all other shingles out of the join.
+has a bound, travels with the tasks and keeps nearly all other shingles out of the join; up to
+a number that is checked, so do the sorted hashes themselves, which keep out the rest.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 class ContainmentConfig:
     """``least_words``: shorter items are reported but drop no document, as a run of a few
     words is found by chance. The bit map has ``bits_per_hash`` bits for each hash of a
-    sketch and ``most_bits`` at most; beyond that more shingles go to the join, none less.
+    sketch and ``most_bits`` at most, and up to ``most_hashes`` hashes travel with it;
+    beyond these more shingles go to the join, none less.
     ``group`` bounds the candidate items that are checked with a text at a time."""
 
     width: int = 5
@@ -43,6 +45,7 @@ class ContainmentConfig:
     least_words: int = 5
     bits_per_hash: int = 64
     most_bits: int = 1 << 26
+    most_hashes: int = 1 << 21
     group: int = 256
 
 
@@ -110,26 +113,28 @@ def item_sketches(items: DataFrame, cfg: ContainmentConfig) -> DataFrame:
     return items.select("key", "text").mapInArrow(sketch, "key long, words long, width long, size long, h long")
 
 
-def bit_map(sketches: DataFrame, cfg: ContainmentConfig) -> np.ndarray:
-    """A bit for each hash of the sketches, by its high bits; of a power of two of bits."""
+def bit_map(sketches: DataFrame, cfg: ContainmentConfig) -> tuple[np.ndarray, np.ndarray | None]:
+    """A bit for each hash of the sketches, by its high bits, of a power of two of bits; and
+    the distinct hashes in order, None if there are too many."""
     n = sketches.count()
+    exact = np.unique(sketches.select("h").distinct().toArrow().column("h").to_numpy().view(np.uint64)) if n <= cfg.most_hashes else None
     bits = min(cfg.most_bits, 1 << max(16, (cfg.bits_per_hash * n - 1).bit_length()))
     shift = 64 - bits.bit_length() + 1
     at = F.shiftrightunsigned("h", shift)
     words = sketches.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {shift}) & 63 as int))")).alias("held")).toArrow()
     out = np.zeros(bits // 64, np.int64)
     out[words.column("word").to_numpy()] = words.column("held").to_numpy()
-    return out.view(np.uint64)
+    return out.view(np.uint64), exact
 
 
-def hit_documents(docs: DataFrame, keep: tuple[str, ...], widths: list[int], bits: np.ndarray) -> DataFrame:
+def hit_documents(docs: DataFrame, keep: tuple[str, ...], widths: list[int], filters: tuple[np.ndarray, np.ndarray | None]) -> DataFrame:
     """``keep_0`` ..., ``text`` and ``hashes`` of the documents that hold a run of words whose
     hash is in the bit map, with those hashes."""
     kept = tuple(f"keep_{k}" for k in range(len(keep)))
-    shift, held = np.uint64(64 - (64 * len(bits)).bit_length() + 1), docs.sparkSession.sparkContext.broadcast(bits)
+    shift, held = np.uint64(64 - (64 * len(filters[0])).bit_length() + 1), docs.sparkSession.sparkContext.broadcast(filters)
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        memo, table = WordHashes(), held.value
+        memo, (table, exact) = WordHashes(), held.value
         for batch in batches:
             row, found = [], []
             for r, text in enumerate(batch.column("text").to_pylist()):
@@ -137,6 +142,8 @@ def hit_documents(docs: DataFrame, keep: tuple[str, ...], widths: list[int], bit
                 h = np.concatenate([run_hashes(words, w, memo) for w in widths])
                 at = h >> shift
                 h = h[(table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
+                if exact is not None and len(h):
+                    h = h[exact[np.minimum(np.searchsorted(exact, h), len(exact) - 1)] == h]
                 if len(h):
                     row.append(r)
                     found.append(np.unique(h).view(np.int64))

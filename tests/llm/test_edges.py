@@ -362,7 +362,7 @@ def test_decontamination_against_brute_force(spark):
             if s and len(s & own) >= 0.8 * len(s) - 1e-9:
                 want[r.doc_id, i] = len(s & own)
     assert got == want and want
-    few_bits = decontam.ContainmentConfig(most_bits=1 << 16, bits_per_hash=1, group=2)
+    few_bits = decontam.ContainmentConfig(most_bits=1 << 16, bits_per_hash=1, most_hashes=3, group=2)
     assert {(r.doc_id, r.item_id): r.found for r in decontam.find_contained(df, bench, few_bits).collect()} == want
     kept = decontam.drop_contaminated(df.withColumn("a.b", F.lit(1)), bench)
     long = {d for d, i in want if len(decontam.words_of(items[i])) >= 5}
