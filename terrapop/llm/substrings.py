@@ -34,12 +34,14 @@ BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 @dataclass(frozen=True)
 class SubstringConfig:
     """``length`` bytes make a repeat; samples are ``gram`` bytes; ``flush`` samples are
-    held by a task at a time. ``cover`` is ``content`` (least-hashed grams) or ``position``
+    held by a task at a time, and a bucket is sorted whole, so there is one at least for
+    each ``bucket_bytes`` of text. ``cover`` is ``content`` (least-hashed grams) or ``position``
     (the difference cover modulo 31, for strings of 50 bytes and grams of 20)."""
 
     length: int = 50
     gram: int = 20
     flush: int = 1_000_000
+    bucket_bytes: int = 16_000_000
     cover: str = "content"
 
     @property
@@ -306,8 +308,9 @@ def remove_repeats(docs: DataFrame, cfg: SubstringConfig = SubstringConfig(), wi
     doc_id neither lose bytes nor count. Strings are compared by fingerprints of 94 or
     more bits. Repeated rows give a row each; an empty table gives none.
     """
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
+    size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // cfg.bucket_bytes))
 
     def sample(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         packer = Packer(buckets, cfg.flush)
