@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .ann import op6_ann
 from .brown_lm import op2_brown_lm
+from .byte_bpe import CoderConfig, op12_byte_bpe
 from .common import table
 from .decontam import find_contained
 from .language_id import op7_language_id
@@ -63,6 +64,12 @@ def q3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def q12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return op12_byte_bpe(table(spark, sf_dir, "documents"), CoderConfig(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": q1,
     "op2_brown_lm": q2,
@@ -74,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": q8,
     "op9_simhash": q9,
     "op10_url_filter": q10,
+    "op12_byte_bpe": q12,
 }
 
 URL_SQL = r"""
