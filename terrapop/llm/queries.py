@@ -14,6 +14,7 @@ from .decontam import find_contained
 from .language_id import op7_language_id
 from .line_dedup import op8_line_dedup
 from .packing import PackConfig, pack_documents
+from .prefix_trie import op13_prefix_trie
 from .simhash import op9_simhash
 from .substrings import remove_repeats
 from .toxicity import op1_toxicity
@@ -70,6 +71,10 @@ def q12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_byte_bpe(table(spark, sf_dir, "documents"), CoderConfig(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
+def q13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": q1,
     "op2_brown_lm": q2,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": q9,
     "op10_url_filter": q10,
     "op12_byte_bpe": q12,
+    "op13_prefix_trie": q13,
 }
 
 URL_SQL = r"""
@@ -130,4 +136,22 @@ WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(ran
  t AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS lines_removed, coalesce(string_agg(raw, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '') AS text FROM k GROUP BY doc_id)
 SELECT d.doc_id, coalesce(lines_removed, 0) AS lines_removed, CASE WHEN d.text IS NOT NULL THEN length(t.text) END AS n_chars, sha256(coalesce(t.text, '')) AS text_sha256 FROM documents d LEFT JOIN t USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": SUBSTRING_SQL, "op4_decontam": CONTAINED_SQL, "op8_line_dedup": LINES_SQL, "op10_url_filter": URL_SQL}
+#: crc32 of text over a table of 256 steps; ``{bytes}`` is its list of bytes.
+CRC_TABLE = "(SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(0, 256)) AS i))"
+CRC = "xor(list_reduce(list_concat([4294967295], {bytes}), lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295)"
+
+#: A prefix is the digests of its turns in a row; subtrees by the prefixes of each node's first member.
+TRIE_SQL = rf"""
+WITH o AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p FROM conversations WHERE conv_id IS NOT NULL),
+ c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {CRC.format(bytes="list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM o), {CRC_TABLE}),
+ m AS (SELECT c.conv_id, 0 AS part, p, r, x FROM c JOIN o ON o.conv_id = c.base AND p <= h UNION ALL SELECT conv_id, 1, p, r, x FROM c JOIN o USING (conv_id) WHERE p > h),
+ d AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS d, sha256(r) || sha256(x) AS s, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS t FROM m),
+ k AS (SELECT conv_id, d, t, string_agg(s, '') OVER (PARTITION BY conv_id ORDER BY d) AS k FROM d UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+ n AS (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(t) AS t FROM k GROUP BY d, k),
+ g AS (SELECT n.*, u.k AS up FROM n LEFT JOIN k u ON u.conv_id = n.conv_id AND u.d = n.d - 1),
+ f AS (SELECT g.*, p.conv_id AS parent_conv_id, coalesce(q.n, 0) AS n_children FROM g LEFT JOIN n p ON p.d = g.d - 1 AND p.k = g.up LEFT JOIN (SELECT d - 1 AS d, up AS k, count(*) AS n FROM g WHERE d > 0 GROUP BY ALL) q ON q.d = g.d AND q.k = g.k),
+ s AS (SELECT k.d, k.k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * f.t) AS BIGINT) AS saved_tokens FROM f JOIN k ON k.conv_id = f.conv_id AND k.d <= f.d GROUP BY k.d, k.k),
+ e AS (SELECT d, k, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ends FROM k WHERE (conv_id, d) IN (SELECT (conv_id, max(d)) FROM k GROUP BY conv_id) GROUP BY d, k)
+SELECT f.conv_id, f.d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256 FROM f JOIN s USING (d, k) LEFT JOIN e USING (d, k)"""
+
+ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": SUBSTRING_SQL, "op4_decontam": CONTAINED_SQL, "op8_line_dedup": LINES_SQL, "op10_url_filter": URL_SQL, "op13_prefix_trie": TRIE_SQL}

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables here")
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "conversations"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = QUERIES[name](spark, SF), con.sql(ORACLE_SQL[name]).df()
     columns = sorted(want.columns)
