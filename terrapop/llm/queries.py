@@ -16,6 +16,7 @@ from .line_dedup import op8_line_dedup
 from .packing import PackConfig, pack_documents
 from .prefix_trie import op13_prefix_trie
 from .simhash import op9_simhash
+from .spelling import op11_spelling
 from .substrings import remove_repeats
 from .toxicity import op1_toxicity
 from .url_filter import judge_urls
@@ -75,6 +76,10 @@ def q13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def q11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_spelling(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": q1,
     "op2_brown_lm": q2,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": q8,
     "op9_simhash": q9,
     "op10_url_filter": q10,
+    "op11_spelling": q11,
     "op12_byte_bpe": q12,
     "op13_prefix_trie": q13,
 }
@@ -154,4 +160,19 @@ WITH o AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row
  e AS (SELECT d, k, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ends FROM k WHERE (conv_id, d) IN (SELECT (conv_id, max(d)) FROM k GROUP BY conv_id) GROUP BY d, k)
 SELECT f.conv_id, f.d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256 FROM f JOIN s USING (d, k) LEFT JOIN e USING (d, k)"""
 
-ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": SUBSTRING_SQL, "op4_decontam": CONTAINED_SQL, "op8_line_dedup": LINES_SQL, "op10_url_filter": URL_SQL, "op13_prefix_trie": TRIE_SQL}
+UTF8 = "flatten(list_transform(string_split(doc || ':' || w, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))"
+
+#: Words of one edit have a string in common once a letter is left out of either or both.
+SPELLING_SQL = rf"""
+WITH RECURSIVE r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+ h AS (SELECT w, k, {CRC.format(bytes=UTF8)} AS h FROM (SELECT doc, w, count(*) AS k FROM r GROUP BY doc, w), {CRC_TABLE}),
+ v AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word, CAST(sum(k) AS BIGINT) AS n FROM h GROUP BY 1),
+ u AS MATERIALIZED (SELECT word, n FROM v WHERE length(word) >= 5 AND n >= 3),
+ x AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS s FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM u)),
+ p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM x a JOIN x b ON a.s = b.s AND a.i = b.i AND a.word <> b.word UNION SELECT x.word, u.word, u.n FROM x JOIN u ON x.s = u.word UNION SELECT u.word, x.word, x.n FROM x JOIN u ON x.s = u.word),
+ b AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS form, max(near_n) AS form_n FROM p GROUP BY word),
+ f AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n FROM u LEFT JOIN b USING (word)),
+ c AS (SELECT word, word AS at FROM f UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM f JOIN c USING (word) JOIN f e ON e.word = c.at WHERE e.form IS NULL"""
+
+ORACLE_SQL: dict[str, str] = {"op3_suffix_dedup": SUBSTRING_SQL, "op4_decontam": CONTAINED_SQL, "op8_line_dedup": LINES_SQL, "op10_url_filter": URL_SQL, "op11_spelling": SPELLING_SQL, "op13_prefix_trie": TRIE_SQL}
