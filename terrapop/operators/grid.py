@@ -60,16 +60,61 @@ def touched(points: DataFrame, unit: str = "admin_id") -> DataFrame:
     return fill(points, unit).unionByName(spans.select(unit, "row_no", F.explode(F.sequence(c0, c1)).alias("col_no"))).distinct()
 
 
-def points_in_units(points: DataFrame, rings: DataFrame, unit: str = "admin_id") -> DataFrame:
-    """(point_id, unit) of points (point_id, px, py) inside a unit, by crossing parity.
-
-    Points meet only the edges that span their row of cells, an equi join on the row.
+def cover_index(rings: DataFrame, unit: str = "admin_id", size: float = 1.0) -> DataFrame:
+    """Cells (row_no, col_no) of ``size`` that units cover: (unit, row_no, col_no, corner,
+    edges). An interior cell has ``edges`` null: all of it is inside. A boundary cell has
+    the edges that touch it, and whether the place just beyond its upper right corner
+    (column + 1, row) is inside.
+
+    Where no edge comes, being inside doesn't change: the corner of a boundary cell answers
+    for all cells up to the next boundary cell of the row, so interior cells are runs
+    between two of them, and areas cost nothing before they are cells.
+    """
+    e = edges(rings, unit)
+    lo, hi, dy = F.least("y1", "y2"), F.greatest("y1", "y2"), F.col("y2") - F.col("y1")
+    at = lambda y: F.when(dy == 0, F.col("x1")).otherwise(F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / F.when(dy == 0, 1.0).otherwise(dy))
+    spans = e.withColumn("row_no", F.explode(F.sequence(F.floor(lo / size), F.floor(hi / size))))
+    top = at(F.greatest(F.col("row_no") * F.lit(size), lo))
+    bottom = F.when(dy == 0, F.col("x2")).otherwise(at(F.least((F.col("row_no") + 1) * F.lit(size), hi)))
+    c0, c1 = F.ceil(F.least(top, bottom) / size - 1e-9) - 1, F.floor(F.greatest(top, bottom) / size + 1e-9)
+    cells = spans.withColumn("col_no", F.explode(F.sequence(c0, c1))).groupBy(unit, "row_no", "col_no").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    # How many edges cross the line y = row beyond each corner.
+    first, last = F.ceil(lo / size), F.ceil(hi / size) - 1
+    lines = e.where("y1 <> y2").withColumn("row_no", F.explode(F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
+    crossed = lines.select(unit, "row_no", F.lit(None).cast("long").alias("col_no"), at(F.col("row_no") * F.lit(size)).alias("x"), F.lit(1).alias("n"))
+    asked = cells.select(unit, "row_no", "col_no", ((F.col("col_no") + 1) * F.lit(size)).alias("x"), F.lit(0).alias("n"))
+    beyond = Window.partitionBy(unit, "row_no").orderBy(F.desc("x"), "n").rowsBetween(Window.unboundedPreceding, 0)
+    corners = crossed.unionByName(asked).withColumn("corner", F.sum("n").over(beyond) % 2 == 1).where("col_no is not null").select(unit, "row_no", "col_no", "corner")
+    nxt = F.lead("col_no").over(Window.partitionBy(unit, "row_no").orderBy("col_no"))
+    runs = corners.withColumn("next", nxt).where(F.col("corner") & (F.col("next") > F.col("col_no") + 1))
+    inside = runs.select(unit, "row_no", F.explode(F.sequence(F.col("col_no") + 1, F.col("next") - 1)).alias("col_no"), F.lit(True).alias("corner"), F.lit(None).cast(cells.schema["edges"].dataType).alias("edges"))
+    return cells.join(corners, [unit, "row_no", "col_no"]).select(unit, "row_no", "col_no", "corner", "edges").unionByName(inside)
+
+
+def points_in_units(points: DataFrame, rings: DataFrame, unit: str = "admin_id", size: float = 1.0) -> DataFrame:
+    """(point_id, unit) of points (point_id, px, py) inside a unit, by a cover index.
+
+    A point meets the units of its own cell: an interior cell answers alone; in a boundary
+    cell the way from the point right to the cell's border and up to its corner is followed,
+    and each edge that it crosses changes the corner's answer. A border is left of the
+    points on it and above them.
     """
-    e = edges(rings, unit).where("y1 <> y2")
-    banded = e.withColumn("band", F.explode(F.sequence(F.floor(F.least("y1", "y2")), F.floor(F.greatest("y1", "y2")))))
-    met = points.withColumn("band", F.floor("py")).join(banded, "band").where("(y1 > py) <> (y2 > py)")
-    cross = F.col("px") < F.col("x1") + (F.col("py") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    return met.groupBy("point_id", unit).agg(F.count_if(cross).alias("n")).where("n % 2 = 1").select("point_id", unit)
+    index = cover_index(rings, unit, size)
+    met = points.select("point_id", "px", "py", F.floor(F.col("py") / size).alias("row_no"), F.floor(F.col("px") / size).alias("col_no")).join(index, ["row_no", "col_no"])
+    px, py, border, line = F.col("px"), F.col("py"), (F.col("col_no") + 1) * F.lit(size), F.col("row_no") * F.lit(size)
+
+    def crossings_of(g: Column) -> Column:
+        dx, dy = g["x2"] - g["x1"], g["y2"] - g["y1"]
+        x = g["x1"] + (py - g["y1"]) * dx / F.when(dy == 0, 1.0).otherwise(dy)
+        across = ((g["y1"] > py) != (g["y2"] > py)) & (px < x) & (x <= border)
+        y = g["y1"] + (border - g["x1"]) * dy / F.when(dx == 0, 1.0).otherwise(dx)
+        rising = (dx > 0) == (dy > 0)
+        below = lambda t: (y > t) | ((y == t) & rising & (dy != 0))
+        along = ((g["x1"] > border) != (g["x2"] > border)) & below(line) & ~below(py)
+        return across.cast("int") + along.cast("int")
+
+    n = F.aggregate("edges", F.lit(0), lambda total, g: total + crossings_of(g))
+    return met.where(F.when(F.col("edges").isNull(), True).otherwise((n % 2 == 1) != F.col("corner"))).select("point_id", unit)
 
 
 def overlap(lo1: Column, hi1: Column, lo2: Column, hi2: Column) -> Column:
@@ -122,7 +167,7 @@ def near_units(points: DataFrame, rings: DataFrame, km: float, tile: float = 0.5
     tiled = e.withColumn("tx", F.explode(F.sequence(at(F.least("x1", "x2") - lon_pad), at(F.greatest("x1", "x2") + lon_pad)))).withColumn("ty", F.explode(F.sequence(at(F.least("y1", "y2") - lat_pad), at(F.greatest("y1", "y2") + lat_pad))))
     met = points.withColumns({"tx": at(F.col("lon")), "ty": at(F.col("lat"))}).join(tiled, ["tx", "ty"])
     close = met.where(F.round(segment_km(F.col("lon"), F.col("lat"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")), 6) <= km).select("point_id")
-    inside = points_in_units(points.select("point_id", F.col("lon").alias("px"), F.col("lat").alias("py")), rings, unit).select("point_id")
+    inside = points_in_units(points.select("point_id", F.col("lon").alias("px"), F.col("lat").alias("py")), rings, unit, tile).select("point_id")
     return close.unionByName(inside).distinct()
 
 
