@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
-from terrapop.operators import align, contract, grid, temporal, zonal
+from terrapop.operators import align, contract, grid, shaking, temporal, zonal
 from terrapop.sources import files
 from terrapop.sources.fixtures import Fixtures
 
@@ -77,22 +77,21 @@ def gated_catalog(fx: Fixtures) -> DataFrame:
     return both.withColumn("gate", F.coalesce(*gates))
 
 
-def shaken_cells(fx: Fixtures) -> DataFrame:
-    """(event_id, cell_id, mmi, iso3): each event's grid aligned to the labelled population
-    cells by bilinear weights; only events whose grids would be read."""
+def shaken_quads(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+    """(quads, fine cells): bounds of the shaking of each event by the corners that labelled
+    population cells share, and these cells; only events whose grids would be read."""
     read = gated_catalog(fx).where("gate is null").select("event_id")
     shake = fx.shake_cells.join(read, "event_id", "left_semi").select("event_id", (F.col("hcell_id") % 10).alias("gx"), F.floor(F.col("hcell_id") / 10).alias("gy"), "mmi")
-    points = fx.population_cells.join(fx.admin_cells.select("cell_id"), "cell_id", "left_semi").select(F.col("cell_id").alias("id"), ((F.col("col_no") + 0.5) / 5 - 0.5).alias("fx"), ((F.col("row_no") + 0.5) / 3 - 0.5).alias("fy"))
-    aligned = align.align_bilinear(points, shake, "mmi", by=("event_id",), exact=False).withColumnRenamed("id", "cell_id")
-    return aligned.join(fx.admin_cells.select("cell_id", "iso3"), "cell_id")
+    fine = shaking.fine_cells(fx.population_cells.join(fx.admin_cells.select("cell_id", "iso3"), "cell_id").select("cell_id", "iso3", ((F.col("col_no") + 0.5) / 5 - 0.5).alias("fx"), ((F.col("row_no") + 0.5) / 3 - 0.5).alias("fy")))
+    return files.stored(shaking.event_quads(shake, fine)), fine
 
 
 def quake_cells(fx: Fixtures) -> DataFrame:
     """(cell_id, mmi): the maximum over the events that reach the primary threshold in the
     cell's country; others don't count at any threshold."""
-    shaken = files.stored(shaken_cells(fx))
-    counts = shaken.groupBy("event_id", "iso3").agg(F.max("mmi").alias("most")).where(F.col("most") >= QUAKE_AT[0]).select("event_id", "iso3")
-    return temporal.max_over_events(shaken.join(counts, ["event_id", "iso3"], "left_semi"), "cell_id", "mmi")
+    quads, fine = shaken_quads(fx)
+    counts = shaking.counted_events(quads, fine, QUAKE_AT[0])
+    return shaking.greatest_by_cell(quads.join(counts, ["event_id", "iso3"], "left_semi"), fine)
 
 
 # All hazards over one population
@@ -239,7 +238,7 @@ REASONS = f"SELECT c.*, max_mmi, coalesce(gate, CASE WHEN max_mmi IS NULL THEN '
 
 def exclusion_reasons(fx: Fixtures) -> DataFrame:
     """The first failing gate of each event, in order: eight of them."""
-    most = shaken_cells(fx).groupBy("event_id").agg(F.max("mmi").alias("max_mmi"))
+    most = shaking.greatest_by_event(*shaken_quads(fx))
     late = F.when(F.col("max_mmi").isNull(), "shakemap_does_not_intersect_country").when(F.col("max_mmi") < QUAKE_AT[0], "no_primary_threshold_shaking_in_country")
     return gated_catalog(fx).join(most, "event_id", "left").withColumn("reason", F.coalesce("gate", late))
 
