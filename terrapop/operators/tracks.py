@@ -8,7 +8,9 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapop.functions.scalar import AGENCIES, EXTERNAL_BANDS, KMH_TO_KNOTS, NM_TO_KM, haversine_km
+from terrapop.functions.scalar import AGENCIES, EARTH_KM, EXTERNAL_BANDS, KMH_TO_KNOTS, NM_TO_KM, haversine_km, lon_unwrap
+
+from . import bits
 
 QUADRANTS = ("ne", "se", "sw", "nw")
 RADIUS = re.compile(r"^(.+)_r(34|50|64)_(ne|se|sw|nw)$")
@@ -137,28 +139,75 @@ def in_quadrant_swath(px: Column, py: Column, lon: Column, lat: Column) -> Colum
     return F.when(dist <= near, True).when(dist > far, False).otherwise(F.round(dist, 6) <= F.round(edge, 6))
 
 
+def lon_reach(km: Column, lat: Column, at: Column) -> Column:
+    """Degrees of longitude within ``km`` of a place on ``lat``, along the parallel ``at``;
+    null where the parallel is farther off."""
+    share = (F.pow(F.sin(km / (2 * EARTH_KM)), 2) - F.pow(F.sin(F.radians(at - lat) / 2), 2)) / (F.cos(F.radians(lat)) * F.cos(F.radians(at)))
+    return F.when((km >= 0) & (share >= 0), F.degrees(2 * F.asin(F.sqrt(F.least(F.lit(1.0), share)))))
+
+
+def swath_bits(steps: DataFrame, x0: float, y0: float, step: float, cols: int) -> DataFrame:
+    """(sid, threshold, row_no, word, bits): cells whose centre is inside a storm's swath, as
+    sets of columns. The grid has no last row.
+
+    Each place and row gives one interval of columns that are inside whatever their bearing,
+    in closed form from the least radius; only cells between that and the greatest radius
+    are looked at one by one. Both are joined to sets before anything is shuffled.
+    Longitudes are taken within half a turn of the grid's middle and columns count around
+    the globe, so that the date line cuts no swath.
+    """
+    middle, turn = x0 + cols * step / 2, 360 / step
+    period = round(turn) if abs(turn - round(turn)) < 1e-9 else None
+    lon, lat = lon_unwrap(F.col("lon"), F.lit(middle)), F.col("lat")
+    near, far = F.least(*QUADRANTS) * math.cos(math.radians(5)) - 2e-5, F.greatest(*QUADRANTS) + 2e-5
+    dlat = far / 111.19492664455873
+    r0, r1 = F.greatest(F.floor((y0 - lat - dlat) / step), F.lit(0)), F.floor((y0 - lat + dlat) / step)
+    none = F.array().cast("array<bigint>")
+    span = lambda lo, hi: F.when(lo <= hi, F.sequence(lo, hi)).otherwise(none)
+    rows = steps.select("sid", "threshold", lon.alias("lon"), "lat", *QUADRANTS, F.explode(span(r0, r1)).alias("row_no"))
+    at = y0 - (F.col("row_no") + 0.5) * step
+    column = lambda degrees: (F.col("lon") + degrees - x0) / step - 0.5
+    wide, sure = lon_reach(far, lat, at), lon_reach(near, lat, at)
+    ends = {"f0": F.ceil(column(-wide) - 1e-6), "f1": F.floor(column(wide) + 1e-6), "n0": F.ceil(column(-sure) + 1e-6), "n1": F.floor(column(sure) - 1e-6)}
+    if period is None or cols * 2 <= period:  # no interval goes around
+        low, high = F.lit(0).cast("long"), F.lit(cols - 1).cast("long")
+        ends["f0"], ends["f1"] = F.greatest(ends["f0"], low), F.least(ends["f1"], high)
+    reach = rows.withColumns(ends).where("f0 <= f1")
+    whole = F.coalesce(F.col("n0") <= F.col("n1"), F.lit(False))
+    single = lambda lo, hi: F.transform(span(lo, hi), lambda c: F.struct(c.alias("c0"), c.alias("c1"), F.lit(False).alias("sure")))
+    inner = F.array(F.struct(F.greatest("n0", "f0").alias("c0"), F.least("n1", "f1").alias("c1"), F.lit(True).alias("sure")))
+    parts = F.when(whole, F.concat(inner, single(F.col("f0"), F.least(F.col("n0") - 1, F.col("f1"))), single(F.greatest(F.col("n1") + 1, F.col("f0")), F.col("f1")))).otherwise(single(F.col("f0"), F.col("f1")))
+    each = reach.withColumn("part", F.explode(parts)).select("sid", "threshold", "lon", "lat", *QUADRANTS, F.col("row_no").cast("long").alias("row_no"), "part.*")
+    inside = F.col("sure") | in_quadrant_swath(x0 + (F.col("c0") + 0.5) * step, y0 - (F.col("row_no") + 0.5) * step, F.col("lon"), lat)
+    return bits.interval_bits(each.where(inside), ("sid", "threshold"), cols, period)
+
+
 def swath_cells(steps: DataFrame, x0: float, y0: float, step: float, cols: int) -> DataFrame:
-    """(sid, threshold, row_no, col_no): cells whose centre is inside a storm's swath. Only
-    cells in the box of a place's largest radius are looked at; the grid has no last row."""
-    km_lat = 111.19492664455873
-    reach = F.greatest(*QUADRANTS)
-    dlat, dlon = reach / km_lat, reach / (km_lat * F.cos(F.radians("lat")))
-    r0, r1 = F.greatest(F.floor((y0 - F.col("lat") - dlat) / step), F.lit(0)), F.floor((y0 - F.col("lat") + dlat) / step)
-    c0, c1 = F.greatest(F.floor((F.col("lon") - dlon - x0) / step), F.lit(0)), F.least(F.floor((F.col("lon") + dlon - x0) / step), F.lit(cols - 1))
-    span = lambda lo, hi: F.explode(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>")))
-    places = steps.select("sid", "threshold", "lon", "lat", *QUADRANTS).distinct()
-    box = places.withColumn("row_no", span(r0, r1)).withColumn("col_no", span(c0, c1))
-    inside = in_quadrant_swath(x0 + (F.col("col_no") + 0.5) * step, y0 - (F.col("row_no") + 0.5) * step, F.col("lon"), F.col("lat"))
-    return box.where(inside).select("sid", "threshold", F.col("row_no").cast("long").alias("row_no"), F.col("col_no").cast("long").alias("col_no")).distinct()
-
-
-def buffer_cells(buffers: DataFrame) -> DataFrame:
-    """(ext_id, threshold, row_no, col_no) of external wind buffers: squares of ``reach``
+    """(sid, threshold, row_no, col_no) of the same."""
+    return bits.cells_of(swath_bits(steps, x0, y0, step, cols)).select("sid", "threshold", "row_no", "col_no")
+
+
+def buffer_bits(buffers: DataFrame) -> DataFrame:
+    """(ext_id, threshold, row_no, word, bits) of external wind buffers: squares of ``reach``
     cells about a centre; labels of 60, 90 and 120 become our bands, others are dropped."""
     band = F.coalesce(*[F.when(F.col("label") == k, F.lit(v)) for k, v in EXTERNAL_BANDS.items()])
     reach = F.col("reach").cast("long")
-    each = buffers.withColumn("threshold", band).where("threshold is not null").withColumn("r", F.explode(F.sequence(F.greatest(F.col("row_no") - reach, F.lit(0)), F.col("row_no") + reach))).withColumn("c", F.explode(F.sequence(F.greatest(F.col("col_no") - reach, F.lit(0)), F.col("col_no") + reach)))
-    return each.select("ext_id", "threshold", F.col("r").alias("row_no"), F.col("c").alias("col_no")).distinct()
+    rows = buffers.withColumn("threshold", band).where("threshold is not null").select("ext_id", "threshold", F.explode(F.sequence(F.greatest(F.col("row_no") - reach, F.lit(0)), F.col("row_no") + reach)).alias("row_no"), (F.col("col_no") - reach).alias("c0"), (F.col("col_no") + reach).alias("c1"))
+    return bits.interval_bits(rows, ("ext_id", "threshold"))
+
+
+def middle_lon(tracks: DataFrame) -> DataFrame:
+    """(sid, middle): the longitude of each storm's middle point in time; of an even number
+    of points the later of the two."""
+    w = Window.partitionBy("sid")
+    placed = tracks.select("sid", "lon", F.row_number().over(w.orderBy("iso_time", "event_id")).alias("r"), F.count("*").over(w).alias("n"))
+    return placed.where("r = n div 2 + 1").select("sid", F.col("lon").alias("middle"))
+
+
+def continuous(tracks: DataFrame) -> DataFrame:
+    """Track points with longitudes within half a turn of their storm's middle one, so that
+    a storm across the date line has no jump."""
+    return tracks.join(middle_lon(tracks), "sid").withColumn("lon", lon_unwrap(F.col("lon"), F.col("middle"))).drop("middle")
 
 
 def matched_external(tracks: DataFrame, external: DataFrame, normalise, days: int = 3) -> DataFrame:  # noqa: ANN001

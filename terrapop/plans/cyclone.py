@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
-from terrapop.operators import grid, tracks
+from terrapop.operators import bits, grid, tracks
 from terrapop.sources import files
 from terrapop.sources.fixtures import Fixtures
 
@@ -148,13 +148,13 @@ def band_methods(fx: Fixtures) -> DataFrame:
 
 
 def footprints(fx: Fixtures) -> DataFrame:
-    """(sid, threshold, row_no, col_no): swaths of adequate bands, else external buffers of
-    expected ones."""
+    """(sid, threshold, row_no, word, bits): swaths of adequate bands, else external buffers
+    of expected ones, as sets of columns."""
     methods = files.stored(band_methods(fx))
     steps = tracks.interpolated(tracks.next_observation(fx.track_points)).join(methods.where("method = 'wind_radii'").select("sid", "threshold"), ["sid", "threshold"], "left_semi")
-    own = tracks.swath_cells(steps, 30.0, 20.0, 0.1, 50)
-    other = methods.where("method = 'external'").select("sid", "threshold").join(matched_storms(fx), "sid").join(tracks.buffer_cells(fx.external_buffers), ["ext_id", "threshold"])
-    return own.unionByName(other.select("sid", "threshold", "row_no", "col_no"))
+    own = tracks.swath_bits(steps, 30.0, 20.0, 0.1, 50)
+    other = methods.where("method = 'external'").select("sid", "threshold").join(matched_storms(fx), "sid").join(tracks.buffer_bits(fx.external_buffers), ["ext_id", "threshold"])
+    return own.unionByName(other.select("sid", "threshold", "row_no", "word", "bits"))
 
 
 @query("fallback_footprint_join", f"SELECT sid, threshold, method FROM ({METHODS})")
@@ -177,14 +177,35 @@ def _(fx: Fixtures) -> DataFrame:
     return tracks.swath_cells(tracks.interpolated(tracks.next_observation(fx.track_points)), 30.0, 20.0, 0.1, 50)
 
 
+#: A turn of the globe is 3,600 columns: the storms moved 149 degrees east, across the date
+#: line, leave the same cells as before in a grid that is moved as far.
+MOVED = "CASE WHEN lon + 149 > 180 THEN lon + 149 - 360 ELSE lon + 149 END"
+
+
+@query("swath_across_dateline", SWATH)
+def _(fx: Fixtures) -> DataFrame:
+    """Swaths of storms between 179 E and 176 W on a grid from 179 E on."""
+    moved = fx.track_points.withColumn("lon", F.expr(MOVED))
+    return tracks.swath_cells(tracks.interpolated(tracks.next_observation(moved)), 179.0, 20.0, 0.1, 50)
+
+
+@query("storm_extent_unwrapped", "SELECT sid, round(min(lon) + 149, 6) - CASE WHEN max(m) + 149 > 180 THEN 360 ELSE 0 END AS west, round(max(lon) + 149, 6) - CASE WHEN max(m) + 149 > 180 THEN 360 ELSE 0 END AS east, round(max(lon) - min(lon), 6) AS degrees FROM (SELECT *, nth_value(lon, n // 2 + 1) OVER (PARTITION BY sid ORDER BY iso_time, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS m FROM (SELECT *, count(*) OVER (PARTITION BY sid) AS n FROM track_points)) GROUP BY sid")
+def _(fx: Fixtures) -> DataFrame:
+    """West and east ends of each storm across the date line, from longitudes within half a
+    turn of its middle point."""
+    c = tracks.continuous(fx.track_points.withColumn("lon", F.expr(MOVED)))
+    return c.groupBy("sid").agg(F.round(F.min("lon"), 6).alias("west"), F.round(F.max("lon"), 6).alias("east"), F.round(F.max("lon") - F.min("lon"), 6).alias("degrees"))
+
+
 TOUCHED = f"SELECT admin_id, row_no, col_no FROM ({FILL}) UNION SELECT admin_id, row_no, col_no FROM ({CROSSED})"
 COUNTS = f"SELECT admin_id, count(DISTINCT sid) AS storms FROM ({FOOTPRINTS}) f JOIN ({TOUCHED}) t USING (row_no, col_no) WHERE threshold = 63 GROUP BY admin_id"
 
 
 def storm_counts(fx: Fixtures, found: DataFrame) -> DataFrame:
     """Storms whose primary footprint meets a unit: (sid, unit) pairs first, once each."""
-    cells = found.where("threshold = 63").select("sid", "row_no", "col_no")
-    return cells.join(grid.touched(fx.admin_points), ["row_no", "col_no"]).select("sid", "admin_id").distinct().groupBy("admin_id").agg(F.count("*").alias("storms"))
+    own = found.where("threshold = 63").select("sid", "row_no", "word", "bits")
+    units = bits.cell_bits(grid.touched(fx.admin_points), ("admin_id",))
+    return bits.meeting(own, units, ("sid", "admin_id")).groupBy("admin_id").agg(F.count("*").alias("storms"))
 
 
 @query("footprint_admin_intersects", COUNTS)
@@ -201,8 +222,11 @@ CELL_BANDS = f"SELECT row_no, col_no, max(threshold) AS severity, bool_or(thresh
 
 
 def cell_bands(found: DataFrame) -> DataFrame:
-    """Each cell once: its bands and the highest of them."""
-    return found.groupBy("row_no", "col_no").agg(F.max("threshold").alias("severity"), *[F.bool_or(F.col("threshold") == t).alias(f"b{t}") for t in S.KMH_TO_KNOTS])
+    """Each cell once: its bands and the highest of them. Sets are joined by words first."""
+    names = tuple(f"b{t}" for t in S.KMH_TO_KNOTS)
+    words = found.groupBy("row_no", "word").agg(*[F.bit_or(F.when(F.col("threshold") == t, F.col("bits"))).alias(f"b{t}") for t in S.KMH_TO_KNOTS])
+    severity = F.greatest(*[F.when(F.col(f"b{t}"), t) for t in S.KMH_TO_KNOTS])
+    return bits.cells_of(words, names).select("row_no", "col_no", severity.alias("severity"), *names)
 
 
 def _hit(flag: str) -> str:
