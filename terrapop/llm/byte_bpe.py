@@ -60,7 +60,7 @@ class ByteCoder:
         self.rank = rank
         self.token = {i: b for b, i in rank.items()}
         self.find = regex.compile(config.pattern)
-        self.newer, self.find_newer = _newer_letters(config.pattern)
+        self.first_newer, self.newer, self.find_newer = _newer_letters(config.pattern)
         self.pairs: dict[tuple[int, int], bool] = {}
         self.known: dict[str, bytes] = {}
         self.held = 0
@@ -152,8 +152,14 @@ class ByteCoder:
                 at -= size[token]
         return ids
 
+    def _has_newer(self, text: str) -> bool:
+        """Most texts are told by their highest code point; the rest are searched."""
+        if self.newer is None or not text or text.isascii():
+            return False
+        return np.frombuffer(text.encode("utf-32-le"), np.uint32).max() >= self.first_newer and self.newer.search(text) is not None
+
     def _parts(self, text: str) -> Iterator[list[str]]:
-        find = self.find_newer if self.newer and self.newer.search(text) else self.find
+        find = self.find_newer if self._has_newer(text) else self.find
         if len(text) <= LONG:
             yield find.findall(text)
             return
@@ -188,7 +194,7 @@ def _ranges(points: list[int]) -> str:
 
 def _newer_letters(pattern: str):  # noqa: ANN202
     """What finds letters and numbers that the Unicode tables here have and the tokenizer's
-    library doesn't yet, and the pattern without them; (None, None) if there are none. A
+    library doesn't yet, and the pattern without them; None if there are none; the first is the least of them. A
     vocabulary of bytes and pairs (last byte of a character, letter or digit) shows
     whether that library keeps the two in a piece."""
     import unicodedata
@@ -201,10 +207,10 @@ def _newer_letters(pattern: str):  # noqa: ANN202
     young = "".join(chr(c) for c in range(0x80, 0x40000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) == "Cn")
     new = [[c for c in regex.findall(kind, young) if len(probe.encode_ordinary(c + mate)) > len(c.encode())] for kind, mate in ((r"\p{L}", "a"), (r"\p{N}", "1"))]
     if not any(new):
-        return None, None
+        return 0, None, None
     letters, numbers = (_ranges([*map(ord, some)]) or "\\U0010FFFF" for some in new)
     cut = pattern.replace(r"\p{L}", rf"[\p{{L}}--[{letters}]]").replace(r"\p{N}", rf"[\p{{N}}--[{numbers}]]")
-    return re.compile("[" + letters + numbers + "]"), regex.compile("(?V1)" + cut)
+    return min(map(ord, new[0] + new[1])), re.compile("[" + letters + numbers + "]"), regex.compile("(?V1)" + cut)
 
 
 _CODERS: dict[CoderConfig, ByteCoder] = {}
