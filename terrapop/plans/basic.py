@@ -48,30 +48,49 @@ def _(fx: Fixtures) -> DataFrame:
 @query("scan_catalog_features", "SELECT event_id, title, magnitude, types, detail, CAST(event_id % 7 AS DOUBLE) AS depth FROM quake_catalog")
 def _(fx: Fixtures) -> DataFrame:
     path = files.write_catalog_json(fx.quake_catalog.withColumn("depth", (F.col("event_id") % 7).cast("double")))
-    return files.read_catalog_json(fx.spark, path)
+    return files.read_catalog_json(fx.spark, path).withColumn("event_id", F.col("event_id").cast("long"))
+
+
+def grid_files(fx: Fixtures) -> str:
+    """Grid documents of one row of cells. Weak events declare a second row that isn't there;
+    those of no shaking at all have a field of another name."""
+    size = fx.shake_cells.groupBy("event_id").agg(F.count("*").cast("int").alias("nlon"), F.when(F.max("mmi") >= 4, 1).otherwise(2).alias("nlat"), F.when(F.max("mmi") >= 1, "mmi").otherwise("PGA").alias("shaking"))
+    return files.write_grid_xml(fx.shake_cells.join(size, "event_id").withColumnRenamed("hcell_id", "cell"))
 
 
 @query("shake_grid_cells", "SELECT event_id, hcell_id, round(mmi, 6) AS mmi, round(30 + i * 0.5e0, 6) AS lon, 20e0 AS lat FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY hcell_id) - 1 AS i, max(mmi) OVER (PARTITION BY event_id) AS most FROM shake_cells) WHERE most >= 4")
 def _(fx: Fixtures) -> DataFrame:
-    """Grid documents of one row of cells; weak events declare a second row that isn't there,
-    and are left out by the size check."""
-    size = fx.shake_cells.groupBy("event_id").agg(F.count("*").cast("int").alias("nlon"), F.when(F.max("mmi") >= 4, 1).otherwise(2).alias("nlat"))
-    path = files.write_grid_xml(fx.shake_cells.join(size, "event_id").withColumnRenamed("hcell_id", "cell"))
-    return files.read_grid_xml(fx.spark, path).select("event_id", F.col("cell").alias("hcell_id"), F.round("mmi", 6).alias("mmi"), F.round("lon", 6).alias("lon"), "lat")
+    """Cells of the documents of the right size."""
+    cells = files.read_grid_xml(fx.spark, grid_files(fx), ("CELL", "MMI"))
+    return cells.select(F.col("event_id").cast("long").alias("event_id"), F.col("cell").cast("long").alias("hcell_id"), F.round("mmi", 6).alias("mmi"), F.round("lon", 6).alias("lon"), "lat")
+
+
+@query("shake_grid_rejects", "SELECT event_id, CASE WHEN most < 1 THEN 'no_mmi_field' ELSE 'wrong_size' END AS reason FROM (SELECT event_id, max(mmi) AS most FROM shake_cells GROUP BY event_id) WHERE most < 4")
+def _(fx: Fixtures) -> DataFrame:
+    """Documents that can't be used, and why."""
+    return files.grid_documents(fx.spark, grid_files(fx)).where("reason is not null").select(F.col("event_id").cast("long").alias("event_id"), "reason")
 
 
-@query("scan_stac_items", "SELECT item_id, item_ts, west, south, east, north, href FROM stac_items WHERE href IS NOT NULL")
+@query("scan_stac_items", "SELECT item_id, CAST(date_trunc('second', item_ts) AS TIMESTAMP) AS item_ts, west, south, east, north, href FROM stac_items WHERE href IS NOT NULL")
 def _(fx: Fixtures) -> DataFrame:
-    item = fx.stac_items.select("item_id", "item_ts", F.array("west", "south", "east", "north").alias("bbox"), F.when(F.col("href").isNotNull(), F.create_map(F.lit("water"), F.struct("href"))).alias("assets"))
-    good = item.where(F.coalesce(F.map_contains_key("assets", "water"), F.lit(False)) & F.col("bbox").isNotNull())
-    return good.select("item_id", "item_ts", *[F.col("bbox")[i].alias(c) for i, c in enumerate(("west", "south", "east", "north"))], F.col("assets")["water"]["href"].alias("href"))
+    """Item documents read again; items without the asset go."""
+    path = files.write_items_json(fx.stac_items, "water")
+    return files.item_documents(fx.spark, path, "water").where("reason is null").drop("reason").withColumn("item_id", F.col("item_id").cast("long"))
+
+
+LOOKUP = "SELECT upper(substr(c_mktsegment, 1, 3)) AS iso3, CAST(arg_max(c_nationkey, c_custkey) AS VARCHAR) AS m49, arg_max(n_name, c_custkey) AS country FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1"
+
+
+def iso_lookup(fx: Fixtures) -> DataFrame:
+    """Codes, numbers and names in the file form of the lookup, read again."""
+    rows = fx.table("customer").join(F.broadcast(fx.table("nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(F.lower(F.substring("c_mktsegment", 1, 3)), F.lit(" ")).alias("iso3"), F.col("n_nationkey").cast("string").alias("m49"), F.col("n_name").alias("country"))
+    return files.read_iso_lookup(fx.spark, files.write_iso_lookup(rows, "c_custkey"))
 
 
-@query("scan_iso_lookup", "SELECT iso3, CAST(max(m49) AS BIGINT) AS m49 FROM (SELECT upper(substr(c_mktsegment, 1, 3)) AS iso3, c_custkey AS m49 FROM customer) GROUP BY iso3")
+@query("scan_iso_lookup", LOOKUP)
 def _(fx: Fixtures) -> DataFrame:
-    """The last row of a code wins."""
-    rows = fx.table("customer").select(F.upper(F.trim(F.substring("c_mktsegment", 1, 3))).alias("iso3"), F.col("c_custkey").alias("m49"))
-    return rows.groupBy("iso3").agg(F.max_by("m49", "m49").alias("m49"))
+    """The last row of a code in the files' order wins."""
+    return iso_lookup(fx)
 
 
 @query("scan_population_cells", "SELECT cell_id, row_no, col_no, lon, lat, CASE WHEN pop_raw <> -9999 AND pop_raw >= 0 THEN pop_raw END AS pop FROM population_cells")
@@ -96,17 +115,38 @@ def _(fx: Fixtures) -> DataFrame:
     return masks.groupBy("hcell_id").pivot("t", [5, 6, 7]).agg(F.max("m")).toDF("hcell_id", "m5", "m6", "m7")
 
 
-@query("split_bulk_by_country", "SELECT r_name AS iso3, e.event_id, e.event_date FROM events x JOIN conflict_events e ON e.event_id = x.event_id JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE e.event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-28' AND r_regionkey <> 4")
-def _(fx: Fixtures) -> DataFrame:
-    """One pass over the bulk file makes a folder for each country of the task list, events of
-    its window only; codes are compared as numbers, else as text."""
+SPLIT = "SELECT r_name AS iso3, e.event_id, e.event_date FROM events x JOIN conflict_events e ON e.event_id = x.event_id JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE e.event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-28' AND r_regionkey <> 4"
+
+
+def bulk_events(fx: Fixtures) -> DataFrame:
+    """Events of the bulk file by country of the task list, those of its window only; codes
+    are compared as numbers, else as text."""
     code = fx.table("customer").join(F.broadcast(fx.table("nation")), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("user_id"), F.lpad(F.col("n_regionkey").cast("string"), 3, "0").alias("code"))
     bulk = fx.conflict_events.join(fx.table("events").select("event_id", "user_id"), "event_id").join(code, "user_id")
     tasks = fx.table("region").where("r_regionkey <> 4").select(F.col("r_name").alias("iso3"), F.col("r_regionkey").cast("string").alias("task_code"), F.lit("2024-01-28").cast("date").alias("as_of"), F.lit(19).alias("days"))
     same = F.coalesce(F.expr("try_cast(code AS int) = try_cast(task_code AS int)"), F.col("code") == F.col("task_code"))
     window = F.col("event_date").between(F.date_sub("as_of", F.col("days") - 1), F.col("as_of"))
-    cut = bulk.join(F.broadcast(tasks), same & window).select("iso3", "event_id", "event_date")
-    return fx.spark.read.parquet(files.write_parquet(cut, "by_country", "iso3")).select("iso3", "event_id", "event_date")
+    return bulk.join(F.broadcast(tasks), same & window).select("iso3", "event_id", "event_date")
+
+
+@query("split_bulk_by_country", SPLIT)
+def _(fx: Fixtures) -> DataFrame:
+    """One pass over the bulk file makes a folder for each country of the task list."""
+    base = files.new_path(fx.spark, "by_country")
+    files.write_changed(bulk_events(fx), "iso3", base)
+    return fx.spark.read.parquet(f"{base}/data").select("iso3", "event_id", "event_date")
+
+
+@query("split_bulk_again", f"SELECT iso3, count(*) AS events, CASE iso3 WHEN 'ASIA' THEN 2 ELSE 1 END AS writes FROM ({SPLIT}) WHERE iso3 <> 'ASIA' OR event_date <> DATE '2024-01-12' GROUP BY iso3")
+def _(fx: Fixtures) -> DataFrame:
+    """Three runs over one folder: the second finds nothing to write, the third, in which a
+    country has lost a day, only that country. How often each folder was written, and the
+    events that it holds."""
+    base, events = files.new_path(fx.spark, "by_country"), bulk_events(fx)
+    for df in (events, events, events.where("iso3 <> 'ASIA' or event_date <> date'2024-01-12'")):
+        files.write_changed(df, "iso3", base)
+    held = fx.spark.read.parquet(f"{base}/data").groupBy("iso3").agg(F.count("*").alias("events"))
+    return held.join(files.ledger(fx.spark, base).select(F.col("key").alias("iso3"), F.col("writes").cast("int").alias("writes")), "iso3")
 
 
 RUN_ROWS = "SELECT r_name AS iso3, CASE r_regionkey WHEN 4 THEN 0 ELSE 12 END AS months, DATE '2001-08-01' AS period_end FROM region"
@@ -427,10 +467,12 @@ def _(fx: Fixtures) -> DataFrame:
     return a.join(b, ["hcell_id", "day"], "full").select("hcell_id", "day", F.coalesce("value", "second").alias("value"))
 
 
-@query("lookup_country_name", "SELECT file_order, CASE WHEN file_order % 3 = 0 THEN 'explicit' ELSE r_name END AS country FROM manifest LEFT JOIN region ON r_regionkey = file_order % 7")
+@query("lookup_country_name", f"SELECT file_order, CASE WHEN c_acctbal < 0 THEN c_name ELSE country END AS country FROM manifest JOIN customer ON c_custkey = file_order LEFT JOIN ({LOOKUP}) l ON l.iso3 = upper(trim(iso3_text))")
 def _(fx: Fixtures) -> DataFrame:
-    m = fx.manifest.select("file_order", (F.col("file_order") % 7).cast("int").alias("r_regionkey"), F.when(F.col("file_order") % 3 == 0, "explicit").otherwise("").alias("given"))
-    return m.join(F.broadcast(fx.table("region")), "r_regionkey", "left").select("file_order", F.coalesce(F.nullif(F.col("given"), F.lit("")), F.col("r_name")).alias("country"))
+    """The name that a row gives, else the lookup's for its code, else none."""
+    given = fx.table("customer").select(F.col("c_custkey").alias("file_order"), F.when(F.col("c_acctbal") < 0, F.col("c_name")).otherwise("").alias("given"))
+    m = fx.manifest.select("file_order", F.upper(F.trim("iso3_text")).alias("iso3")).join(given, "file_order")
+    return m.join(F.broadcast(iso_lookup(fx)), "iso3", "left").select("file_order", F.coalesce(F.nullif(F.col("given"), F.lit("")), F.col("country")).alias("country"))
 
 
 # Aggregates

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,54 +81,128 @@ def read_tracks_csv(spark: SparkSession, path: str, start: str | None = None, en
     return df if end is None else df.where(F.col("iso_time") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
 
 
-# Catalogues and grids
+# Catalogues, items and lookups
 
-FEATURES = "features array<struct<id:bigint,properties:struct<title:string,mag:double,types:string,detail:string>,geometry:struct<coordinates:array<double>>>>"
+FEATURES = "features array<struct<id:string,properties:struct<title:string,mag:double,types:string,detail:string>,geometry:struct<coordinates:array<double>>>>, _corrupt_record string"
 
 
 def write_catalog_json(events: DataFrame, per_document: int = 500) -> str:
-    """Events (event_id, title, magnitude, types, detail, depth) as documents of a bounded
-    number of features, one a line."""
-    feature = F.struct(F.col("event_id").alias("id"), F.struct("title", F.col("magnitude").alias("mag"), "types", "detail").alias("properties"), F.struct(F.array(F.lit(0.0), F.lit(0.0), F.col("depth")).alias("coordinates")).alias("geometry"))
-    docs = events.groupBy(F.floor(F.col("event_id") / per_document).alias("document")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
+    """Events (event_id, title, magnitude, types, detail, depth) as feature collections of a
+    bounded number of features, a file each, laid out over many lines."""
+    feature = F.struct(F.col("event_id").cast("string").alias("id"), F.struct("title", F.col("magnitude").alias("mag"), "types", "detail").alias("properties"), F.struct(F.array(F.lit(0.0), F.lit(0.0), F.col("depth")).alias("coordinates")).alias("geometry"))
+    docs = events.groupBy(F.floor(F.col("event_id") / per_document).alias("document")).agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features")), {"pretty": "true"}).alias("value"))
     path = new_path(events.sparkSession, "catalog")
-    docs.select("value").write.text(path)
+    docs.write.partitionBy("document").text(path)
     return path
 
 
+def catalog_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Feature collections, a file each: file, features and, for a file that is no such
+    document, ``reason``."""
+    raw = spark.read.schema(FEATURES).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+    reason = F.when(F.col("_corrupt_record").isNotNull(), "unreadable").when(F.col("features").isNull(), "no_features")
+    return raw.select(F.col("_metadata.file_path").alias("file"), "features", reason.alias("reason"))
+
+
 def read_catalog_json(spark: SparkSession, path: str) -> DataFrame:
-    """Event rows of feature documents; what a feature lacks is null, ``types`` empty."""
-    f = spark.read.schema(FEATURES).json(path).select(F.explode("features").alias("f"))
+    """Event rows of feature collections; what a feature lacks is null, ``types`` empty."""
+    f = catalog_documents(spark, path).where("reason is null").select(F.explode("features").alias("f"))
     return f.select(F.col("f.id").alias("event_id"), F.col("f.properties.title").alias("title"), F.col("f.properties.mag").alias("magnitude"), F.coalesce("f.properties.types", F.lit("")).alias("types"), F.col("f.properties.detail").alias("detail"), F.try_element_at("f.geometry.coordinates", F.lit(3)).alias("depth"))
 
 
-def write_grid_xml(cells: DataFrame) -> str:
-    """Grid documents, one for each event and line, of rows (event_id, nlon, nlat, cell, mmi);
-    a document's values are bounded by its grid."""
+ITEM = "id string, bbox array<double>, properties struct<datetime:string>, assets map<string, struct<href:string>>, _corrupt_record string"
+
+
+def write_items_json(items: DataFrame, asset: str) -> str:
+    """Items (item_id, item_ts, west, south, east, north, href) as documents, one a line; an
+    item without ``href`` has no such asset."""
+    body = F.struct(F.lit("Feature").alias("type"), F.col("item_id").cast("string").alias("id"), F.array("west", "south", "east", "north").alias("bbox"), F.struct(F.date_format("item_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datetime")).alias("properties"), F.when(F.col("href").isNotNull(), F.create_map(F.lit(asset), F.struct("href"))).otherwise(F.create_map(F.lit("thumbnail"), F.struct(F.lit("small").alias("href")))).alias("assets"))
+    path = new_path(items.sparkSession, "items")
+    items.select(F.to_json(body).alias("value")).write.text(path)
+    return path
+
+
+def item_documents(spark: SparkSession, path: str, asset: str, multi_line: bool = False) -> DataFrame:
+    """Items with ``reason``: unreadable, no_asset, no_bbox or null. ``multi_line``: a file is
+    one item laid out over lines, else a line is."""
+    raw = spark.read.schema(ITEM).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
+    has = F.coalesce(F.map_contains_key("assets", asset), F.lit(False))
+    reason = F.when(F.col("_corrupt_record").isNotNull() | F.col("id").isNull(), "unreadable").when(~has, "no_asset").when(F.col("bbox").isNull() | (F.size("bbox") < 4), "no_bbox")
+    box = [F.get("bbox", F.when(F.size("bbox") >= 6, tall).otherwise(flat)).alias(c) for c, flat, tall in (("west", 0, 0), ("south", 1, 1), ("east", 2, 3), ("north", 3, 4))]  # a box with heights has six numbers
+    return raw.select(F.col("id").alias("item_id"), F.try_to_timestamp("properties.datetime").cast("timestamp_ntz").alias("item_ts"), *box, F.try_element_at("assets", F.lit(asset))["href"].alias("href"), reason.alias("reason"))
+
+
+#: Columns of the country lookup.
+LOOKUP = {"iso3": "ISO-alpha3 Code", "m49": "M49 Code", "country": "Country or Area"}
+BOM = "\ufeff"
+
+
+def write_iso_lookup(rows: DataFrame, order: str) -> str:
+    """(iso3, m49, country) as files in the form of the lookup: semicolons, a byte order mark,
+    rows in the given order from file to file."""
+    named = rows.select(order, *[F.col(c).alias(BOM + n if k == 0 else n) for k, (c, n) in enumerate(LOOKUP.items())])
+    path = new_path(rows.sparkSession, "lookup")
+    named.repartitionByRange(order).sortWithinPartitions(order).drop(order).write.option("sep", ";").option("header", True).csv(path)
+    return path
+
+
+def read_iso_lookup(spark: SparkSession, path: str) -> DataFrame:
+    """(iso3, m49, country): upper-case codes, trimmed; rows without code or number go; of
+    several rows of a code the last in the order of the files counts. Files of other columns
+    give no rows."""
+    raw = spark.read.option("header", True).option("sep", ";").csv(path)
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    raw = raw.withColumn("_place", place)
+    raw = raw.toDF(*[c.strip().lstrip(BOM) for c in raw.columns])
+    if not set(LOOKUP.values()) <= set(raw.columns):
+        return spark.createDataFrame([], "iso3 string, m49 string, country string")
+    rows = raw.select(F.upper(F.trim(F.col(f"`{LOOKUP['iso3']}`"))).alias("iso3"), F.trim(F.col(f"`{LOOKUP['m49']}`")).alias("m49"), F.col(f"`{LOOKUP['country']}`").alias("country"), "_place").na.drop(subset=["iso3", "m49"])
+    return rows.groupBy("iso3").agg(F.max_by(F.struct("m49", "country"), "_place").alias("r")).select("iso3", "r.*")
+
+
+# Grids
+
+
+def write_grid_xml(cells: DataFrame, per_file: int = 500) -> str:
+    """Grid documents over many lines, one for each event, of rows (event_id, nlon, nlat, cell,
+    mmi, shaking); a document's values are bounded by its grid. ``shaking`` names the field.
+    A file holds a bounded number of documents in one element."""
     row = F.struct("cell", F.concat_ws(" ", F.col("cell").cast("string"), F.col("mmi").cast("string")).alias("text"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["text"]), " ")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["text"]), "\n")
     spec = F.format_string('<grid_specification lon_min="30.0" lat_max="20.0" nominal_lon_spacing="0.5" nominal_lat_spacing="0.3" nlon="%d" nlat="%d"/>', F.max("nlon"), F.max("nlat"))
-    docs = cells.groupBy("event_id").agg(F.concat(F.format_string('<shakemap_grid event_id="%d">', F.col("event_id")), spec, F.lit('<grid_field index="1" name="CELL"/><grid_field index="2" name="MMI"/><grid_data>'), body, F.lit("</grid_data></shakemap_grid>")).alias("value"))
+    fields = F.format_string('\n<grid_field index="1" name="CELL" units="1"/>\n<grid_field index="2" name="%s" units="intensity"/>\n<grid_data>\n', F.max("shaking"))
+    head = F.format_string('<shakemap_grid xmlns="http://host.invalid/shakemap" event_id="%d" shakemap_version="1">\n', F.col("event_id"))
+    docs = cells.groupBy("event_id").agg(F.concat(head, spec, fields, body, F.lit("\n</grid_data>\n</shakemap_grid>")).alias("value"))
+    bundles = docs.groupBy(F.floor(F.col("event_id") / per_file).alias("bundle")).agg(F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<grids>\n'), F.array_join(F.collect_list("value"), "\n"), F.lit("\n</grids>")).alias("value"))
     path = new_path(cells.sparkSession, "grids")
-    docs.select("value").write.text(path)
+    bundles.write.partitionBy("bundle").text(path)
     return path
 
 
-GRID = "_event_id bigint, grid_specification struct<_lon_min:double,_lat_max:double,_nominal_lon_spacing:double,_nominal_lat_spacing:double,_nlon:int,_nlat:int>, grid_field array<struct<_index:int,_name:string>>, grid_data string"
+GRID = "_event_id string, grid_specification struct<_lon_min:double,_lat_max:double,_nominal_lon_spacing:double,_nominal_lat_spacing:double,_nlon:int,_nlat:int>, grid_field array<struct<_index:int,_name:string>>, grid_data string, _corrupt_record string"
 
 
-def read_grid_xml(spark: SparkSession, path: str) -> DataFrame:
-    """(event_id, cell, mmi, lon, lat) of grid documents: fields by name, values as rows of
-    nlon x nlat (documents with another number of rows are left out), places from the
-    corner and spacing."""
-    x = spark.read.text(path).select(F.from_xml("value", GRID).alias("x")).select("x.*")
-    at = lambda name: F.element_at(F.filter("grid_field", lambda g: g["_name"] == name), 1)["_index"] - 1
+def grid_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Grid documents, of many lines and any number a file: event_id, corner and spacing,
+    names (upper case, in order), values as text, and ``reason`` for one that can't be used:
+    unreadable, no_specification, no_data, no_mmi_field or wrong_size."""
+    x = spark.read.format("xml").option("rowTag", "shakemap_grid").option("mode", "PERMISSIVE").schema(GRID).load(path)
     g = F.col("grid_specification")
-    doc = x.select(F.col("_event_id").alias("event_id"), g["_lon_min"].alias("west"), g["_lat_max"].alias("north"), g["_nominal_lon_spacing"].alias("dx"), g["_nominal_lat_spacing"].alias("dy"), g["_nlon"].alias("nlon"), g["_nlat"].alias("nlat"), F.size("grid_field").alias("n"), at("CELL").alias("ci"), at("MMI").alias("mi"), F.split(F.trim("grid_data"), r"\s+").alias("v"))
-    whole = doc.where(F.size("v") == F.col("nlon") * F.col("nlat") * F.col("n"))
-    rows = whole.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nlon") * F.col("nlat") - 1)))
-    value = lambda field: F.get("v", F.col("i") * F.col("n") + F.col(field))
-    return rows.select("event_id", value("ci").cast("long").alias("cell"), value("mi").cast("double").alias("mmi"), (F.col("west") + (F.col("i") % F.col("nlon")) * F.col("dx")).alias("lon"), (F.col("north") - F.floor(F.col("i") / F.col("nlon")) * F.col("dy")).alias("lat"))
+    doc = x.select(F.col("_event_id").alias("event_id"), g["_lon_min"].alias("west"), g["_lat_max"].alias("north"), g["_nominal_lon_spacing"].alias("dx"), g["_nominal_lat_spacing"].alias("dy"), g["_nlon"].alias("nlon"), g["_nlat"].alias("nlat"), F.transform("grid_field", lambda f: F.upper(f["_name"])).alias("names"), F.split(F.trim(F.translate("grid_data", "\n\r\t", "   ")), " +").alias("v"), "_corrupt_record", F.coalesce(F.trim(F.translate("grid_data", "\n\r\t", "   ")), F.lit("")).alias("data"))
+    whole = F.col("west").isNotNull() & F.col("north").isNotNull() & F.col("dx").isNotNull() & F.col("dy").isNotNull() & F.col("nlon").isNotNull() & F.col("nlat").isNotNull()
+    reason = F.when(F.col("_corrupt_record").isNotNull(), "unreadable").when(~whole, "no_specification").when(F.col("data") == "", "no_data").when(~F.coalesce(F.array_contains("names", "MMI"), F.lit(False)), "no_mmi_field").when(F.size("v") != F.col("nlon") * F.col("nlat") * F.size("names"), "wrong_size")
+    return doc.withColumn("reason", reason).drop("_corrupt_record", "data")
+
+
+def read_grid_xml(spark: SparkSession, path: str, fields: tuple[str, ...] = ("MMI",)) -> DataFrame:
+    """event_id, i (place in the document), lon, lat and a column for each of ``fields``, by
+    name in lower case; null where a document doesn't have it. Values are rows of nlon x
+    nlat from the north-west corner on. Documents with a ``reason`` are left out."""
+    doc = grid_documents(spark, path).where("reason is null").withColumn("n", F.size("names"))
+    at = {f: F.nullif(F.array_position("names", f), F.lit(0)) - 1 for f in fields}
+    rows = doc.withColumns({f"at_{f}": c.cast("int") for f, c in at.items()}).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nlon") * F.col("nlat") - 1)))
+    values = [F.expr(f"try_cast(get(v, i * n + at_{f}) AS double)").alias(f.lower()) for f in fields]
+    return rows.select("event_id", "i", (F.col("west") + (F.col("i") % F.col("nlon")) * F.col("dx")).alias("lon"), (F.col("north") - F.floor(F.col("i") / F.col("nlon")) * F.col("dy")).alias("lat"), *values)
 
 
 # Sinks
@@ -154,3 +229,39 @@ def write_parquet(df: DataFrame, kind: str, *by: str, path: str | None = None) -
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once and read back, where several parts of a plan use it."""
     return df.sparkSession.read.schema(df.schema).parquet(write_parquet(df, "stored"))
+
+
+# Folders by key that are written only when they change
+
+LEDGER = "key string, rows long, print decimal(38,0), run int"
+
+
+def ledger(spark: SparkSession, base: str) -> DataFrame:
+    """What each folder under ``base`` held when it was last written; no rows before the
+    first run."""
+    try:
+        log = spark.read.schema(LEDGER).parquet(f"{base}/ledger")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER + ", writes long")
+    return log.groupBy("key").agg(F.max_by(F.struct("rows", "print"), "run").alias("last"), F.max("run").alias("run"), F.count("*").alias("writes")).select("key", "last.*", "run", "writes")
+
+
+def write_changed(df: DataFrame, by: str, base: str) -> DataFrame:
+    """The folders ``base``/data by the column ``by``, brought up to date: a key whose rows are
+    as they were when its folder was written is left out, and only the others' folders are
+    overwritten (dynamic partition overwrite). Rows are compared by their number and the sum
+    of their hashes, in the ledger beside the data, which is written last: a run that failed
+    writes again what it left. Returns the keys written, with rows."""
+    spark = df.sparkSession
+    hashed = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+    now = df.groupBy(F.col(by).cast("string").alias("key")).agg(F.count("*").alias("rows"), F.sum(hashed).alias("print"))
+    held = ledger(spark, base)
+    run = (held.agg(F.max("run")).first()[0] or 0) + 1
+    todo = stored(now.join(held.select("key", "rows", "print"), ["key", "rows", "print"], "left_anti"))
+    if todo.limit(1).count():
+        changed = df.join(F.broadcast(todo.select(F.col("key").alias("_key"))), F.col(by).cast("string") == F.col("_key"), "left_semi")
+        changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(f"{base}/data")
+        todo.withColumn("run", F.lit(run)).write.mode("append").parquet(f"{base}/ledger")
+    return todo.select("key", "rows")
