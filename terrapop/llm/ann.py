@@ -122,10 +122,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, cfg: AnnConfig = AnnConfig()
     Repeated rows of a vec_id count once. Fewer candidates than ``k``: all of them.
     """
     pick = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")]
-    base, asked = usable(vectors.where("vec_id is not null").select(*pick)), usable(queries.where("vec_id is not null").select(*pick))
+    # repeated rows go first: a block is bounded whatever vec_id they repeat
+    base, asked = usable(vectors.where("vec_id is not null").select(*pick)).dropDuplicates(["vec_id", "embedding"]), usable(queries.where("vec_id is not null").select(*pick))
     groups = max(1, -(-base.count() // cfg.block_vectors))
     dim = F.size("embedding")
-    rows = base.select(F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("g"), dim.alias("dim"), F.lit(False).alias("asks"), "vec_id", "embedding")
+    rows = base.select(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(groups)).cast("int").alias("g"), dim.alias("dim"), F.lit(False).alias("asks"), "vec_id", "embedding")
     asks = asked.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), dim.alias("dim"), F.lit(True).alias("asks"), "vec_id", "embedding")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:

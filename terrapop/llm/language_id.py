@@ -118,7 +118,7 @@ def training_sample(docs: DataFrame, train: Column, cfg: LanguageConfig) -> pd.D
     def featurise(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            counts = [bytes(r) for _, m in ngram_counts(texts, cfg.dims) for r in np.minimum(m, 65535).astype(np.uint16)]
+            counts = [bytes(r) for _, m in ngram_counts(texts, cfg.dims) for r in m.astype(np.uint32)]
             lettered = [LETTER.search(t) is not None for t in texts]
             out = pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(counts, pa.binary())], ["lang", "counts"])
             yield out.filter(pa.array(lettered, pa.bool_()))
@@ -133,7 +133,7 @@ def fit_language_model(docs: DataFrame, train: Column, cfg: LanguageConfig = Lan
     if sample.empty:
         return None
     sample = sample.sort_values(["lang", "counts"], ignore_index=True)
-    weights = tf(np.frombuffer(b"".join(sample["counts"]), dtype=np.uint16).reshape(len(sample), cfg.dims))
+    weights = tf(np.frombuffer(b"".join(sample["counts"]), dtype=np.uint32).reshape(len(sample), cfg.dims))
     idf = (np.log((1 + len(weights)) / (1 + (weights > 0).sum(axis=0))) + 1).astype(np.float32)
     vectors = normalised(weights * idf)
     languages = tuple(sorted(sample["lang"].unique()))

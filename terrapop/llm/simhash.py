@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, given_names, plain, renamed, runs, schema_of, written
+from .common import column, fresh, given_names, plain, renamed, runs, schema_of, written
 from .graph import components
 
 SEED, BITS, SEGMENTS = 42, 64, 8
@@ -367,27 +367,57 @@ def similar_links(texts: DataFrame) -> DataFrame:
     return texts.select(*keys, "node", "text").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(decided, "a long, b long")
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
-    """doc_id and ``component_id``: the smallest doc_id that links of documents reach.
-    Wordless texts are equal."""
-    marked = written(marks(docs))
+def _rooted(named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(marks of all rows, nodes with the root of their component). Wordless texts are equal."""
+    marked = written(marks(named))
     nodes = marked.groupBy("node").agg(F.min("doc_id").alias("first"))
     clusters = written(components(candidates(marked))).withColumnRenamed("root", "cluster")
     members = in_blocks(nodes.join(clusters, "node").select("node", F.col("cluster").alias("root"), F.col("first").alias("doc_id")), BLOCK)
     # a doc_id may be repeated with another text, so a node is known by its own rows
-    texts = docs.select("doc_id", "text").join(members, "doc_id")
+    texts = named.select("doc_id", "text").join(members, "doc_id")
     roots = written(components(similar_links(texts)))
-    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return marked, nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """doc_id and ``component_id``: the smallest doc_id that links of documents reach.
+    Wordless texts are equal."""
+    marked, rooted = _rooted(docs)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return marked.select("doc_id", "node").join(rooted.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
 
 
+def with_node(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the name of each text's set of shingles in the column ``name``."""
+    keep = tuple(docs.columns)
+    chosen, kept = renamed(docs, keep, F.col("text").alias("whole_text")), plain(keep)
+
+    def named(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [name_of(np.unique(shingle_hashes(t, WIDTH))) for t in batch.column("whole_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(nodes, pa.int64())], [*kept, "node"])
+
+    return given_names(chosen.mapInArrow(named, schema_of(chosen, kept, "node long")).withColumnRenamed("node", name), keep)
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the smallest
-    doc_id. Columns and texts are as given; of repeated rows of that doc_id one stays.
-    Rows without doc_id pass; null, empty and wordless texts are one group; an empty
-    table gives no rows."""
+    doc_id, of several texts of that doc_id one. Columns and texts are as given.
+
+    Rows are told apart by doc_id and set of shingles, so that a doc_id that is repeated with
+    another text neither loses it nor keeps a copy with it; of rows that are alike in both
+    one stays. Rows without doc_id pass; null, empty and wordless texts are one group; an
+    empty table gives no rows.
+    """
     named = docs.where("doc_id is not null")
-    group = similar_components(named).where("doc_id = component_id").select("doc_id").distinct()
-    kept = named.join(group, "doc_id", "left_semi").select(*map(column, docs.columns))
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    marked, rooted = _rooted(named)
+    firsts = rooted.groupBy("root").agg(F.min(F.struct("first", "node")).alias("rep")).select(F.col("rep.first").alias("doc_id"), "rep.node")
+    repeated = marked.groupBy("doc_id").agg((F.count("*") > 1).alias("repeated"))
+    kept = written(firsts.join(repeated, "doc_id"))
+    passed = named.join(kept.where("not repeated").select("doc_id"), "doc_id", "left_semi").select(*map(column, docs.columns))
+    if kept.where("repeated").limit(1).count():
+        node = fresh(docs, "shingle_set")
+        several = kept.where("repeated").select("doc_id", F.col("node").alias(node))
+        told = with_node(named.join(several.select("doc_id").distinct(), "doc_id", "left_semi").select(*map(column, docs.columns)), node)
+        passed = passed.unionByName(told.join(several, ["doc_id", node], "left_semi").dropDuplicates(["doc_id", node]).select(*map(column, docs.columns)))
+    return passed.unionByName(docs.where("doc_id is null"))

@@ -623,3 +623,21 @@ def test_word_encoder_forgets_safely(limit):
     rng = random.Random(15)
     texts = [" ".join(rng.choice(["Ab", "cd,", "(ef)", "g'h", "IJ's", "k1", "é", "***", "lm-no"]) + str(rng.choice(["", "x", "."])) for _ in range(30)) for _ in range(300)]
     assert [a.tolist() for a in enc.encode(texts, group=16)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ann_repeated_rows_of_one_id(spark):
+    """70,000 rows of one vec_id are one candidate, and no block grows by them."""
+    rng = np.random.default_rng(4)
+    few = [(i, rng.standard_normal(4).tolist()) for i in range(1, 60)]
+    df = spark.createDataFrame(few, "vec_id long, embedding array<double>").unionByName(spark.range(70_000).select(F.lit(20).cast("long").alias("vec_id"), F.array(*map(F.lit, few[19][1])).alias("embedding")))
+    got = ann.op6_ann(df).collect()
+    assert len(got) == 2 * 20 and len({(r.query_id, r.vec_id) for r in got}) == 40
+
+
+def test_language_counts_are_not_clipped(spark):
+    """A text with an n-gram 100,000 times and another one 70,000 times are told apart."""
+    rows = [(k, text, lang) for k in range(80) for text, lang in (("aa " * (k % 3 + 1), "x"), ("bb " * (k % 3 + 1), "y"))]
+    rows += [(900, "aa " * 100_000 + "bb " * 70_000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language_id.op7_language_id(df).collect()}
+    assert got[900] == "x"

@@ -83,3 +83,26 @@ def test_large_clusters_are_cut_into_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], DOCS)
     got = {r.doc_id: r.component_id for r in simhash.similar_components(df).collect()}
     assert got == dict(enumerate(slow_roots(texts)))
+
+
+def test_repeated_ids_of_unlike_texts(spark):
+    """Rows of one doc_id with unlike texts: unique ones stay, copies of earlier ones go."""
+    rng = random.Random(31)
+    t, u, v = (" ".join(words(rng, 60)) for _ in range(3))
+    near = u.rsplit(" ", 1)[0] + " end"
+
+    def kept(rows):
+        df = spark.createDataFrame([(i, x, "en", "s", 1) for i, x in rows], DOCS)
+        return sorted((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, df, "").collect())
+
+    assert kept([(2, t), (5, t), (5, u)]) == sorted([(2, t), (5, u)])
+    assert kept([(5, u), (5, v)]) == sorted([(5, u), (5, v)])
+    assert kept([(5, u), (5, u), (5, v), (6, v), (6, t)]) == sorted([(5, u), (5, v), (6, t)])
+    assert len(kept([(5, u), (5, near)])) == 1 and len(kept([(5, None), (5, ""), (7, t)])) == 2
+    assert kept([(4, v), (5, u), (5, near), (3, near)]) == sorted([(3, near), (4, v)])
+
+
+def test_repeated_ids_keep_all_columns(spark):
+    df = spark.createDataFrame([(5, "a b c d e f", 1), (5, "g h i j k l", 2), (6, "g h i j k l", 3)], "doc_id long, text string, shingle_set int")
+    got = simhash.drop_near_duplicates(df)
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [(5, "a b c d e f", 1), (5, "g h i j k l", 2)]
