@@ -210,15 +210,21 @@ def continuous(tracks: DataFrame) -> DataFrame:
     return tracks.join(middle_lon(tracks), "sid").withColumn("lon", lon_unwrap(F.col("lon"), F.col("middle"))).drop("middle")
 
 
-def matched_external(tracks: DataFrame, external: DataFrame, normalise, days: int = 3) -> DataFrame:  # noqa: ANN001
+def matched_external(tracks: DataFrame, external: DataFrame, normalise, days: int = 3, bucket: int = 30) -> DataFrame:  # noqa: ANN001
     """(sid, ext_id): each storm's external event, of equal normalised name (the storm's is
     its first in time) and overlapping dates padded by ``days``; the nearest start wins, then
-    the smaller id. External events of one name and dates are reduced to one beforehand."""
+    the smaller id. External events of one name and dates are reduced to one beforehand.
+
+    Intervals meet by name and bucket of ``bucket`` days, so that storms of a frequent name
+    meet only what is near in time; a pair counts in the first bucket that both have.
+    """
     named = F.min_by(F.when(F.col("name").isNotNull(), F.col("name")), F.when(F.col("name").isNotNull(), F.struct("iso_time", "event_id")))
-    storms = tracks.groupBy("sid").agg(normalise(named).alias("nm"), F.to_date(F.min("iso_time")).alias("d0"), F.to_date(F.max("iso_time")).alias("d1"))
+    storms = tracks.groupBy("sid").agg(normalise(named).alias("nm"), F.date_sub(F.to_date(F.min("iso_time")), days).alias("d0"), F.date_add(F.to_date(F.max("iso_time")), days).alias("d1"))
     ext = external.select("ext_id", normalise(F.col("event_name")).alias("nm"), "from_date", "to_date").groupBy("nm", "from_date", "to_date").agg(F.min("ext_id").alias("ext_id"))
-    met = storms.join(ext, "nm").where((F.col("from_date") <= F.date_add("d1", days)) & (F.col("to_date") >= F.date_sub("d0", days)))
-    gap = F.abs(F.datediff("from_date", F.date_sub("d0", days)))
+    at = lambda c: F.floor(F.unix_date(c) / bucket)
+    buckets = lambda df, a, b: df.where(f"nm <> '' and {a} <= {b}").withColumn("bucket", F.explode(F.sequence(at(a), at(b))))
+    met = buckets(storms, "d0", "d1").join(buckets(ext, "from_date", "to_date"), ["nm", "bucket"]).where((F.col("from_date") <= F.col("d1")) & (F.col("to_date") >= F.col("d0")) & (F.col("bucket") == F.greatest(at("d0"), at("from_date"))))
+    gap = F.abs(F.datediff("from_date", "d0"))
     return storms.select("sid").join(met.groupBy("sid").agg(F.min_by("ext_id", F.struct(gap, F.col("ext_id"))).alias("ext_id")), "sid", "left")
 
 

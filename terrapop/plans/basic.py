@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
-from terrapop.operators import align, temporal, tracks, zonal
+from terrapop.operators import align, quantiles, temporal, tracks, zonal
 from terrapop.sources import files
 from terrapop.sources.fixtures import Fixtures
 
@@ -571,12 +571,10 @@ def _(fx: Fixtures) -> DataFrame:
 LABELLED_DAYS = "SELECT iso3, value FROM hazard_daily JOIN (SELECT DISTINCT CAST(floor(row_no / 2) * 10 + floor(col_no / 5) AS BIGINT) AS hcell_id, iso3 FROM population_cells JOIN admin_cells USING (cell_id)) USING (hcell_id)"
 
 
-def baseline(fx: Fixtures, approximate: int | None = None) -> DataFrame:
-    """Percentiles of all cell-days of each country; ``approximate`` gives the accuracy of a
-    bounded sketch in place of exact ones, for countries whose days don't fit a task."""
+def baseline(fx: Fixtures) -> DataFrame:
+    """Percentiles of all cell-days of each country, exact ones by rounds of counting."""
     cells = fx.population_cells.join(fx.admin_cells.select("cell_id", "iso3"), "cell_id").select(align.hazard_cell(F.col("row_no"), F.col("col_no"), 2, 5, 10).alias("hcell_id"), "iso3").distinct()
-    of = (lambda p: F.percentile("value", p)) if approximate is None else (lambda p: F.percentile_approx("value", p, approximate))
-    return fx.hazard_daily.join(cells, "hcell_id").groupBy("iso3").agg(*[F.round(of(p), 6).alias(n) for n, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))])
+    return quantiles.exact_percentiles(files.stored(fx.hazard_daily.join(cells, "hcell_id").select("iso3", "value")), "iso3", "value", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
 
 
 @query("baseline_percentiles", f"SELECT iso3, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM ({LABELLED_DAYS}) GROUP BY iso3")
@@ -584,9 +582,9 @@ def _(fx: Fixtures) -> DataFrame:
     return baseline(fx)
 
 
-@query("pct_distribution", f"SELECT round(min(p), 6) AS lo, round(quantile_cont(p, 0.25), 6) AS p25, round(quantile_cont(p, 0.5), 6) AS median, round(quantile_cont(p, 0.75), 6) AS p75, round(max(p), 6) AS hi FROM (SELECT CASE WHEN {dec('pop')} > 0 THEN round(100 * {dec('CASE WHEN flood_days > 20 THEN pop ELSE 0 END')} / {dec('pop')}, 6) END AS p FROM ({POP_FLOOD}) GROUP BY admin_id)")
+@query("pct_distribution", f"SELECT round(min(p), 6) AS lo, round(quantile_cont(p, 0.05), 6) AS p5, round(quantile_cont(p, 0.95), 6) AS p95, round(quantile_cont(p, 0.25), 6) AS p25, round(quantile_cont(p, 0.5), 6) AS median, round(quantile_cont(p, 0.75), 6) AS p75, round(max(p), 6) AS hi FROM (SELECT CASE WHEN {dec('pop')} > 0 THEN round(100 * {dec('CASE WHEN flood_days > 20 THEN pop ELSE 0 END')} / {dec('pop')}, 6) END AS p FROM ({POP_FLOOD}) GROUP BY admin_id)")
 def _(fx: Fixtures) -> DataFrame:
-    return flood_units(fx).agg(F.round(F.min("pct_affected"), 6).alias("lo"), *[F.round(F.percentile("pct_affected", p), 6).alias(n) for n, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))], F.round(F.max("pct_affected"), 6).alias("hi"))
+    return flood_units(fx).agg(F.round(F.min("pct_affected"), 6).alias("lo"), *[F.round(F.percentile("pct_affected", p), 6).alias(n) for n, p in (("p5", 0.05), ("p25", 0.25), ("median", 0.5), ("p75", 0.75), ("p95", 0.95))], F.round(F.max("pct_affected"), 6).alias("hi"))
 
 
 @query("finite_by_month", "SELECT month_start, count(*) FILTER (WHERE isfinite(x)) AS finite, count(*) FILTER (WHERE NOT isfinite(x)) AS missing, round(min(x) FILTER (WHERE isfinite(x)), 6) AS least, round(median(x) FILTER (WHERE isfinite(x)), 6) AS median, round(max(x) FILTER (WHERE isfinite(x)), 6) AS most FROM (SELECT month_start, CASE WHEN value > 1.2 THEN CAST('NaN' AS DOUBLE) ELSE value END AS x FROM hazard_monthly) GROUP BY month_start")

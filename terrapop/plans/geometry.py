@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
-from terrapop.operators import align, grid
+from terrapop.operators import align, grid, grids
 from terrapop.sources.fixtures import Fixtures
 
 from .basic import BUFFER, WINDOW_EVENTS, dec, window_events
@@ -153,3 +153,36 @@ def _(fx: Fixtures) -> DataFrame:
 def _(fx: Fixtures) -> DataFrame:
     m = fx.shake_cells.groupBy("hcell_id").agg(F.max("mmi").alias("mmi")).withColumn("t", F.explode(F.array(*map(F.lit, (5, 6, 7)))))
     return m.groupBy("hcell_id").agg(F.coalesce(F.max(F.when(F.col("mmi") >= F.col("t"), F.col("t"))), F.lit(0)).alias("severity"))
+
+
+# Layers on grids of their own
+
+
+@query("grid_align_affine", """SELECT cell_id, source_id, value FROM (SELECT p.cell_id, s.grid_id AS source_id, CASE WHEN s.crs = t.crs AND gx >= 0 AND gx < s.cols AND gy >= 0 AND gy < s.rows THEN gx END AS gx, gy
+  FROM (SELECT p.cell_id, s.grid_id AS source_id, floor(round((t.x0 + (col_no + 0.5e0) * t.dx - s.x0) / s.dx, 9)) AS gx, floor(round((s.y0 - (t.y0 - (row_no + 0.5e0) * t.dy)) / s.dy, 9)) AS gy FROM population_cells p, grid_table t, grid_table s WHERE t.grid_id = 0 AND s.grid_id > 0) p JOIN grid_table s ON s.grid_id = p.source_id JOIN grid_table t ON t.grid_id = 0)
+ LEFT JOIN layer_cells l ON l.grid_id = source_id AND l.row_no = gy AND l.col_no = gx""")
+def _(fx: Fixtures) -> DataFrame:
+    """Population cells with the value of each of four layers, whose grids have origins and
+    spacings of their own; one is in another reference system and gives nothing."""
+    sources = fx.grid_table.where("grid_id > 0").select(F.col("grid_id").alias("source_id"))
+    fine = fx.population_cells.select("cell_id", "row_no", "col_no", F.lit(0).alias("grid_id")).join(F.broadcast(sources), F.col("source_id") != F.col("grid_id"))
+    return grids.nearest(fine, fx.layer_cells, fx.grid_table, ("cell_id", "source_id"), "value").select("cell_id", "source_id", "value")
+
+
+@query("grid_average_affine", """WITH b AS (SELECT p.pop, t.grid_id AS target_id, t.cols, t.rows, (s.x0 + p.col_no * s.dx - t.x0) / t.dx AS c0, s.dx / t.dx AS w, (t.y0 - (s.y0 - p.row_no * s.dy)) / t.dy AS r0, s.dy / t.dy AS h FROM population_cells p, grid_table s, grid_table t WHERE s.grid_id = 0 AND t.grid_id > 0 AND s.crs = t.crs AND pop IS NOT NULL),
+ o AS (SELECT target_id, r AS row_no, c AS col_no, pop, CAST(greatest(0e0, least(c0 + w, c + 1) - greatest(c0, c)) * greatest(0e0, least(r0 + h, r + 1) - greatest(r0, r)) AS DECIMAL(20, 12)) AS a FROM b, (SELECT unnest(range(0, 90)) AS c), (SELECT unnest(range(0, 200)) AS r) WHERE c < cols AND r < rows AND c < c0 + w AND c + 1 > c0 AND r < r0 + h AND r + 1 > r0)
+ SELECT target_id, row_no, col_no, round(CAST(sum(CAST(pop * CAST(a AS DOUBLE) AS DECIMAL(28, 12))) AS DOUBLE) / CAST(sum(a) AS DOUBLE), 4) AS pop, round(CAST(sum(a) AS DOUBLE), 6) AS share FROM o WHERE a > 0 GROUP BY ALL""")
+def _(fx: Fixtures) -> DataFrame:
+    """Population averaged to other grids by the area in common: ratios of 2.5, of 7 by 3, and
+    of a half by one and a half."""
+    targets = fx.grid_table.where("grid_id > 0").select(F.lit(0).alias("grid_id"), F.col("grid_id").alias("target_id"))
+    cells = fx.population_cells.select(F.lit(0).alias("grid_id"), "row_no", "col_no", "pop")
+    return grids.average(cells, fx.grid_table, targets, "pop").withColumn("pop", F.round("pop", 4))
+
+
+@query("grid_match_affine", "SELECT a.grid_id, b.grid_id AS other_id, abs(a.x0 - b.x0) <= 1e-9 AND abs(a.y0 - b.y0) <= 1e-9 AS same_corner, abs(a.dx - b.dx) <= 1e-9 AND abs(a.dy - b.dy) <= 1e-9 AS same_spacing, a.cols = b.cols AND a.rows = b.rows AS same_shape, a.crs = b.crs AS same_crs, a.grid_id = b.grid_id AS aligned FROM grid_table a, grid_table b WHERE a.grid_id <= b.grid_id")
+def _(fx: Fixtures) -> DataFrame:
+    """Every two grids by origin, spacing, shape and reference system."""
+    ids = fx.grid_table.select("grid_id")
+    pairs = ids.join(F.broadcast(ids.withColumnRenamed("grid_id", "other_id")), F.col("grid_id") <= F.col("other_id"))
+    return grids.matched(fx.grid_table, pairs)

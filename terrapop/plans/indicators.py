@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
-from terrapop.operators import align, contract, grid, shaking, temporal, zonal
+from terrapop.operators import align, checks, contract, grid, shaking, temporal, zonal
 from terrapop.sources import files
 from terrapop.sources.fixtures import Fixtures
 
@@ -97,10 +97,9 @@ def quake_cells(fx: Fixtures) -> DataFrame:
 # All hazards over one population
 
 
-def label_bands(fx: Fixtures, hazards: tuple[str, ...]) -> DataFrame:
-    """admin_id, hazard, threshold, pop_total, pop_affected, pct_affected of the hazards that
-    labels of cells sum up: each hazard is reduced on its own grid to one number a cell, all
-    meet one aligned population, and one pass sums every band."""
+def hazard_cells(fx: Fixtures, hazards: tuple[str, ...]) -> tuple[DataFrame, dict[tuple[str, str], Column]]:
+    """Population cells with one number for each hazard, reduced on its own grid first, and
+    the condition of each band (hazard, threshold) on them."""
     cells = fx.population_cells
     bands: dict[tuple[str, str], Column] = {}
     if "drought" in hazards:
@@ -118,6 +117,13 @@ def label_bands(fx: Fixtures, hazards: tuple[str, ...]) -> DataFrame:
     if "earthquake" in hazards:
         cells = cells.join(quake_cells(fx), "cell_id", "left")
         bands |= {("earthquake", str(t)): F.col("mmi") >= t for t in QUAKE_AT}
+    return cells, bands
+
+
+def label_bands(fx: Fixtures, hazards: tuple[str, ...]) -> DataFrame:
+    """admin_id, hazard, threshold, pop_total, pop_affected, pct_affected of the hazards that
+    labels of cells sum up: all meet one aligned population, and one pass sums every band."""
+    cells, bands = hazard_cells(fx, hazards)
     return zonal.exposure_bands(cells, fx.admin_cells, fx.admin_units, bands)
 
 
@@ -417,3 +423,56 @@ def _(fx: Fixtures) -> DataFrame:
     both = definition(cells, "").join(definition(seen, "2"), "admin_id", "left")
     corner = (F.abs(F.col("w") - F.col("w2")) <= 1e-9) & (F.abs(F.col("n") - F.col("n2")) <= 1e-9)
     return both.select("admin_id", F.coalesce(corner, F.lit(False)).alias("same_corner"), F.coalesce((F.col("c") == F.col("c2")) & (F.col("r") == F.col("r2")), F.lit(False)).alias("same_shape"))
+
+
+# Every check from one table of rules
+
+#: Bands of the checked hazards from the loosest to the strictest.
+LOOSER = {"drought": tuple(str(t) for t in sorted(DROUGHT_AT, reverse=True)), "heat": tuple(str(t) for t in sorted(HEAT_AT)), "flood": (str(FLOOD_AT),)}
+CHECKED = f"SELECT concat_ws('_', iso3, hazard) AS run_id, * FROM ({DROUGHT} UNION ALL {HEAT} UNION ALL {bands_sql('flood', {str(FLOOD_AT): FLOOD_ANY})}) JOIN admin_units USING (admin_id)"
+COARSE = "SELECT cell_id, admin_id, c.iso3, CASE WHEN pop > 9000 THEN 9000e0 ELSE pop END AS pop, least_spei, flood_days, {heat} FROM population_cells JOIN admin_cells c USING (cell_id) LEFT JOIN (SELECT hcell_id, min(value) AS least_spei FROM hazard_monthly WHERE month_start IN ({months}) GROUP BY hcell_id) d ON d.hcell_id = floor(row_no / 3) * 10 + floor(col_no / 5) LEFT JOIN ({flood}) f ON f.hcell_id = floor(row_no / 2) * 10 + floor(col_no / 5)"
+_HEAT_FLAGS = ", ".join(f"floor(row_no / 2) * 10 + floor(col_no / 5) IN ({ISLANDS.format(t=t)}) AS heat_{t}" for t in HEAT_AT) + f", (c.iso3, floor(row_no / 2) * 10 + floor(col_no / 5)) IN (SELECT (iso3, CAST(hcell_id AS DOUBLE)) FROM ({RELATIVE})) AS heat_p95"
+_RECORDS = {("drought", str(t)): f"least_spei <= {t}" for t in DROUGHT_AT} | {("heat", str(t)): f"heat_{t}" for t in HEAT_AT} | {("heat", "p95"): "heat_p95", ("flood", str(FLOOD_AT)): f"flood_days > {FLOOD_AT}"}
+RECORDED = "WITH k AS MATERIALIZED (" + COARSE.format(heat=_HEAT_FLAGS, months=MONTHS, flood=FLOOD_DAYS) + ") " + " UNION ALL ".join(f"SELECT concat_ws('_', iso3, '{h}') AS run_id, '{h}' AS hazard, '{t}' AS threshold, {dec('pop')} AS recorded_total, {dec(f'CASE WHEN coalesce({c}, false) THEN pop ELSE 0 END')} AS recorded_affected FROM k GROUP BY iso3" for (h, t), c in _RECORDS.items())
+_RANK = "CASE " + " ".join(f"WHEN hazard = '{h}' AND threshold = '{t}' THEN {k}" for h, some in LOOSER.items() for k, t in enumerate(some)) + " END"
+_SUMS = f"SELECT run_id, hazard, threshold, count(*) FILTER (WHERE pop_affected < -1e-6) AS c1, count(*) FILTER (WHERE NOT coalesce(pct_affected BETWEEN -1e-6 AND 100.0001, false)) AS c2, count(*) FILTER (WHERE pop_affected > pop_total + 1e-6) AS c3, count(*) FILTER (WHERE pop_affected + 1e-6 < stricter) AS c4, count(*) FILTER (WHERE pop_total <= 0) AS c5, {dec('pop_affected')} AS affected, {dec('pop_total')} AS total FROM (SELECT a.*, (SELECT max(b.pop_affected) FROM x b WHERE b.run_id = a.run_id AND b.admin_id = a.admin_id AND b.hazard = a.hazard AND b.rnk = a.rnk + 1) AS stricter FROM x a) GROUP BY run_id, hazard, threshold"
+_STATUS = "CASE WHEN {b} IS NULL OR {a} IS NULL THEN 'WARN' WHEN abs({a} - {b}) <= greatest({t}, 1e-9 * greatest(abs({a}), abs({b}))) THEN 'PASS' WHEN abs({a} - {b}) / greatest(abs({b}), 1) <= {w} THEN 'WARN' ELSE 'FAIL' END"
+_ABS, _REL = "CASE WHEN hazard IN ('drought', 'heat') THEN 1e-2 ELSE 1.0 END", "CASE WHEN hazard IN ('drought', 'heat') THEN 0.005 ELSE 0.05 END"
+_ROWS = [(n, f"CASE WHEN {c} > 0 THEN '{level}' ELSE 'PASS' END", c, "NULL") for n, c, level in (("non_negative", "c1", "FAIL"), ("pct_bounds", "c2", "FAIL"), ("exposed_within_total", "c3", "FAIL"), ("monotonic", "c4", "FAIL"), ("zero_population", "c5", "WARN"))]
+_ROWS += [("table_vs_recorded_sum", _STATUS.format(a="affected", b="recorded_affected", t=_ABS, w=_REL), "affected", "recorded_affected"), ("table_vs_recorded_total", _STATUS.format(a="total", b="recorded_total", t=_ABS, w=_REL), "total", "recorded_total"), ("table_vs_recorded_share", _STATUS.format(a="(affected / nullif(total, 0))", b="(recorded_affected / nullif(recorded_total, 0))", t="1e-3", w="0.05"), "affected / nullif(total, 0)", "recorded_affected / nullif(recorded_total, 0)")]
+_JOINED = f"x AS MATERIALIZED (SELECT *, {_RANK} AS rnk FROM ({CHECKED})), r AS MATERIALIZED ({RECORDED}), s AS (SELECT * FROM ({_SUMS}) LEFT JOIN r USING (run_id, hazard, threshold))"
+CHECK_SQL = f"WITH {_JOINED} " + " UNION ALL ".join(f"SELECT run_id, hazard, threshold, '{n}' AS name, {status} AS status, round(CAST({value} AS DOUBLE), 6) AS value, round(CAST({record} AS DOUBLE), 6) AS recorded FROM s" for n, status, value, record in _ROWS)
+
+
+def checked_runs(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+    """(summary, record) of three hazards: a run is a country and hazard. The record was made
+    of the cells themselves, of a population raster whose cells hold 9,000 people at most."""
+    country = F.broadcast(fx.admin_units.select("admin_id", "iso3"))
+    run = F.concat_ws("_", "iso3", "hazard")
+    summary = label_bands(fx, ("drought", "heat", "flood")).join(country, "admin_id").withColumn("run_id", run)
+    cells, bands = hazard_cells(fx, ("drought", "heat", "flood"))
+    capped = cells.drop("iso3").withColumn("pop", F.least("pop", F.when(F.col("pop").isNotNull(), 9000.0))).join(fx.admin_cells.select("cell_id", "iso3"), "cell_id")
+    hits = F.array(*[F.struct(F.lit(h).alias("hazard"), F.lit(t).alias("threshold"), F.coalesce(c, F.lit(False)).alias("hit")) for (h, t), c in bands.items()])
+    sums = capped.withColumn("b", F.explode(hits)).groupBy("iso3", "b.hazard", "b.threshold").agg(S.dsum(F.col("pop")).alias("recorded_total"), S.dsum(F.when(F.col("b.hit"), F.col("pop")).otherwise(0.0)).alias("recorded_affected"))
+    return summary, sums.select(run.alias("run_id"), "hazard", "threshold", "recorded_total", "recorded_affected")
+
+
+@query("check_every_rule", CHECK_SQL)
+def _(fx: Fixtures) -> DataFrame:
+    """Each rule of each run, hazard and threshold, with both tiers of tolerance."""
+    return checks.check_table(*checked_runs(fx), LOOSER).withColumns({"value": F.round("value", 6), "recorded": F.round("recorded", 6)})
+
+
+@query("check_run_rollup", f"SELECT run_id, count(*) AS checks, count(*) FILTER (WHERE status = 'FAIL') AS failures, count(*) FILTER (WHERE status = 'WARN') AS warnings, CASE WHEN count(*) FILTER (WHERE status = 'FAIL') > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM ({CHECK_SQL}) GROUP BY run_id")
+def _(fx: Fixtures) -> DataFrame:
+    return checks.rolled_up(checks.check_table(*checked_runs(fx), LOOSER))
+
+
+@query("check_row_flags", f"SELECT *, negative OR zero OR missing OR below OR above OR exceeds AS any_flag FROM (SELECT run_id, hazard, threshold, admin_id, pop_total < 0 OR pop_affected < 0 AS negative, pop_total = 0 AS zero, pct_affected IS NULL AS missing, coalesce(pct_affected < 0, false) AS below, coalesce(pct_affected > 100, false) AS above, pop_affected > pop_total AS exceeds FROM ({CHECKED}))")
+def _(fx: Fixtures) -> DataFrame:
+    return checks.row_flags(checked_runs(fx)[0])
+
+
+@query("check_quality_rows", f"WITH {_JOINED} SELECT run_id, hazard, threshold, units, total, affected, min_pct, max_pct, round(affected - recorded_affected, 4) AS diff, round(100 * (affected - recorded_affected) / nullif(recorded_affected, 0), 6) AS diff_pct FROM s JOIN (SELECT run_id, hazard, threshold, count(*) AS units, round(min(pct_affected), 6) AS min_pct, round(max(pct_affected), 6) AS max_pct FROM x GROUP BY ALL) USING (run_id, hazard, threshold)")
+def _(fx: Fixtures) -> DataFrame:
+    return checks.quality_rows(*checked_runs(fx))

@@ -84,6 +84,18 @@ ADAPTERS = {
         SELECT level, upper(substr(c_mktsegment, 1, 3)) AS iso3, count(*) AS features
         FROM customer CROSS JOIN (SELECT 0 AS level UNION ALL SELECT 1 UNION ALL SELECT 2) AS levels
         WHERE level < 2 OR c_mktsegment <> 'MACHINERY' GROUP BY level, upper(substr(c_mktsegment, 1, 3))""",
+    "grid_table": """
+        SELECT r_regionkey AS grid_id, 30 - r_regionkey * 0.07e0 AS x0, 20 + r_regionkey * 0.03e0 AS y0,
+               CASE r_regionkey WHEN 0 THEN 0.1e0 WHEN 1 THEN 0.25e0 WHEN 2 THEN 0.7e0 WHEN 3 THEN 0.05e0 ELSE 0.25e0 END AS dx,
+               CASE r_regionkey WHEN 0 THEN 0.1e0 WHEN 1 THEN 0.25e0 WHEN 2 THEN 0.3e0 WHEN 3 THEN 0.15e0 ELSE 0.25e0 END AS dy,
+               CASE r_regionkey WHEN 0 THEN 50 WHEN 1 THEN 21 WHEN 2 THEN 8 WHEN 3 THEN 90 ELSE 21 END AS cols,
+               CASE r_regionkey WHEN 0 THEN 400 WHEN 1 THEN 130 WHEN 2 THEN 90 WHEN 3 THEN 200 ELSE 130 END AS rows,
+               CASE r_regionkey WHEN 4 THEN 'EPSG:32636' ELSE 'EPSG:4326' END AS crs
+        FROM region""",
+    "layer_cells": """
+        SELECT g AS grid_id, CAST(floor(k / w) AS BIGINT) AS row_no, CAST(k % w AS BIGINT) AS col_no, max(v) AS value
+        FROM (SELECT 1 + l_suppkey % 4 AS g, l_partkey AS k, CASE l_suppkey % 4 WHEN 0 THEN 21 WHEN 1 THEN 8 WHEN 2 THEN 90 ELSE 21 END AS w, l_quantity AS v FROM lineitem) AS cells
+        GROUP BY g, floor(k / w), k % w""",
     "shake_cells": """
         SELECT l_partkey AS event_id, l_suppkey AS hcell_id, max(l_quantity * l_discount * 1.6e0) AS mmi
         FROM lineitem GROUP BY l_partkey, l_suppkey""",
