@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: Wind bands, km/h to knots, and external band labels to ours.
 KMH_TO_KNOTS = {63: 34, 93: 50, 119: 64}
 EXTERNAL_BANDS = {60: 63, 90: 93, 120: 119}
+#: The class that a polygon of each external band must have.
+EXTERNAL_CLASSES = {60: "Poly_Green", 90: "Poly_Orange", 120: "Poly_Red"}
 #: Agencies whose wind radii are taken first, in this order.
 AGENCIES = ("usa", "wmo", "tokyo", "cma", "hko", "newdelhi", "reunion", "bom", "nadi")
 #: Event types served.
@@ -53,14 +55,16 @@ def window_start(end: Column, months: int | Column) -> Column:
     return F.date_add(F.add_months(end, -months if isinstance(months, int) else -months), 1)
 
 
-def buffer_km(event_type: Column, fatalities: Column) -> Column:
-    """Radius of influence of a conflict event; null for an unknown type."""
-    return (
+def buffer_km(event_type: Column, fatalities: Column, strict: bool = False) -> Column:
+    """Radius of influence of a conflict event. An unknown type has none: null, or with
+    ``strict`` an error that names it."""
+    known = (
         F.when(event_type.isin("Battles", "Explosions/Remote violence"), 5)
         .when(event_type == "Violence against civilians", F.when(fatalities > 0, 5).otherwise(2))
         .when(event_type == "Riots", 2)
         .when(event_type == "Protests", 1)
     )
+    return known.otherwise(F.raise_error(F.concat(F.lit("no radius for event type "), F.coalesce(event_type, F.lit("null"))))) if strict else known
 
 
 def lon_unwrap(lon: Column, reference: Column) -> Column:

@@ -121,6 +121,11 @@ def overlap(lo1: Column, hi1: Column, lo2: Column, hi2: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(hi1, hi2) - F.greatest(lo1, lo2))
 
 
+def padded_box(lon: Column, lat: Column) -> dict[str, Column]:
+    """The box (w, s, e, n) wider by ``lon`` and ``lat`` degrees on each side, on the globe."""
+    return {"w": F.greatest(F.lit(-180.0), F.col("w") - lon), "s": F.greatest(F.lit(-90.0), F.col("s") - lat), "e": F.least(F.lit(180.0), F.col("e") + lon), "n": F.least(F.lit(90.0), F.col("n") + lat)}
+
+
 def bbox_coverage(target: tuple[Column, ...], layer: tuple[Column, ...]) -> Column:
     """Share of the target box (w, s, e, n) that the layer box covers, in percent."""
     area = (target[2] - target[0]) * (target[3] - target[1])
@@ -208,3 +213,19 @@ def valid_rings(points: DataFrame, unit: str = "admin_id") -> DataFrame:
     """Units with four or more ring places (the closing one counted) and a non-zero area."""
     e = edges(points, unit).groupBy(unit).agg(F.count("*").alias("n"), (F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2).alias("area"))
     return e.select(unit, F.abs("area").alias("area"), ((F.col("n") + 1 >= 4) & (F.col("area") != 0)).alias("valid"))
+
+
+def units_of_codes(units: DataFrame, codes: DataFrame) -> DataFrame:
+    """Units (iso3, ...) beside the codes (``code``) that ask for them: those of the code
+    itself; if there are none, those whose code has the same first three letters."""
+    met = units.withColumn("_three", F.substring("iso3", 1, 3)).join(codes.withColumn("_three", F.substring("code", 1, 3)), "_three").drop("_three")
+    exact = F.col("iso3") == F.col("code")
+    found = met.where(exact).select("code").distinct().withColumn("_exact", F.lit(True))
+    return met.join(F.broadcast(found), "code", "left").where(F.coalesce(exact, F.lit(False)) | F.col("_exact").isNull()).drop("_exact")
+
+
+def required(rows: DataFrame, what: str) -> DataFrame:
+    """``rows``, or ValueError if there are none."""
+    if not rows.limit(1).count():
+        raise ValueError(f"no rows of {what}")
+    return rows

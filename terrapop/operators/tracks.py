@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapop.functions.scalar import AGENCIES, EARTH_KM, EXTERNAL_BANDS, KMH_TO_KNOTS, NM_TO_KM, haversine_km, lon_unwrap
+from terrapop.functions.scalar import AGENCIES, EARTH_KM, EXTERNAL_BANDS, EXTERNAL_CLASSES, KMH_TO_KNOTS, NM_TO_KM, haversine_km, lon_unwrap
 
 from . import bits
 
@@ -59,7 +59,7 @@ def radii_family(tracks: DataFrame, knots: int) -> Column:
 
     first = [a for a in AGENCIES if a in by]
     others = sorted(a for a in by if a not in AGENCIES)
-    reported = [F.when(F.lower(F.trim("wmo_agency")) == a, family(a)) for a in others]
+    reported = [F.when(F.lower(F.regexp_replace("wmo_agency", r"\s", "")) == a, family(a)) for a in others]
     at = [a for a in first if a == AGENCIES[0]]
     chain = [*map(family, at), *reported, *(family(a) for a in first if a not in at), *map(family, others)]
     return F.coalesce(*chain) if chain else F.lit(None).cast("struct<agency:string,ne:double,se:double,sw:double,nw:double>")
@@ -232,3 +232,27 @@ def storms_near(tracks: DataFrame, near_points: DataFrame) -> DataFrame:
     """All points of storms that have a point among ``near_points`` (event_id)."""
     sids = tracks.join(near_points, "event_id", "left_semi").select("sid").distinct()
     return tracks.join(sids, "sid", "left_semi")
+
+
+def labelled_buffers(buffers: DataFrame) -> DataFrame:
+    """External polygons (polygonlabel, Class) with our ``threshold`` of their label, null for
+    another label, and ``usable``: whether the class is the one of that label."""
+    native = F.expr("try_cast(regexp_extract(trim(polygonlabel), '^([0-9]+) *km/h$', 1) AS int)")
+    lookup = lambda of: F.coalesce(*[F.when(native == k, F.lit(v)) for k, v in of.items()])
+    return buffers.withColumns({"threshold": lookup(EXTERNAL_BANDS), "usable": F.coalesce(F.col("Class") == lookup(EXTERNAL_CLASSES), F.lit(False))})
+
+
+def footprint_violations(footprints: DataFrame) -> DataFrame:
+    """Supplied footprints (sid, threshold as text, geometry_type) with the first rule that
+    each breaks: no_sid, not_numeric, unknown_band, not_a_polygon, or null."""
+    number = F.expr("try_cast(threshold AS double)")
+    violation = F.when(F.col("sid").isNull(), "no_sid").when(number.isNull(), "not_numeric").when(~number.isin(*map(float, KMH_TO_KNOTS)), "unknown_band").when(~F.coalesce(F.col("geometry_type").isin("Polygon", "MultiPolygon"), F.lit(False)), "not_a_polygon")
+    return footprints.withColumn("violation", violation)
+
+
+def guarded_footprints(footprints: DataFrame) -> DataFrame:
+    """The footprints with numeric thresholds; a row that breaks a rule is an error when it
+    is read."""
+    checked = footprint_violations(footprints)
+    sound = F.when(F.col("violation").isNull(), F.expr("try_cast(threshold AS double)").cast("int")).otherwise(F.raise_error(F.concat(F.lit("footprint: "), F.col("violation"))).cast("int"))
+    return checked.withColumn("threshold", sound).drop("violation")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapop.functions import scalar as S
-from terrapop.operators import align, quantiles, temporal, tracks, zonal
+from terrapop.operators import align, grid, quantiles, temporal, tracks, zonal
 from terrapop.sources import files
 from terrapop.sources.fixtures import Fixtures
 
@@ -190,10 +190,13 @@ def _(fx: Fixtures) -> DataFrame:
     return fx.admin_units.where((F.upper("iso3") == "ASIA") & (F.col("admin_level") == 1)).select("admin_id", "pcode")
 
 
-@query("filter_admin_prefix", "SELECT admin_id, substr(iso3, 1, 3) AS adm0 FROM admin_units WHERE substr(iso3, 1, 3) = 'AFR'")
+@query("filter_admin_prefix", "SELECT code, admin_id, adm0 FROM (SELECT code, admin_id, iso3 AS adm0, iso3 = code AS exact, bool_or(iso3 = code) OVER (PARTITION BY code) AS any_exact FROM admin_units, (SELECT DISTINCT upper(r_name) AS code FROM region WHERE r_regionkey < 2 UNION ALL SELECT DISTINCT substr(r_name, 1, 3) FROM region WHERE r_regionkey > 2) WHERE iso3 = code OR substr(iso3, 1, 3) = substr(code, 1, 3)) WHERE exact OR NOT any_exact")
 def _(fx: Fixtures) -> DataFrame:
-    u = fx.admin_units.withColumn("adm0", F.substring("iso3", 1, 3))
-    return u.where(F.coalesce(F.nullif(F.lit(""), F.lit("")), F.col("adm0")) == "AFR").select("admin_id", "adm0")
+    """Units of each code: those of the code itself, else those that share its first three
+    letters."""
+    r = fx.table("region")
+    codes = r.where("r_regionkey < 2").select(F.upper("r_name").alias("code")).unionByName(r.where("r_regionkey > 2").select(F.substring("r_name", 1, 3).alias("code"))).distinct()
+    return grid.units_of_codes(fx.admin_units, F.broadcast(codes)).select("code", "admin_id", F.col("iso3").alias("adm0"))
 
 
 @query("unique_key_guard", "SELECT o_custkey AS key, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 1 OR o_custkey IS NULL")
@@ -248,18 +251,21 @@ def _(fx: Fixtures) -> DataFrame:
     return fx.quake_catalog.select("event_id", S.actual_event_reason(F.col("event_type"), F.col("title")).alias("reason"))
 
 
-@query("hard_soft_threshold", "SELECT admin_id, coverage, CASE WHEN coverage >= 90 THEN 'PASS' WHEN coverage >= 50 THEN 'WARN' ELSE 'FAIL' END AS status FROM (SELECT admin_id, CAST((admin_id * 37) % 101 AS DOUBLE) AS coverage FROM admin_units)")
+@query("hard_soft_threshold", "SELECT admin_id, coverage, CASE WHEN coverage >= 90 THEN 'PASS' WHEN coverage >= 50 THEN 'WARN' ELSE 'FAIL' END AS status FROM (SELECT admin_id, round(100.0 * count(*) FILTER (WHERE row_no * 50 + col_no IN (SELECT user_id FROM events WHERE event_type = 'error')) / count(*), 6) AS coverage FROM population_cells JOIN admin_cells USING (cell_id) GROUP BY admin_id)")
 def _(fx: Fixtures) -> DataFrame:
-    c = F.col("coverage")
-    return fx.admin_units.select("admin_id", ((F.col("admin_id") * 37) % 101).cast("double").alias("coverage")).withColumn("status", F.when(c >= 90, "PASS").when(c >= 50, "WARN").otherwise("FAIL"))
+    """The share of each unit's cells that a layer has seen, against a target and a minimum."""
+    seen = fx.table("events").where("event_type = 'error'").select(F.col("user_id").alias("cell_id"), F.lit(1).alias("seen")).distinct()
+    c = fx.population_cells.select("cell_id").join(fx.admin_cells.select("cell_id", "admin_id"), "cell_id").join(seen, "cell_id", "left").groupBy("admin_id").agg(F.round(100.0 * F.count("seen") / F.count("*"), 6).alias("coverage"))
+    return c.withColumn("status", F.when(F.col("coverage") >= 90, "PASS").when(F.col("coverage") >= 50, "WARN").otherwise("FAIL"))
 
 
-@query("fallback_footprint_guard", "SELECT sid, threshold, CASE WHEN sid IS NULL THEN 'no_sid' WHEN TRY_CAST(threshold AS DOUBLE) IS NULL THEN 'not_numeric' WHEN TRY_CAST(threshold AS DOUBLE) NOT IN (63, 93, 119) THEN 'unknown_band' END AS violation FROM (SELECT DISTINCT sid, CASE sid % 4 WHEN 0 THEN '63' WHEN 1 THEN '93.0' WHEN 2 THEN 'x' ELSE '64' END AS threshold FROM track_points)")
+@query("fallback_footprint_guard", "SELECT o_orderkey AS footprint_id, CASE WHEN o_orderstatus = 'P' THEN 'no_sid' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'not_numeric' WHEN floor(o_totalprice / 1000) NOT IN (63, 93, 119) THEN 'unknown_band' WHEN o_orderpriority = '5-LOW' THEN 'not_a_polygon' END AS violation FROM orders")
 def _(fx: Fixtures) -> DataFrame:
-    k = F.col("sid") % 4
-    f = fx.track_points.select("sid", F.when(k == 0, "63").when(k == 1, "93.0").when(k == 2, "x").otherwise("64").alias("threshold")).distinct()
-    num = F.expr("try_cast(threshold AS double)")
-    return f.withColumn("violation", F.when(F.col("sid").isNull(), "no_sid").when(num.isNull(), "not_numeric").when(~num.isin(63.0, 93.0, 119.0), "unknown_band"))
+    """Supplied footprints with what is wrong with each."""
+    o = fx.table("orders")
+    threshold = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.col("o_orderpriority")).otherwise(F.concat(F.floor(F.col("o_totalprice") / 1000).cast("string"), F.lit(".0")))
+    supplied = o.select(F.col("o_orderkey").alias("footprint_id"), F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("sid"), threshold.alias("threshold"), F.when(F.col("o_orderpriority") == "5-LOW", "LineString").otherwise("Polygon").alias("geometry_type"))
+    return tracks.footprint_violations(supplied).select("footprint_id", "violation")
 
 
 # Scalar rules
@@ -309,7 +315,7 @@ BUFFER = "CASE WHEN event_type IN ('Battles', 'Explosions/Remote violence') THEN
 
 @query("buffer_km_rule", f"SELECT event_id, {BUFFER} AS buffer_km FROM conflict_events")
 def _(fx: Fixtures) -> DataFrame:
-    return fx.conflict_events.select("event_id", S.buffer_km(F.col("event_type"), F.col("fatalities")).alias("buffer_km"))
+    return fx.conflict_events.select("event_id", S.buffer_km(F.col("event_type"), F.col("fatalities"), strict=True).alias("buffer_km"))
 
 
 @query("admin_level_resolve", "SELECT admin_id, 1 AS level, 'admin1' AS label, 'adm1_pcode' AS pcode_label FROM admin_units")
@@ -351,11 +357,13 @@ def _(fx: Fixtures) -> DataFrame:
     return fx.table("events").select("event_id", p["k"].alias("k"), F.coalesce(p["m"], F.lit("none")).alias("missing"))
 
 
-@query("polygon_label_class", "SELECT DISTINCT label, CASE label WHEN 60 THEN 63 WHEN 90 THEN 93 WHEN 120 THEN 119 END AS threshold FROM (SELECT 60 + (sid % 4) * 30 AS label FROM track_points)")
+@query("polygon_label_class", "SELECT ext_id, label, CASE label WHEN 60 THEN 63 WHEN 90 THEN 93 WHEN 120 THEN 119 END AS threshold, (label = 60 AND o_orderpriority <> '5-LOW') OR (label = 90 AND o_orderpriority = '2-HIGH') OR (label = 120 AND o_orderpriority = '1-URGENT') AS usable FROM external_buffers JOIN orders ON o_orderkey = ext_id")
 def _(fx: Fixtures) -> DataFrame:
-    label = F.col("label")
-    band = F.coalesce(*[F.when(label == k, F.lit(v)) for k, v in S.EXTERNAL_BANDS.items()])
-    return fx.track_points.select((60 + (F.col("sid") % 4) * 30).alias("label")).distinct().withColumn("threshold", band)
+    """Buffers by the text of their label, and whether their class is the label's."""
+    kind = F.col("o_orderpriority")
+    given = F.when(kind == "5-LOW", None).when(kind == "2-HIGH", F.when(F.col("label") == 90, "Poly_Orange").otherwise("Poly_Green")).when(kind == "1-URGENT", F.when(F.col("label") == 120, "Poly_Red").otherwise("Poly_Green")).otherwise("Poly_Green")
+    b = fx.external_buffers.join(fx.table("orders").select(F.col("o_orderkey").alias("ext_id"), "o_orderpriority"), "ext_id").select("ext_id", "label", F.concat("label", F.lit(" km/h")).alias("polygonlabel"), given.alias("Class"))
+    return tracks.labelled_buffers(b).select("ext_id", "label", "threshold", "usable")
 
 
 @query("asset_filename", "SELECT admin_id, concat(lower(substr(iso3, 1, 3)), '_ppp_2025_100m.tif') AS file_name, substr(sha256(concat('https://host.invalid/', lower(substr(iso3, 1, 3)))), 1, 20) AS cache_key FROM admin_units")
@@ -434,20 +442,17 @@ def _(fx: Fixtures) -> DataFrame:
 
 
 
-
-
-
-
-
 @query("readiness_preflight_join", "SELECT c_custkey AS task_id, CASE WHEN o_custkey IS NULL THEN 'MISSING' ELSE 'PASS' END AS preflight FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') ON c_custkey = o_custkey")
 def _(fx: Fixtures) -> DataFrame:
     pre = fx.table("orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("task_id"), F.lit("PASS").alias("preflight")).distinct()
     return fx.table("customer").select(F.col("c_custkey").alias("task_id")).join(pre, "task_id", "left").na.fill("MISSING", ["preflight"])
 
 
-@query("join_admin_stats_back", f"SELECT u.admin_id, coalesce(t, 0) AS total FROM admin_units u LEFT JOIN (SELECT admin_id, {dec('pop')} AS t FROM population_cells JOIN admin_cells USING (cell_id) WHERE row_no < 2 GROUP BY admin_id) s USING (admin_id)")
+@query("join_admin_stats_back", f"SELECT u.admin_id, coalesce(t, 0) AS total FROM admin_units u LEFT JOIN (SELECT admin_id, {dec('pop')} AS t FROM population_cells JOIN admin_cells USING (cell_id) WHERE pop > 9500 AND lon < 32 GROUP BY admin_id) s USING (admin_id)")
 def _(fx: Fixtures) -> DataFrame:
-    return zonal.labelled_sum(fx.population_cells.where("row_no < 2"), fx.admin_cells, fx.admin_units, {"total": F.col("pop")})
+    """Sums of crowded cells of the west by unit; units without such cells have 0."""
+    crowded = fx.population_cells.where("pop > 9500 and lon < 32")
+    return zonal.labelled_sum(crowded, fx.admin_cells, fx.admin_units, {"total": F.col("pop")})
 
 
 @query("missing_months_anti", "SELECT month_start FROM (SELECT CAST(unnest(range(DATE '2001-05-01', DATE '2002-04-02', INTERVAL 1 MONTH)) AS DATE) AS month_start) WHERE month_start NOT IN (SELECT month_start FROM hazard_monthly)")
@@ -455,9 +460,11 @@ def _(fx: Fixtures) -> DataFrame:
     return months_of(fx, "2002-04-01", 12).join(fx.hazard_monthly.select("month_start").distinct(), "month_start", "left_anti")
 
 
-@query("missing_parent_anti", "SELECT c_custkey AS task_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("missing_parent_anti", "SELECT c_custkey AS task_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def _(fx: Fixtures) -> DataFrame:
-    return fx.table("customer").select(F.col("c_custkey").alias("task_id")).join(fx.table("orders"), F.col("task_id") == F.col("o_custkey"), "left_anti")
+    """Tasks without a preflight row."""
+    pre = fx.table("orders").where("o_orderstatus = 'P'")
+    return fx.table("customer").select(F.col("c_custkey").alias("task_id")).join(pre, F.col("task_id") == F.col("o_custkey"), "left_anti")
 
 
 @query("combine_first", "SELECT coalesce(a.hcell_id, b.hcell_id) AS hcell_id, coalesce(a.day, b.day) AS day, coalesce(a.value, b.value) AS value FROM (SELECT * FROM hazard_daily WHERE day(day) < 20) a FULL JOIN (SELECT hcell_id, day, value + 1 AS value FROM hazard_daily WHERE day(day) >= 10) b ON a.hcell_id = b.hcell_id AND a.day = b.day")
@@ -547,10 +554,30 @@ def flood_units(fx: Fixtures) -> DataFrame:
     return zonal.exposure(cells, fx.admin_cells, fx.admin_units, F.col("flood_days") > 20)
 
 
-@query("assigned_fraction", f"SELECT assigned, total, round(assigned / total, 6) AS fraction, assigned / total BETWEEN 0.98 AND 1.02 AS within FROM (SELECT {dec('CASE WHEN admin_id % 6 <> 0 THEN pop END')} AS assigned, {dec('pop')} AS total FROM population_cells JOIN admin_cells USING (cell_id))")
+#: How far the assigned population may be from the whole, and countries with
+#: a tolerance of their own.
+TOLERANCE, TOLERANCES = 0.02, {"ASIA": 0.05, "AFRICA": 0.025}
+TOLERANCE_SQL = "CASE iso3 " + " ".join(f"WHEN '{c}' THEN {t}e0" for c, t in TOLERANCES.items()) + f" ELSE {TOLERANCE}e0 END"
+
+
+def assigned_fractions(fx: Fixtures, assigned: DataFrame) -> DataFrame:
+    """iso3, assigned, total, fraction, tolerance, within: the people that ``assigned``
+    (iso3, assigned) found in a country's units, of all that the country has."""
+    total = fx.population_cells.join(fx.admin_cells.select("cell_id", "iso3"), "cell_id").groupBy("iso3").agg(S.dsum(F.col("pop")).alias("total"))
+    own = fx.spark.createDataFrame(list(TOLERANCES.items()), "iso3 string, own double")
+    t = total.join(assigned, "iso3", "left").join(F.broadcast(own), "iso3", "left").withColumns({"assigned": F.coalesce("assigned", F.lit(0.0)), "tolerance": F.coalesce("own", F.lit(TOLERANCE))})
+    share = F.try_divide("assigned", "total")
+    return t.select("iso3", "assigned", "total", F.round(share, 6).alias("fraction"), "tolerance", F.coalesce((share >= 1 - F.col("tolerance")) & (share <= 1 + F.col("tolerance")), F.lit(False)).alias("within"))
+
+
+CAPPED_TOTALS = f"SELECT iso3, coalesce({dec('CASE WHEN pop <= 9800 THEN pop END')}, 0) AS assigned, {dec('pop')} AS total FROM population_cells JOIN admin_cells USING (cell_id) GROUP BY iso3"
+
+
+@query("assigned_fraction", f"SELECT iso3, assigned, total, round(assigned / total, 6) AS fraction, {TOLERANCE_SQL} AS tolerance, coalesce(assigned / total BETWEEN 1 - {TOLERANCE_SQL} AND 1 + {TOLERANCE_SQL}, false) AS within FROM ({CAPPED_TOTALS})")
 def _(fx: Fixtures) -> DataFrame:
-    t = fx.population_cells.join(fx.admin_cells, "cell_id").agg(S.dsum(F.when(F.col("admin_id") % 6 != 0, F.col("pop"))).alias("assigned"), S.dsum(F.col("pop")).alias("total"))
-    return t.withColumn("fraction", F.round(F.col("assigned") / F.col("total"), 6)).withColumn("within", (F.col("assigned") / F.col("total")).between(0.98, 1.02))
+    """Population that found a unit by country; the most crowded cells found none."""
+    cells = fx.population_cells.where("pop <= 9800").join(fx.admin_cells.select("cell_id", "iso3"), "cell_id")
+    return assigned_fractions(fx, cells.groupBy("iso3").agg(S.dsum(F.col("pop")).alias("assigned")))
 
 
 @query("first_text", "SELECT sid, arg_min(name, event_id) AS first_name FROM track_points WHERE name IS NOT NULL GROUP BY sid")
@@ -563,9 +590,10 @@ def _(fx: Fixtures) -> DataFrame:
     return fx.track_points.agg(F.count_distinct("sid").alias("storms"), F.count("*").alias("points"))
 
 
-@query("value_counts", "SELECT event_type, count(*) AS n FROM conflict_events GROUP BY event_type")
+@query("value_counts", f"SELECT event_type, {BUFFER} AS buffer_km, count(*) AS n FROM conflict_events GROUP BY ALL")
 def _(fx: Fixtures) -> DataFrame:
-    return fx.conflict_events.groupBy("event_type").agg(F.count("*").alias("n"))
+    """Events by type and the radius that they get."""
+    return fx.conflict_events.groupBy("event_type", S.buffer_km(F.col("event_type"), F.col("fatalities"), strict=True).alias("buffer_km")).agg(F.count("*").alias("n"))
 
 
 LABELLED_DAYS = "SELECT iso3, value FROM hazard_daily JOIN (SELECT DISTINCT CAST(floor(row_no / 2) * 10 + floor(col_no / 5) AS BIGINT) AS hcell_id, iso3 FROM population_cells JOIN admin_cells USING (cell_id)) USING (hcell_id)"
@@ -719,11 +747,13 @@ def _(fx: Fixtures) -> DataFrame:
     return flood_units(fx).where("pct_affected is not null").orderBy(F.desc("pct_affected"), "admin_id").limit(10).select("admin_id", "pct_affected")
 
 
-@query("best_item", "SELECT o_custkey AS task, arg_min(item_id, -(least(east, 33e0) - greatest(west, 31e0)) * 1e9 + item_id) AS item_id FROM stac_items JOIN orders ON o_orderkey = item_id WHERE href IS NOT NULL GROUP BY o_custkey")
+@query("best_item", "SELECT task, item_id FROM (SELECT o_custkey AS task, item_id, row_number() OVER (PARTITION BY o_custkey ORDER BY round(greatest(0, least(east, 33e0) - greatest(west, 31e0)) * greatest(0, least(north, 19.5e0) - greatest(south, 18e0)), 9) DESC, item_id) AS r FROM stac_items JOIN orders ON o_orderkey = item_id WHERE href IS NOT NULL) WHERE r = 1")
 def _(fx: Fixtures) -> DataFrame:
-    cover = F.least("east", F.lit(33.0)) - F.greatest("west", F.lit(31.0))
+    """Of each task's items the one that covers most of the target's area, then the first."""
+    target, box = tuple(F.lit(v) for v in (31.0, 18.0, 33.0, 19.5)), tuple(F.col(c) for c in ("west", "south", "east", "north"))
+    area = F.round(grid.overlap(target[0], target[2], box[0], box[2]) * grid.overlap(target[1], target[3], box[1], box[3]), 9)
     items = fx.stac_items.where("href is not null").join(fx.table("orders").select(F.col("o_orderkey").alias("item_id"), F.col("o_custkey").alias("task")), "item_id")
-    return items.groupBy("task").agg(F.min_by("item_id", F.struct(-cover, F.col("item_id"))).alias("item_id"))
+    return items.groupBy("task").agg(F.min_by("item_id", F.struct(-area, F.col("item_id"))).alias("item_id"))
 
 
 @query("sort_tracks", "SELECT sid, event_id, row_number() OVER (PARTITION BY sid ORDER BY iso_time, event_id) AS seq FROM track_points")

@@ -78,10 +78,16 @@ def _(fx: Fixtures) -> DataFrame:
     return grid.union_coverage(boxes, (30.0, 18.0, 34.0, 20.0))
 
 
-@query("aoi_bounds_buffer", "SELECT admin_id, round(greatest(-180, 30 + min(x) * 0.1e0 - 0.5e0), 6) AS w, round(least(90, 20 - min(y) * 0.1e0 + 0.5e0), 6) AS n, round(50 / 111.32e0, 6) AS km50_lat, round(50 / (111.32e0 * cos(radians(20 - (min(y) + max(y)) / 2 * 0.1e0))), 6) AS km50_lon FROM admin_points GROUP BY admin_id")
+_LAT, _KLON = "50 / 111.32e0", "50 / (111.32e0 * cos(radians((s + n) / 2)))"
+
+
+@query("aoi_bounds_buffer", f"SELECT admin_id, round(greatest(-180, w - 0.5e0), 6) AS w, round(greatest(-90, s - 0.5e0), 6) AS s, round(least(180, e + 0.5e0), 6) AS e, round(least(90, n + 0.5e0), 6) AS n, round(greatest(-180, w - {_KLON}), 6) AS km_w, round(greatest(-90, s - {_LAT}), 6) AS km_s, round(least(180, e + {_KLON}), 6) AS km_e, round(least(90, n + {_LAT}), 6) AS km_n FROM (SELECT admin_id, 30 + min(x) * 0.1e0 AS w, 30 + max(x) * 0.1e0 AS e, 20 - max(y) * 0.1e0 AS s, 20 - min(y) * 0.1e0 AS n FROM admin_points GROUP BY admin_id)")
 def _(fx: Fixtures) -> DataFrame:
-    mid = 20 - (F.min("y") + F.max("y")) / 2 * 0.1
-    return fx.admin_points.groupBy("admin_id").agg(F.round(F.greatest(F.lit(-180.0), 30 + F.min("x") * 0.1 - 0.5), 6).alias("w"), F.round(F.least(F.lit(90.0), 20 - F.min("y") * 0.1 + 0.5), 6).alias("n"), F.round(F.lit(50 / 111.32), 6).alias("km50_lat"), F.round(50 / (111.32 * F.cos(F.radians(mid))), 6).alias("km50_lon"))
+    """Bounds of each unit padded by half a degree, and by 50 km at its middle latitude; both
+    stay on the globe."""
+    box = fx.admin_points.groupBy("admin_id").agg((30 + F.min("x") * 0.1).alias("w"), (20 - F.max("y") * 0.1).alias("s"), (30 + F.max("x") * 0.1).alias("e"), (20 - F.min("y") * 0.1).alias("n"))
+    degrees, km = grid.padded_box(F.lit(0.5), F.lit(0.5)), grid.padded_box(50 / (111.32 * F.cos(F.radians((F.col("s") + F.col("n")) / 2))), F.lit(50 / 111.32))
+    return box.select("admin_id", *[F.round(c, 6).alias(n) for n, c in degrees.items()], *[F.round(c, 6).alias(f"km_{n}") for n, c in km.items()])
 
 
 @query("utm_zone", "SELECT event_id, CAST(CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + least(CAST(floor((lon + 180) / 6) AS INTEGER) + 1, 60) AS INTEGER) AS epsg FROM track_points")
@@ -103,7 +109,7 @@ ALL_DISCS = discs_sql("SELECT * FROM conflict_events WHERE event_type <> 'Protes
 
 
 def event_discs(fx: Fixtures) -> DataFrame:
-    points = window_events(fx).select(F.col("event_id").alias("point_id"), F.col("longitude").alias("lon"), F.col("latitude").alias("lat"), S.buffer_km(F.col("event_type"), F.col("fatalities")).alias("radius"))
+    points = window_events(fx).select(F.col("event_id").alias("point_id"), F.col("longitude").alias("lon"), F.col("latitude").alias("lat"), S.buffer_km(F.col("event_type"), F.col("fatalities"), strict=True).alias("radius"))
     return grid.disc_cells(points, 30.0, 20.0, 0.1, F.col("radius"), 30, 50)
 
 
