@@ -9,7 +9,7 @@ from terrapop.functions import scalar as S
 from terrapop.operators import grid, temporal
 from terrapop.sources.fixtures import Fixtures
 
-from .basic import ERRORS, PARSED, UNIT_PCT, dec, flood_units, parsed_manifest
+from .basic import CAPPED_TOTALS, ERRORS, PARSED, TOLERANCE_SQL, UNIT_PCT, assigned_fractions, dec, flood_units, parsed_manifest
 from .geometry import INSIDE, event_xy
 from .registry import query
 
@@ -100,15 +100,21 @@ def _(fx: Fixtures) -> DataFrame:
     return preflight(fx)
 
 
-ISSUES = f"SELECT DISTINCT task_id, code, severity FROM (SELECT task_id, split_part(trim(unnest(string_split(issues, '; '))), ':', 1) AS code, 'error' AS severity FROM ({READY}) WHERE issues <> '' UNION ALL SELECT task_id, pipeline || '_preflight_' || lower(status), CASE status WHEN 'FAIL' THEN 'error' ELSE 'warning' END FROM ({PREFLIGHT}) WHERE status IN ('FAIL', 'WARN')) WHERE code NOT LIKE 'bad %' ORDER BY severity, task_id, code"
+#: Tasks for which a preflight ran; the others are an issue of their own.
+RAN = "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P'"
+ISSUES = f"SELECT DISTINCT task_id, code, severity FROM (SELECT task_id, split_part(trim(unnest(string_split(issues, '; '))), ':', 1) AS code, 'error' AS severity FROM ({READY}) WHERE issues <> '' UNION ALL SELECT task_id, 'missing_preflight_row', 'error' FROM ({TASKS}) WHERE file_order NOT IN ({RAN}) UNION ALL SELECT task_id, pipeline || '_preflight_' || lower(status), CASE status WHEN 'FAIL' THEN 'error' ELSE 'warning' END FROM ({PREFLIGHT}) JOIN ({TASKS}) USING (task_id) WHERE status IN ('FAIL', 'WARN') AND file_order IN ({RAN})) WHERE code NOT LIKE 'bad %' ORDER BY severity, task_id, code"
 
 
 def issue_rows(fx: Fixtures) -> DataFrame:
+    """Issues of readiness; then of the preflight where it ran, else that it didn't."""
     tok = readiness(fx).where("issues <> ''").select("task_id", F.explode(F.split("issues", "; ")).alias("tok"))
     a = tok.select("task_id", F.trim(F.substring_index("tok", ":", 1)).alias("code"), F.lit("error").alias("severity"))
-    p = preflight(fx).where(F.col("status").isin("FAIL", "WARN"))
-    b = p.select("task_id", F.concat("pipeline", F.lit("_preflight_"), F.lower("status")).alias("code"), F.when(F.col("status") == "FAIL", "error").otherwise("warning").alias("severity"))
-    return a.unionByName(b).where("code not like 'bad %'").dropDuplicates(["task_id", "code", "severity"])
+    ran = fx.table("orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("file_order")).distinct()
+    numbered = tasks(fx).select("task_id", "file_order")
+    b = numbered.join(ran, "file_order", "left_anti").select("task_id", F.lit("missing_preflight_row").alias("code"), F.lit("error").alias("severity"))
+    p = preflight(fx).where(F.col("status").isin("FAIL", "WARN")).join(numbered.join(ran, "file_order", "left_semi").select("task_id"), "task_id", "left_semi")
+    c = p.select("task_id", F.concat("pipeline", F.lit("_preflight_"), F.lower("status")).alias("code"), F.when(F.col("status") == "FAIL", "error").otherwise("warning").alias("severity"))
+    return a.unionByName(b).unionByName(c).where("code not like 'bad %'").dropDuplicates(["task_id", "code", "severity"])
 
 
 @query("issue_report", ISSUES)
@@ -136,12 +142,16 @@ def _(fx: Fixtures) -> DataFrame:
     return steps(fx).where("eligible").join(done, ["task_id", "pipeline"], "left_anti").select("task_id", "pipeline")
 
 
-@query("bulk_summary", f"SELECT iso3, count(*) AS units, {dec('t')} AS pop_total, {dec('a')} AS pop_affected, CASE WHEN iso3 = 'ASIA' THEN 0.05e0 ELSE 0.02e0 END AS tolerance FROM ({UNIT_PCT}) GROUP BY iso3")
+@query("bulk_summary", f"SELECT iso3, substr(iso3, 1, 3) AS alias, units, pop_total, pop_affected, zero_units, round(assigned / total, 6) AS assigned_fraction, {TOLERANCE_SQL} AS tolerance, coalesce(assigned / total BETWEEN 1 - {TOLERANCE_SQL} AND 1 + {TOLERANCE_SQL}, false) AS within, CASE WHEN NOT coalesce(assigned / total BETWEEN 1 - {TOLERANCE_SQL} AND 1 + {TOLERANCE_SQL}, false) THEN 'denominator_mismatch' WHEN zero_units > 0 THEN 'zero_population' ELSE 'ok' END AS flag FROM (SELECT iso3, count(*) AS units, {dec('t')} AS pop_total, {dec('a')} AS pop_affected, count(*) FILTER (WHERE t <= 0) AS zero_units FROM ({UNIT_PCT}) GROUP BY iso3) JOIN ({CAPPED_TOTALS}) USING (iso3)")
 def _(fx: Fixtures) -> DataFrame:
+    """One row for each country: its sums, the part of its population that found a unit
+    against the country's tolerance, and the first flag."""
     u = flood_units(fx).join(F.broadcast(fx.admin_units.select("admin_id", "iso3")), "admin_id")
-    sums = u.groupBy("iso3").agg(F.count("*").alias("units"), S.dsum(F.col("pop_total")).alias("pop_total"), S.dsum(F.col("pop_affected")).alias("pop_affected"))
-    overrides = fx.table("region").where("r_name = 'ASIA'").select(F.col("r_name").alias("iso3"), F.lit(0.05).alias("given"))
-    return sums.join(F.broadcast(overrides), "iso3", "left").withColumn("tolerance", F.coalesce("given", F.lit(0.02))).drop("given")
+    sums = u.groupBy("iso3").agg(F.count("*").alias("units"), S.dsum(F.col("pop_total")).alias("pop_total"), S.dsum(F.col("pop_affected")).alias("pop_affected"), F.count_if(F.col("pop_total") <= 0).alias("zero_units"))
+    cells = fx.population_cells.where("pop <= 9800").join(fx.admin_cells.select("cell_id", "iso3"), "cell_id")
+    shares = assigned_fractions(fx, cells.groupBy("iso3").agg(S.dsum(F.col("pop")).alias("assigned"))).select("iso3", F.col("fraction").alias("assigned_fraction"), "tolerance", "within")
+    flag = F.when(~F.col("within"), "denominator_mismatch").when(F.col("zero_units") > 0, "zero_population").otherwise("ok")
+    return sums.join(shares, "iso3").select("iso3", F.substring("iso3", 1, 3).alias("alias"), "units", "pop_total", "pop_affected", "zero_units", "assigned_fraction", "tolerance", "within", flag.alias("flag"))
 
 
 @query("download_manifest_ok", "SELECT o_custkey AS kind, count(*) FILTER (WHERE o_orderstatus <> 'F') > 0 AS ok, arg_min(o_orderpriority, o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS first_error FROM orders GROUP BY o_custkey")

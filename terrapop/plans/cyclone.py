@@ -240,8 +240,7 @@ CYCLONE = f"""SELECT u.admin_id, coalesce(t, 0) AS pop_total, coalesce(a63, 0) A
  FROM ({FILL}) f JOIN population_cells USING (row_no, col_no) LEFT JOIN ({CELL_BANDS}) b USING (row_no, col_no) GROUP BY admin_id) x USING (admin_id) LEFT JOIN ({COUNTS}) c USING (admin_id)"""
 
 
-@query("cyclone_exposure", CYCLONE)
-def _(fx: Fixtures) -> DataFrame:
+def cyclone_table(fx: Fixtures) -> DataFrame:
     """Population inside footprints of each band, the mean of the highest band over people,
     and the storms that meet the unit."""
     found = files.stored(footprints(fx))
@@ -254,6 +253,11 @@ def _(fx: Fixtures) -> DataFrame:
     return every.select("admin_id", F.coalesce(total, F.lit(0.0)).alias("pop_total"), F.coalesce("a63", F.lit(0.0)).alias("pop_affected"), S.pct(F.col("a63"), total).alias("pct_affected"), *shares, F.when(total > 0, F.round(F.col("w") / total, 6)).alias("popwtd_maxwind_kmh"), F.coalesce("storms", F.lit(0)).alias("storm_count"))
 
 
+@query("cyclone_exposure", CYCLONE)
+def _(fx: Fixtures) -> DataFrame:
+    return cyclone_table(fx)
+
+
 AUDIT = f"""SELECT m.sid, s.provisional, m.max_wind, m.c63, m.c93, m.c119, m.fallback_thresholds, CASE WHEN m.primary_method = 'wind_radii' THEN 'complete' WHEN m.primary_method = 'external' THEN 'complete_with_fallback' WHEN NOT m.expected63 THEN 'below_primary_threshold' ELSE 'missing_primary_footprint' END AS status
  FROM (SELECT sid, max(max_wind) AS max_wind, max(CASE WHEN threshold = 63 THEN completeness END) AS c63, max(CASE WHEN threshold = 93 THEN completeness END) AS c93, max(CASE WHEN threshold = 119 THEN completeness END) AS c119,
   coalesce(string_agg(CASE WHEN method = 'external' THEN CAST(threshold AS VARCHAR) END, ',' ORDER BY threshold), '') AS fallback_thresholds, max(CASE WHEN threshold = 63 THEN method END) AS primary_method, bool_or(threshold = 63 AND expected) AS expected63 FROM ({METHODS}) GROUP BY sid) m

@@ -11,8 +11,8 @@ from terrapop.sources import files
 from terrapop.sources.fixtures import Fixtures
 
 from .basic import FLOOD_DAYS, ISLANDS, LABELLED_DAYS, MONTHS, PARSED, UNIT_PCT, baseline, dec, drought_floor, flood_units, parsed_manifest
-from .cyclone import CELL_BANDS, CYCLONE, cell_bands, footprints
-from .geometry import DISCS, FILL, event_discs
+from .cyclone import CELL_BANDS, CYCLONE, METHODS, PROVISIONAL, band_methods, cell_bands, cyclone_table, footprints, provisional
+from .geometry import DISCS, EDGES, FILL, event_discs
 from .registry import query
 
 
@@ -146,9 +146,11 @@ def _(fx: Fixtures) -> DataFrame:
     return label_bands(fx, ("heat",))
 
 
-@query("flood_exposure", f"""SELECT e.*, round(mean_days, 6) AS mean_days, max_days, person_days, round(CASE WHEN pop_total > 0 THEN person_days / pop_total END, 6) AS popwtd_days FROM ({FLOOD_ANY}) e LEFT JOIN
- (SELECT admin_id, avg(coalesce(CAST(flood_days AS DOUBLE), 0)) AS mean_days, max(coalesce(flood_days, 0)) AS max_days, coalesce({dec('pop * coalesce(flood_days, 0)')}, 0) AS person_days FROM population_cells JOIN admin_cells USING (cell_id) LEFT JOIN ({FLOOD_DAYS}) h ON h.hcell_id = floor(row_no / 2) * 10 + floor(col_no / 5) GROUP BY admin_id) d USING (admin_id)""")
-def _(fx: Fixtures) -> DataFrame:
+FLOOD_DETAIL = f"""SELECT e.*, round(mean_days, 6) AS mean_days, max_days, person_days, round(CASE WHEN pop_total > 0 THEN person_days / pop_total END, 6) AS popwtd_days FROM ({FLOOD_ANY}) e LEFT JOIN
+ (SELECT admin_id, avg(coalesce(CAST(flood_days AS DOUBLE), 0)) AS mean_days, max(coalesce(flood_days, 0)) AS max_days, coalesce({dec('pop * coalesce(flood_days, 0)')}, 0) AS person_days FROM population_cells JOIN admin_cells USING (cell_id) LEFT JOIN ({FLOOD_DAYS}) h ON h.hcell_id = floor(row_no / 2) * 10 + floor(col_no / 5) GROUP BY admin_id) d USING (admin_id)"""
+
+
+def flood_detail(fx: Fixtures) -> DataFrame:
     """Flooded on more days than the default threshold, with mean, greatest and weighted days;
     cells that were never seen have none."""
     days = temporal.flood_days(fx.flood_obs, "hcell_id", "acq_ts", "pix")
@@ -161,6 +163,11 @@ def _(fx: Fixtures) -> DataFrame:
     return every.select("admin_id", total.alias("pop_total"), F.coalesce("a", F.lit(0.0)).alias("pop_affected"), S.pct(F.col("a"), F.col("t")).alias("pct_affected"), "mean_days", "max_days", "person_days", F.when(total > 0, F.round(F.col("person_days") / total, 6)).alias("popwtd_days"))
 
 
+@query("flood_exposure", FLOOD_DETAIL)
+def _(fx: Fixtures) -> DataFrame:
+    return flood_detail(fx)
+
+
 DEPRIVED = f"SELECT e.*, national_pct, coalesce(pct_affected > national_pct, false) AS deprived FROM ({QUAKE}) e JOIN admin_units USING (admin_id) JOIN (SELECT iso3, threshold, CASE WHEN sum(pop_total) > 0 THEN round(100 * {dec('pop_affected')} / {dec('pop_total')}, 6) END AS national_pct FROM ({QUAKE}) JOIN admin_units USING (admin_id) GROUP BY iso3, threshold) n USING (iso3, threshold)"
 
 
@@ -216,18 +223,26 @@ def _(fx: Fixtures) -> DataFrame:
     return all_hazards(fx)
 
 
-@query("union_hazard_summaries", f"SELECT hazard, threshold, iso3, {dec('pop_total')} AS pop_total, {dec('pop_affected')} AS pop_affected FROM ({ALL_SQL}) GROUP BY hazard, threshold, iso3")
+UNITED = f"SELECT 'flood' AS hazard, NULL AS threshold, admin_id, pop_total, pop_affected, max_days, person_days, NULL AS storm_count FROM ({FLOOD_DETAIL}) UNION ALL SELECT 'cyclone', NULL, admin_id, pop_total, pop_affected, NULL, NULL, storm_count FROM ({CYCLONE}) UNION ALL SELECT hazard, threshold, admin_id, pop_total, pop_affected, NULL, NULL, NULL FROM ({DROUGHT})"
+
+
+@query("union_hazard_summaries", f"SELECT hazard, threshold, iso3, count(*) AS units, {dec('pop_total')} AS pop_total, {dec('pop_affected')} AS pop_affected, max(max_days) AS max_days, {dec('person_days')} AS person_days, CAST(sum(storm_count) AS BIGINT) AS storm_count FROM ({UNITED}) JOIN admin_units USING (admin_id) GROUP BY hazard, threshold, iso3")
 def _(fx: Fixtures) -> DataFrame:
-    """The union of tables whose extra columns differ, summed by country."""
-    flood = contract_units(fx, flood_units(fx), "flood").where("false")
-    every = flood.unionByName(all_hazards(fx), allowMissingColumns=True)
-    return every.groupBy("hazard", "threshold", "iso3").agg(S.dsum(F.col("pop_total")).alias("pop_total"), S.dsum(F.col("pop_affected")).alias("pop_affected"))
+    """The union of flood, cyclone and drought tables, whose extra columns differ, summed by
+    country: what a table doesn't have is null."""
+    flood, cyclone = flood_detail(fx).withColumn("hazard", F.lit("flood")), cyclone_table(fx).withColumn("hazard", F.lit("cyclone"))
+    every = flood.unionByName(cyclone, allowMissingColumns=True).unionByName(label_bands(fx, ("drought",)), allowMissingColumns=True)
+    named = every.join(F.broadcast(fx.admin_units.select("admin_id", "iso3")), "admin_id")
+    return named.groupBy("hazard", "threshold", "iso3").agg(F.count("*").alias("units"), S.dsum(F.col("pop_total")).alias("pop_total"), S.dsum(F.col("pop_affected")).alias("pop_affected"), F.max("max_days").alias("max_days"), S.dsum(F.col("person_days")).alias("person_days"), F.sum("storm_count").alias("storm_count"))
 
 
 @query("hazard_method_registry", f"SELECT hazard, CASE hazard " + " ".join(f"WHEN '{h}' THEN '{p}'" for h, p, _ in contract.METHODS) + f" END AS pipeline_id, rule, count(*) AS units FROM ({ALL_SQL}) GROUP BY hazard, rule")
 def _(fx: Fixtures) -> DataFrame:
-    m = F.broadcast(contract.methods(fx.spark))
-    return all_hazards(fx).select("hazard").join(m, "hazard").groupBy("hazard", "pipeline_id", "rule").agg(F.count("*").alias("units"))
+    """Each hazard's pipeline and rule with the rows that its table has: one for each unit and
+    reported band."""
+    bands = {"drought": len(DROUGHT_AT), "heat": len(HEAT_AT) + 1, "flood": 1, "earthquake": len(QUAKE_AT), "cyclone": len(S.KMH_TO_KNOTS), "violence": 1}
+    m = contract.methods(fx.spark).join(fx.spark.createDataFrame(list(bands.items()), "hazard string, bands int"), "hazard")
+    return fx.admin_units.join(F.broadcast(m), F.lit(True)).groupBy("hazard", "pipeline_id", "rule").agg(F.sum("bands").cast("long").alias("units"))
 
 
 @query("sink_admin_summary", f"SELECT run_id, hazard, iso3, admin_id, pop_total, pop_affected, pct_affected FROM ({FLOOD_SUMMARY})")
@@ -379,32 +394,54 @@ def _(fx: Fixtures) -> DataFrame:
     return flood_units(fx).agg(F.count("*").alias("units"), S.dsum(F.col("pop_total")).alias("total"), S.dsum(F.col("pop_affected")).alias("affected"), F.round(F.min("pct_affected"), 6).alias("min_pct"), F.round(F.max("pct_affected"), 6).alias("max_pct"))
 
 
-LAYER = "SELECT o_custkey AS layer, min(west) AS w, min(south) AS s, max(east) AS e, max(north) AS n FROM stac_items JOIN orders ON o_orderkey = item_id WHERE href IS NOT NULL GROUP BY o_custkey"
+UNIT_BOXES = "SELECT admin_id, 30 + min(x) * 0.1e0 AS tw, 30 + max(x) * 0.1e0 AS te, 20 - max(y) * 0.1e0 AS ts, 20 - min(y) * 0.1e0 AS tn FROM admin_points GROUP BY admin_id"
+LAYER = "SELECT o_custkey AS layer, max(west) AS w, max(south) AS s, min(east) AS e, min(north) AS n FROM stac_items JOIN orders ON o_orderkey = item_id WHERE href IS NOT NULL GROUP BY o_custkey"
+LAYER_AUDIT = f"SELECT c_custkey AS layer, iso3, CASE WHEN l.layer IS NULL THEN 'missing_file' WHEN w >= e OR s >= n THEN 'error: no bounds' ELSE 'ok' END AS status, CASE WHEN w < e AND s < n THEN round(100 * greatest(0, least(e, te) - greatest(w, tw)) * greatest(0, least(n, tn) - greatest(s, ts)) / ((te - tw) * (tn - ts)), 3) ELSE 0 END AS pct FROM customer JOIN admin_units u ON u.admin_id = c_nationkey + 1 JOIN ({UNIT_BOXES}) b ON b.admin_id = u.admin_id LEFT JOIN ({LAYER}) l ON l.layer = c_custkey"
 
 
-def layer_boxes(fx: Fixtures) -> DataFrame:
-    i = fx.stac_items.where("href is not null").join(fx.table("orders").select(F.col("o_orderkey").alias("item_id"), F.col("o_custkey").alias("layer")), "item_id")
-    return i.groupBy("layer").agg(F.min("west").alias("w"), F.min("south").alias("s"), F.max("east").alias("e"), F.max("north").alias("n"))
+def unit_boxes(fx: Fixtures) -> DataFrame:
+    """Box of each unit in degrees: admin_id, tw, ts, te, tn."""
+    return fx.admin_points.groupBy("admin_id").agg((30 + F.min("x") * 0.1).alias("tw"), (20 - F.max("y") * 0.1).alias("ts"), (30 + F.max("x") * 0.1).alias("te"), (20 - F.min("y") * 0.1).alias("tn"))
 
 
-COVER = "round(100 * greatest(0, least(e, 31.5e0) - greatest(w, 31e0)) * greatest(0, least(n, 19.5e0) - greatest(s, 19e0)) / 0.25e0, 6)"
+def items_of(fx: Fixtures) -> DataFrame:
+    """Items with an asset, with their layer and source."""
+    return fx.stac_items.where("href is not null").join(fx.table("orders").select(F.col("o_orderkey").alias("item_id"), F.col("o_custkey").alias("layer"), F.col("o_orderpriority").alias("source")), "item_id")
 
 
-def layer_cover(fx: Fixtures) -> DataFrame:
-    target = tuple(F.lit(v) for v in (31.0, 19.0, 31.5, 19.5))
-    boxes = layer_boxes(fx).withColumn("pct", F.round(grid.bbox_coverage(target, tuple(F.col(c) for c in "wsen")), 6))
-    return fx.table("customer").select(F.col("c_custkey").alias("layer"), F.col("c_mktsegment").alias("segment")).join(boxes, "layer", "left")
+def layer_audit(fx: Fixtures) -> DataFrame:
+    """Each layer's share of the box of its own unit: a layer is what all its items have in
+    common, which may be nothing; one without items has no file."""
+    boxes = items_of(fx).groupBy("layer").agg(F.max("west").alias("w"), F.max("south").alias("s"), F.min("east").alias("e"), F.min("north").alias("n"))
+    units = F.broadcast(unit_boxes(fx).join(fx.admin_units.select("admin_id", "iso3"), "admin_id"))
+    every = fx.table("customer").select(F.col("c_custkey").alias("layer"), (F.col("c_nationkey") + 1).cast("long").alias("admin_id")).join(units, "admin_id").join(boxes, "layer", "left")
+    bounded = (F.col("w") < F.col("e")) & (F.col("s") < F.col("n"))
+    cover = F.round(grid.bbox_coverage(tuple(F.col(c) for c in ("tw", "ts", "te", "tn")), tuple(F.col(c) for c in "wsen")), 3)
+    status = F.when(F.col("w").isNull(), "missing_file").when(~bounded, "error: no bounds").otherwise("ok")
+    return every.select("layer", "iso3", status.alias("status"), F.coalesce(F.when(bounded, cover), F.lit(0.0)).alias("pct"))
 
 
-@query("layer_coverage_audit", f"SELECT c_custkey AS layer, pct, CASE WHEN pct IS NULL THEN 'missing' WHEN pct >= 99.999 THEN 'full' ELSE 'partial' END AS status FROM customer LEFT JOIN (SELECT layer, {COVER} AS pct FROM ({LAYER})) l ON layer = c_custkey")
+@query("layer_coverage_audit", f"SELECT *, pct >= 99.999 AS complete FROM ({LAYER_AUDIT})")
 def _(fx: Fixtures) -> DataFrame:
-    p = F.col("pct")
-    return layer_cover(fx).select("layer", "pct", F.when(p.isNull(), "missing").when(p >= 99.999, "full").otherwise("partial").alias("status"))
+    return layer_audit(fx).withColumn("complete", F.col("pct") >= 99.999)
+
 
+COUNTRY_BOXES = f"SELECT iso3, min(tw) AS tw, min(ts) AS ts, max(te) AS te, max(tn) AS tn FROM ({UNIT_BOXES}) JOIN admin_units USING (admin_id) GROUP BY iso3"
 
-@query("hazard_coverage_by_country", f"SELECT c_mktsegment AS segment, count(*) AS layers, count(pct) AS present, count(*) FILTER (WHERE pct >= 99.999) AS complete, round(max(pct), 6) AS best FROM customer LEFT JOIN (SELECT layer, {COVER} AS pct FROM ({LAYER})) l ON layer = c_custkey GROUP BY c_mktsegment")
+
+@query("hazard_coverage_by_country", f"SELECT b.iso3, x.source, coalesce(items, 0) AS items, coalesce(best, 0) AS best_pct, CASE WHEN items IS NULL THEN 'missing' WHEN best >= 99.999 THEN 'full' WHEN best > 0 THEN 'partial' ELSE 'none' END AS status FROM ({COUNTRY_BOXES}) b CROSS JOIN (SELECT DISTINCT o_orderpriority AS source FROM orders) x LEFT JOIN (SELECT u.iso3, o_orderpriority AS source, count(*) AS items, max(round(100 * greatest(0, least(east, te) - greatest(west, tw)) * greatest(0, least(north, tn) - greatest(south, ts)) / ((te - tw) * (tn - ts)), 6)) AS best FROM stac_items JOIN orders ON o_orderkey = item_id JOIN customer ON c_custkey = o_custkey JOIN admin_units u ON u.admin_id = c_nationkey + 1 JOIN ({COUNTRY_BOXES}) k ON k.iso3 = u.iso3 WHERE href IS NOT NULL AND o_totalprice > 400000 GROUP BY u.iso3, o_orderpriority) i ON i.iso3 = b.iso3 AND i.source = x.source")
 def _(fx: Fixtures) -> DataFrame:
-    return layer_cover(fx).groupBy("segment").agg(F.count("*").alias("layers"), F.count("pct").alias("present"), F.count_if(F.col("pct") >= 99.999).alias("complete"), F.round(F.max("pct"), 6).alias("best"))
+    """A row for each country and source: its items of large orders, and the best share of the
+    country's box that one of them covers."""
+    boxes = F.broadcast(unit_boxes(fx).join(fx.admin_units.select("admin_id", "iso3"), "admin_id").groupBy("iso3").agg(F.min("tw").alias("tw"), F.min("ts").alias("ts"), F.max("te").alias("te"), F.max("tn").alias("tn")))
+    sources = F.broadcast(fx.table("orders").select(F.col("o_orderpriority").alias("source")).distinct())
+    country = fx.table("customer").select(F.col("c_custkey").alias("layer"), (F.col("c_nationkey") + 1).cast("long").alias("admin_id")).join(F.broadcast(fx.admin_units.select("admin_id", "iso3")), "admin_id")
+    large = fx.table("orders").where("o_totalprice > 400000").select(F.col("o_orderkey").alias("item_id"))
+    cover = F.round(grid.bbox_coverage(tuple(F.col(c) for c in ("tw", "ts", "te", "tn")), tuple(F.col(c) for c in ("west", "south", "east", "north"))), 6)
+    found = items_of(fx).join(large, "item_id", "left_semi").join(country, "layer").join(boxes, "iso3").groupBy("iso3", "source").agg(F.count("*").alias("items"), F.max(cover).alias("best"))
+    every = boxes.select("iso3").join(sources, F.lit(True)).join(found, ["iso3", "source"], "left")
+    status = F.when(F.col("items").isNull(), "missing").when(F.col("best") >= 99.999, "full").when(F.col("best") > 0, "partial").otherwise("none")
+    return every.select("iso3", "source", F.coalesce("items", F.lit(0)).alias("items"), F.coalesce("best", F.lit(0.0)).alias("best_pct"), status.alias("status"))
 
 
 GRID_A = "SELECT admin_id, min(lon) - 0.05e0 AS w, max(lat) + 0.05e0 AS n, max(col_no) - min(col_no) + 1 AS cols, max(row_no) - min(row_no) + 1 AS rows_ FROM population_cells JOIN admin_cells USING (cell_id) GROUP BY admin_id"
@@ -449,8 +486,9 @@ def checked_runs(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     of the cells themselves, of a population raster whose cells hold 9,000 people at most."""
     country = F.broadcast(fx.admin_units.select("admin_id", "iso3"))
     run = F.concat_ws("_", "iso3", "hazard")
-    summary = label_bands(fx, ("drought", "heat", "flood")).join(country, "admin_id").withColumn("run_id", run)
     cells, bands = hazard_cells(fx, ("drought", "heat", "flood"))
+    cells = files.stored(cells.select("cell_id", "iso3", "pop", "spei", "utci", "p95", "flood_days"))
+    summary = zonal.exposure_bands(cells, fx.admin_cells, fx.admin_units, bands).join(country, "admin_id").withColumn("run_id", run)
     capped = cells.drop("iso3").withColumn("pop", F.least("pop", F.when(F.col("pop").isNotNull(), 9000.0))).join(fx.admin_cells.select("cell_id", "iso3"), "cell_id")
     hits = F.array(*[F.struct(F.lit(h).alias("hazard"), F.lit(t).alias("threshold"), F.coalesce(c, F.lit(False)).alias("hit")) for (h, t), c in bands.items()])
     sums = capped.withColumn("b", F.explode(hits)).groupBy("iso3", "b.hazard", "b.threshold").agg(S.dsum(F.col("pop")).alias("recorded_total"), S.dsum(F.when(F.col("b.hit"), F.col("pop")).otherwise(0.0)).alias("recorded_affected"))
@@ -476,3 +514,29 @@ def _(fx: Fixtures) -> DataFrame:
 @query("check_quality_rows", f"WITH {_JOINED} SELECT run_id, hazard, threshold, units, total, affected, min_pct, max_pct, round(affected - recorded_affected, 4) AS diff, round(100 * (affected - recorded_affected) / nullif(recorded_affected, 0), 6) AS diff_pct FROM s JOIN (SELECT run_id, hazard, threshold, count(*) AS units, round(min(pct_affected), 6) AS min_pct, round(max(pct_affected), 6) AS max_pct FROM x GROUP BY ALL) USING (run_id, hazard, threshold)")
 def _(fx: Fixtures) -> DataFrame:
     return checks.quality_rows(*checked_runs(fx))
+
+
+# All flags of the output contract
+
+PASSED = f"SELECT DISTINCT sid, iso3 FROM (SELECT sid, event_id, admin_id FROM (SELECT sid, event_id, (lon - 30) / 0.1e0 AS px, (20 - lat) / 0.1e0 AS py FROM track_points) p JOIN ({EDGES}) e ON (y1 > py) <> (y2 > py) AND px < x1 + (py - y1) * (x2 - x1) / (y2 - y1) GROUP BY sid, event_id, admin_id HAVING count(*) % 2 = 1) JOIN admin_units USING (admin_id)"
+STORM_FLAGS = f"SELECT iso3, bool_or(threshold = 63 AND expected AND method = 'none') AS missing, bool_or(threshold = 63 AND method = 'external') AS replaced, bool_or(method = 'external') AS other_method, bool_or(threshold <> 63 AND expected AND method = 'none') AS incomplete, bool_or(provisional) AS provisional FROM ({PASSED}) p JOIN ({METHODS}) m ON m.sid = p.sid JOIN (SELECT sid, {PROVISIONAL} AS provisional FROM track_points GROUP BY sid) v ON v.sid = p.sid GROUP BY iso3"
+QUALIFIED = f"SELECT DISTINCT iso3 FROM (SELECT event_id, iso3 FROM ({SHAKEN}) GROUP BY event_id, iso3 HAVING max(mmi) >= {QUAKE_AT[0]})"
+
+
+@query("quality_flags_by_unit", f"SELECT u.admin_id, CASE WHEN coalesce(missing, false) THEN 'incomplete' WHEN coalesce(replaced, false) THEN 'fallback' ELSE 'complete' END AS flag_windradii, coalesce(provisional, false) AS flag_provisional, coalesce(incomplete, false) AS flag_severity_incomplete, coalesce(other_method, false) AS flag_method_fallback, coalesce(t, 0) <= 0 AS flag_zero_population, q.iso3 IS NULL AS flag_no_qualifying_events FROM admin_units u LEFT JOIN ({STORM_FLAGS}) s ON s.iso3 = u.iso3 LEFT JOIN ({QUALIFIED}) q ON q.iso3 = u.iso3 LEFT JOIN (SELECT admin_id, {dec('pop')} AS t FROM population_cells JOIN admin_cells USING (cell_id) WHERE pop > 9900 GROUP BY admin_id) p ON p.admin_id = u.admin_id")
+def _(fx: Fixtures) -> DataFrame:
+    """The six flags of each unit: of the storms that pass through its country, of its
+    population in crowded cells, and of the events that count there."""
+    places = fx.track_points.select(F.struct("sid", "event_id").alias("point_id"), ((F.col("lon") - 30) / 0.1).alias("px"), ((20 - F.col("lat")) / 0.1).alias("py"))
+    country = F.broadcast(fx.admin_units.select("admin_id", "iso3"))
+    passed = grid.points_in_units(places, fx.admin_points).select(F.col("point_id.sid").alias("sid"), "admin_id").distinct().join(country, "admin_id").select("sid", "iso3").distinct()
+    storms = band_methods(fx).join(fx.track_points.groupBy("sid").agg(provisional().alias("provisional")), "sid")
+    first, none, other = F.col("threshold") == 63, F.col("expected") & (F.col("method") == "none"), F.col("method") == "external"
+    flags = passed.join(storms, "sid").groupBy("iso3").agg(F.bool_or(first & none).alias("missing"), F.bool_or(first & other).alias("replaced"), F.bool_or(other).alias("other_method"), F.bool_or(~first & none).alias("incomplete"), F.bool_or("provisional").alias("provisional"))
+    quads, fine = shaken_quads(fx)
+    counted = shaking.counted_events(quads, fine, QUAKE_AT[0]).select("iso3").distinct().withColumn("counted", F.lit(True))
+    people = zonal.labelled_sum(fx.population_cells.where("pop > 9900"), fx.admin_cells, fx.admin_units, {"t": F.col("pop")})
+    u = fx.admin_units.select("admin_id", "iso3").join(F.broadcast(flags), "iso3", "left").join(F.broadcast(counted), "iso3", "left").join(people, "admin_id")
+    some = lambda c: F.coalesce(c, F.lit(False))
+    radii = F.when(some("missing"), "incomplete").when(some("replaced"), "fallback").otherwise("complete")
+    return u.select("admin_id", radii.alias("flag_windradii"), some("provisional").alias("flag_provisional"), some("incomplete").alias("flag_severity_incomplete"), some("other_method").alias("flag_method_fallback"), (F.col("t") <= 0).alias("flag_zero_population"), F.col("counted").isNull().alias("flag_no_qualifying_events"))
