@@ -27,6 +27,17 @@ def _(fx: Fixtures) -> DataFrame:
     return folds.drain(folds.flood_days(obs), "append").groupBy("hcell_id").agg(F.count_if("hit").alias("flood_days"))
 
 
+@query("stream_flood_report", "SELECT count(*) AS rows, count(*) FILTER (WHERE event_type = 'error') AS failed, 0 AS late FROM events")
+def _(fx: Fixtures) -> DataFrame:
+    """What the job above read, could not use and dropped as late: all files come in one
+    trigger, so nothing is late."""
+    pix = F.when(F.col("event_type") == "error", None).when(F.col("event_type") == "view", 0).otherwise(1)
+    obs = events(fx).select(F.col("user_id").alias("hcell_id"), "acq_ts", pix.alias("pix"))
+    base = folds.work_dir(fx.spark)
+    folds.drain(folds.flood_days(folds.counted(obs, F.col("acq_ts").isNull() | F.col("pix").isNull())), "append", base, report=True)
+    return folds.report_of(fx.spark, base).agg(*[F.sum(c).alias(c) for c in ("rows", "failed", "late")])
+
+
 COUNTRY_CELLS = "SELECT DISTINCT CAST(floor(row_no / 3) * 10 + floor(col_no / 5) AS BIGINT) AS hcell_id FROM population_cells JOIN admin_cells USING (cell_id)"
 REAL = "SELECT event_id FROM quake_catalog WHERE event_type = 'earthquake' AND NOT regexp_matches(lower(title), 'scenario|exercise|test event')"
 GATED = f"SELECT event_id FROM shake_cells WHERE event_id IN ({REAL}) AND hcell_id IN ({COUNTRY_CELLS}) GROUP BY event_id HAVING max(mmi) >= 6"

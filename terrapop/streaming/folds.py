@@ -6,11 +6,13 @@ leaves a table that grows on the next run; its checkpoint holds what was read.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from terrapop.sources.files import shared_dir
 
@@ -29,15 +31,71 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]")  # a pattern, as the table may be one file
 
 
-def drain(stream: DataFrame, mode: str, base: str | None = None) -> DataFrame:
-    """Runs the stream over what is there into a Parquet table (append)."""
+#: The name of what ``counted`` observes.
+SEEN = "seen"
+REPORT = "batch_id long, rows long, failed long, late long"
+
+
+def counted(stream: DataFrame, failed: Column) -> DataFrame:
+    """The stream, with its rows and those that ``failed`` counted in every trigger."""
+    return stream.observe(SEEN, F.count(F.lit(1)).alias("rows"), F.count_if(F.coalesce(failed, F.lit(True))).alias("failed"))
+
+
+class _Progress(StreamingQueryListener):
+    """Progress of every trigger; what a query keeps of it by itself is bounded."""
+
+    def __init__(self):
+        self.by_run: dict[str, list] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: ANN001, N802
+        self.by_run.setdefault(str(event.runId), [])
+
+    def onQueryProgress(self, event) -> None:  # noqa: ANN001, N802
+        self.by_run.setdefault(str(event.progress.runId), []).append(event.progress)
+
+    def onQueryIdle(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: ANN001, N802
+        self.by_run.setdefault(str(event.runId), []).append(None)
+
+
+def drain(stream: DataFrame, mode: str, base: str | None = None, report: bool = False) -> DataFrame:
+    """Runs the stream over what is there into a Parquet table (append).
+
+    With ``report`` a second table beside it (``report_of``) gets a row for each trigger: rows
+    read and failed, as ``counted`` observes them, and rows of the state's input that the
+    watermark dropped (those of a key, day and task are one).
+    """
     spark = stream.sparkSession
     base = base or work_dir(spark)
-    q = stream.writeStream.outputMode(mode).format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
-    q.awaitTermination()
+    listener = _Progress()
+    if report:
+        spark.streams.addListener(listener)
+    try:
+        q = stream.writeStream.outputMode(mode).format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+        if report:
+            run, until = str(q.runId), time.monotonic() + 60
+            while (listener.by_run.get(run) or [1])[-1] is not None and time.monotonic() < until:
+                time.sleep(0.05)
+            rows = []
+            for p in listener.by_run.get(run, []):
+                if p is not None:
+                    seen = p.observedMetrics.get(SEEN)
+                    rows.append((p.batchId, (seen["rows"] if seen else p.numInputRows) or 0, (seen["failed"] if seen else 0) or 0, sum(o.numRowsDroppedByWatermark for o in p.stateOperators)))
+            spark.createDataFrame(rows, REPORT).write.mode("append").parquet(f"{base}/report")
+    finally:
+        if report:
+            spark.streams.removeListener(listener)
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
+def report_of(spark: SparkSession, base: str) -> DataFrame:
+    """(batch_id, rows, failed, late) of all runs on ``base``."""
+    return spark.read.schema(REPORT).parquet(f"{base}/report")
+
+
 def flood_days(obs: DataFrame, cell: str = "hcell_id", ts: str = "acq_ts", pix: str = "pix", late: str = "1 day") -> DataFrame:
     """(cell, day, hit): one row for each closed day; later rows than ``late`` are dropped.
     The last open day comes when the watermark passes it."""

@@ -8,7 +8,7 @@ import pytest
 from terrapop.operators import quantiles
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 4096])
+@pytest.mark.parametrize("buckets", [64, 65_536])
 def test_percentiles(spark, buckets):
     rng = random.Random(buckets)
     groups = {"one": [3.5], "ties": [2.0] * 50 + [1.0] * 3, "wide": [rng.choice([1e-300, -1e300, 1e300, 0.0, 5.0]) for _ in range(40)], "many": [rng.gauss(0, 1) ** 9 for _ in range(700)], "near": [1 + k * 2**-52 for k in range(30)], "two": [1.0, 2.0]}

@@ -64,3 +64,32 @@ def test_maxima_survive_a_restart(spark, tmp_path):
         for c, v in part:
             want[c] = max(v, want.get(c, v))
         assert {r.cell: r.v for r in found.collect()} == want, k
+
+
+def test_late_and_failed_rows_are_reported(spark, tmp_path):
+    """Three files, a trigger each: the last one's days are closed already. Its rows, and those
+    without a value, are in the report, and a second run adds its own."""
+    import datetime
+    import os
+    import time
+
+    schema = "hcell_id long, acq_ts timestamp, pix int"
+    day = lambda d: datetime.datetime(2024, 1, d, 12)
+    for k, rows in enumerate(([(1, day(1), 1), (2, day(2), None), (1, day(10), 1)], [(1, day(20), 1), (3, None, 1)], [(1, day(3), 1), (2, day(4), 1), (2, day(21), 1)])):
+        path = f"{tmp_path}/in/{k}.parquet"
+        os.makedirs(f"{tmp_path}/in", exist_ok=True)
+        spark.createDataFrame(rows, schema).toPandas().astype({"pix": "Int32"}).to_parquet(path, coerce_timestamps="us")
+        os.utime(path, (time.time() - 100 + k, time.time() - 100 + k))
+    base = f"file://{tmp_path}/job"
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        obs = folds.counted(stream, F.col("acq_ts").isNull() | F.col("pix").isNull())
+        return folds.drain(folds.flood_days(obs), "append", base, report=True)
+
+    days = sorted((r.hcell_id, r.day.day, r.hit) for r in run().collect())
+    assert days == [(1, 1, True), (1, 10, True), (2, 2, None)]
+    report = folds.report_of(spark, base)
+    assert tuple(report.agg(F.sum("rows"), F.sum("failed"), F.sum("late")).first()) == (8, 2, 2)
+    run()
+    assert tuple(report.agg(F.sum("rows"), F.sum("failed"), F.sum("late")).first()) == (8, 2, 2)
