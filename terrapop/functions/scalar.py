@@ -50,6 +50,11 @@ def norm_storm_name(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.upper(F.trim(name)), "-[0-9]+$", ""), "[^A-Z0-9]", "")
 
 
+def admin_level(given: Column, layer: Column) -> Column:
+    """The level that is given, else the first digits in the layer's name, else null."""
+    return F.coalesce(given.cast("int"), F.nullif(F.regexp_extract(layer, r"(\d+)", 1), F.lit("")).cast("int"))
+
+
 def window_start(end: Column, months: int | Column) -> Column:
     """First day of the look-back window that ends on ``end``."""
     return F.date_add(F.add_months(end, -months if isinstance(months, int) else -months), 1)

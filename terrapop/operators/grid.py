@@ -215,6 +215,23 @@ def valid_rings(points: DataFrame, unit: str = "admin_id") -> DataFrame:
     return e.select(unit, F.abs("area").alias("area"), ((F.col("n") + 1 >= 4) & (F.col("area") != 0)).alias("valid"))
 
 
+def ring_defects(units: DataFrame, points: DataFrame, unit: str = "admin_id") -> DataFrame:
+    """(``unit``, places, area, defect) of every one of ``units``: places of its ring without
+    null coordinates and without repeats of the one before, the ring's area, and empty,
+    too_few or zero_area, or null for a sound ring. A ring needs not be closed; one that is
+    has its first place once."""
+    w = Window.partitionBy(unit).orderBy("seq")
+    some = points.where("x is not null and y is not null and not isnan(x) and not isnan(y)")
+    before = F.lag(F.struct("x", "y")).over(w)
+    apart = some.withColumn("before", before).where("before is null or x <> before.x or y <> before.y").drop("before")
+    first = F.min_by(F.struct("seq", "x", "y"), "seq").over(Window.partitionBy(unit))
+    last = F.max("seq").over(Window.partitionBy(unit))
+    opened = apart.withColumns({"first": first, "last": last}).where("seq < last or seq = first.seq or x <> first.x or y <> first.y").drop("first", "last")
+    ring = edges(opened, unit).groupBy(unit).agg(F.count("*").alias("places"), F.abs(F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2).alias("area"))
+    every = units.select(unit).join(ring, unit, "left").withColumns({"places": F.coalesce("places", F.lit(0)), "area": F.coalesce("area", F.lit(0.0))})
+    return every.withColumn("defect", F.when(F.col("places") == 0, "empty").when(F.col("places") < 3, "too_few").when(F.col("area") <= 1e-12, "zero_area"))
+
+
 def units_of_codes(units: DataFrame, codes: DataFrame) -> DataFrame:
     """Units (iso3, ...) beside the codes (``code``) that ask for them: those of the code
     itself; if there are none, those whose code has the same first three letters."""

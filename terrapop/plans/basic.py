@@ -100,10 +100,13 @@ def _(fx: Fixtures) -> DataFrame:
 
 @query("scan_hazard_cube", "SELECT hcell_id, day, round(value, 6) AS value FROM hazard_daily")
 def _(fx: Fixtures) -> DataFrame:
-    """Of several variables of a cell and day the preferred one is kept."""
-    d = fx.hazard_daily
-    both = d.select("hcell_id", "day", "value", F.lit(1).alias("priority")).unionByName(d.select("hcell_id", "day", (F.col("value") * 2).alias("value"), F.lit(2).alias("priority")))
-    return temporal.first_per(both, ["hcell_id", "day"], [F.col("priority")]).select("hcell_id", "day", F.round("value", 6).alias("value"))
+    """Files of two makers, whose coordinates have other names and which hold more than the
+    wanted variable, read to the same columns."""
+    d = fx.hazard_daily.select((F.col("hcell_id") % 10).cast("double").alias("lon"), F.floor(F.col("hcell_id") / 10).cast("double").alias("lat"), "day", "value")
+    early = d.where("day(day) < 16").select(F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), F.col("day").alias("valid_time"), (F.col("value") * 2).alias("mrt"), F.col("value").alias("utci"))
+    late = d.where("day(day) >= 16").select(F.col("lon").alias("X"), F.col("lat").alias("Y"), F.col("day").cast("timestamp_ntz").alias("time"), F.col("value").alias("unnamed"))
+    cubes = [files.read_cube(fx.spark, files.write_parquet(x, "cube"), ("utci", "t2m")) for x in (early, late)]
+    return cubes[0].unionByName(cubes[1]).select((F.col("lat") * 10 + F.col("lon")).cast("long").alias("hcell_id"), F.col("time").cast("date").alias("day"), F.round("value", 6).alias("value"))
 
 
 @query("sink_mask_bands", "SELECT hcell_id, max(CASE WHEN t = 5 THEN m END) AS m5, max(CASE WHEN t = 6 THEN m END) AS m6, max(CASE WHEN t = 7 THEN m END) AS m7 FROM (SELECT hcell_id, t, CAST(max(mmi) >= t AS INTEGER) AS m FROM shake_cells, (VALUES (5), (6), (7)) AS x(t) GROUP BY hcell_id, t) GROUP BY hcell_id")
@@ -185,9 +188,12 @@ def _(fx: Fixtures) -> DataFrame:
     return fx.spark.read.parquet(at)
 
 
-@query("filter_admin_country", "SELECT admin_id, pcode FROM admin_units WHERE upper(iso3) = 'ASIA' AND admin_level = 1")
+@query("filter_admin_country", "SELECT admin_id, pcode FROM admin_units WHERE upper(iso3) = 'ASIA' AND admin_level = 1 AND admin_id IN (SELECT admin_id FROM admin_points GROUP BY admin_id HAVING count(*) >= 3)")
 def _(fx: Fixtures) -> DataFrame:
-    return fx.admin_units.where((F.upper("iso3") == "ASIA") & (F.col("admin_level") == 1)).select("admin_id", "pcode")
+    """Units of a country and level that have a sound ring; none at all is an error."""
+    sound = grid.valid_rings(fx.admin_points).where("valid").select("admin_id")
+    units = fx.admin_units.where((F.upper("iso3") == "ASIA") & (F.col("admin_level") == 1)).join(sound, "admin_id", "left_semi")
+    return grid.required(units, "units of ASIA").select("admin_id", "pcode")
 
 
 @query("filter_admin_prefix", "SELECT code, admin_id, adm0 FROM (SELECT code, admin_id, iso3 AS adm0, iso3 = code AS exact, bool_or(iso3 = code) OVER (PARTITION BY code) AS any_exact FROM admin_units, (SELECT DISTINCT upper(r_name) AS code FROM region WHERE r_regionkey < 2 UNION ALL SELECT DISTINCT substr(r_name, 1, 3) FROM region WHERE r_regionkey > 2) WHERE iso3 = code OR substr(iso3, 1, 3) = substr(code, 1, 3)) WHERE exact OR NOT any_exact")
@@ -318,10 +324,12 @@ def _(fx: Fixtures) -> DataFrame:
     return fx.conflict_events.select("event_id", S.buffer_km(F.col("event_type"), F.col("fatalities"), strict=True).alias("buffer_km"))
 
 
-@query("admin_level_resolve", "SELECT admin_id, 1 AS level, 'admin1' AS label, 'adm1_pcode' AS pcode_label FROM admin_units")
+@query("admin_level_resolve", "SELECT iso3, level, concat('admin', CAST(level AS VARCHAR)) AS label, concat('adm', CAST(level AS VARCHAR), '_pcode') AS pcode_label FROM admin_layers")
 def _(fx: Fixtures) -> DataFrame:
-    level = F.coalesce(F.lit(None).cast("int"), F.regexp_extract(F.concat(F.lit("layer_adm"), F.col("admin_level").cast("string")), r"(\d+)", 1).cast("int"))
-    return fx.admin_units.select("admin_id", level.alias("level"), F.concat(F.lit("admin"), level.cast("string")).alias("label"), F.concat(F.lit("adm"), level.cast("string"), F.lit("_pcode")).alias("pcode_label"))
+    """The level that is given, else the first digits of the layer's name."""
+    layer = fx.admin_layers.select("iso3", F.concat(F.lit("bounds_ADM"), F.col("level").cast("string"), F.lit("_v24")).alias("layer"), F.when(F.col("features") % 2 == 0, F.col("level")).alias("given"))
+    level = S.admin_level(F.col("given"), F.col("layer"))
+    return layer.select("iso3", level.alias("level"), F.concat(F.lit("admin"), level.cast("string")).alias("label"), F.concat(F.lit("adm"), level.cast("string"), F.lit("_pcode")).alias("pcode_label"))
 
 
 PARSED = "SELECT file_order, CASE WHEN upper(iso3_text) = 'HOU' THEN 'HSE' WHEN regexp_matches(upper(iso3_text), '^[A-Z]{3}$') THEN upper(iso3_text) END AS iso3, TRY_CAST(as_of_text AS DATE) AS as_of, CASE WHEN TRY_CAST(lookback_text AS INTEGER) > 0 THEN TRY_CAST(lookback_text AS INTEGER) END AS lookback, CASE WHEN TRY_CAST(level_text AS INTEGER) BETWEEN 0 AND 3 THEN TRY_CAST(level_text AS INTEGER) END AS level FROM manifest"
@@ -771,10 +779,14 @@ def _(fx: Fixtures) -> DataFrame:
     return fx.table("orders").where("o_orderstatus = 'F'").orderBy(F.desc("o_orderkey")).limit(10).select("o_orderkey")
 
 
-@query("union_monthly_files", "SELECT hcell_id, month_start, value FROM hazard_monthly")
+@query("union_monthly_files", "SELECT hcell_id, month_start, value, CASE WHEN month_start >= DATE '1996-01-01' THEN 'late' END AS edition FROM hazard_monthly")
 def _(fx: Fixtures) -> DataFrame:
-    h = fx.hazard_monthly
-    return h.where("month(month_start) <= 6").unionByName(h.where("month(month_start) > 6"))
+    """Files by month in two editions, the later with one more column, read as one table."""
+    h = fx.hazard_monthly.withColumn("month", F.date_format("month_start", "yyyyMM"))
+    early = files.write_parquet(h.where("month_start < date'1996-01-01'"), "monthly", "month")
+    late = files.write_parquet(h.where("month_start >= date'1996-01-01'").withColumn("edition", F.lit("late")), "monthly", "month")
+    tables = [fx.spark.read.parquet(p) for p in (early, late)]
+    return tables[0].unionByName(tables[1], allowMissingColumns=True).select("hcell_id", "month_start", "value", "edition")
 
 
 @query("distinct_issues", "SELECT DISTINCT o_custkey, o_orderpriority, o_orderstatus FROM orders")

@@ -192,3 +192,18 @@ def _(fx: Fixtures) -> DataFrame:
     ids = fx.grid_table.select("grid_id")
     pairs = ids.join(F.broadcast(ids.withColumnRenamed("grid_id", "other_id")), F.col("grid_id") <= F.col("other_id"))
     return grids.matched(fx.grid_table, pairs)
+
+
+STOPS = "SELECT c_custkey AS admin_id, o_orderkey AS seq, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderkey % 7 AS DOUBLE) END AS x, CASE o_orderstatus WHEN 'F' THEN 1e0 ELSE CAST(o_orderkey % 5 AS DOUBLE) END AS y FROM orders JOIN customer ON c_custkey = o_custkey"
+
+
+@query("ring_defects", f"""WITH p AS (SELECT * FROM (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM ({STOPS}) WHERE x IS NOT NULL WINDOW w AS (PARTITION BY admin_id ORDER BY seq)) WHERE px IS NULL OR x <> px OR y <> py),
+ o AS (SELECT * FROM (SELECT *, first_value(x) OVER w AS fx, first_value(y) OVER w AS fy, row_number() OVER (PARTITION BY admin_id ORDER BY seq) AS r, count(*) OVER (PARTITION BY admin_id) AS n FROM p WINDOW w AS (PARTITION BY admin_id ORDER BY seq)) WHERE r < n OR r = 1 OR x <> fx OR y <> fy),
+ e AS (SELECT admin_id, x, y, coalesce(lead(x) OVER w, fx) AS x2, coalesce(lead(y) OVER w, fy) AS y2 FROM o WINDOW w AS (PARTITION BY admin_id ORDER BY seq)),
+ a AS (SELECT admin_id, count(*) AS places, abs(sum(x * y2 - x2 * y) / 2) AS area FROM e GROUP BY admin_id)
+SELECT c_custkey AS admin_id, coalesce(places, 0) AS places, coalesce(area, 0) AS area, CASE WHEN places IS NULL THEN 'empty' WHEN places < 3 THEN 'too_few' WHEN area <= 1e-12 THEN 'zero_area' END AS defect FROM customer LEFT JOIN a ON admin_id = c_custkey""")
+def _(fx: Fixtures) -> DataFrame:
+    """Rings of any number of places, some of them without a place, closed or without area."""
+    o = fx.table("orders")
+    stops = o.select(F.col("o_custkey").alias("admin_id"), F.col("o_orderkey").alias("seq"), F.when(F.col("o_orderpriority") != "5-LOW", (F.col("o_orderkey") % 7).cast("double")).alias("x"), F.when(F.col("o_orderstatus") == "F", 1.0).otherwise((F.col("o_orderkey") % 5).cast("double")).alias("y"))
+    return grid.ring_defects(fx.table("customer").select(F.col("c_custkey").alias("admin_id")), stops)

@@ -205,6 +205,28 @@ def read_grid_xml(spark: SparkSession, path: str, fields: tuple[str, ...] = ("MM
     return rows.select("event_id", "i", (F.col("west") + (F.col("i") % F.col("nlon")) * F.col("dx")).alias("lon"), (F.col("north") - F.floor(F.col("i") / F.col("nlon")) * F.col("dy")).alias("lat"), *values)
 
 
+# Cubes
+
+#: Names that coordinates go by.
+COORDINATES = {"lat": ("lat", "latitude", "y"), "lon": ("lon", "longitude", "x"), "time": ("time", "valid_time", "date")}
+
+
+def read_cube(spark: SparkSession, path: str, variables: tuple[str, ...]) -> DataFrame:
+    """(lat, lon, time, value) of tables of a gridded variable: coordinates by any of their
+    names, the value from the first of ``variables`` that is there, else from the first
+    other column of numbers. ValueError if a coordinate or all values are missing."""
+    raw = spark.read.parquet(path)
+    by_name = {c.lower(): c for c in reversed(raw.columns)}
+    found = {k: next((by_name[n] for n in names if n in by_name), None) for k, names in COORDINATES.items()}
+    if missing := sorted(k for k, c in found.items() if c is None):
+        raise ValueError(f"the cube lacks {', '.join(missing)}")
+    numbers = [c for c, t in raw.dtypes if t in ("double", "float", "int", "bigint") and c not in found.values()]
+    value = next((by_name[v.lower()] for v in variables if v.lower() in by_name), numbers[0] if numbers else None)
+    if value is None:
+        raise ValueError("the cube has no variable")
+    return raw.select(*[F.col(f"`{c}`").alias(k) for k, c in found.items()], F.col(f"`{value}`").cast("double").alias("value"))
+
+
 # Sinks
 
 

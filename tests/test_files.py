@@ -83,3 +83,14 @@ def test_folders_are_written_when_they_change(spark, tmp_path):
     assert held() == rows[:3] + [("C", 5), ("D", 6)]
     assert {k for k, t in times().items() if t == before.get(k)} == {"iso3=A", "iso3=B"}
     assert {r.key: r.writes for r in files.ledger(spark, base).collect()} == {"A": 1, "B": 1, "C": 2, "D": 1}
+
+
+def test_cubes(spark, tmp_path):
+    cube = lambda name, cols: (spark.createDataFrame([(1.0, 2.0, "2024-01-01", 5.0, 6)], cols).write.parquet(str(tmp_path / name)), str(tmp_path / name))[1]
+    one = lambda path, *v: tuple(files.read_cube(spark, path, v).first())
+    a = cube("a", ["Latitude", "lon", "valid_time", "t2m", "UTCI"])
+    assert one(a, "utci", "t2m") == (1.0, 2.0, "2024-01-01", 6.0) and one(a, "t2m") == (1.0, 2.0, "2024-01-01", 5.0) and one(a, "none")[3] == 5.0
+    with pytest.raises(ValueError, match="lat"):
+        files.read_cube(spark, cube("b", ["row", "x", "time", "v", "w"]), ("v",))
+    with pytest.raises(ValueError, match="no variable"):
+        files.read_cube(spark, (spark.createDataFrame([(1.0, 2.0, "t")], ["y", "x", "time"]).write.parquet(str(tmp_path / "c")), str(tmp_path / "c"))[1], ("v",))
