@@ -25,12 +25,12 @@ def interval_bits(intervals: DataFrame, keys: tuple[str, ...], cols: int | None
     c0, c1 = F.col("c0").cast("long"), F.col("c1").cast("long")
     last = F.lit(cols - 1).cast("long") if cols is not None else None
     if period is None:
-        parts = F.array(F.struct(c0.alias("a"), c1.alias("b")))
+        cut = intervals.select(*keys, "row_no", F.greatest(c0, F.lit(0).cast("long")).alias("a"), (F.least(c1, last) if last is not None else c1).alias("b")).where("a <= b")
     else:
         start, width = F.pmod(c0, F.lit(period)), F.least(c1 - c0, F.lit(period - 1).cast("long"))
         end = start + width
         parts = F.array(F.struct(start.alias("a"), F.least(end, F.lit(period - 1).cast("long")).alias("b")), F.struct(F.lit(0).cast("long").alias("a"), (end - period).alias("b")))
-    cut = intervals.where("c0 <= c1").select(*keys, "row_no", F.explode(parts).alias("p")).select(*keys, "row_no", F.greatest("p.a", F.lit(0).cast("long")).alias("a"), (F.least("p.b", last) if last is not None else F.col("p.b")).alias("b")).where("a <= b")
+        cut = intervals.where("c0 <= c1").select(*keys, "row_no", F.explode(parts).alias("p")).select(*keys, "row_no", "p.a", (F.least("p.b", last) if last is not None else F.col("p.b")).alias("b")).where("a <= b")
     words = cut.withColumn("word", F.explode(F.sequence(F.floor(F.col("a") / SIZE), F.floor(F.col("b") / SIZE))))
     lo = F.greatest(F.col("a") - F.col("word") * SIZE, F.lit(0))
     n = F.least(F.col("b") - F.col("word") * SIZE, F.lit(SIZE - 1)) - lo + 1

@@ -169,17 +169,22 @@ def swath_bits(steps: DataFrame, x0: float, y0: float, step: float, cols: int) -
     column = lambda degrees: (F.col("lon") + degrees - x0) / step - 0.5
     wide, sure = lon_reach(far, lat, at), lon_reach(near, lat, at)
     ends = {"f0": F.ceil(column(-wide) - 1e-6), "f1": F.floor(column(wide) + 1e-6), "n0": F.ceil(column(-sure) + 1e-6), "n1": F.floor(column(sure) - 1e-6)}
-    if period is None or cols * 2 <= period:  # no interval goes around
+    around = period is not None and cols * 2 > period
+    if not around:  # no interval goes around, so what is off the grid isn't made
         low, high = F.lit(0).cast("long"), F.lit(cols - 1).cast("long")
-        ends["f0"], ends["f1"] = F.greatest(ends["f0"], low), F.least(ends["f1"], high)
+        of = lambda c, to: F.when(c.isNotNull(), to)  # noqa: E731  no reach stays no reach
+        ends |= {k: of(ends[k], F.greatest(ends[k], low)) for k in ("f0", "n0")} | {k: of(ends[k], F.least(ends[k], high)) for k in ("f1", "n1")}
     reach = rows.withColumns(ends).where("f0 <= f1")
     whole = F.coalesce(F.col("n0") <= F.col("n1"), F.lit(False))
-    single = lambda lo, hi: F.transform(span(lo, hi), lambda c: F.struct(c.alias("c0"), c.alias("c1"), F.lit(False).alias("sure")))
-    inner = F.array(F.struct(F.greatest("n0", "f0").alias("c0"), F.least("n1", "f1").alias("c1"), F.lit(True).alias("sure")))
-    parts = F.when(whole, F.concat(inner, single(F.col("f0"), F.least(F.col("n0") - 1, F.col("f1"))), single(F.greatest(F.col("n1") + 1, F.col("f0")), F.col("f1")))).otherwise(single(F.col("f0"), F.col("f1")))
-    each = reach.withColumn("part", F.explode(parts)).select("sid", "threshold", "lon", "lat", *QUADRANTS, F.col("row_no").cast("long").alias("row_no"), "part.*")
-    inside = F.col("sure") | in_quadrant_swath(x0 + (F.col("c0") + 0.5) * step, y0 - (F.col("row_no") + 0.5) * step, F.col("lon"), lat)
-    return bits.interval_bits(each.where(inside), ("sid", "threshold"), cols, period)
+    # One number stands for the inner interval, the others for columns of their own.
+    inner = F.lit(-(1 << 40)).cast("long")
+    left = span(F.col("f0"), F.when(whole, F.col("n0") - 1).otherwise(F.col("f1")))
+    right = F.when(whole, span(F.col("n1") + 1, F.col("f1"))).otherwise(none)
+    each = reach.withColumn("c", F.explode(F.concat(F.when(whole, F.array(inner)).otherwise(none), left, right)))
+    sure = F.col("c") == inner
+    inside = sure | in_quadrant_swath(x0 + (F.col("c") + 0.5) * step, y0 - (F.col("row_no") + 0.5) * step, F.col("lon"), lat)
+    found = each.where(inside).select("sid", "threshold", F.col("row_no").cast("long").alias("row_no"), F.when(sure, F.col("n0")).otherwise(F.col("c")).alias("c0"), F.when(sure, F.col("n1")).otherwise(F.col("c")).alias("c1"))
+    return bits.interval_bits(found, ("sid", "threshold"), cols, period if around else None)
 
 
 def swath_cells(steps: DataFrame, x0: float, y0: float, step: float, cols: int) -> DataFrame:
