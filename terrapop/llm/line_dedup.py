@@ -1,7 +1,7 @@
 """Operator 8: line deduplication by a deletion-neighbourhood join, in native Spark only.
 
 Lines are compared by words. Equal lines share a hash. The edit bound follows the length:
-one word for each ``words_per_edit`` words of the longer line, up to ``edits`` = 1. Lines
+one word for each ``words_per_edit`` words of the longer line, one word in all. Lines
 within one word of each other (one changed, left out or put in) share a deletion variant:
 the line without its i-th word. Lines that can have such a partner at all agree on their
 first or last half, which a count of half-line keys tells before any variant is made.
@@ -65,6 +65,40 @@ def without(w: Column, n: Column, i: Column) -> Column:
     return F.concat(F.slice(w, F.lit(1), i - 1), F.slice(w, i + 1, F.greatest(n - i, F.lit(0))))
 
 
+def joined_bits(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+
+
+def place_key(w: Column) -> Column:
+    """64 bits that stand for words at their places: their hashes joined bitwise."""
+    return joined_bits(F.transform(w, lambda x, j: F.xxhash64(j, x)))
+
+
+def variant_keys(w: Column, low: Column, high: Column) -> Column:
+    """(i, v) for i from ``low`` to ``high``: ``place_key`` of the words without the i-th.
+
+    Leaving a word out moves the later ones down by one place, so a key is that of all words
+    moved down, joined with the moves undone before i. These are summed by blocks of about
+    the root of their number: n words take n times that root of steps, not n squared.
+    """
+    block = F.ceil(F.sqrt(F.size(w))).cast("int")
+    undone = F.transform(w, lambda x, j: F.xxhash64(j, x).bitwiseXOR(F.xxhash64(j - 1, x)))
+    down = joined_bits(F.transform(w, lambda x, j: F.xxhash64(j - 1, x)))
+
+    def keys(s: Column) -> Column:
+        starts = F.transform(F.sequence(F.lit(0), F.floor((F.size(w) - 1) / block).cast("int")), lambda k: s["down"].bitwiseXOR(joined_bits(F.slice(s["undone"], F.lit(1), k * block))))
+
+        def key(before: Column, i: Column) -> Column:
+            k = F.floor((i - 1) / block).cast("int")
+            own = joined_bits(F.slice(s["undone"], k * block + 1, F.pmod(i - 1, block)))
+            return F.get(before, k).bitwiseXOR(own).bitwiseXOR(F.xxhash64(i - 2, F.get(w, i - 1)))
+
+        # arrays of one value bind it to a name, so that it is made once a line
+        return F.flatten(F.transform(F.array(starts), lambda before: F.transform(F.sequence(low, high), lambda i: F.struct(i.alias("i"), key(before, i).alias("v")))))
+
+    return F.flatten(F.transform(F.array(F.struct(undone.alias("undone"), down.alias("down"))), keys))
+
+
 def bit_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
     """One row with a bit map of ``bits`` bits (a fixed size) that has a bit for each key."""
     at = F.pmod(F.col(key), F.lit(bits))
@@ -104,16 +138,17 @@ def removed_lines(docs: DataFrame, cfg: LineConfig = LineConfig()) -> DataFrame:
     n = F.size("w")
     low = F.when(F.col("from_right"), F.lit(1)).otherwise(F.floor((n - 1) / 2).cast("int") + 1)
     high = F.when(F.col("from_left"), n).otherwise(F.floor(n / 2).cast("int") + 1)
-    variants = able.select("at", F.explode(F.transform(F.sequence(low, high), lambda i: F.struct(i.alias("i"), F.xxhash64(without(F.col("w"), n, i)).alias("v")))).alias("d"))
+    variants = able.select("at", F.explode(variant_keys(F.col("w"), low, high)).alias("d"))
     variants = written(variants.select("at", "d.i", "d.v"))
 
     # One word changed: equal variants at one place. The earliest of them is within one
     # word of all the others.
     changed = variants.groupBy("v", "i").agg(F.min("at").alias("ref"), F.count("*").alias("c")).where("c > 1").drop("c")
     pairs = variants.join(changed, ["v", "i"]).where("at > ref").select("at", "ref", "i")
-    # One word more or less: a whole line equals a longer line's variant.
-    longer = variants.join(able.select(F.xxhash64("w").alias("v"), F.col("at").alias("short")), "v")
-    after = longer.where("at > short").select("at", F.col("short").alias("ref"), "i")
+    # One word more or less: a whole line equals a longer line's variant, or all variants of
+    # a run of one word; a pair is checked once.
+    longer = variants.join(able.select(place_key(F.col("w")).alias("v"), F.col("at").alias("short")), "v")
+    after = longer.where("at > short").groupBy("at", F.col("short").alias("ref")).agg(F.min("i").alias("i"))
     before = longer.where("at < short").groupBy("short").agg(F.min(F.struct("at", "i")).alias("m")).select(F.col("short").alias("at"), F.col("m.at").alias("ref"), F.col("m.i").alias("i"))
 
     checked = pairs.unionByName(after).unionByName(before).join(able.select("at", F.col("w").alias("w1")), "at").join(able.select(F.col("at").alias("ref"), F.col("w").alias("w2")), "ref")

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -512,6 +513,30 @@ def test_lines_against_brute_force(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_lines_of_many_words(spark):
+    """Variants of a line take time that its square doesn't bound, runs of one word too."""
+    rng = random.Random(12)
+    long = [f"w{rng.randrange(3000)}" for _ in range(60_000)]
+    other = long[:41_234] + ["new"] + long[41_235:]
+    run = ["same"] * 5_000
+    rows = [(1, long), (2, other), (3, long[1:]), (4, other[:100] + long[101:]), (5, run), (6, run[1:]), (7, [*run, "end"]), (8, run[:9]), (9, [*run[:8], "x"]), (10, long[2:] + ["y", "z"])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    start = time.monotonic()
+    out = {r.doc_id: r.lines_removed for r in line_dedup.dedup_lines(df).collect()}
+    assert time.monotonic() - start < 60
+    assert {i for i, n in out.items() if n} == {2, 3, 4, 6, 7, 9}
+
+
+def test_variant_keys_are_those_of_the_words_left(spark):
+    rng = random.Random(14)
+    lines = [[rng.choice("abcdef") for _ in range(n)] for n in (1, 2, 3, 4, 5, 7, 9, 10, 16, 17, 40)]
+    df = spark.createDataFrame([(n, w) for n, w in enumerate(lines)], "n long, w array<string>")
+    d = df.select("n", F.explode(line_dedup.variant_keys(F.col("w"), F.lit(1), F.size("w"))).alias("d"))
+    got = {(r.n, r.i): r.v for r in d.select("n", "d.i", "d.v").collect()}
+    left = spark.createDataFrame([(n, i + 1, w[:i] + w[i + 1 :]) for n, w in enumerate(lines) for i in range(len(w))], "n long, i long, w array<string>")
+    assert got == {(r.n, r.i): r.v for r in left.select("n", "i", line_dedup.place_key(F.col("w")).alias("v")).collect()}
+
+
 def test_line_dedup_is_native(spark):
     plan = line_dedup.dedup_lines(docs(spark, EDGE))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
