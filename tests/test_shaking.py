@@ -38,3 +38,25 @@ def test_no_events(spark):
     fine = shaking.fine_cells(cells)
     quads = shaking.event_quads(shake.limit(0), fine)
     assert shaking.greatest_by_event(quads, fine).count() == 0 and shaking.counted_events(quads, fine, 6).count() == 0
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_quads_around_seeds_suffice(spark, seed):
+    """Few quads are made, and they hold the same maxima; some coarse cells have no fine cell
+    in their centre, and some events reach the threshold in one country only."""
+    cells, shake = tables(spark, seed, 5)
+    holes = cells.where("not (cell_id % 24 in (2, 12) or cell_id % 7 = 3)")
+    fine = shaking.fine_cells(holes).persist()
+    every = shaking.event_quads(shake, fine).persist()
+    rows = lambda df: {tuple(r[:-1]): r[-1] for r in df.collect()}
+    assert rows(shaking.most_by_event(shake, fine)) == rows(shaking.greatest_by_event(every, fine))
+    strong = shaking.event_quads(shake, fine, shaking.reaching(shake, 6)).persist()
+    counts = shaking.counted_events(strong, fine, 6).persist()
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, shaking.counted_events(every, fine, 6).collect()))
+    counted = lambda quads: quads.join(counts, ["event_id", "iso3"], "left_semi")
+    seeds = shaking.exceeding(shake, counted(strong), fine)
+    few = shaking.event_quads(shake, fine, seeds)
+    assert few.count() < every.count()
+    assert rows(shaking.greatest_by_cell(counted(few), fine)) == rows(shaking.greatest_by_cell(counted(every), fine))
+    for df in (fine, every, strong, counts):
+        df.unpersist()
