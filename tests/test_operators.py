@@ -176,3 +176,10 @@ def test_kelvin_by_file(spark):
     d = lambda n: dt.date(2025, 1, n)
     df = spark.createDataFrame([("a", d(1), 300.0), ("a", d(1), 280.0), ("a", d(2), 10.0), ("b", d(1), 20.0), ("b", d(2), 300.0)], "file string, day date, v double")
     assert [round(r[2], 2) for r in rows(temporal.to_celsius_by_file(df, "v", "day", "file").select("file", "day", "v"))] == [6.85, 26.85, -263.15, 20.0, 300.0]
+
+
+def test_utm_zone_beyond_the_poles_is_the_zone(spark):
+    """As the query's SQL has it; the polar projection is a rule of buffers only."""
+    places = spark.createDataFrame([(44.0, 85.0), (44.0, -81.0), (44.0, -160.2), (180.0, 0.0)], "lon double, lat double")
+    assert [r[0] for r in places.select(S.utm_epsg(F.col("lon"), F.col("lat"))).collect()] == [32638, 32738, 32738, 32660]
+    assert [r[0] for r in places.select(S.buffer_epsg(F.col("lon"), F.col("lat"))).collect()] == [3413, 3031, 3031, 32660]
