@@ -1,5 +1,6 @@
 """The table of checks on a small summary with every outcome."""
 
+import __spark_entry__ as entry
 from terrapop.operators import checks
 
 SUMMARY = "run_id string, hazard string, threshold string, admin_id int, pop_total double, pop_affected double, pct_affected double"
@@ -41,3 +42,11 @@ def test_roll_up_flags_and_rows(spark):
 def test_empty(spark):
     summary, recorded = tables(spark)
     assert checks.check_table(summary.limit(0), recorded, LOOSER).count() == 0
+
+
+def test_union_takes_in_every_hazard(spark):
+    rows = entry.queries()["union_hazard_summaries"](spark, "/root/testdata/sf0.001").select("hazard", "threshold").distinct().collect()
+    bands = {}
+    for r in rows:
+        bands.setdefault(r.hazard, set()).add(r.threshold)
+    assert bands == {"flood": {None, "0"}, "cyclone": {None, "63", "93", "119"}, "drought": {"-1.5", "-1.0", "-2.0"}, "heat": {"32", "38", "46", "p95"}, "earthquake": {"6", "5", "7"}, "violence": {"1"}}
