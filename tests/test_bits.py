@@ -86,3 +86,32 @@ def test_continuous_longitudes(spark):
     df = spark.createDataFrame([(1, k, lon) for k, lon in enumerate([178.0, 179.5, -179.0, -177.0])] + [(2, 0, -179.0), (2, 1, 179.0)], "sid int, event_id int, lon double").withColumn("iso_time", F.col("event_id"))
     got = {(r.sid, r.event_id): r.lon for r in tracks.continuous(df).collect()}
     assert got == {(1, 0): -182.0, (1, 1): -180.5, (1, 2): -179.0, (1, 3): -177.0, (2, 0): 181.0, (2, 1): 179.0}
+
+
+@pytest.mark.parametrize("turns", [0, 1])
+def test_swaths_in_the_rows_of_units(spark, turns):
+    """Storms that can't reach some rows go before they are interpolated, and no cell of
+    these rows goes with them: short and long ways, also to points given beyond a pole."""
+    rng = random.Random(4 + turns)
+    points = []
+    for sid in range(120):
+        lat, lon, jump = rng.uniform(-40, 60) - 360 * turns * (sid % 2), rng.uniform(-5, 15), rng.choice([0.1, 2.0, 30.0])
+        points += [(sid, sid * 10 + k, k, lat + rng.uniform(-jump, jump), lon + rng.uniform(-jump, jump), *(rng.choice([5.0, 20.0, 60.0]) for _ in range(4))) for k in range(3)]
+    names = [f"usa_r34_{q}" for q in tracks.QUADRANTS]
+    df = spark.createDataFrame(points, "sid int, event_id int, h int, lat double, lon double, " + ", ".join(f"{n} double" for n in names)).withColumn("iso_time", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, h, 0, 0)")).withColumn("wmo_agency", F.lit("usa"))
+    rows = spark.createDataFrame([(20, 29)], "top long, bottom long")
+    steps = lambda t: tracks.interpolated(tracks.next_observation(t))
+    near = df.join(tracks.storms_reaching(df, rows, 20.0, 0.5), "sid", "left_semi")
+    kept = near.select("sid").distinct().count()
+    whole = bits.cells_of(tracks.swath_bits(steps(df), -5.0, 20.0, 0.5, 40, boxed=True))
+    want = cells(whole.where("row_no between 20 and 29"), "sid", "threshold")
+    got = bits.cells_of(tracks.swath_bits(steps(near), -5.0, 20.0, 0.5, 40, boxed=True, rows=rows))
+    assert cells(got, "sid", "threshold") == want
+    assert len({w[0] for w in want}) > 10 and kept < 100
+
+
+def test_buffers_in_the_rows_of_units(spark):
+    df = spark.createDataFrame([(k, 60, 3 * k, 10, 3.0) for k in range(20)], "ext_id int, label int, row_no long, col_no long, reach double")
+    rows = spark.createDataFrame([(20, 29)], "top long, bottom long")
+    want = cells(bits.cells_of(tracks.buffer_bits(df)).where("row_no between 20 and 29"), "ext_id", "threshold")
+    assert cells(bits.cells_of(tracks.buffer_bits(df, rows)), "ext_id", "threshold") == want and want
