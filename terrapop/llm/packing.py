@@ -42,13 +42,14 @@ class PackConfig:
 class WordEncoder:
     """Ids of texts, word by word, for tokenizers that never join across ASCII white space.
 
-    Words are remembered, up to ``limit`` of them; then all are forgotten. New words made
-    of plain Latin letters between punctuation are encoded many at a time: each run of
-    letters ends in exactly one id that closes a word.
+    Words are remembered, up to ``limit`` of them; then all are forgotten. A word of plain
+    Latin letters between punctuation is that punctuation and its run of letters, which is
+    remembered by itself, up to as many, and outlives the words. New runs are encoded many
+    at a time: each ends in exactly one id that closes a word.
     """
 
     LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-    MARKS = r"""[-.,!?;:*#%$&@"()\[\]{}/\\|+=~^_`]*"""  # no apostrophe, which takes letters with it
+    MARKS = rb"""-.,!?;:*#%$&@"()[]{}/\|+=~^_`"""  # no apostrophe, which takes letters with it
 
     def __init__(self, path: str, limit: int):
         import re
@@ -61,38 +62,54 @@ class WordEncoder:
         self.kind = np.uint16 if most <= 0xFFFF else np.uint32
         self.closes = np.zeros(most + 1, dtype=bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.plain = re.compile(f"({self.MARKS})([{self.LETTERS}]+)({self.MARKS})")
+        self.letters = re.compile(f"[{self.LETTERS}]+")
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {b"": b""}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def _learn_pieces(self, pieces: list[str]) -> None:
+        size = np.dtype(self.kind).itemsize
         for lo in range(0, len(pieces), 500):
             some = pieces[lo : lo + 500]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype=self.kind)
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(some) and len(ids) == ends[-1]:
-                self.pieces.update(zip(some, (a.tobytes() for a in np.split(ids, ends[:-1])), strict=True))
+                at, all_ids = [0, *(ends * size).tolist()], ids.tobytes()
+                self.pieces.update((p.encode(), all_ids[a:b]) for p, a, b in zip(some, at, at[1:], strict=False))
             else:
-                self.pieces.update((p, self._ids(p)) for p in some)
+                self.pieces.update((p.encode(), self._ids(p)) for p in some)
+
+    def _mark_ids(self, marks: bytes) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) >= self.limit:
+                self.marks = {b"": b""}
+            self.marks[marks] = self._ids(marks.decode())
+        return self.marks[marks]
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
+        new = words.difference(self.known)
         if len(self.known) + len(new) > self.limit:
             self.known.clear()
+            new = words
+        cores = [w.strip(self.MARKS) for w in new]
+        low = [c.lower() for c in cores]  # A-Z only; the tokenizer lowers the rest
+        unseen = set(low).difference(self.pieces)
+        if len(self.pieces) + len(unseen) > self.limit:
             self.pieces.clear()
-            new = list(words)
-        split = [(w, self.plain.fullmatch(w.decode())) for w in new]
-        letters = {p for _, m in split if m for p in (m[2].lower(),) if p not in self.pieces}
-        self._learn_pieces(sorted(letters))
-        marks = {x for _, m in split if m for x in (m[1], m[3]) if x not in self.pieces}
-        self.pieces.update((x, self._ids(x)) for x in marks)
-        pieces = self.pieces
-        for w, m in split:
-            self.known[w] = pieces[m[1]] + pieces[m[2].lower()] + pieces[m[3]] if m else self._ids(w.decode())
+            unseen = set(low)
+        self._learn_pieces(sorted(p for p in (c.decode() for c in unseen) if self.letters.fullmatch(p)))
+        found = map(self.pieces.get, low)
+        for w, core, ids in zip(new, cores, found, strict=True):
+            if ids is None:
+                ids = self._ids(w.decode())
+            elif len(core) != len(w):
+                at = w.index(core)
+                ids = self._mark_ids(w[:at]) + ids + self._mark_ids(w[at + len(core) :])
+            self.known[w] = ids
 
     def encode(self, texts: list[str], group: int = 256) -> Iterator[np.ndarray]:
         """Ids of each text, as unsigned integers of 16 bits, or 32 for large vocabularies."""

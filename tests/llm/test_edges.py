@@ -666,3 +666,15 @@ def test_language_counts_are_not_clipped(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r.doc_id: r.lang_pred for r in language_id.op7_language_id(df).collect()}
     assert got[900] == "x"
+
+
+def test_letter_runs_outlive_forgotten_words():
+    """Runs of letters stay when words are forgotten, and are encoded once for all their forms."""
+    import public_tokenizers
+
+    enc = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 12)
+    texts = ["Winter, (winter) don't", "WINTER! sömmer. a1 --", "winter; Sömmer: x y z", "1 2 3 4 5 6 7 8 9 winter?"]
+    for text in texts:
+        (ids,) = enc.encode([text])
+        assert ids.tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+    assert b"winter" in enc.pieces and b"winter;" not in enc.known
