@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,18 +43,19 @@ class PackConfig:
 class WordEncoder:
     """Ids of texts, word by word, for tokenizers that never join across ASCII white space.
 
-    Words are remembered, up to ``limit`` of them; then all are forgotten. A word of plain
-    Latin letters between punctuation is that punctuation and its run of letters, which is
-    remembered by itself, up to as many, and outlives the words. New runs are encoded many
-    at a time: each ends in exactly one id that closes a word.
+    Texts are split and their words numbered as Arrow arrays, so that only different words
+    of a group of texts are looked up. A word of plain Latin letters between punctuation is
+    that punctuation and its run of letters, whatever the case of A-Z; runs are remembered,
+    up to ``limit`` of them, then all are forgotten. Other words are remembered as they are,
+    up to as many. New runs are encoded many at a time: each ends in exactly one id that
+    closes a word.
     """
 
-    LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-    MARKS = rb"""-.,!?;:*#%$&@"()[]{}/\|+=~^_`"""  # no apostrophe, which takes letters with it
+    MARKS = r"""[-.,!?;:*#%$&@"()\[\]{}/\\|+=~^_`]*"""  # no apostrophe, which takes letters with it
+    FORM = f"^(?P<before>{MARKS})(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<after>{MARKS})$"
+    GROUP_BYTES = 1 << 23
 
     def __init__(self, path: str, limit: int):
-        import re
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -62,62 +64,80 @@ class WordEncoder:
         self.kind = np.uint16 if most <= 0xFFFF else np.uint32
         self.closes = np.zeros(most + 1, dtype=bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.letters = re.compile(f"[{self.LETTERS}]+")
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {}
-        self.marks: dict[bytes, bytes] = {b"": b""}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
-
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        size = np.dtype(self.kind).itemsize
-        for lo in range(0, len(pieces), 500):
-            some = pieces[lo : lo + 500]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype=self.kind)
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(some) and len(ids) == ends[-1]:
-                at, all_ids = [0, *(ends * size).tolist()], ids.tobytes()
-                self.pieces.update((p.encode(), all_ids[a:b]) for p, a, b in zip(some, at, at[1:], strict=False))
+        self.marks: dict[bytes, bytes] = {}
+
+    def _ids(self, text: bytes) -> bytes:
+        (found,) = self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)  # no places in the text
+        return np.array(found.ids, dtype=self.kind).tobytes()
+
+    def _ids_of_each(self, texts: list[bytes]) -> list[bytes]:
+        return [self._ids(t) for t in texts]
+
+    def _ids_of_runs(self, runs: list[bytes]) -> list[bytes]:
+        size, found = np.dtype(self.kind).itemsize, []
+        for lo in range(0, len(runs), 500):
+            some = runs[lo : lo + 500]
+            all_ids = self._ids(b" ".join(some))
+            ends = np.flatnonzero(self.closes[np.frombuffer(all_ids, self.kind)]) + 1
+            if len(ends) == len(some) and ends[-1] * size == len(all_ids):
+                at = [0, *(ends * size).tolist()]
+                found += [all_ids[a:b] for a, b in zip(at, at[1:], strict=False)]
             else:
-                self.pieces.update((p.encode(), self._ids(p)) for p in some)
-
-    def _mark_ids(self, marks: bytes) -> bytes:
-        if marks not in self.marks:
-            if len(self.marks) >= self.limit:
-                self.marks = {b"": b""}
-            self.marks[marks] = self._ids(marks.decode())
-        return self.marks[marks]
-
-    def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = words
-        cores = [w.strip(self.MARKS) for w in new]
-        low = [c.lower() for c in cores]  # A-Z only; the tokenizer lowers the rest
-        unseen = set(low).difference(self.pieces)
-        if len(self.pieces) + len(unseen) > self.limit:
-            self.pieces.clear()
-            unseen = set(low)
-        self._learn_pieces(sorted(p for p in (c.decode() for c in unseen) if self.letters.fullmatch(p)))
-        found = map(self.pieces.get, low)
-        for w, core, ids in zip(new, cores, found, strict=True):
-            if ids is None:
-                ids = self._ids(w.decode())
-            elif len(core) != len(w):
-                at = w.index(core)
-                ids = self._mark_ids(w[:at]) + ids + self._mark_ids(w[at + len(core) :])
-            self.known[w] = ids
-
-    def encode(self, texts: list[str], group: int = 256) -> Iterator[np.ndarray]:
-        """Ids of each text, as unsigned integers of 16 bits, or 32 for large vocabularies."""
-        for lo in range(0, len(texts), group):
-            split = [t.encode().split() for t in texts[lo : lo + group]]
-            self.learn(set().union(*split))
-            for words in split:
-                yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=self.kind)
+                found += self._ids_of_each(some)
+        return found
+
+    def _remembered(self, memory: dict[bytes, bytes], texts: pa.Array, learn: Callable[[list[bytes]], list[bytes]]) -> pa.Array:
+        """Ids of each of ``texts``, as bytes: from ``memory``, or learned and kept there."""
+        numbered = texts.dictionary_encode()
+        unlike = numbered.dictionary.cast(pa.large_binary()).to_pylist()
+        new = [t for t in unlike if t not in memory]
+        if len(memory) + len(new) > self.limit:
+            memory.clear()
+            new = unlike
+        memory.update(zip(new, learn(new), strict=True))
+        return pa.array(map(memory.__getitem__, unlike), pa.large_binary(), size=len(unlike)).take(numbered.indices)
+
+    def _ids_of_words(self, words: pa.Array) -> pa.Array:
+        """Ids of each of ``words``, which are all different, as bytes."""
+        parts = pc.extract_regex(words, self.FORM)
+        shaped = parts.is_valid()
+        before, letters, after = parts.filter(shaped).flatten()
+        joined = pc.binary_join_element_wise(
+            self._remembered(self.marks, before, self._ids_of_each),
+            self._remembered(self.pieces, pc.ascii_lower(letters), self._ids_of_runs),  # the tokenizer lowers the rest
+            self._remembered(self.marks, after, self._ids_of_each),
+            pa.scalar(b"", pa.large_binary()),
+        )
+        others = self._remembered(self.known, words.filter(pc.invert(shaped)), self._ids_of_each)
+        first = shaped.to_numpy(zero_copy_only=False)
+        place = np.where(first, np.cumsum(first) - 1, len(joined) + np.cumsum(~first) - 1)
+        return pa.concat_arrays([joined, others]).take(pa.array(place))
+
+    def _groups(self, texts: pa.Array, group: int) -> Iterator[pa.Array]:
+        """At most ``group`` texts at a time, of ``GROUP_BYTES`` unless one is longer."""
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        lo = 0
+        while lo < len(texts):
+            done = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, min(lo + group, int(np.searchsorted(ends, done + self.GROUP_BYTES, side="right"))))
+            yield texts.slice(lo, hi - lo)
+            lo = hi
+
+    def encode(self, texts: pa.Array | list[str], group: int = 1 << 14) -> Iterator[np.ndarray]:
+        """Ids of each text (null: empty), as unsigned integers of 16 bits, or 32 for large vocabularies."""
+        given = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        for some in self._groups(given.cast(pa.large_string()).fill_null(""), group):
+            split = pc.ascii_split_whitespace(some)
+            numbered = split.flatten().dictionary_encode()
+            ids = self._ids_of_words(numbered.dictionary).take(numbered.indices)
+            lengths = np.concatenate(([0], np.cumsum(pc.binary_length(ids).to_numpy()))) // np.dtype(self.kind).itemsize
+            bounds = lengths[np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))]
+            flat = np.frombuffer(ids.buffers()[2] or b"", dtype=self.kind, count=lengths[-1])
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                yield flat[a:b]
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
@@ -177,9 +197,8 @@ def token_pieces(docs: DataFrame, cfg: PackConfig, keep: tuple[str, ...], with_i
         words = encoder(cfg.tokenizer, cfg.cached_words)
         key = TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             row, start, length, crc, total, ids = [], [], [], [], [], []
-            for r, found in enumerate(words.encode(texts)):
+            for r, found in enumerate(words.encode(batch.column("text"))):
                 own = np.append(found, found.dtype.type(cfg.end_id)).astype("<u4")
                 whole = len(own) // cfg.capacity * cfg.capacity
                 bounds = [*range(0, whole, cfg.capacity), *range(whole, len(own), cfg.cut), len(own)]

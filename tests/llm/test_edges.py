@@ -5,6 +5,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -678,3 +679,25 @@ def test_letter_runs_outlive_forgotten_words():
         (ids,) = enc.encode([text])
         assert ids.tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
     assert b"winter" in enc.pieces and b"winter;" not in enc.known
+
+
+def test_word_encoder_remembers_runs_not_forms():
+    """A run of letters is one entry, whatever stands around it and in capitals; nulls, odd
+    spaces, marks beyond ASCII and groups of any size give the tokenizer's ids."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, enc = Tokenizer.from_file(path), packing.WordEncoder(path, 1000)
+    forms = [f"{a}{w}{b}" for a in ("", "(", "--", '"') for w in ("winter", "Winter", "WINTER", "ÉTÉ", "été") for b in ("", ".", ",)", "***")]
+    (ids,) = enc.encode([" ".join(forms)])
+    assert ids.tolist() == tok.encode(" ".join(forms), add_special_tokens=False).ids
+    assert not enc.known and set(enc.pieces) == {b"winter", "ÉtÉ".encode(), "été".encode()}
+
+    odd = [None, "", " ", "\x1cA\x1c b\t\nC ", "e\u0301 E\u0301. x\u0301,", "(<|endoftext|>) x<|endoftext|>y", "IT'S (it's) a_b -- ***", "ß ẞ İ ǅ ΣΑΣ 日本語 a\u00a0b 12", "winter\x0bwinter\x0cwinter\r"]
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in odd]
+    for group in (1, 4, 100):
+        assert [a.tolist() for a in enc.encode(pa.array(odd, pa.string()), group=group)] == want
+    assert [a.tolist() for a in enc.encode(pa.array(odd * 3, pa.string()).slice(4, 9))] == want[4:] + want[:4]
+    enc.GROUP_BYTES = 3
+    assert [a.tolist() for a in enc.encode(odd)] == want and list(enc.encode([])) == []
